@@ -288,5 +288,18 @@ def core_queries() -> dict[str, str]:
     }
 
 
+def stream_sql() -> dict[str, str]:
+    fires = _with(fires_cte(), f"SELECT {FIRE_COLUMNS_SQL} FROM fires")
+    quakes = _with(QUAKES_CTE, f"SELECT {QUAKE_COLUMNS_SQL} FROM quakes")
+    return {
+        "sink_fires_roundtrip": fires,
+        "sink_quakes_roundtrip": quakes,
+        "stream_fires_e2e": fires,
+        "stream_quakes_e2e": quakes,
+        "stream_dedup_fires": fires,
+        "stream_dedup_quakes": quakes,
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return dict(core_queries())
+    return {**core_queries(), **stream_sql()}

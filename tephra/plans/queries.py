@@ -125,4 +125,6 @@ def core_queries() -> dict[str, Query]:
 
 
 def all_queries() -> dict[str, Query]:
-    return dict(core_queries())
+    from tephra.plans.streams import stream_queries
+
+    return {**core_queries(), **stream_queries()}
