@@ -138,11 +138,17 @@ def quake_features(payloads: DataFrame, narrow: bool = True) -> DataFrame:
     JSON parser skips the other leaves of every feature.
     """
     schema = schemas.QUAKE_COLLECTION_NARROW if narrow else schemas.QUAKE_COLLECTION
-    doc = F.from_json(F.col("value").cast("string"), schema, {"mode": "PERMISSIVE"})
+    schema = StructType(schema.fields + [StructField(CORRUPT, StringType(), True)])
+    doc = F.from_json(
+        F.col("value").cast("string"),
+        schema,
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
+    )
+    ok = F.col("d").isNotNull() & F.col(f"d.{CORRUPT}").isNull()
     return payloads.select(F.col("value").cast("string").alias("value"), doc.alias("d")).select(
         "value",
-        F.col("d").isNotNull().alias("doc_ok"),
-        F.explode_outer("d.features").alias("f"),
+        ok.alias("doc_ok"),
+        F.explode_outer(F.when(ok, F.col("d.features"))).alias("f"),
     )
 
 

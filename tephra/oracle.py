@@ -301,5 +301,170 @@ def stream_sql() -> dict[str, str]:
     }
 
 
+_RENAMED = ("fx_fires", "fx_quakes", "fires", "quakes", "stg_fires", "stg_quakes")
+
+
+def first_load(cte: str, prefix: str = "p_") -> str:
+    """The same CTEs over the events before ``FIRST_LOAD_UNTIL``, names prefixed."""
+    import re
+
+    for name in _RENAMED:
+        cte = re.sub(rf"\b{name}\b", prefix + name, cte)
+    src = f"(SELECT * FROM events WHERE ts < TIMESTAMP '{FIRST_LOAD_UNTIL}') AS ev"
+    return cte.replace("FROM events WHERE", f"FROM {src} WHERE")
+
+
+def _summaries(prefix: str) -> str:
+    fs = fire_summary_sql(f"{prefix}stg_fires")
+    qs = QUAKE_SUMMARY.replace("FROM stg_quakes", f"FROM {prefix}stg_quakes")
+    return f""",
+{prefix}fire_summary AS ({fs}),
+{prefix}quake_summary AS ({qs})"""
+
+
+EXPORT_CTE = STAGING_CTE + "," + first_load(STAGING_CTE) + _summaries("") + _summaries("p_")
+
+
+def _retention_sql(report: bool) -> str:
+    cutoff = f"TIMESTAMP '{RETENTION_AS_OF}' - INTERVAL {RETENTION_DAYS + RETENTION_BUFFER_DAYS} DAY"
+    parts = f"""
+  SELECT 'fires' AS dataset, 'acq_date=' || CAST(acq_date AS VARCHAR) AS partition,
+    acq_date AS partition_date,
+    CASE WHEN CAST(acq_date AS TIMESTAMP) < {cutoff} THEN 'delete' ELSE 'keep' END AS action,
+    CAST(COUNT(*) AS BIGINT) AS n_rows
+  FROM fires GROUP BY acq_date
+  UNION ALL
+  SELECT 'earthquakes', 'event_date=' || CAST(event_date AS VARCHAR), event_date,
+    CASE WHEN CAST(event_date AS TIMESTAMP) < {cutoff} THEN 'delete' ELSE 'keep' END,
+    CAST(COUNT(*) AS BIGINT)
+  FROM quakes GROUP BY event_date"""
+    if not report:
+        return _with(fires_cte() + "," + QUAKES_CTE, parts)
+    return _with(
+        fires_cte() + "," + QUAKES_CTE + f",\nplan AS ({parts})",
+        f"""
+  SELECT dataset, CAST(COUNT(*) AS BIGINT) AS partitions_scanned,
+    CAST(COUNT(*) FILTER (WHERE action = 'delete') AS BIGINT) AS partitions_deleted,
+    CAST({cutoff} AS DATE) AS cutoff_date,
+    CAST(0 AS BIGINT) AS errors,
+    CAST(SUM(n_rows) FILTER (WHERE action = 'keep') AS BIGINT) AS rows_remaining
+  FROM plan GROUP BY dataset""",
+    )
+
+
+def _dq(table: str, checks: list[tuple[str, str, str]]) -> str:
+    return "\n  UNION ALL\n".join(
+        f"  SELECT '{table}' AS table_name, '{kind}' AS \"check\", '{cols}' AS columns, "
+        f"CAST({expr} AS BIGINT) AS failures FROM {table}"
+        for kind, cols, expr in checks
+    )
+
+
+DQ = "\n  UNION ALL\n".join(
+    [
+        _dq(
+            "fire_summary",
+            [
+                ("not_null", "event_date", "COUNT(*) FILTER (WHERE event_date IS NULL)"),
+                (
+                    "unique",
+                    "event_date,satellite,confidence",
+                    "COUNT(*) FILTER (WHERE event_date IS NOT NULL AND satellite IS NOT NULL "
+                    "AND confidence IS NOT NULL) - COUNT(DISTINCT (event_date, satellite, confidence))",
+                ),
+                (
+                    "accepted_values",
+                    "fire_intensity_category",
+                    "COUNT(*) FILTER (WHERE fire_intensity_category NOT IN ('severe','moderate','low'))",
+                ),
+                ("range", "fire_count", "COUNT(*) FILTER (WHERE fire_count < 1)"),
+            ],
+        ),
+        _dq(
+            "quake_summary",
+            [
+                ("not_null", "event_date", "COUNT(*) FILTER (WHERE event_date IS NULL)"),
+                (
+                    "unique",
+                    "event_date,hour",
+                    "COUNT(*) FILTER (WHERE event_date IS NOT NULL AND hour IS NOT NULL) "
+                    "- COUNT(DISTINCT (event_date, hour))",
+                ),
+                ("range", "hour", "COUNT(*) FILTER (WHERE hour < 0 OR hour > 23)"),
+                ("range", "earthquake_count", "COUNT(*) FILTER (WHERE earthquake_count < 1)"),
+            ],
+        ),
+        _dq(
+            "combined_events",
+            [
+                ("not_null", "event_type", "COUNT(*) FILTER (WHERE event_type IS NULL)"),
+                (
+                    "accepted_values",
+                    "event_type",
+                    "COUNT(*) FILTER (WHERE event_type NOT IN ('fire','earthquake'))",
+                ),
+                (
+                    "accepted_values",
+                    "severity_level",
+                    "COUNT(*) FILTER (WHERE severity_level NOT IN ('severe','moderate'))",
+                ),
+                ("range", "latitude", "COUNT(*) FILTER (WHERE latitude < -90 OR latitude > 90)"),
+                ("range", "longitude", "COUNT(*) FILTER (WHERE longitude < -180 OR longitude > 180)"),
+            ],
+        ),
+    ]
+).replace("'quake_summary' AS table_name", "'earthquake_summary' AS table_name")
+
+
+def maintenance_sql() -> dict[str, str]:
+    combined = COMBINED_CTE
+    incremental = """
+  SELECT * FROM p_fire_summary
+  UNION ALL
+  SELECT * FROM fire_summary
+  WHERE event_date > (SELECT MAX(event_date) FROM p_fire_summary)"""
+    status = """
+  SELECT 'fire_summary' AS table_name, 'append_hwm' AS mode, 'SUCCESS' AS status,
+    CAST(COUNT(*) AS BIGINT) AS rows
+  FROM fire_summary WHERE event_date > (SELECT MAX(event_date) FROM p_fire_summary)
+  UNION ALL
+  SELECT 'earthquake_summary', 'append_hwm', 'SUCCESS', CAST(COUNT(*) AS BIGINT)
+  FROM quake_summary WHERE event_date > (SELECT MAX(event_date) FROM p_quake_summary)
+  UNION ALL
+  SELECT 'combined_events', 'snapshot', 'SUCCESS', CAST(COUNT(*) AS BIGINT) FROM combined_events"""
+    export_cte_combined = EXPORT_CTE + combined[len(STAGING_CTE):]
+    rejects_body = """
+  SELECT 'fires' AS source, 'malformed_csv' AS reason, CAST(COUNT(*) AS BIGINT) AS n_records
+  FROM (SELECT DISTINCT date_trunc('hour', event_time) AS h, floor(src_id / 500) AS c FROM fx_fires)
+  UNION ALL
+  SELECT 'earthquakes', 'malformed_json', CAST(COUNT(*) AS BIGINT)
+  FROM (SELECT DISTINCT date_trunc('hour', event_time) AS h, floor(src_id / 500) AS c FROM fx_quakes)"""
+    return {
+        "export_hwm": _with(
+            EXPORT_CTE,
+            """
+  SELECT 'fire_summary' AS table_name, MAX(event_date) AS high_water_mark FROM p_fire_summary
+  UNION ALL
+  SELECT 'earthquake_summary', MAX(event_date) FROM p_quake_summary""",
+        ),
+        "export_incremental": _with(EXPORT_CTE, incremental),
+        "export_refresh_dates": _with(EXPORT_CTE, "SELECT * FROM fire_summary"),
+        "export_snapshot": _with(combined, "SELECT * FROM combined_events"),
+        "export_clustered_layout": _with(
+            combined,
+            """
+  SELECT event_date, event_type, severity_level, CAST(COUNT(*) AS BIGINT) AS n_rows
+  FROM combined_events GROUP BY event_date, event_type, severity_level""",
+        ),
+        "export_status": _with(export_cte_combined, status),
+        "retention_plan": _retention_sql(report=False),
+        "retention_report": _retention_sql(report=True),
+        "dq_checks": _with(
+            COMBINED_CTE + _summaries(""), DQ
+        ),
+        "rejects": _with(FX_FIRES + "," + FX_QUAKES, rejects_body),
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return {**core_queries(), **stream_sql()}
+    return {**core_queries(), **stream_sql(), **maintenance_sql()}

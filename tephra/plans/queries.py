@@ -125,6 +125,7 @@ def core_queries() -> dict[str, Query]:
 
 
 def all_queries() -> dict[str, Query]:
+    from tephra.plans.maintenance import maintenance_queries
     from tephra.plans.streams import stream_queries
 
-    return {**core_queries(), **stream_queries()}
+    return {**core_queries(), **stream_queries(), **maintenance_queries()}

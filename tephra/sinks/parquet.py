@@ -57,6 +57,13 @@ def write_clustered_snapshot(
     write_partitioned(df, path, partition_col, "overwrite", codec, list(cluster_by))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the cluster file system (metadata only)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def read_table(spark: SparkSession, path: str, drop_batch_key: bool = True) -> DataFrame:
     df = spark.read.parquet(path)
     if drop_batch_key and BATCH_KEY in df.columns:
