@@ -35,13 +35,15 @@ def _date_window(df: DataFrame, part_col: str | None, date_from, date_to) -> Dat
     """
     day = F.to_date("event_time")
     if date_from is not None:
+        lo = as_column(date_from).cast("date")
         if part_col:
-            df = df.where(F.col(part_col) >= F.lit(date_from).cast("date"))
-        df = df.where(day >= F.lit(date_from).cast("date"))
+            df = df.where(F.col(part_col) >= lo)
+        df = df.where(day >= lo)
     if date_to is not None:
+        hi = as_column(date_to).cast("date")
         if part_col:
-            df = df.where(F.col(part_col) <= F.lit(date_to).cast("date"))
-        df = df.where(day <= F.lit(date_to).cast("date"))
+            df = df.where(F.col(part_col) <= hi)
+        df = df.where(day <= hi)
     return df
 
 
@@ -95,17 +97,18 @@ def fire_clusters(stg: DataFrame, date_from=None, date_to=None) -> DataFrame:
     """One row per (grid cell, day): centroid, mean brightness, last time, severity.
 
     Coordinates and intensity are pinned to 6 decimals (about 0.1 m).
+    ``event_date`` is the grouping day, which equals the day of the last
+    time in the group; being a grouping key, a filter on it is pushed
+    below the aggregate (and on to the partition column of the scan).
     """
     stg = _date_window(stg, _part(stg, "acq_date"), date_from, date_to)
     avg_b = F.avg("bright_ti4")
-    last = F.max("event_time")
-    return stg.groupBy("cluster_id", F.to_date("event_time").alias("_day")).agg(
+    return stg.groupBy("cluster_id", F.to_date("event_time").alias("event_date")).agg(
         round_half_up(F.avg("latitude"), 6).alias("latitude"),
         round_half_up(F.avg("longitude"), 6).alias("longitude"),
         F.lit("fire").alias("event_type"),
         round_half_up(avg_b, 6).alias("intensity_measure"),
-        last.alias("event_time"),
-        F.to_date(last).alias("event_date"),
+        F.max("event_time").alias("event_time"),
         rules.classify(
             pinned(avg_b), rules.FIRE_CLUSTER_SEVERITY, rules.EVENT_SEVERITY_DEFAULT
         ).alias("severity_level"),

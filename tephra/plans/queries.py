@@ -99,7 +99,8 @@ def q_quake_metrics(spark, sf_dir):
 
 
 def q_realtime_summary(spark, sf_dir):
-    return serving.realtime_summary(q_combined_events(spark, sf_dir), as_of=oracle.AS_OF)
+    f, q = _stg(spark, sf_dir)
+    return serving.realtime_summary_from_staging(f, q, as_of=oracle.AS_OF)
 
 
 def core_queries() -> dict[str, Query]:
