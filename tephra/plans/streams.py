@@ -83,7 +83,8 @@ def run_stream(
         waves = [payloads.where("copy = 0"), payloads.where("copy = 1")]
     metrics: list[dict] = []
     for run, wave in enumerate(waves):
-        land_messages(wave, landing)
+        # One file per core, as a topic with that many partitions would give.
+        land_messages(wave, landing, files=spark.sparkContext.defaultParallelism)
         rows = make_rows(stream_messages(spark, landing), dedup=dedup)
         q = pipelines.start_ingest(
             rows,

@@ -96,6 +96,7 @@ class IdempotentBatchWriter:
         dedup_keys: list[str] | None = None,
         codec: str = "snappy",
         columns: list[str] | None = None,
+        files_per_date: int | None = None,
     ):
         self.path = path
         self.partition_col = partition_col
@@ -103,6 +104,7 @@ class IdempotentBatchWriter:
         self.dedup_keys = dedup_keys
         self.codec = codec
         self.columns = columns
+        self.files_per_date = files_per_date
         self._query_id: str | None = None
 
     def batch_key(self, spark: SparkSession, batch_id: int) -> str:
@@ -119,9 +121,17 @@ class IdempotentBatchWriter:
         if self.columns:
             out = out.select(*self.columns)
         out = out.withColumn(BATCH_KEY, F.lit(key))
+        # Adaptive execution does not run inside a micro-batch, so a plain
+        # shuffle on the date would send a live batch (nearly all rows share
+        # today's date) to a single task. By default each upstream task writes
+        # its own rows (files ~ tasks x dates in the batch). ``files_per_date``
+        # instead spreads every date over that many salted tasks, which bounds
+        # the file count of a backfill batch and still splits a hot date.
+        if self.files_per_date:
+            salt = F.pmod(F.xxhash64(*out.columns), F.lit(self.files_per_date))
+            out = out.repartition(F.col(self.partition_col), salt)
         (
-            layout(out, self.partition_col)
-            .write.mode("overwrite")
+            out.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("compression", self.codec)
             .partitionBy(self.partition_col, BATCH_KEY)

@@ -199,16 +199,29 @@ def fire_payloads(
         )
         docs = docs.withColumn("lines", F.array_append("lines", bad))
     value = F.concat(F.lit(FIRE_CSV_HEADER + "\r\n"), F.array_join("lines", "\r\n"))
-    docs = docs.select("doc_hour", "doc_chunk", F.lit(0).alias("copy"), value.alias("value"))
-    if resend:
-        again = docs.select(
-            (F.col("doc_hour") + F.expr("INTERVAL 1 HOUR")).alias("doc_hour"),
-            "doc_chunk",
-            F.lit(1).alias("copy"),
-            "value",
-        )
-        docs = docs.unionByName(again)
-    return docs
+    docs = docs.select("doc_hour", "doc_chunk", value.alias("value"))
+    return _copies(docs, resend)
+
+
+def _copies(docs: DataFrame, resend: bool, truncated: bool = False) -> DataFrame:
+    """Copy 0 of every document; copy 1 one hour later when ``resend``;
+    copy 2, cut after 40 characters (malformed), when ``truncated``.
+
+    The copies come from one ``explode`` of the aggregated documents, so
+    the document aggregation runs once (a union would run it twice).
+    """
+    kinds = [0] + ([1] if resend else []) + ([2] if truncated else [])
+    copy = F.col("copy")
+    return docs.select(
+        "doc_hour", "doc_chunk", "value", F.explode(F.array(*map(F.lit, kinds))).alias("copy")
+    ).select(
+        F.when(copy == 1, F.col("doc_hour") + F.expr("INTERVAL 1 HOUR"))
+        .otherwise(F.col("doc_hour"))
+        .alias("doc_hour"),
+        "doc_chunk",
+        "copy",
+        F.when(copy == 2, F.substring("value", 1, 40)).otherwise(F.col("value")).alias("value"),
+    )
 
 
 def quake_payloads(
@@ -242,26 +255,9 @@ def quake_payloads(
         .select(
             "doc_hour",
             "doc_chunk",
-            F.lit(0).alias("copy"),
             F.to_json(
                 F.struct(F.lit("FeatureCollection").alias("type"), F.col("features"))
             ).alias("value"),
         )
     )
-    if junk:
-        broken = docs.select(
-            "doc_hour",
-            "doc_chunk",
-            F.lit(2).alias("copy"),
-            F.substring("value", 1, 40).alias("value"),
-        )
-        docs = docs.unionByName(broken)
-    if resend:
-        again = docs.where(F.col("copy") == 0).select(
-            (F.col("doc_hour") + F.expr("INTERVAL 1 HOUR")).alias("doc_hour"),
-            "doc_chunk",
-            F.lit(1).alias("copy"),
-            "value",
-        )
-        docs = docs.unionByName(again)
-    return docs
+    return _copies(docs, resend, truncated=junk)

@@ -69,6 +69,7 @@ def start_ingest(
     trigger: str = DEFAULT_TRIGGER,
     per_batch_dedup: bool = False,
     codec: str = "snappy",
+    files_per_date: int | None = None,
 ) -> StreamingQuery:
     columns = schemas.FIRES_COLUMNS if partition_col == "acq_date" else schemas.QUAKES_COLUMNS
     observed = rows.observe(
@@ -83,6 +84,7 @@ def start_ingest(
         dedup_keys=["event_id"] if per_batch_dedup else None,
         codec=codec,
         columns=columns,
+        files_per_date=files_per_date,
     )
     w = (
         observed.writeStream.foreachBatch(writer)
@@ -114,3 +116,47 @@ def progress_rows(query: StreamingQuery, stream: str, run: int = 0) -> list[dict
             }
         )
     return out
+
+
+def start_both(
+    fire_messages: DataFrame,
+    quake_messages: DataFrame,
+    base_path: str,
+    trigger: str = DEFAULT_TRIGGER,
+    dedup: str = "state",
+) -> list[StreamingQuery]:
+    """Start the fire and quake ingest queries side by side.
+
+    Tables go to ``<base>/fires`` and ``<base>/earthquakes``, checkpoints to
+    ``<base>/_checkpoints/<name>`` (one per query, on the shared file system).
+    """
+    per_batch = dedup == "per_batch"
+    return [
+        start_ingest(
+            fire_events(fire_messages, dedup=dedup),
+            f"{base_path}/fires",
+            "acq_date",
+            f"{base_path}/_checkpoints/fires",
+            name="fires_ingest",
+            trigger=trigger,
+            per_batch_dedup=per_batch,
+        ),
+        start_ingest(
+            quake_events(quake_messages, dedup=dedup),
+            f"{base_path}/earthquakes",
+            "event_date",
+            f"{base_path}/_checkpoints/earthquakes",
+            name="earthquakes_ingest",
+            trigger=trigger,
+            per_batch_dedup=per_batch,
+        ),
+    ]
+
+
+def run_forever(queries: list[StreamingQuery]) -> None:
+    """Block until any of the queries stops (and re-raise its failure)."""
+    spark = queries[0].sparkSession
+    spark.streams.awaitAnyTermination()
+    for q in queries:
+        if q.exception() is not None:
+            raise RuntimeError(f"{q.name} failed: {q.exception()}")

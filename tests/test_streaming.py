@@ -109,3 +109,30 @@ def test_batch_equals_stream_result(spark, scratch):
     )
     cols = sorted(batch.columns)
     assert sorted(streamed.select(*cols).collect()) == sorted(batch.select(*cols).collect())
+
+
+def test_two_streams_side_by_side_and_salted_writer(spark, scratch):
+    from tephra.sources import testdata
+
+    ev = testdata.load(spark, "/root/testdata/sf0.001", "events")
+    land_messages(testdata.fire_payloads(ev), f"{scratch}/in_f")
+    land_messages(testdata.quake_payloads(ev), f"{scratch}/in_q")
+    qs = pipelines.start_both(
+        stream_messages(spark, f"{scratch}/in_f"),
+        stream_messages(spark, f"{scratch}/in_q"),
+        scratch,
+        trigger="available_now",
+    )
+    for q in qs:
+        q.awaitTermination()
+        assert q.exception() is None
+    assert read_table(spark, f"{scratch}/fires").count() == testdata.fx_fires(ev).count()
+    assert read_table(spark, f"{scratch}/earthquakes").count() == testdata.fx_quakes(ev).count()
+
+    ck = f"{scratch}/_checkpoints/fires"
+    w = IdempotentBatchWriter(f"{scratch}/salted", "acq_date", ck, files_per_date=3)
+    w(testdata.fires_table(ev), 0)
+    out = spark.read.parquet(f"{scratch}/salted")
+    assert out.count() == testdata.fx_fires(ev).count()
+    days = out.select("acq_date").distinct().count()
+    assert len(out.inputFiles()) <= 3 * days
