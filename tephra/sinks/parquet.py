@@ -12,8 +12,9 @@ lets readers skip row groups on those columns.
 from __future__ import annotations
 
 import json
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_KEY = "batch_key"
@@ -137,3 +138,36 @@ class IdempotentBatchWriter:
             .partitionBy(self.partition_col, BATCH_KEY)
             .parquet(self.path)
         )
+
+
+def compact_date(
+    spark: SparkSession,
+    path: str,
+    partition_col: str,
+    day: str,
+    files: int = 1,
+    codec: str = "snappy",
+) -> int:
+    """Merge the micro-batch folders of one closed date into ``files`` files.
+
+    Only for dates the stream no longer writes (older than the watermark).
+    The merged copy is written to a hidden folder first (readers skip names
+    starting with ``_``), then the batch folders are removed and the copy is
+    moved in as ``batch_key=compacted-<id>``: readers never see a row twice,
+    and a crash leaves either the old folders or the hidden copy to redo
+    from. Returns the number of rows compacted.
+    """
+    part_dir = f"{path.rstrip('/')}/{partition_col}={day}"
+    staging = f"{path.rstrip('/')}/_compaction/{uuid.uuid4().hex}"
+    obs = Observation()
+    rows = spark.read.parquet(part_dir).drop(BATCH_KEY).observe(obs, F.count(F.lit(1)).alias("n"))
+    rows.repartition(files).write.option("compression", codec).parquet(staging)
+    n = int(obs.get["n"])
+    jvm = spark.sparkContext._jvm
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(part_dir).getFileSystem(hconf)
+    for status in fs.listStatus(Path(part_dir)):
+        fs.delete(status.getPath(), True)
+    fs.rename(Path(staging), Path(f"{part_dir}/{BATCH_KEY}=compacted-{uuid.uuid4().hex[:12]}"))
+    return n
