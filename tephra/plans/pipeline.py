@@ -1,14 +1,40 @@
-"""End-to-end batch compositions of the operators."""
+"""End-to-end compositions: the hourly rebuild and the SQL views.
+
+``register_views`` exposes every relation under the name the dashboards
+use, as Spark SQL temporary views over the stored event tables, so SQL
+written against those names runs unchanged::
+
+    register_views(spark, "/data/events")
+    spark.sql("SELECT alert_status FROM v_looker_realtime_summary")
+
+``rebuild`` is the hourly model run: the two summary tables and the
+combined events are recomputed from staging and written (full rebuild,
+overwrite), and the dashboard relations are views over what was written.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tephra.operators import marts, parse, staging
+from tephra.operators import marts, parse, serving, staging
 from tephra.operators.dedup import dedup
 from tephra.session import prepare
+from tephra.sinks.parquet import read_table, write_clustered_snapshot, write_partitioned
 from tephra.sources import testdata
 
+# Relation names of the original models and dashboards.
+VIEW_NAMES = {
+    "stg_fires": "stg_fires",
+    "stg_earthquakes": "stg_earthquakes",
+    "fire_summary": "fire_summary",
+    "earthquake_summary": "earthquake_summary",
+    "combined_events": "combined_events",
+    "map": "mv_combined_events",
+    "fire_metrics": "mv_looker_fire_metrics",
+    "quake_metrics": "mv_looker_earthquake_metrics",
+    "realtime": "v_looker_realtime_summary",
+}
+
 
 def fire_summary_from_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw CSV messages (each sent twice) -> parsed fires -> deduplicated ->
@@ -18,3 +44,64 @@ def fire_summary_from_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     payloads = testdata.fire_payloads(events, resend=True)
     fires = dedup(parse.parse_fires(payloads), ["event_id"], keep="first")
     return marts.fire_summary(staging.stg_fires(fires))
+
+
+def relations(fires: DataFrame, quakes: DataFrame, as_of=None) -> dict[str, DataFrame]:
+    """Every relation of the model graph, lazily, from the two event tables."""
+    stg_f = staging.stg_fires(fires)
+    stg_q = staging.stg_quakes(quakes)
+    fs = marts.fire_summary(stg_f)
+    qs = marts.quake_summary(stg_q)
+    combined = marts.combined_events(stg_f, stg_q)
+    return {
+        "stg_fires": staging.reference_columns(stg_f),
+        "stg_earthquakes": staging.reference_columns(stg_q),
+        "fire_summary": fs,
+        "earthquake_summary": qs,
+        "combined_events": combined,
+        "map": serving.map_events(combined),
+        "fire_metrics": serving.fire_metrics(fs),
+        "quake_metrics": serving.quake_metrics(qs),
+        "realtime": serving.realtime_summary_from_staging(stg_f, stg_q, as_of),
+    }
+
+
+def register_views(spark: SparkSession, base_path: str, as_of=None) -> dict[str, DataFrame]:
+    """Temp views over ``<base>/fires`` and ``<base>/earthquakes``."""
+    prepare(spark)
+    rels = relations(
+        read_table(spark, f"{base_path}/fires"),
+        read_table(spark, f"{base_path}/earthquakes"),
+        as_of,
+    )
+    for key, df in rels.items():
+        df.createOrReplaceTempView(VIEW_NAMES[key])
+    return rels
+
+
+def rebuild(spark: SparkSession, base_path: str, target_root: str, as_of=None) -> dict[str, DataFrame]:
+    """Full rebuild of the stored models, then views over the stored copies.
+
+    Tables: ``fire_summary``, ``earthquake_summary`` (partitioned by date)
+    and ``combined_events`` (partitioned by date, clustered by type and
+    severity). The dashboard relations are views over those tables.
+    """
+    rels = register_views(spark, base_path, as_of)
+    for name in ("fire_summary", "earthquake_summary"):
+        write_partitioned(rels[name], f"{target_root}/{name}", "event_date", mode="overwrite")
+    write_clustered_snapshot(rels["combined_events"], f"{target_root}/combined_events")
+    fs = read_table(spark, f"{target_root}/fire_summary")
+    qs = read_table(spark, f"{target_root}/earthquake_summary")
+    ce = read_table(spark, f"{target_root}/combined_events")
+    stored = {
+        "fire_summary": fs,
+        "earthquake_summary": qs,
+        "combined_events": ce,
+        "map": serving.map_events(ce),
+        "fire_metrics": serving.fire_metrics(fs),
+        "quake_metrics": serving.quake_metrics(qs),
+        "realtime": serving.realtime_summary(serving.map_events(ce), as_of),
+    }
+    for key, df in stored.items():
+        df.createOrReplaceTempView(VIEW_NAMES[key])
+    return stored

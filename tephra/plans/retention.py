@@ -196,3 +196,28 @@ def retention_status(report: DataFrame) -> DataFrame:
         F.sum("errors").alias("errors"),
         F.when(F.sum("errors") > 0, F.lit(1)).otherwise(F.lit(0)).alias("status"),
     )
+
+
+def run_retention(
+    spark: SparkSession,
+    base_path: str,
+    datasets: dict[str, str],
+    as_of=None,
+    retention_days: int = RETENTION_DAYS,
+    buffer_days: int = BUFFER_DAYS,
+    dry_run: bool = False,
+    log_path: str | None = None,
+) -> DataFrame:
+    """The daily job: plan, delete, report; the report is appended to
+    ``log_path`` (default ``<base>/_retention_log``) with the run time.
+
+    The plan is checkpointed before anything is deleted, so the report
+    describes what was removed rather than what is left.
+    """
+    plan = retention_plan(spark, base_path, datasets, as_of, retention_days, buffer_days).checkpoint()
+    apply_retention(spark, plan, base_path, dry_run=dry_run)
+    report = retention_report(plan).withColumn("dry_run", F.lit(dry_run)).withColumn(
+        "run_at", _ts(as_of)
+    )
+    report.write.mode("append").parquet(log_path or f"{base_path.rstrip('/')}/_retention_log")
+    return report
