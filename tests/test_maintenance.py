@@ -144,3 +144,32 @@ def test_dedup_keep_first_is_deterministic(spark):
     assert first == [("a", 1, "y"), ("b", 2, "w")]
     assert last == [("a", 3, "x"), ("b", 2, "w")]
     assert dedup(df, ["k"]).count() == 2
+
+
+def test_refresh_marts_prunes_old_partitions(spark, scratch):
+    from tephra.operators import marts, staging
+    from tephra.sinks.parquet import read_table
+    from tephra.sources import testdata
+
+    ev = testdata.load(spark, "/root/testdata/sf0.001", "events")
+    write_partitioned(testdata.fires_table(ev), f"{scratch}/fires", "acq_date")
+    write_partitioned(testdata.quakes_table(ev), f"{scratch}/earthquakes", "event_date")
+    stg_f = staging.stg_fires(read_table(spark, f"{scratch}/fires"))
+    stg_q = staging.stg_quakes(read_table(spark, f"{scratch}/earthquakes"))
+
+    def build(date_from):
+        return marts.build_marts(stg_f, stg_q, date_from=date_from)
+
+    first = export.refresh_marts(spark, build, f"{scratch}/out").collect()
+    assert {r.table: r.high_water_mark for r in first} == {
+        "fire_summary": None, "earthquake_summary": None, "combined_events": None
+    }
+    again = {r.table: r for r in export.refresh_marts(spark, build, f"{scratch}/out").collect()}
+    assert again["fire_summary"].high_water_mark == "2024-01-30"
+    full = marts.fire_summary(stg_f, ordered=False)
+    assert again["fire_summary"].rows == full.where("event_date >= DATE'2024-01-29'").count()
+    out = spark.read.parquet(f"{scratch}/out/fire_summary")
+    assert out.count() == full.count()
+    # The refresh plan reads only the last days of the stored fires table.
+    plan = build(D(2024, 1, 29))["fire_summary"]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "2024-01-29" in plan
