@@ -74,13 +74,14 @@ def shared_dir(spark: SparkSession) -> str:
     Only when the session names none (local tests) do we make one and
     register it, so that ``DataFrame.checkpoint()`` works as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="tephra-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():
+        # Named as a runtime setting only: register it so checkpoint() works.
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
