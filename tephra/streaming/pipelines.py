@@ -31,9 +31,31 @@ QUAKE_WATERMARK = "10 minutes"
 DEFAULT_TRIGGER = "15 minutes"
 
 
-def _dedup(rows: DataFrame, watermark: str, dedup: str) -> DataFrame:
+# Salts of the first dedup pass (see ``_dedup``); None turns that pass off.
+SKEW_SALTS = 16
+
+
+def _dedup(rows: DataFrame, watermark: str, dedup: str, skew_salts: int | None = SKEW_SALTS) -> DataFrame:
+    """Watermark, then (``state``) drop repeats of ``event_id`` across batches.
+
+    A streaming dedup has no map-side combine: every copy of an id is
+    shuffled to the task that owns the id. If one record is repeated so
+    often that its copies are a large share of a batch, that one task would
+    carry them all. With ``skew_salts`` a first pass de-duplicates on
+    ``(event_id, salt)`` with ``salt`` a per-row random number in
+    ``[0, skew_salts)`` (seeded per partition, so a retried task draws the
+    same salts): the copies are spread over up to ``skew_salts`` tasks, and
+    the final pass on ``event_id`` receives at most ``skew_salts`` rows per
+    id from it. Both passes keep state only for the watermark delay.
+    """
     timed = rows.withWatermark("event_timestamp", watermark)
     if dedup == "state":
+        if skew_salts:
+            timed = (
+                timed.withColumn("_salt", F.floor(F.rand(17) * F.lit(skew_salts)))
+                .dropDuplicatesWithinWatermark(["event_id", "_salt"])
+                .drop("_salt")
+            )
         return timed.dropDuplicatesWithinWatermark(["event_id"])
     if dedup == "per_batch":
         return timed
@@ -46,18 +68,22 @@ def fire_events(
     dedup: str = "state",
     cell_degrees: float = 0.22,
     rounding: str = "trunc",
+    skew_salts: int | None = SKEW_SALTS,
 ) -> DataFrame:
     rows = parse.parse_fires(messages, cell_degrees, rounding)
     if dedup == "state":
         # Event-time state needs an event time; rows without one are rejects.
         rows = rows.where(F.col("event_timestamp").isNotNull())
-    return _dedup(rows, watermark, dedup)
+    return _dedup(rows, watermark, dedup, skew_salts)
 
 
 def quake_events(
-    messages: DataFrame, watermark: str = QUAKE_WATERMARK, dedup: str = "state"
+    messages: DataFrame,
+    watermark: str = QUAKE_WATERMARK,
+    dedup: str = "state",
+    skew_salts: int | None = SKEW_SALTS,
 ) -> DataFrame:
-    return _dedup(parse.parse_quakes(messages), watermark, dedup)
+    return _dedup(parse.parse_quakes(messages), watermark, dedup, skew_salts)
 
 
 def start_ingest(

@@ -136,3 +136,16 @@ def test_two_streams_side_by_side_and_salted_writer(spark, scratch):
     assert out.count() == testdata.fx_fires(ev).count()
     days = out.select("acq_date").distinct().count()
     assert len(out.inputFiles()) <= 3 * days
+
+
+def test_hot_record_is_spread_then_deduplicated(spark, scratch):
+    hot = doc(*([A] * 3000 + [B]))
+    land_messages(spark.createDataFrame([(hot,)], "value string"), f"{scratch}/landing")
+    rows = pipelines.fire_events(stream_messages(spark, f"{scratch}/landing"), skew_salts=8)
+    q = pipelines.start_ingest(rows, f"{scratch}/fires", "acq_date", f"{scratch}/_ckpt", name="hot", trigger="available_now")
+    q.awaitTermination()
+    assert q.exception() is None
+    assert len(_ids(spark, scratch)) == 2
+    first = q.recentProgress[0].stateOperators
+    # The salted first pass holds the hot id under several salts, the final pass once.
+    assert sorted(s.numRowsTotal for s in first) == [2, 9]
