@@ -129,7 +129,7 @@ def q_retention_report(spark, sf_dir):
         n = read_table(spark, f"{base}/{name}").agg(F.count(F.lit(1)).alias("rows_remaining"))
         n = n.select(F.lit(name).alias("dataset"), "rows_remaining")
         left = n if left is None else left.unionByName(n)
-    return report.join(left, "dataset").select(
+    return retention.merge_on(report, left, ["dataset"]).select(
         "dataset", "partitions_scanned", "partitions_deleted", "cutoff_date", "errors", "rows_remaining"
     )
 

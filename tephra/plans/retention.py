@@ -126,19 +126,35 @@ def retention_plan(
 
 
 def with_row_counts(plan: DataFrame, spark: SparkSession, base_path: str, datasets: dict[str, str]) -> DataFrame:
-    """Add ``n_rows`` per partition (Parquet footers only; no column is read)."""
-    counts = []
+    """Add ``n_rows`` per partition (Parquet footers only; no column is read).
+
+    Plan rows and counts are merged by a union and a group-by on the
+    partition (one small shuffle) rather than by a join.
+    """
+    counts = None
     for name, key in datasets.items():
         df = spark.read.option("basePath", f"{base_path}/{name}").parquet(f"{base_path}/{name}")
-        counts.append(
+        c = (
             df.groupBy(F.concat(F.lit(f"{key}="), F.col(key).cast("string")).alias("partition"))
             .agg(F.count(F.lit(1)).alias("n_rows"))
             .select(F.lit(name).alias("dataset"), "partition", "n_rows")
         )
-    c = counts[0]
-    for x in counts[1:]:
-        c = c.unionByName(x)
-    return plan.join(c, ["dataset", "partition"], "left")
+        counts = c if counts is None else counts.unionByName(c)
+    return merge_on(plan, counts, ["dataset", "partition"])
+
+
+def merge_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left rows with the right's extra columns added, keys unique on both
+    sides: a union plus ``first(ignorenulls)`` per key instead of a join."""
+    extra = [c for c in right.columns if c not in keys]
+    own = [c for c in left.columns if c not in keys]
+    l = left.select(*keys, *own, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in extra], F.lit(True).alias("_left"))
+    r = right.select(*keys, *[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in own], *extra, F.lit(False).alias("_left"))
+    merged = l.unionByName(r).groupBy(*keys).agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in own + extra],
+        F.max("_left").alias("_left"),
+    )
+    return merged.where("_left").select(*left.columns, *extra)
 
 
 def apply_retention(
