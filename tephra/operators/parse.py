@@ -152,7 +152,7 @@ def quake_features(payloads: DataFrame, narrow: bool = True) -> DataFrame:
     )
 
 
-def _feature_columns(processed_at=None) -> list:
+def _feature_columns() -> list:
     coords = F.col("f.geometry.coordinates")
     return [
         F.col("f.properties.mag").alias("magnitude"),

@@ -261,6 +261,9 @@ QUAKE_COLUMNS_SQL = (
 def core_queries() -> dict[str, str]:
     return {
         "fires_parse": _with(fires_cte(), f"SELECT {FIRE_COLUMNS_SQL} FROM fires"),
+        "fires_ids": _with(
+            fires_cte(), "SELECT event_id, cluster_id, satellite, acq_date, acq_time FROM fires"
+        ),
         "fires_dedup": _with(fires_cte(), f"SELECT {FIRE_COLUMNS_SQL} FROM fires"),
         "fires_grid_trunc": _with(
             fires_cte("trunc"),

@@ -37,6 +37,12 @@ def q_fires_parse(spark, sf_dir):
     return parse.parse_fires(testdata.fire_payloads(_events(spark, sf_dir)))
 
 
+def q_fires_ids(spark, sf_dir):
+    """The derived keys of every parsed detection: event id and grid cell."""
+    fires = parse.parse_fires(testdata.fire_payloads(_events(spark, sf_dir)))
+    return fires.select("event_id", "cluster_id", "satellite", "acq_date", "acq_time")
+
+
 def q_fires_dedup(spark, sf_dir):
     payloads = testdata.fire_payloads(_events(spark, sf_dir), resend=True)
     return dedup(parse.parse_fires(payloads), ["event_id"], keep="first")
@@ -106,6 +112,7 @@ def q_realtime_summary(spark, sf_dir):
 def core_queries() -> dict[str, Query]:
     return {
         "fires_parse": q_fires_parse,
+        "fires_ids": q_fires_ids,
         "fires_dedup": q_fires_dedup,
         "fires_grid_trunc": _grid("trunc"),
         "fires_grid_floor": _grid("floor"),

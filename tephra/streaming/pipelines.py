@@ -186,3 +186,30 @@ def run_forever(queries: list[StreamingQuery]) -> None:
     for q in queries:
         if q.exception() is not None:
             raise RuntimeError(f"{q.name} failed: {q.exception()}")
+
+
+def fire_rejects_stream(messages: DataFrame) -> DataFrame:
+    """Stream of rejected fire lines (``source, record, reason``)."""
+    full = parse.parse_fire_lines(parse.fire_lines(messages), keep_corrupt=True)
+    return parse.fire_rejects(full)
+
+
+def start_rejects(
+    rejects: DataFrame,
+    path: str,
+    checkpoint: str,
+    name: str,
+    trigger: str = DEFAULT_TRIGGER,
+) -> StreamingQuery:
+    """Dead letters to an append-only Parquet table (the file sink's own log
+    makes the output exactly-once across restarts)."""
+    w = (
+        rejects.withColumn("rejected_at", F.current_timestamp())
+        .writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .queryName(name)
+    )
+    w = w.trigger(availableNow=True) if trigger == "available_now" else w.trigger(processingTime=trigger)
+    return w.start()

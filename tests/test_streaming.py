@@ -149,3 +149,19 @@ def test_hot_record_is_spread_then_deduplicated(spark, scratch):
     first = q.recentProgress[0].stateOperators
     # The salted first pass holds the hot id under several salts, the final pass once.
     assert sorted(s.numRowsTotal for s in first) == [2, 9]
+
+
+def test_rejects_stream_writes_dead_letters(spark, scratch):
+    msgs = [doc(A) + "\r\nbadrow,1,2,3,4,notadate,xx", doc(B) + "\r\n0.5,1.0,300.0,0.4,0.4,2024-13-01,7,N,VIIRS,h,2.0NRT,290.0,1.5,D"]
+    land_messages(spark.createDataFrame([(m,) for m in msgs], "value string"), f"{scratch}/in")
+    q = pipelines.start_rejects(
+        pipelines.fire_rejects_stream(stream_messages(spark, f"{scratch}/in")),
+        f"{scratch}/rejects",
+        f"{scratch}/ck_rej",
+        name="rej",
+        trigger="available_now",
+    )
+    q.awaitTermination()
+    assert q.exception() is None
+    got = sorted(r.reason for r in spark.read.parquet(f"{scratch}/rejects").collect())
+    assert got == ["bad_acq_date", "malformed_csv"]
