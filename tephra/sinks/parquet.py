@@ -140,15 +140,21 @@ class IdempotentBatchWriter:
         )
 
 
+TARGET_FILE_BYTES = 256 * 1024 * 1024
+
+
 def compact_date(
     spark: SparkSession,
     path: str,
     partition_col: str,
     day: str,
-    files: int = 1,
+    files: int | None = None,
     codec: str = "snappy",
 ) -> int:
-    """Merge the micro-batch folders of one closed date into ``files`` files.
+    """Merge the micro-batch folders of one closed date into a few files.
+
+    ``files`` defaults to the date's bytes on disk / 256 MB (read from the
+    file system, no data pass), so a large date is written by as many tasks.
 
     Only for dates the stream no longer writes (older than the watermark).
     The merged copy is written to a hidden folder first (readers skip names
@@ -159,14 +165,17 @@ def compact_date(
     """
     part_dir = f"{path.rstrip('/')}/{partition_col}={day}"
     staging = f"{path.rstrip('/')}/_compaction/{uuid.uuid4().hex}"
-    obs = Observation()
-    rows = spark.read.parquet(part_dir).drop(BATCH_KEY).observe(obs, F.count(F.lit(1)).alias("n"))
-    rows.repartition(files).write.option("compression", codec).parquet(staging)
-    n = int(obs.get["n"])
     jvm = spark.sparkContext._jvm
     hconf = spark.sparkContext._jsc.hadoopConfiguration()
     Path = jvm.org.apache.hadoop.fs.Path
     fs = Path(part_dir).getFileSystem(hconf)
+    if files is None:
+        size = fs.getContentSummary(Path(part_dir)).getLength()
+        files = max(1, -(-size // TARGET_FILE_BYTES))
+    obs = Observation()
+    rows = spark.read.parquet(part_dir).drop(BATCH_KEY).observe(obs, F.count(F.lit(1)).alias("n"))
+    rows.repartition(files).write.option("compression", codec).parquet(staging)
+    n = int(obs.get["n"])
     for status in fs.listStatus(Path(part_dir)):
         fs.delete(status.getPath(), True)
     fs.rename(Path(staging), Path(f"{part_dir}/{BATCH_KEY}=compacted-{uuid.uuid4().hex[:12]}"))
