@@ -48,7 +48,8 @@ def _first_and_full(spark: SparkSession, sf_dir: str):
 def q_export_hwm(spark, sf_dir):
     first, _ = _first_and_full(spark, sf_dir)
     root = run_dir(spark, "export-hwm")
-    export.export_tables(spark, first, root, incremental="append_hwm")
+    summaries = {t: first[t] for t in ("fire_summary", "earthquake_summary")}
+    export.export_tables(spark, summaries, root, incremental="append_hwm")
     frames = [
         export.high_water_mark_frame(read_table(spark, f"{root}/{t}"), "event_date").select(
             F.lit(t).alias("table_name"), "high_water_mark"
