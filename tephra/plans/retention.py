@@ -122,7 +122,8 @@ def retention_plan(
     out = plans[0]
     for p in plans[1:]:
         out = out.unionByName(p)
-    return out
+    # Partitions in name order, as the original job visited them (one row each).
+    return out.orderBy("dataset", "partition")
 
 
 def with_row_counts(plan: DataFrame, spark: SparkSession, base_path: str, datasets: dict[str, str]) -> DataFrame:

@@ -28,6 +28,8 @@ METRICS_SCHEMA = StructType(
         StructField("output_rows", LongType()),
         StructField("state_rows", LongType()),
         StructField("dropped_by_watermark", LongType()),
+        StructField("wall_ms", LongType()),
+        StructField("started_at", StringType()),
     ]
 )
 

@@ -12,6 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Topics and consumer group of the original deployment.
+FIRES_TOPIC = "fires-topic"
+QUAKES_TOPIC = "earthquakes-topic"
+FIRES_GROUP_ID = "fire_stream_consumer"
+
+
 def kafka_options(
     bootstrap_servers: str,
     topic: str,
@@ -40,3 +46,12 @@ def kafka_stream(spark: SparkSession, **options) -> DataFrame:
     return raw.select(F.col("value").cast("string").alias("value")).where(
         F.col("value").isNotNull()
     )
+
+
+def fire_messages(spark: SparkSession, bootstrap_servers: str, **kw) -> DataFrame:
+    kw.setdefault("group_id", FIRES_GROUP_ID)
+    return kafka_stream(spark, bootstrap_servers=bootstrap_servers, topic=FIRES_TOPIC, **kw)
+
+
+def quake_messages(spark: SparkSession, bootstrap_servers: str, **kw) -> DataFrame:
+    return kafka_stream(spark, bootstrap_servers=bootstrap_servers, topic=QUAKES_TOPIC, **kw)

@@ -139,6 +139,8 @@ def progress_rows(query: StreamingQuery, stream: str, run: int = 0) -> list[dict
                 "output_rows": int(observed["rows"]) if observed is not None else 0,
                 "state_rows": int(sum(s.numRowsTotal for s in state)),
                 "dropped_by_watermark": int(sum(s.numRowsDroppedByWatermark for s in state)),
+                "wall_ms": int((p.durationMs or {}).get("triggerExecution", 0)),
+                "started_at": p.timestamp,
             }
         )
     return out
