@@ -301,6 +301,20 @@ def stream_sql() -> dict[str, str]:
         "stream_quakes_e2e": quakes,
         "stream_dedup_fires": fires,
         "stream_dedup_quakes": quakes,
+        "batch_metrics": _with(
+            FX_FIRES,
+            """
+  SELECT 'fires' AS stream, CAST(r.run AS INTEGER) AS run,
+    CAST(d.n AS BIGINT) AS input_rows,
+    CAST(CASE WHEN r.run = 0 THEN f.n ELSE 0 END AS BIGINT) AS output_rows
+  FROM (SELECT COUNT(*) AS n FROM (SELECT DISTINCT date_trunc('hour', event_time),
+          floor(src_id / 500) FROM fx_fires)) AS d,
+       (SELECT COUNT(*) AS n FROM fx_fires) AS f,
+       (SELECT 0 AS run UNION ALL SELECT 1) AS r""",
+        ),
+        "batch_preview": _with(
+            fires_cte(), f"SELECT {FIRE_COLUMNS_SQL} FROM fires ORDER BY event_id LIMIT 5"
+        ),
     }
 
 
