@@ -54,8 +54,33 @@ def write_clustered_snapshot(
     cluster_by: tuple[str, ...] = ("event_type", "severity_level"),
     codec: str = "snappy",
 ) -> None:
-    """Truncate-and-load of a whole relation, partitioned and clustered."""
-    write_partitioned(df, path, partition_col, "overwrite", codec, list(cluster_by))
+    """Truncate-and-load of a whole relation, partitioned and clustered.
+
+    Written with dynamic partition overwrite: the new files are staged and
+    swapped in at job commit, so a failed job leaves the previous snapshot
+    in place and readers never see an empty table. Dates that are no longer
+    in the snapshot are removed afterwards; their list comes from an
+    ``observe`` of the written rows (one value per date, no extra pass).
+    """
+    spark = df.sparkSession
+    obs = Observation()
+    part = F.col(partition_col)
+    counted = df.observe(
+        obs,
+        F.collect_set(part.cast("string")).alias("parts"),
+        F.count_if(part.isNull()).alias("nulls"),
+    )
+    write_partitioned(counted, path, partition_col, "overwrite", codec, list(cluster_by), dynamic=True)
+    keep = {f"{partition_col}={v}" for v in obs.get["parts"]}
+    if obs.get["nulls"]:
+        keep.add(f"{partition_col}=__HIVE_DEFAULT_PARTITION__")
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(f"{partition_col}=") and name not in keep:
+            fs.delete(st.getPath(), True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

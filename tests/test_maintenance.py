@@ -173,3 +173,18 @@ def test_refresh_marts_prunes_old_partitions(spark, scratch):
     # The refresh plan reads only the last days of the stored fires table.
     plan = build(D(2024, 1, 29))["fire_summary"]._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "2024-01-29" in plan
+
+
+def test_snapshot_replaces_dates_and_keeps_null_partition(spark, scratch):
+    schema = "event_date date, event_type string, severity_level string, i int"
+    old = spark.createDataFrame(
+        [(D(2024, 1, 1), "fire", "severe", 1), (D(2024, 1, 2), "fire", "severe", 2), (None, "fire", "moderate", 3)],
+        schema,
+    )
+    new = spark.createDataFrame(
+        [(D(2024, 1, 2), "fire", "severe", 20), (None, "fire", "moderate", 30)], schema
+    )
+    write_clustered_snapshot(old, f"{scratch}/s")
+    write_clustered_snapshot(new, f"{scratch}/s")
+    got = sorted((r.i, r.event_date) for r in spark.read.parquet(f"{scratch}/s").collect())
+    assert got == [(20, D(2024, 1, 2)), (30, None)]
