@@ -26,6 +26,8 @@ RUNTIME_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     # Commit a change log per batch instead of a full state snapshot.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # One memory budget for all state partitions an executor holds.
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # The ingest emits rows at once (dedup, no windows), so an empty batch that
     # only advances the watermark has no output; eviction runs in the next batch.

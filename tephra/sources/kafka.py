@@ -25,6 +25,7 @@ def kafka_options(
     starting_offsets: str = "earliest",
     fail_on_data_loss: bool = False,
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
@@ -37,6 +38,10 @@ def kafka_options(
     if max_offsets_per_trigger:
         # Caps one micro-batch, so a backlog is drained in bounded steps.
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        # Splits the offset range of a busy topic partition over several tasks,
+        # so one hot partition does not become one long task.
+        opts["minPartitions"] = str(min_partitions)
     return opts
 
 

@@ -24,6 +24,7 @@ def test_kafka_options():
         "maxOffsetsPerTrigger": "1000",
     }
     assert "kafka.group.id" not in kafka.kafka_options("b:1", "t")
+    assert kafka.kafka_options("b:1", "t", min_partitions=64)["minPartitions"] == "64"
 
 
 def test_parsed_messages_equal_the_direct_tables(spark):
