@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tephra.operators import marts, parse, serving, staging
 from tephra.operators.dedup import dedup
 from tephra.session import prepare
-from tephra.sinks.parquet import read_table, write_clustered_snapshot, write_partitioned
+from tephra.sinks.parquet import read_table, write_clustered_snapshot
 from tephra.sources import testdata
 
 # Relation names of the original models and dashboards.
@@ -87,8 +87,10 @@ def rebuild(spark: SparkSession, base_path: str, target_root: str, as_of=None) -
     severity). The dashboard relations are views over those tables.
     """
     rels = register_views(spark, base_path, as_of)
+    # Snapshot writes swap partitions at commit: a failed rebuild leaves the
+    # previous tables readable.
     for name in ("fire_summary", "earthquake_summary"):
-        write_partitioned(rels[name], f"{target_root}/{name}", "event_date", mode="overwrite")
+        write_clustered_snapshot(rels[name], f"{target_root}/{name}", "event_date", cluster_by=())
     write_clustered_snapshot(rels["combined_events"], f"{target_root}/combined_events")
     fs = read_table(spark, f"{target_root}/fire_summary")
     qs = read_table(spark, f"{target_root}/earthquake_summary")
