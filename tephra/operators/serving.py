@@ -17,21 +17,6 @@ from pyspark.sql import functions as F
 from tephra.functions import rules
 from tephra.functions.numeric import double_text, round_half_up
 
-MAP_COLUMNS = [
-    "event_type",
-    "intensity_measure",
-    "event_time",
-    "event_date",
-    "severity_level",
-    "latitude",
-    "longitude",
-    "latlong",
-    "intensity_category",
-    "map_color",
-    "bubble_size",
-    "tooltip_text",
-]
-
 
 def _fire_bubble(x: Column) -> Column:
     raw = (x - F.lit(rules.FIRE_BUBBLE_OFFSET)) / F.lit(rules.FIRE_BUBBLE_DIVISOR)
