@@ -35,7 +35,9 @@ def cmd_ingest(spark, args) -> int:
         fires = landed.stream_messages(spark, args.fires_dir, args.format)
         quakes = landed.stream_messages(spark, args.quakes_dir, args.format)
     trigger = "available_now" if args.available_now else args.trigger
-    queries = pipelines.start_both(fires, quakes, args.base, trigger=trigger, dedup=args.dedup)
+    queries = pipelines.start_both(
+        fires, quakes, args.base, trigger=trigger, dedup=args.dedup, rejects=args.rejects
+    )
     if args.available_now:
         for q in queries:
             q.awaitTermination()
@@ -115,6 +117,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--trigger", default="15 minutes")
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--dedup", default="state", choices=["state", "per_batch"])
+    p.add_argument("--rejects", action="store_true", help="also write dead letters")
 
     p = sub.add_parser("rebuild", help="full rebuild of the marts, views on top")
     p.add_argument("--base", required=True)

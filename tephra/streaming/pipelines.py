@@ -152,14 +152,36 @@ def start_both(
     base_path: str,
     trigger: str = DEFAULT_TRIGGER,
     dedup: str = "state",
+    rejects: bool = False,
 ) -> list[StreamingQuery]:
     """Start the fire and quake ingest queries side by side.
 
     Tables go to ``<base>/fires`` and ``<base>/earthquakes``, checkpoints to
     ``<base>/_checkpoints/<name>`` (one per query, on the shared file system).
+    ``rejects`` adds one dead-letter query per feed (``<base>/_rejects/<feed>``);
+    it reads the source a second time, which is the price of keeping rows
+    without an event time out of the event-time state.
     """
     per_batch = dedup == "per_batch"
-    return [
+    extra = []
+    if rejects:
+        extra = [
+            start_rejects(
+                fire_rejects_stream(fire_messages),
+                f"{base_path}/_rejects/fires",
+                f"{base_path}/_checkpoints/fires_rejects",
+                name="fires_rejects",
+                trigger=trigger,
+            ),
+            start_rejects(
+                parse.quake_rejects(quake_messages),
+                f"{base_path}/_rejects/earthquakes",
+                f"{base_path}/_checkpoints/earthquakes_rejects",
+                name="earthquakes_rejects",
+                trigger=trigger,
+            ),
+        ]
+    return extra + [
         start_ingest(
             fire_events(fire_messages, dedup=dedup),
             f"{base_path}/fires",

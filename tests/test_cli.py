@@ -16,7 +16,8 @@ def test_ingest_rebuild_export_retention(spark, scratch):
     land_messages(testdata.quake_payloads(ev, resend=True), f"{scratch}/land_q")
     base, marts_dir, out = f"{scratch}/events", f"{scratch}/marts", f"{scratch}/export"
     assert main(["ingest", "--base", base, "--fires-dir", f"{scratch}/land_f",
-                 "--quakes-dir", f"{scratch}/land_q", "--available-now"]) == 0
+                 "--quakes-dir", f"{scratch}/land_q", "--available-now", "--rejects"]) == 0
+    assert read_table(spark, f"{base}/_rejects/fires").count() == 0
     assert read_table(spark, f"{base}/fires").count() == testdata.fx_fires(ev).count()
     assert main(["rebuild", "--base", base, "--target", marts_dir, "--as-of", "2024-01-31 00:00:00"]) == 0
     assert spark.sql("SELECT alert_status FROM v_looker_realtime_summary").count() == 1
