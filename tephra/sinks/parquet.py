@@ -149,10 +149,10 @@ class IdempotentBatchWriter:
         out = out.withColumn(BATCH_KEY, F.lit(key))
         # Adaptive execution does not run inside a micro-batch, so a plain
         # shuffle on the date would send a live batch (nearly all rows share
-        # today's date) to a single task. By default each upstream task writes
-        # its own rows (files ~ tasks x dates in the batch). ``files_per_date``
-        # instead spreads every date over that many salted tasks, which bounds
-        # the file count of a backfill batch and still splits a hot date.
+        # today's date) to a single task. Without ``files_per_date`` each
+        # upstream task writes its own rows (files ~ tasks x dates in the
+        # batch); with it every date is spread over that many salted tasks,
+        # which bounds the file count and still splits a hot date.
         if self.files_per_date:
             salt = F.pmod(F.xxhash64(*out.columns), F.lit(self.files_per_date))
             out = out.repartition(F.col(self.partition_col), salt)

@@ -95,7 +95,7 @@ def start_ingest(
     trigger: str = DEFAULT_TRIGGER,
     per_batch_dedup: bool = False,
     codec: str = "snappy",
-    files_per_date: int | None = None,
+    files_per_date: int | None = 8,
 ) -> StreamingQuery:
     columns = schemas.FIRES_COLUMNS if partition_col == "acq_date" else schemas.QUAKES_COLUMNS
     observed = rows.observe(
