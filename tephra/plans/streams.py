@@ -94,7 +94,8 @@ def run_stream(
             sink,
             part,
             ckpt,
-            name=f"{feed}_ingest",
+            # Unique per run, so concurrent runs in one session never collide.
+            name=f"{feed}_ingest_{root.rsplit('-', 1)[-1]}",
             trigger="available_now",
             per_batch_dedup=dedup == "per_batch",
         )
