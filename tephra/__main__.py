@@ -6,6 +6,7 @@
     python -m tephra rebuild         --base /data/events --target /data/marts
     python -m tephra export          --base /data/events --target /data/export
     python -m tephra retention       --base /data/events --dry-run
+    python -m tephra compact         --base /data/events --before 2024-01-30
 
 ``--master`` is only for local runs; on a cluster spark-submit decides.
 """
@@ -103,6 +104,18 @@ def cmd_retention(spark, args) -> int:
     return 1 if any(r.errors for r in rows) else 0
 
 
+def cmd_compact(spark, args) -> int:
+    import datetime as dt
+
+    from tephra.sinks.parquet import compact_closed_dates
+
+    before = args.before or (dt.date.today() - dt.timedelta(days=1)).isoformat()
+    for table, key in (("fires", "acq_date"), ("earthquakes", "event_date")):
+        for day, rows in compact_closed_dates(spark, f"{args.base}/{table}", key, before):
+            print(json.dumps({"table": table, "date": day, "rows": rows}))
+    return 0
+
+
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="tephra")
     ap.add_argument("--master", default=None)
@@ -136,6 +149,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--days", type=int, default=7)
     p.add_argument("--buffer-days", type=int, default=1)
     p.add_argument("--dry-run", action="store_true")
+
+    p = sub.add_parser("compact", help="merge the batch folders of closed dates")
+    p.add_argument("--base", required=True)
+    p.add_argument("--before", help="yyyy-MM-dd; default yesterday (dates older than the watermark)")
     return ap
 
 
@@ -147,6 +164,7 @@ def main(argv=None) -> int:
         "rebuild": cmd_rebuild,
         "export": cmd_export,
         "retention": cmd_retention,
+        "compact": cmd_compact,
     }[args.cmd]
     return handler(spark, args)
 

@@ -205,3 +205,33 @@ def compact_date(
         fs.delete(status.getPath(), True)
     fs.rename(Path(staging), Path(f"{part_dir}/{BATCH_KEY}=compacted-{uuid.uuid4().hex[:12]}"))
     return n
+
+
+def compact_closed_dates(
+    spark: SparkSession,
+    path: str,
+    partition_col: str,
+    before: str,
+) -> list[tuple[str, int]]:
+    """Compact every date before ``before`` (a ``yyyy-MM-dd`` string) that
+    still has more than one batch folder; returns ``(date, rows)`` pairs.
+
+    Dates are found by listing the table's folders (metadata only); each
+    compaction is one Spark job over that date.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = []
+    prefix = f"{partition_col}="
+    for st in sorted(fs.listStatus(root), key=lambda x: x.getPath().getName()):
+        name = st.getPath().getName()
+        if not (st.isDirectory() and name.startswith(prefix)):
+            continue
+        day = name[len(prefix):]
+        if not (len(day) == 10 and day < before):
+            continue
+        batches = [b for b in fs.listStatus(st.getPath()) if b.getPath().getName().startswith(f"{BATCH_KEY}=")]
+        if len(batches) > 1:
+            done.append((day, compact_date(spark, path, partition_col, day)))
+    return done
