@@ -64,8 +64,22 @@ def run_checks(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
     return one_row.select(F.inline(rows))
 
 
-# Checks on the marts (the original project ran an empty test suite).
+# Checks on the marts and their staging ancestors (the original
+# project ran an empty test suite).
 MART_CHECKS: dict[str, list[Check]] = {
+    "stg_fires": [
+        ("not_null", ["event_time"], None),
+        ("range", ["latitude"], (-90, 90)),
+        ("range", ["longitude"], (-180, 180)),
+        ("accepted_values", ["confidence"], ["l", "n", "h"]),
+        ("range", ["fire_radioactive_power"], (0, None)),
+    ],
+    "stg_earthquakes": [
+        ("not_null", ["event_time"], None),
+        ("range", ["latitude"], (-90, 90)),
+        ("range", ["longitude"], (-180, 180)),
+        ("range", ["magnitude"], (-2, 10)),
+    ],
     "fire_summary": [
         ("not_null", ["event_date"], None),
         ("unique", ["event_date", "satellite", "confidence"], None),

@@ -379,6 +379,33 @@ def _dq(table: str, checks: list[tuple[str, str, str]]) -> str:
 
 DQ = "\n  UNION ALL\n".join(
     [
+        _dq(
+            "stg_fires",
+            [
+                ("not_null", "event_time", "COUNT(*) FILTER (WHERE event_time IS NULL)"),
+                ("range", "latitude", "COUNT(*) FILTER (WHERE latitude < -90 OR latitude > 90)"),
+                ("range", "longitude", "COUNT(*) FILTER (WHERE longitude < -180 OR longitude > 180)"),
+                (
+                    "accepted_values",
+                    "confidence",
+                    "COUNT(*) FILTER (WHERE confidence NOT IN ('l','n','h'))",
+                ),
+                (
+                    "range",
+                    "fire_radioactive_power",
+                    "COUNT(*) FILTER (WHERE fire_radioactive_power < 0)",
+                ),
+            ],
+        ),
+        _dq(
+            "stg_quakes",
+            [
+                ("not_null", "event_time", "COUNT(*) FILTER (WHERE event_time IS NULL)"),
+                ("range", "latitude", "COUNT(*) FILTER (WHERE latitude < -90 OR latitude > 90)"),
+                ("range", "longitude", "COUNT(*) FILTER (WHERE longitude < -180 OR longitude > 180)"),
+                ("range", "magnitude", "COUNT(*) FILTER (WHERE magnitude < -2 OR magnitude > 10)"),
+            ],
+        ),
         _dq(
             "fire_summary",
             [
@@ -430,7 +457,9 @@ DQ = "\n  UNION ALL\n".join(
             ],
         ),
     ]
-).replace("'quake_summary' AS table_name", "'earthquake_summary' AS table_name")
+).replace("'quake_summary' AS table_name", "'earthquake_summary' AS table_name").replace(
+    "'stg_quakes' AS table_name", "'stg_earthquakes' AS table_name"
+)
 
 
 def maintenance_sql() -> dict[str, str]:

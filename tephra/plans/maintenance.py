@@ -136,8 +136,17 @@ def q_retention_report(spark, sf_dir):
 
 
 def q_dq_checks(spark, sf_dir):
-    _, full = _first_and_full(spark, sf_dir)
-    return quality.check_marts(full)
+    ev = _events(spark, sf_dir)
+    f = staging.stg_fires(testdata.fires_table(ev))
+    q = staging.stg_quakes(testdata.quakes_table(ev))
+    tables = {
+        "stg_fires": f,
+        "stg_earthquakes": q,
+        "fire_summary": marts.fire_summary(f, ordered=False),
+        "earthquake_summary": marts.quake_summary(q, ordered=False),
+        "combined_events": marts.combined_events(f, q),
+    }
+    return quality.check_marts(tables)
 
 
 def q_rejects(spark, sf_dir):
