@@ -37,7 +37,14 @@ def cmd_ingest(spark, args) -> int:
         quakes = landed.stream_messages(spark, args.quakes_dir, args.format)
     trigger = "available_now" if args.available_now else args.trigger
     queries = pipelines.start_both(
-        fires, quakes, args.base, trigger=trigger, dedup=args.dedup, rejects=args.rejects
+        fires,
+        quakes,
+        args.base,
+        trigger=trigger,
+        dedup=args.dedup,
+        rejects=args.rejects,
+        fires_watermark=args.fires_watermark,
+        quakes_watermark=args.quakes_watermark,
     )
     if args.available_now:
         for q in queries:
@@ -131,6 +138,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--dedup", default="state", choices=["state", "per_batch"])
     p.add_argument("--rejects", action="store_true", help="also write dead letters")
+    p.add_argument("--fires-watermark", default="1 hour")
+    p.add_argument("--quakes-watermark", default="10 minutes")
 
     p = sub.add_parser("rebuild", help="full rebuild of the marts, views on top")
     p.add_argument("--base", required=True)

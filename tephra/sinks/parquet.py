@@ -12,12 +12,14 @@ lets readers skip row groups on those columns.
 from __future__ import annotations
 
 import json
+import logging
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_KEY = "batch_key"
+log = logging.getLogger("tephra.sink")
 
 
 def layout(df: DataFrame, partition_col: str, cluster_by: list[str] | None = None) -> DataFrame:
@@ -123,6 +125,7 @@ class IdempotentBatchWriter:
         codec: str = "snappy",
         columns: list[str] | None = None,
         files_per_date: int | None = None,
+        preview_rows: int = 0,
     ):
         self.path = path
         self.partition_col = partition_col
@@ -131,6 +134,7 @@ class IdempotentBatchWriter:
         self.codec = codec
         self.columns = columns
         self.files_per_date = files_per_date
+        self.preview_rows = preview_rows
         self._query_id: str | None = None
 
     def batch_key(self, spark: SparkSession, batch_id: int) -> str:
@@ -140,6 +144,19 @@ class IdempotentBatchWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         key = self.batch_key(batch.sparkSession, batch_id)
+        if self.preview_rows:
+            # The preview reads the persisted batch: the batch is computed once.
+            batch = batch.persist()
+        try:
+            self._write(batch, key)
+            if self.preview_rows:
+                for row in batch.limit(self.preview_rows).collect():
+                    log.info("batch %s sample: %s", batch_id, row.asDict())
+        finally:
+            if self.preview_rows:
+                batch.unpersist()
+
+    def _write(self, batch: DataFrame, key: str) -> None:
         out = batch
         if self.dedup_keys:
             # Within-batch duplicate removal of the original feed job.

@@ -96,6 +96,7 @@ def start_ingest(
     per_batch_dedup: bool = False,
     codec: str = "snappy",
     files_per_date: int | None = 8,
+    preview_rows: int = 0,
 ) -> StreamingQuery:
     columns = schemas.FIRES_COLUMNS if partition_col == "acq_date" else schemas.QUAKES_COLUMNS
     observed = rows.observe(
@@ -111,6 +112,7 @@ def start_ingest(
         codec=codec,
         columns=columns,
         files_per_date=files_per_date,
+        preview_rows=preview_rows,
     )
     w = (
         observed.writeStream.foreachBatch(writer)
@@ -153,11 +155,15 @@ def start_both(
     trigger: str = DEFAULT_TRIGGER,
     dedup: str = "state",
     rejects: bool = False,
+    fires_watermark: str = FIRE_WATERMARK,
+    quakes_watermark: str = QUAKE_WATERMARK,
 ) -> list[StreamingQuery]:
     """Start the fire and quake ingest queries side by side.
 
     Tables go to ``<base>/fires`` and ``<base>/earthquakes``, checkpoints to
     ``<base>/_checkpoints/<name>`` (one per query, on the shared file system).
+    The watermark delays bound how long ids are remembered: a feed that
+    re-sends the last hour every minute needs at least ``"1 hour"``.
     ``rejects`` adds one dead-letter query per feed (``<base>/_rejects/<feed>``);
     it reads the source a second time, which is the price of keeping rows
     without an event time out of the event-time state.
@@ -183,7 +189,7 @@ def start_both(
         ]
     return extra + [
         start_ingest(
-            fire_events(fire_messages, dedup=dedup),
+            fire_events(fire_messages, watermark=fires_watermark, dedup=dedup),
             f"{base_path}/fires",
             "acq_date",
             f"{base_path}/_checkpoints/fires",
@@ -192,7 +198,7 @@ def start_both(
             per_batch_dedup=per_batch,
         ),
         start_ingest(
-            quake_events(quake_messages, dedup=dedup),
+            quake_events(quake_messages, watermark=quakes_watermark, dedup=dedup),
             f"{base_path}/earthquakes",
             "event_date",
             f"{base_path}/_checkpoints/earthquakes",

@@ -165,3 +165,21 @@ def test_rejects_stream_writes_dead_letters(spark, scratch):
     assert q.exception() is None
     got = sorted(r.reason for r in spark.read.parquet(f"{scratch}/rejects").collect())
     assert got == ["bad_acq_date", "malformed_csv"]
+
+
+def test_writer_preview_reads_the_persisted_batch(spark, scratch, caplog):
+    import logging
+
+    ckpt = f"{scratch}/_ckpt"
+    spark.createDataFrame([('{"id":"p"}',)], "value string").coalesce(1).write.text(ckpt)
+    import glob
+    import os
+
+    os.rename(glob.glob(ckpt.replace("file:", "") + "/part-*")[0], ckpt.replace("file:", "") + "/metadata")
+    batch = spark.createDataFrame([("e1", "2024-01-01")], "event_id string, acq_date string").withColumn(
+        "acq_date", F.to_date("acq_date")
+    )
+    with caplog.at_level(logging.INFO, logger="tephra.sink"):
+        IdempotentBatchWriter(f"{scratch}/sink", "acq_date", ckpt, preview_rows=5)(batch, 0)
+    assert "batch 0 sample" in caplog.text
+    assert spark.read.parquet(f"{scratch}/sink").count() == 1
