@@ -45,6 +45,7 @@ def cmd_ingest(spark, args) -> int:
         rejects=args.rejects,
         fires_watermark=args.fires_watermark,
         quakes_watermark=args.quakes_watermark,
+        codec=args.codec,
     )
     if args.available_now:
         for q in queries:
@@ -140,6 +141,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--rejects", action="store_true", help="also write dead letters")
     p.add_argument("--fires-watermark", default="1 hour")
     p.add_argument("--quakes-watermark", default="10 minutes")
+    p.add_argument("--codec", default="snappy", help="Parquet codec (none, snappy, zstd, ...)")
 
     p = sub.add_parser("rebuild", help="full rebuild of the marts, views on top")
     p.add_argument("--base", required=True)

@@ -157,6 +157,7 @@ def start_both(
     rejects: bool = False,
     fires_watermark: str = FIRE_WATERMARK,
     quakes_watermark: str = QUAKE_WATERMARK,
+    codec: str = "snappy",
 ) -> list[StreamingQuery]:
     """Start the fire and quake ingest queries side by side.
 
@@ -196,6 +197,7 @@ def start_both(
             name="fires_ingest",
             trigger=trigger,
             per_batch_dedup=per_batch,
+            codec=codec,
         ),
         start_ingest(
             quake_events(quake_messages, watermark=quakes_watermark, dedup=dedup),
@@ -205,6 +207,7 @@ def start_both(
             name="earthquakes_ingest",
             trigger=trigger,
             per_batch_dedup=per_batch,
+            codec=codec,
         ),
     ]
 
