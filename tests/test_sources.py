@@ -72,3 +72,29 @@ def test_compact_date(spark, scratch):
     assert sorted(r.event_id for r in after.collect()) == before
     assert [r[0] for r in after.select(BATCH_KEY).distinct().collect()][0].startswith("compacted-")
     assert len(after.inputFiles()) == 1
+
+
+def test_wholetext_files_are_one_message_each(spark, scratch):
+    import os
+
+    from tephra.sources.landed import stream_messages
+
+    root = f"{scratch}/text".replace("file:", "")
+    os.makedirs(root)
+    header = (
+        "latitude,longitude,bright_ti4,scan,track,acq_date,acq_time,satellite,"
+        "instrument,confidence,version,bright_ti5,frp,daynight"
+    )
+    for i, t in enumerate(("0700", "0800")):
+        with open(f"{root}/m{i}.csv", "w") as fh:
+            fh.write(f"{header}\r\n0.5,1.0,330.0,0.4,0.4,2024-01-01,{t},N,VIIRS,h,2.0NRT,290.0,2.0,D\r\n")
+    batch = read_messages(spark, root, fmt="text")
+    assert batch.count() == 2
+    assert parse.parse_fires(batch).count() == 2
+    q = (
+        parse.parse_fires(stream_messages(spark, root, fmt="text"))
+        .writeStream.format("memory").queryName("wholetext_test")
+        .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    assert spark.sql("SELECT COUNT(*) FROM wholetext_test").first()[0] == 2
