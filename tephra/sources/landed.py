@@ -25,7 +25,8 @@ def read_messages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
     if fmt == "parquet":
         return spark.read.schema(VALUE_SCHEMA).parquet(path)
     if fmt == "text":
-        return spark.read.option("wholetext", True).text(path)
+        # Passed to text() itself: its own default would override an option().
+        return spark.read.text(path, wholetext=True)
     raise ValueError(f"unknown format {fmt!r}")
 
 
@@ -42,7 +43,7 @@ def stream_messages(
     if fmt == "parquet":
         df = reader.schema(VALUE_SCHEMA).parquet(path)
     elif fmt == "text":
-        df = reader.option("wholetext", True).text(path)
+        df = reader.text(path, wholetext=True)
     else:
         raise ValueError(f"unknown format {fmt!r}")
     return df.where(F.col("value").isNotNull())
