@@ -212,10 +212,14 @@ def start_both(
     ]
 
 
-def run_forever(queries: list[StreamingQuery]) -> None:
-    """Block until any of the queries stops (and re-raise its failure)."""
-    spark = queries[0].sparkSession
-    spark.streams.awaitAnyTermination()
+def run_forever(queries: list[StreamingQuery], poll_seconds: int = 10) -> None:
+    """Block until any of the queries stops, then re-raise its failure.
+
+    Polls the given queries themselves (not the session-wide termination
+    flag, which other queries of the session may already have set).
+    """
+    while all(q.isActive for q in queries):
+        queries[0].awaitTermination(poll_seconds)
     for q in queries:
         if q.exception() is not None:
             raise RuntimeError(f"{q.name} failed: {q.exception()}")

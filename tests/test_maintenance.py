@@ -188,3 +188,22 @@ def test_snapshot_replaces_dates_and_keeps_null_partition(spark, scratch):
     write_clustered_snapshot(new, f"{scratch}/s")
     got = sorted((r.i, r.event_date) for r in spark.read.parquet(f"{scratch}/s").collect())
     assert got == [(20, D(2024, 1, 2)), (30, None)]
+
+
+def test_apply_retention_through_the_catalog(spark, scratch):
+    loc = f"{scratch}/cat_fires"
+    spark.sql("DROP TABLE IF EXISTS ret_fires")
+    spark.sql(
+        f"CREATE TABLE ret_fires (v INT, acq_date DATE) USING parquet PARTITIONED BY (acq_date) LOCATION '{loc}'"
+    )
+    spark.createDataFrame(
+        [(d, D(2024, 1, d)) for d in range(10, 16)], "v int, acq_date date"
+    ).write.insertInto("ret_fires")
+    base = scratch
+    plan = retention.retention_plan(spark, base, {"cat_fires": "acq_date"}, as_of="2024-01-20 02:00:00").checkpoint()
+    done = retention.apply_retention(spark, plan, base, tables={"cat_fires": "ret_fires"})
+    assert len(done) == 3
+    assert sorted(r.v for r in spark.table("ret_fires").collect()) == [13, 14, 15]
+    parts = [r[0] for r in spark.sql("SHOW PARTITIONS ret_fires").collect()]
+    assert parts == ["acq_date=2024-01-13", "acq_date=2024-01-14", "acq_date=2024-01-15"]
+    spark.sql("DROP TABLE ret_fires")

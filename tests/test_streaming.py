@@ -183,3 +183,21 @@ def test_writer_preview_reads_the_persisted_batch(spark, scratch, caplog):
         IdempotentBatchWriter(f"{scratch}/sink", "acq_date", ckpt, preview_rows=5)(batch, 0)
     assert "batch 0 sample" in caplog.text
     assert spark.read.parquet(f"{scratch}/sink").count() == 1
+
+
+def test_run_forever_returns_when_a_query_ends(spark, scratch):
+    from tephra.sources import testdata
+
+    ev = testdata.load(spark, "/root/testdata/sf0.001", "events")
+    land_messages(testdata.fire_payloads(ev), f"{scratch}/in_f")
+    land_messages(testdata.quake_payloads(ev), f"{scratch}/in_q")
+    qs = pipelines.start_both(
+        stream_messages(spark, f"{scratch}/in_f"),
+        stream_messages(spark, f"{scratch}/in_q"),
+        scratch,
+        trigger="available_now",
+    )
+    pipelines.run_forever(qs, poll_seconds=1)  # returns once an availableNow query has drained
+    for q in qs:
+        q.awaitTermination()
+    assert read_table(spark, f"{scratch}/fires").count() == testdata.fx_fires(ev).count()
