@@ -48,3 +48,16 @@ def test_grid_index_matches_python(spark, xs):
     for r in rows:
         assert r.t == math.trunc(r.x / 0.22)
         assert r.f == math.floor(r.x / 0.22)
+
+
+def test_realtime_card_default_clock_and_datetime_as_of(spark, stg):
+    import datetime as dt
+
+    f, q = stg
+    now = serving.realtime_summary_from_staging(f, q).first()
+    # The fixture ends in January 2024: nothing is recent "now".
+    assert (now.fires_7d, now.earthquakes_7d, now.alert_status) == (0, 0, "NORMAL")
+    assert now.last_updated.year >= 2025
+    as_dt = serving.realtime_summary_from_staging(f, q, as_of=dt.datetime(2024, 1, 31)).first()
+    as_str = serving.realtime_summary_from_staging(f, q, as_of="2024-01-31 00:00:00").first()
+    assert as_dt == as_str
