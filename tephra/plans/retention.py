@@ -132,15 +132,24 @@ def with_row_counts(plan: DataFrame, spark: SparkSession, base_path: str, datase
     Plan rows and counts are merged by a union and a group-by on the
     partition (one small shuffle) rather than by a join.
     """
+    # Only folders the plan recognised as dates are read (one name per date
+    # comes to the driver): stray folders would break partition discovery.
+    dated = plan.where(F.col("action").isin("keep", "delete")).select("dataset", "partition").collect()
     counts = None
     for name, key in datasets.items():
-        df = spark.read.option("basePath", f"{base_path}/{name}").parquet(f"{base_path}/{name}")
+        root = f"{base_path.rstrip('/')}/{name}"
+        paths = [f"{root}/{r.partition}" for r in dated if r.dataset == name]
+        if not paths:
+            continue
+        df = spark.read.option("basePath", root).parquet(*paths)
         c = (
             df.groupBy(F.concat(F.lit(f"{key}="), F.col(key).cast("string")).alias("partition"))
             .agg(F.count(F.lit(1)).alias("n_rows"))
             .select(F.lit(name).alias("dataset"), "partition", "n_rows")
         )
         counts = c if counts is None else counts.unionByName(c)
+    if counts is None:
+        return plan.withColumn("n_rows", F.lit(None).cast("long"))
     return merge_on(plan, counts, ["dataset", "partition"])
 
 

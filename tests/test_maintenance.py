@@ -207,3 +207,11 @@ def test_apply_retention_through_the_catalog(spark, scratch):
     parts = [r[0] for r in spark.sql("SHOW PARTITIONS ret_fires").collect()]
     assert parts == ["acq_date=2024-01-13", "acq_date=2024-01-14", "acq_date=2024-01-15"]
     spark.sql("DROP TABLE ret_fires")
+
+
+def test_row_counts_ignore_junk_directories(spark, scratch):
+    _tree(spark, scratch)
+    plan = retention.retention_plan(spark, scratch, {"fires": "acq_date"}, as_of="2024-01-20 02:00:00")
+    counted = {r.partition: r.n_rows for r in retention.with_row_counts(plan, spark, scratch, {"fires": "acq_date"}).collect()}
+    assert counted["acq_date=2024-01-12"] == 1 and counted["acq_date=2024-01-15"] == 1
+    assert counted["notes"] is None and counted["acq_date=bad"] is None
