@@ -24,7 +24,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tephra.sinks.parquet import path_exists, write_clustered_snapshot, write_partitioned
+from tephra.sinks.parquet import (
+    observed,
+    path_exists,
+    write_clustered_snapshot,
+    write_partitioned,
+)
 
 # The exported tables and their time columns.
 TIME_COLUMNS = {
@@ -75,7 +80,7 @@ def _write_counted(df: DataFrame, writer) -> int:
     obs = Observation()
     counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer(counted)
-    return int(obs.get["rows"])
+    return int(observed(obs, rows=0)["rows"])
 
 
 def export_snapshot(df: DataFrame, path: str) -> dict:

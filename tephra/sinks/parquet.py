@@ -22,6 +22,16 @@ BATCH_KEY = "batch_key"
 log = logging.getLogger("tephra.sink")
 
 
+def observed(obs: Observation, **defaults):
+    """Metrics of an ``Observation`` after its action, or ``defaults`` when
+    no task ran (an input with no partitions leaves no metrics row)."""
+    try:
+        got = obs.get
+    except Exception:  # noqa: BLE001 - only reached when nothing was observed
+        return defaults
+    return {k: (got[k] if k in got else v) for k, v in defaults.items()}
+
+
 def layout(df: DataFrame, partition_col: str, cluster_by: list[str] | None = None) -> DataFrame:
     out = df.hint("rebalance", partition_col)
     if cluster_by:
@@ -73,8 +83,9 @@ def write_clustered_snapshot(
         F.count_if(part.isNull()).alias("nulls"),
     )
     write_partitioned(counted, path, partition_col, "overwrite", codec, list(cluster_by), dynamic=True)
-    keep = {f"{partition_col}={v}" for v in obs.get["parts"]}
-    if obs.get["nulls"]:
+    got = observed(obs, parts=[], nulls=0)
+    keep = {f"{partition_col}={v}" for v in got["parts"]}
+    if got["nulls"]:
         keep.add(f"{partition_col}=__HIVE_DEFAULT_PARTITION__")
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
@@ -217,7 +228,7 @@ def compact_date(
     obs = Observation()
     rows = spark.read.parquet(part_dir).drop(BATCH_KEY).observe(obs, F.count(F.lit(1)).alias("n"))
     rows.repartition(files).write.option("compression", codec).parquet(staging)
-    n = int(obs.get["n"])
+    n = int(observed(obs, n=0)["n"])
     for status in fs.listStatus(Path(part_dir)):
         fs.delete(status.getPath(), True)
     fs.rename(Path(staging), Path(f"{part_dir}/{BATCH_KEY}=compacted-{uuid.uuid4().hex[:12]}"))

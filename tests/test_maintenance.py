@@ -215,3 +215,14 @@ def test_row_counts_ignore_junk_directories(spark, scratch):
     counted = {r.partition: r.n_rows for r in retention.with_row_counts(plan, spark, scratch, {"fires": "acq_date"}).collect()}
     assert counted["acq_date=2024-01-12"] == 1 and counted["acq_date=2024-01-15"] == 1
     assert counted["notes"] is None and counted["acq_date=bad"] is None
+
+
+def test_retention_on_empty_dataset_and_empty_snapshot(spark, scratch):
+    os.makedirs(f"{scratch}/empty".replace("file:", ""), exist_ok=True)
+    plan = retention.retention_plan(spark, scratch, {"empty": "acq_date"}, as_of="2024-01-20 02:00:00")
+    rep = retention.retention_report(plan).collect()
+    assert rep == [] or (rep[0].partitions_scanned, rep[0].errors) == (0, 0)
+    schema = "event_date date, event_type string, severity_level string, i int"
+    write_clustered_snapshot(spark.createDataFrame([(D(2024, 1, 1), "fire", "severe", 1)], schema), f"{scratch}/s")
+    write_clustered_snapshot(spark.createDataFrame([], schema), f"{scratch}/s")
+    assert not [d for d in os.listdir(f"{scratch}/s".replace("file:", "")) if d.startswith("event_date=")]
