@@ -61,3 +61,13 @@ def test_realtime_card_default_clock_and_datetime_as_of(spark, stg):
     as_dt = serving.realtime_summary_from_staging(f, q, as_of=dt.datetime(2024, 1, 31)).first()
     as_str = serving.realtime_summary_from_staging(f, q, as_of="2024-01-31 00:00:00").first()
     assert as_dt == as_str
+
+
+def test_bounded_date_window_equals_filtering_the_result(spark, stg):
+    f, q = stg
+    lo, hi = "2024-01-10", "2024-01-12"
+    for build in (lambda **kw: marts.fire_summary(f, ordered=False, **kw), lambda **kw: marts.quake_summary(q, ordered=False, **kw)):
+        windowed = build(date_from=lo, date_to=hi)
+        filtered = build().where(F.col("event_date").between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
+        assert windowed.count() > 0
+        assert windowed.exceptAll(filtered).count() == 0 and filtered.exceptAll(windowed).count() == 0
