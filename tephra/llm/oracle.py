@@ -21,7 +21,7 @@ WITH cut AS (
                               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
            coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
            list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*\\?([^#]*)', 1), '&'),
-                     p -> p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS query,
+                     lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS query,
            rest IS NOT NULL AS whole
     FROM cut
 ), named AS (
