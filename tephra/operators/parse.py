@@ -9,9 +9,8 @@ partitions of the input messages.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from tephra import schemas
 from tephra.functions.events import (
@@ -35,6 +34,7 @@ def fire_lines(payloads: DataFrame) -> DataFrame:
     holds a comma shifts the columns, as in the feed's own reader), the
     header and short noise lines are dropped.
     """
+    # The characters the feed's reader strips.
     clean = F.trim(F.regexp_replace(F.col("value").cast("string"), '[\r"]', ""))
     return (
         payloads.where(F.col("value").isNotNull())
@@ -44,10 +44,9 @@ def fire_lines(payloads: DataFrame) -> DataFrame:
     )
 
 
-def _fire_csv_with_corrupt() -> StructType:
-    return StructType(
-        schemas.FIRE_CSV.fields + [StructField(CORRUPT, StringType(), True)]
-    )
+def _with_corrupt(ddl: str) -> str:
+    """A schema with the column that takes a record as it was, if it does not fit."""
+    return f"{ddl.strip()}, {CORRUPT} STRING"
 
 
 def parse_fire_lines(
@@ -59,7 +58,7 @@ def parse_fire_lines(
     """CSV lines -> rows of the stored ``fires`` table (PERMISSIVE parsing)."""
     parsed = F.from_csv(
         F.col("line"),
-        _fire_csv_with_corrupt().simpleString(),
+        _with_corrupt(schemas.FIRE_CSV),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
     rows = lines.select(F.col("line"), parsed.alias("p")).select("line", "p.*")
@@ -98,11 +97,12 @@ def parse_fires(
     return parse_fire_lines(fire_lines(payloads), cell_degrees, rounding)
 
 
-def fire_rejects(parsed_with_corrupt: DataFrame) -> DataFrame:
+def fire_rejects(parsed_with_corrupt: DataFrame, latest: Column | None = None) -> DataFrame:
     """Dead letters of the fire path: lines that did not give a usable row.
 
-    A line is rejected when the CSV reader flagged it, or when it has no
-    coordinates or no valid acquisition date/time.
+    A line is rejected when the CSV reader flagged it, when it has no
+    coordinates or no valid acquisition date/time, or when it is later than
+    ``latest``, the last event time the ingest accepts.
     """
     c = F.col
     reason = (
@@ -111,6 +111,8 @@ def fire_rejects(parsed_with_corrupt: DataFrame) -> DataFrame:
         .when(c("acq_date").isNull(), F.lit("bad_acq_date"))
         .when(c("event_timestamp").isNull(), F.lit("bad_acq_time"))
     )
+    if latest is not None:
+        reason = reason.when(c("event_timestamp") > latest, F.lit("future_time"))
     return (
         parsed_with_corrupt.select(F.lit("fires").alias("source"), c("line").alias("record"), reason.alias("reason"))
         .where(c("reason").isNotNull())
@@ -132,24 +134,21 @@ def split_fires(
 
 
 def quake_features(payloads: DataFrame, narrow: bool = True) -> DataFrame:
-    """GeoJSON collections -> one row per feature (column ``f``) plus ``doc_ok``.
+    """GeoJSON collections -> one row per feature: ``value, doc_ok, record, f``.
 
-    ``narrow`` declares only the properties the pipeline reads, so the
-    JSON parser skips the other leaves of every feature.
+    The collection is read with its features as text, then every feature on its own, so
+    a field that does not parse is NULL in its feature and costs no other one. A document
+    without features gives one row with a NULL ``record``. ``narrow`` declares only the
+    properties the pipeline reads, so the JSON parser skips the other leaves.
     """
-    schema = schemas.QUAKE_COLLECTION_NARROW if narrow else schemas.QUAKE_COLLECTION
-    schema = StructType(schema.fields + [StructField(CORRUPT, StringType(), True)])
-    doc = F.from_json(
-        F.col("value").cast("string"),
-        schema,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
-    )
+    collection = _with_corrupt(schemas.QUAKE_COLLECTION)
+    feature = _with_corrupt(schemas.QUAKE_FEATURE_NARROW if narrow else schemas.QUAKE_FEATURE)
+    permissive = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    docs = payloads.where(F.col("value").isNotNull()).select(F.col("value").cast("string").alias("value"))
+    docs = docs.withColumn("d", F.from_json("value", collection, permissive))
     ok = F.col("d").isNotNull() & F.col(f"d.{CORRUPT}").isNull()
-    return payloads.select(F.col("value").cast("string").alias("value"), doc.alias("d")).select(
-        "value",
-        ok.alias("doc_ok"),
-        F.explode_outer(F.when(ok, F.col("d.features"))).alias("f"),
-    )
+    rows = docs.select("value", ok.alias("doc_ok"), F.explode_outer("d.features").alias("record"))
+    return rows.withColumn("f", F.from_json("record", feature, permissive))
 
 
 def _feature_columns() -> list:
@@ -170,7 +169,8 @@ def parse_quakes(payloads: DataFrame, processed_at=None, narrow: bool = True) ->
     """GeoJSON messages -> rows of the stored ``earthquakes`` table.
 
     Features without a positive ``time`` are dropped; times are truncated
-    to whole seconds; a short ``coordinates`` array gives NULLs.
+    to whole seconds; a short ``coordinates`` array gives NULLs, and so does
+    a field that does not parse.
     """
     feats = quake_features(payloads, narrow).where(F.col("f").isNotNull())
     rows = feats.select(*_feature_columns())
@@ -188,18 +188,27 @@ def parse_quakes(payloads: DataFrame, processed_at=None, narrow: bool = True) ->
     )
 
 
-def quake_rejects(payloads: DataFrame) -> DataFrame:
-    """Dead letters of the quake path: unparseable documents and unusable features."""
+def quake_rejects(payloads: DataFrame, latest: Column | None = None) -> DataFrame:
+    """Dead letters of the quake path: unparseable documents, unusable features, and
+    features that are kept but had a field that did not parse (``bad_field``).
+
+    ``latest`` is the last event time the ingest accepts, where it has one.
+    """
     feats = quake_features(payloads, narrow=True)
     t = F.col("f.properties.time")
     coords = F.col("f.geometry.coordinates")
+    event_time = epoch_millis_to_seconds_ts(t)
     reason = (
-        F.when(~F.col("doc_ok"), F.lit("malformed_json"))
-        .when(F.col("f").isNull(), F.lit("no_features"))
+        F.when(~F.col("doc_ok") & F.col("record").isNull(), F.lit("malformed_json"))
+        .when(F.col("record").isNull(), F.lit("no_features"))
         .when(t.isNull() | (t <= 0), F.lit("bad_time"))
-        .when(F.get(coords, 0).isNull() | F.get(coords, 1).isNull(), F.lit("missing_coordinates"))
+        .when(event_time.isNull(), F.lit("time_out_of_range"))
     )
-    record = F.when(F.col("f").isNull(), F.col("value")).otherwise(F.to_json(F.col("f")))
+    if latest is not None:
+        reason = reason.when(event_time > latest, F.lit("future_time"))
+    reason = reason.when(
+        F.get(coords, 0).isNull() | F.get(coords, 1).isNull(), F.lit("missing_coordinates")
+    ).when(F.col(f"f.{CORRUPT}").isNotNull(), F.lit("bad_field"))
     return feats.select(
-        F.lit("earthquakes").alias("source"), record.alias("record"), reason.alias("reason")
+        F.lit("earthquakes").alias("source"), F.coalesce("record", "value").alias("record"), reason.alias("reason")
     ).where(F.col("reason").isNotNull())

@@ -42,6 +42,17 @@ FIRE_CSV_HEADER = (
 )
 QUAKE_TIME_EXTRA_MILLIS = 7
 ROWS_PER_DOC = 500
+# The time stamp of the planted event of the far future.
+FUTURE_DAY, FUTURE_MILLIS = "2099-01-01", 4070908800000
+# Records that exercise the parsers' tests, by remainder of the event id: (divisor, remainder).
+NO_LATITUDE = (97, 5)  # fires without a latitude
+NO_COORDINATES = (79, 3)  # quakes without coordinates
+NO_DEPTH = (83, 7)  # quakes with two coordinates
+BAD_MAGNITUDE = (73, 11)  # quakes whose magnitude is not a number
+ZERO_TIME, NO_TIME, NEGATIVE_TIME, HUGE_TIME = (89, 1), (89, 2), (89, 3), (89, 4)
+NEGATIVE_MILLIS, HUGE_MILLIS = -5, 900000000000000000
+# Messages (by document number) that first arrive in the second wave of a stream.
+LATE_DOCS = (5, 2)
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,8 +71,12 @@ def _scaled(x: Column, mult: int, mod: int, offset: int, div: int) -> Column:
     return ((x * mult) % mod - offset).cast("double") / div
 
 
+def _is(x: Column, rule: tuple[int, int]) -> Column:
+    return x % rule[0] == rule[1]
+
+
 def fx_fires(events: DataFrame) -> DataFrame:
-    """One fire detection per fire-typed event (latitudes in [-1, 1])."""
+    """One fire detection per fire-typed event (latitudes in [-1, 1], some missing)."""
     e = events.where(F.col("event_type").isin(*FIRE_TYPES))
     eid, uid = F.col("event_id"), F.col("user_id")
     bright = (
@@ -69,7 +84,7 @@ def fx_fires(events: DataFrame) -> DataFrame:
     ).cast("double") / 10
     return e.select(
         eid.alias("src_id"),
-        _scaled(eid, 7919, 201, 100, 100).alias("latitude"),
+        F.when(~_is(eid, NO_LATITUDE), _scaled(eid, 7919, 201, 100, 100)).alias("latitude"),
         _scaled(eid, 104729, 201, 100, 100).alias("longitude"),
         bright.alias("bright_ti4"),
         _case_mod(uid, 3, ["N", "N20", "N21"]).alias("satellite"),
@@ -80,19 +95,39 @@ def fx_fires(events: DataFrame) -> DataFrame:
 
 
 def fx_quakes(events: DataFrame) -> DataFrame:
-    """One earthquake per quake-typed event, anywhere on the globe."""
+    """One earthquake per quake-typed event, anywhere on the globe.
+
+    ``time`` is what the feed says, in part unusable; some features lack
+    coordinates, a depth or a readable magnitude. ``event_time`` places the
+    feature in its document.
+    """
     e = events.where(F.col("event_type").isin(*QUAKE_TYPES))
     eid = F.col("event_id")
+    second = F.date_trunc("second", F.col("ts").cast("timestamp"))
+    placed = ~_is(eid, NO_COORDINATES)
     return e.select(
         eid.alias("src_id"),
-        _scaled(eid, 7919, 18001, 9000, 100).alias("latitude"),
-        _scaled(eid, 104729, 36001, 18000, 100).alias("longitude"),
-        (((eid * 13) % 6500).cast("double") / 10).alias("depth"),
-        ((eid % 90).cast("double") / 10).alias("magnitude"),
-        F.date_trunc("second", F.col("ts").cast("timestamp")).alias("event_time"),
+        F.when(placed, _scaled(eid, 7919, 18001, 9000, 100)).alias("latitude"),
+        F.when(placed, _scaled(eid, 104729, 36001, 18000, 100)).alias("longitude"),
+        F.when(placed & ~_is(eid, NO_DEPTH), ((eid * 13) % 6500).cast("double") / 10).alias("depth"),
+        F.when(~_is(eid, BAD_MAGNITUDE), (eid % 90).cast("double") / 10).alias("magnitude"),
+        second.alias("event_time"),
+        F.when(_is(eid, ZERO_TIME), F.lit(0))
+        .when(_is(eid, NO_TIME), F.lit(None).cast("bigint"))
+        .when(_is(eid, NEGATIVE_TIME), F.lit(NEGATIVE_MILLIS))
+        .when(_is(eid, HUGE_TIME), F.lit(HUGE_MILLIS))
+        .otherwise(F.unix_millis(second) + QUAKE_TIME_EXTRA_MILLIS)
+        .alias("time"),
     )
 
 
+def usable(quakes: DataFrame) -> DataFrame:
+    """Fixture quakes with a time the ingest accepts."""
+    eid = F.col("src_id")
+    bad = _is(eid, ZERO_TIME) | _is(eid, NO_TIME) | _is(eid, NEGATIVE_TIME) | _is(eid, HUGE_TIME)
+    return quakes.where(~bad)
+
+
 def _acq_time_text(ts: Column) -> Column:
     """``HHmm`` written without leading zeros, as the feed sometimes does."""
     return (F.hour(ts) * 100 + F.minute(ts)).cast("string")
@@ -131,11 +166,11 @@ def fires_table(events: DataFrame, cell_degrees: float = 0.22, rounding: str = "
 
 def quakes_table(events: DataFrame, processed_at: Column | None = None) -> DataFrame:
     """The stored ``earthquakes`` table the ingest writes for these quakes."""
-    q = fx_quakes(events)
+    q = usable(fx_quakes(events))
     return q.select(
         "magnitude",
         F.concat(F.lit("p"), F.col("src_id").cast("string")).alias("place"),
-        (F.unix_millis(F.col("event_time")) + QUAKE_TIME_EXTRA_MILLIS).alias("time"),
+        "time",
         "longitude",
         "latitude",
         "depth",
@@ -161,56 +196,66 @@ def fire_payloads(
     rows_per_doc: int = ROWS_PER_DOC,
     resend: bool = False,
     junk: bool = False,
+    future: bool = False,
 ) -> DataFrame:
     """Raw fire messages ``(doc_hour, doc_chunk, copy, value)``.
 
-    ``resend`` ships every document a second time one hour later, as the
+    Every document also holds a short noise line; every one is followed by an
+    empty (NULL) message. ``resend`` ships every document a second time one hour later, as the
     upstream feed repeats overlapping windows (duplicates for dedup).
-    ``junk`` appends one malformed line per document (for the rejects path).
+    ``junk`` appends one malformed line per document (for the rejects path),
+    ``future`` one detection of the far future.
     """
     f = fx_fires(events)
     ts = F.col("event_time")
     q = F.lit('"')
-    line = F.concat_ws(
-        ",",
-        F.concat(q, F.col("latitude").cast("string"), q),
-        F.col("longitude").cast("string"),
-        F.col("bright_ti4").cast("string"),
-        F.lit(FIRE_SCAN),
-        F.lit(FIRE_TRACK),
-        F.to_date(ts).cast("string"),
-        _acq_time_text(ts),
-        F.col("satellite"),
-        F.lit(FIRE_INSTRUMENT),
-        F.col("confidence"),
-        F.lit(FIRE_VERSION),
-        F.lit(FIRE_BRIGHT_TI5),
-        F.col("frp").cast("string"),
-        F.lit(FIRE_DAYNIGHT),
-    )
+
+    def csv(day: Column) -> Column:
+        return F.concat_ws(
+            ",",
+            F.concat(q, F.coalesce(F.col("latitude").cast("string"), F.lit("")), q),
+            F.col("longitude").cast("string"),
+            F.col("bright_ti4").cast("string"),
+            F.lit(FIRE_SCAN),
+            F.lit(FIRE_TRACK),
+            day,
+            _acq_time_text(ts),
+            F.col("satellite"),
+            F.lit(FIRE_INSTRUMENT),
+            F.col("confidence"),
+            F.lit(FIRE_VERSION),
+            F.lit(FIRE_BRIGHT_TI5),
+            F.col("frp").cast("string"),
+            F.lit(FIRE_DAYNIGHT),
+        )
+
     docs = (
-        f.select(*_doc_key(ts, F.col("src_id"), rows_per_doc), line.alias("line"))
+        f.select(*_doc_key(ts, F.col("src_id"), rows_per_doc), csv(F.to_date(ts).cast("string")).alias("line"))
         .groupBy("doc_hour", "doc_chunk")
         .agg(F.sort_array(F.collect_list("line")).alias("lines"))
     )
+    docs = docs.withColumn("lines", F.array_append("lines", F.lit("noise,noi")))
     if junk:
         bad = F.concat(
             F.lit("badrow,"), F.col("doc_chunk").cast("string"), F.lit(",2,3,4,notadate,xx")
         )
         docs = docs.withColumn("lines", F.array_append("lines", bad))
+    if future:
+        first = F.regexp_replace(F.get("lines", F.lit(0)), r"[0-9]{4}-[0-9]{2}-[0-9]{2}", FUTURE_DAY)
+        docs = docs.withColumn("lines", F.array_append("lines", first))
     value = F.concat(F.lit(FIRE_CSV_HEADER + "\r\n"), F.array_join("lines", "\r\n"))
     docs = docs.select("doc_hour", "doc_chunk", value.alias("value"))
     return _copies(docs, resend)
 
 
 def _copies(docs: DataFrame, resend: bool, truncated: bool = False) -> DataFrame:
-    """Copy 0 of every document; copy 1 one hour later when ``resend``;
-    copy 2, cut after 40 characters (malformed), when ``truncated``.
+    """Copy 0 of every document; copy 1 one hour later when ``resend``; copy 2, cut after
+    40 characters (malformed), when ``truncated``; copy 9, without a value.
 
     The copies come from one ``explode`` of the aggregated documents, so
     the document aggregation runs once (a union would run it twice).
     """
-    kinds = [0] + ([1] if resend else []) + ([2] if truncated else [])
+    kinds = [0] + ([1] if resend else []) + ([2] if truncated else []) + [9]
     copy = F.col("copy")
     return docs.select(
         "doc_hour", "doc_chunk", "value", F.explode(F.array(*map(F.lit, kinds))).alias("copy")
@@ -220,44 +265,63 @@ def _copies(docs: DataFrame, resend: bool, truncated: bool = False) -> DataFrame
         .alias("doc_hour"),
         "doc_chunk",
         "copy",
-        F.when(copy == 2, F.substring("value", 1, 40)).otherwise(F.col("value")).alias("value"),
+        F.when(copy == 2, F.substring("value", 1, 40)).when(copy != 9, F.col("value")).alias("value"),
     )
 
 
+def first_arrives_late() -> Column:
+    """Documents whose first copy comes with the second wave."""
+    return F.col("doc_chunk") % LATE_DOCS[0] == LATE_DOCS[1]
+
+
 def quake_payloads(
     events: DataFrame,
     rows_per_doc: int = ROWS_PER_DOC,
     resend: bool = False,
     junk: bool = False,
+    future: bool = False,
 ) -> DataFrame:
     """Raw GeoJSON messages ``(doc_hour, doc_chunk, copy, value)``.
 
     Times carry 7 extra milliseconds, which the parser must drop.
-    ``junk`` adds one truncated (malformed) document per chunk.
+    ``junk`` adds one truncated (malformed) document per chunk, ``future`` one
+    feature of the far future per document.
     """
     qk = fx_quakes(events)
-    feature = F.struct(
-        F.struct(
-            F.col("magnitude").alias("mag"),
-            F.concat(F.lit("p"), F.col("src_id").cast("string")).alias("place"),
-            (F.unix_millis(F.col("event_time")) + QUAKE_TIME_EXTRA_MILLIS).alias("time"),
-        ).alias("properties"),
+    coordinates = F.when(F.col("depth").isNull(), F.array("longitude", "latitude")).otherwise(
+        F.array("longitude", "latitude", "depth")
+    )
+    feature = F.to_json(
         F.struct(
-            F.lit("Point").alias("type"),
-            F.array("longitude", "latitude", "depth").alias("coordinates"),
-        ).alias("geometry"),
-        F.col("src_id").cast("string").alias("id"),
+            F.struct(
+                F.coalesce(F.col("magnitude"), F.lit(-1.0)).alias("mag"),
+                F.concat(F.lit("p"), F.col("src_id").cast("string")).alias("place"),
+                "time",
+            ).alias("properties"),
+            F.struct(
+                F.lit("Point").alias("type"),
+                F.when(F.col("latitude").isNotNull(), coordinates).alias("coordinates"),
+            ).alias("geometry"),
+            F.col("src_id").cast("string").alias("id"),
+        )
     )
+    feature = F.when(
+        F.col("magnitude").isNull(), F.regexp_replace(feature, '"mag":-1.0', '"mag":"strong"')
+    ).otherwise(feature)
     docs = (
         qk.select(*_doc_key(F.col("event_time"), F.col("src_id"), rows_per_doc), feature.alias("f"))
         .groupBy("doc_hour", "doc_chunk")
         .agg(F.sort_array(F.collect_list("f")).alias("features"))
-        .select(
-            "doc_hour",
-            "doc_chunk",
-            F.to_json(
-                F.struct(F.lit("FeatureCollection").alias("type"), F.col("features"))
-            ).alias("value"),
+    )
+    if future:
+        planted = F.concat(
+            F.lit(f'{{"properties":{{"mag":1.0,"time":{FUTURE_MILLIS}}},"geometry":{{"coordinates":[1,1,1]}},"id":"f'),
+            F.col("doc_chunk").cast("string"),
+            F.lit('"}'),
         )
+        docs = docs.withColumn("features", F.array_append("features", planted))
+    value = F.concat(
+        F.lit('{"type":"FeatureCollection","features":['), F.array_join("features", ","), F.lit("]}")
     )
+    docs = docs.select("doc_hour", "doc_chunk", value.alias("value"))
     return _copies(docs, resend, truncated=junk)

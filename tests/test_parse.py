@@ -139,3 +139,24 @@ def test_wide_schema_gives_same_rows(spark):
     narrow = parse.parse_quakes(df, processed_at=F.lit(None).cast("timestamp")).collect()
     wide = parse.parse_quakes(df, processed_at=F.lit(None).cast("timestamp"), narrow=False).collect()
     assert narrow == wide
+
+
+def test_one_bad_field_costs_no_other_feature(spark):
+    good, bad = feature(1, 1704067200000), feature(2, 1704067201000, mag="abc")
+    doc = json.dumps({"type": "FeatureCollection", "features": [bad, good, feature(3, "soon")]})
+    out = {r.event_id: r.magnitude for r in quakes(spark, doc).collect()}
+    assert out == {"1": 4.2, "2": None}
+    df = spark.createDataFrame([(doc,)], "value string")
+    rejected = {json.loads(r.record)["id"]: r.reason for r in parse.quake_rejects(df).collect()}
+    assert rejected == {"2": "bad_field", "3": "bad_time"}
+
+
+def test_every_unusable_feature_is_a_reject(spark):
+    huge = feature(4, 900000000000000000)
+    nowhere = {**feature(5, 1704067200000), "geometry": None}
+    doc = json.dumps({"features": [feature(1, None), feature(2, 0), feature(3, -5), huge, nowhere, None, feature(6, 4070908800000)]})
+    df = spark.createDataFrame([(doc,), (None,)], "value string")
+    latest = F.lit("2030-01-01").cast("timestamp")
+    reasons = sorted(r.reason for r in parse.quake_rejects(df, latest).collect())
+    assert reasons == ["bad_time"] * 3 + ["future_time", "missing_coordinates", "no_features", "time_out_of_range"]
+    assert {r.event_id for r in quakes(spark, doc, None).collect()} == {"5", "6"}
