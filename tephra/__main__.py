@@ -21,7 +21,10 @@ from tephra.session import build_session, prepare
 
 
 def _session(args):
-    spark = build_session(master=args.master, app_name=f"tephra-{args.cmd}")
+    """The submitted settings stay: nothing but the runtime settings is forced."""
+    spark = build_session(
+        master=args.master, app_name=f"tephra-{args.cmd}", shuffle_partitions=args.shuffle_partitions
+    )
     return prepare(spark)
 
 
@@ -30,11 +33,12 @@ def cmd_ingest(spark, args) -> int:
     from tephra.streaming import pipelines
 
     if args.kafka:
-        fires = kafka.fire_messages(spark, args.kafka)
-        quakes = kafka.quake_messages(spark, args.kafka)
+        bounds = {"max_offsets_per_trigger": args.max_offsets_per_trigger, "min_partitions": args.min_partitions}
+        fires = kafka.fire_messages(spark, args.kafka, **bounds)
+        quakes = kafka.quake_messages(spark, args.kafka, **bounds)
     else:
-        fires = landed.stream_messages(spark, args.fires_dir, args.format)
-        quakes = landed.stream_messages(spark, args.quakes_dir, args.format)
+        fires = landed.stream_messages(spark, args.fires_dir, args.format, args.max_files_per_trigger)
+        quakes = landed.stream_messages(spark, args.quakes_dir, args.format, args.max_files_per_trigger)
     trigger = "available_now" if args.available_now else args.trigger
     queries = pipelines.start_both(
         fires,
@@ -46,12 +50,17 @@ def cmd_ingest(spark, args) -> int:
         fires_watermark=args.fires_watermark,
         quakes_watermark=args.quakes_watermark,
         codec=args.codec,
+        files_per_date=args.files_per_date,
+        skew_salts=args.skew_salts,
+        max_future=args.max_future,
     )
     if args.available_now:
         for q in queries:
             q.awaitTermination()
             if q.exception() is not None:
                 raise RuntimeError(f"{q.name} failed: {q.exception()}")
+        for name in ("fires_ingest", "earthquakes_ingest"):
+            pipelines.batch_reports(spark).wait(name)
     else:
         pipelines.run_forever(queries)
     return 0
@@ -70,7 +79,10 @@ def _stored_staging(spark, base):
 def cmd_rebuild(spark, args) -> int:
     from tephra.plans import pipeline
 
-    pipeline.rebuild(spark, args.base, args.target, as_of=args.as_of)
+    names = pipeline.refresh_views(
+        spark, args.base, args.target, as_of=args.as_of, schema=args.schema, refresh_minutes=args.refresh_minutes
+    )
+    print(json.dumps(names))
     return 0
 
 
@@ -87,7 +99,10 @@ def cmd_export(spark, args) -> int:
             lateness_days=args.lateness_days,
         )
     else:
-        log = export.export_tables(spark, marts.build_marts(stg_f, stg_q), args.target, incremental=args.mode)
+        tables = {
+            t: (lambda d, t=t: marts.build_marts(stg_f, stg_q, date_from=d)[t]) for t in export.TIME_COLUMNS
+        }
+        log = export.export_tables(spark, tables, args.target, incremental=args.mode)
     for r in log.collect():
         print(json.dumps(r.asDict()))
     return 0
@@ -113,13 +128,22 @@ def cmd_retention(spark, args) -> int:
 
 
 def cmd_compact(spark, args) -> int:
-    import datetime as dt
+    """Compact the dates before ``--before``, never later than the day before the newest
+    stored event: the stream still writes to later ones."""
+    from pyspark.sql import functions as F
 
-    from tephra.sinks.parquet import compact_closed_dates
+    from tephra.sinks.parquet import BATCH_LOG, compact_closed_dates, path_exists
 
-    before = args.before or (dt.date.today() - dt.timedelta(days=1)).isoformat()
     for table, key in (("fires", "acq_date"), ("earthquakes", "event_date")):
-        for day, rows in compact_closed_dates(spark, f"{args.base}/{table}", key, before):
+        path = f"{args.base}/{table}"
+        closed = F.date_sub(F.current_date(), 1)
+        if path_exists(spark, f"{path}/{BATCH_LOG}"):
+            batches = spark.read.parquet(f"{path}/{BATCH_LOG}")
+            newest = batches.agg(F.date_sub(F.to_date(F.max("latest")), 1)).first()[0]
+        else:
+            newest = spark.range(1).select(closed).first()[0]
+        before = min(str(newest), args.before) if args.before else str(newest)
+        for day, rows in compact_closed_dates(spark, path, key, before):
             print(json.dumps({"table": table, "date": day, "rows": rows}))
     return 0
 
@@ -127,6 +151,7 @@ def cmd_compact(spark, args) -> int:
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="tephra")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--shuffle-partitions", type=int, help="default: as submitted")
     sub = ap.add_subparsers(dest="cmd", required=True)
 
     p = sub.add_parser("ingest", help="stream both feeds into the event tables")
@@ -137,16 +162,24 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--format", default="parquet", choices=["parquet", "text"])
     p.add_argument("--trigger", default="15 minutes")
     p.add_argument("--available-now", action="store_true")
-    p.add_argument("--dedup", default="state", choices=["state", "per_batch"])
-    p.add_argument("--rejects", action="store_true", help="also write dead letters")
+    p.add_argument("--dedup", default="sink", choices=["sink", "state", "per_batch"])
+    p.add_argument("--rejects", action=argparse.BooleanOptionalAction, default=True, help="dead letters")
+    p.add_argument("--max-offsets-per-trigger", type=int, help="Kafka: bound of one micro-batch")
+    p.add_argument("--min-partitions", type=int, help="Kafka: tasks of one micro-batch, at least")
+    p.add_argument("--max-files-per-trigger", type=int, help="landed files: bound of one micro-batch")
+    p.add_argument("--files-per-date", type=int, help="default: follows the batch's rows")
+    p.add_argument("--skew-salts", type=int, help="dedup=state: salts of a first pass for hot records")
+    p.add_argument("--max-future", default="1 day", help="events further ahead go to the dead letters")
     p.add_argument("--fires-watermark", default="1 hour")
     p.add_argument("--quakes-watermark", default="10 minutes")
     p.add_argument("--codec", default="snappy", help="Parquet codec (none, snappy, zstd, ...)")
 
-    p = sub.add_parser("rebuild", help="full rebuild of the marts, views on top")
+    p = sub.add_parser("rebuild", help="full rebuild of the marts and of the stored dashboard relations")
     p.add_argument("--base", required=True)
     p.add_argument("--target", required=True)
     p.add_argument("--as-of")
+    p.add_argument("--schema", default="default", help="catalog schema of the dashboard relations")
+    p.add_argument("--refresh-minutes", type=int, default=0, help="leave younger metrics tables as they are")
 
     p = sub.add_parser("export", help="export the marts")
     p.add_argument("--base", required=True)
@@ -163,7 +196,7 @@ def parser() -> argparse.ArgumentParser:
 
     p = sub.add_parser("compact", help="merge the batch folders of closed dates")
     p.add_argument("--base", required=True)
-    p.add_argument("--before", help="yyyy-MM-dd; default yesterday (dates older than the watermark)")
+    p.add_argument("--before", help="yyyy-MM-dd; never later than the day before the newest event")
     return ap
 
 

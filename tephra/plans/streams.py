@@ -8,31 +8,29 @@ DataFrame.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from tephra import schemas
 from tephra.operators import parse
 from tephra.session import prepare, run_dir
-from tephra.sinks.parquet import read_table, write_partitioned
+from tephra.sinks.parquet import BATCH_LOG, read_table, write_partitioned
 from tephra.sources import testdata
 from tephra.sources.landed import land_messages, stream_messages
 from tephra.streaming import pipelines
 
-METRICS_SCHEMA = StructType(
-    [
-        StructField("stream", StringType()),
-        StructField("run", IntegerType()),
-        StructField("batch_id", LongType()),
-        StructField("input_rows", LongType()),
-        StructField("output_rows", LongType()),
-        StructField("state_rows", LongType()),
-        StructField("dropped_by_watermark", LongType()),
-        StructField("wall_ms", LongType()),
-        StructField("started_at", StringType()),
-    ]
-)
+# Columns that a fire's event id determines (copies of an id agree on them).
+FIRE_ID_COLUMNS = [
+    "latitude",
+    "longitude",
+    "acq_date",
+    "acq_time",
+    "satellite",
+    "event_timestamp",
+    "event_type",
+    "event_id",
+    "cluster_id",
+]
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,76 +64,74 @@ def run_stream(
     sf_dir: str,
     feed: str,
     arrivals: int = 1,
-    dedup: str = "state",
-) -> tuple[str, list[dict]]:
+    dedup: str = "sink",
+) -> tuple[str, DataFrame]:
     """Land the feed's messages and ingest them with ``availableNow`` runs.
 
     ``arrivals=1``: every message (each sent twice) lands before one run.
-    ``arrivals=2``: first copies land and are ingested; then the re-sent
-    copies land and the query restarts from its checkpoint, so the
-    duplicates meet the state (or the watermark) of the earlier run.
-    Returns the sink path and the per-batch metrics.
+    ``arrivals=2``: the first copies of most messages land and are ingested;
+    then come all second copies, which must change nothing, together with the
+    first copies of the remaining messages, which must all be stored although
+    most of their rows are older than the watermark. Every message also holds
+    an event of the far future, which must move nothing and not be stored.
+    Returns the sink path and the stored batch report.
     """
     make_payloads, make_rows, part = _FEEDS[feed]
     root = run_dir(spark, f"stream-{feed}")
     landing, sink, ckpt = f"{root}/landing", f"{root}/{feed}", f"{root}/_checkpoint"
-    payloads = make_payloads(_events(spark, sf_dir), resend=True)
+    payloads = make_payloads(_events(spark, sf_dir), resend=True, future=True)
     if arrivals == 1:
         waves = [payloads]
     else:
-        waves = [payloads.where("copy = 0"), payloads.where("copy = 1")]
-    metrics: list[dict] = []
-    for run, wave in enumerate(waves):
+        first, late = F.col("copy") == 0, testdata.first_arrives_late()
+        waves = [payloads.where(first & ~late), payloads.where(F.col("copy") == 1).union(payloads.where(first & late))]
+    # Unique per run, so concurrent runs in one session never collide.
+    name = f"{feed}_ingest_{root.rsplit('-', 1)[-1]}"
+    for wave in waves:
         # One file per core, as a topic with that many partitions would give.
         land_messages(wave, landing, files=spark.sparkContext.defaultParallelism)
         rows = make_rows(stream_messages(spark, landing), dedup=dedup)
         q = pipelines.start_ingest(
-            rows,
-            sink,
-            part,
-            ckpt,
-            # Unique per run, so concurrent runs in one session never collide.
-            name=f"{feed}_ingest_{root.rsplit('-', 1)[-1]}",
-            trigger="available_now",
-            per_batch_dedup=dedup == "per_batch",
+            rows, sink, part, ckpt, name=name, trigger="available_now", dedup=dedup, report_path=f"{root}/_report"
         )
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(f"{feed} stream failed: {q.exception()}")
-        metrics += pipelines.progress_rows(q, feed, run)
-    return sink, metrics
+        if not pipelines.batch_reports(spark).wait(name):
+            raise RuntimeError(f"{feed}: the batch report was not stored in time")
+    return sink, spark.read.schema(pipelines.PROGRESS_SCHEMA).parquet(f"{root}/_report")
 
 
-def _stream_query(feed: str, arrivals: int):
+def _stream_query(feed: str, arrivals: int, dedup: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        sink, _ = run_stream(spark, sf_dir, feed, arrivals)
-        cols = [c for c in (schemas.FIRES_COLUMNS if feed == "fires" else schemas.QUAKES_COLUMNS)]
-        cols = [c for c in cols if c != "processed_at"]
-        return read_table(spark, sink).select(*cols)
+        sink, _ = run_stream(spark, sf_dir, feed, arrivals, dedup)
+        if feed == "fires":
+            return read_table(spark, sink).select(*FIRE_ID_COLUMNS)
+        return read_table(spark, sink).select(*(c for c in schemas.QUAKES_COLUMNS if c != "processed_at"))
 
     return run
 
 
-def batch_report(spark: SparkSession, metrics: list[dict]) -> DataFrame:
-    """The per-micro-batch report (one row per batch, from query progress)."""
-    return spark.createDataFrame(metrics, METRICS_SCHEMA)
-
-
 def q_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages read and rows kept per run of a two-arrival fire stream.
+    """Messages read, rows stored and late rows, per run of a two-arrival fire stream.
 
-    Run 0 reads the first copy of every message and keeps every detection;
-    run 1 reads the re-sent copies and keeps none (each row is either still
-    in the dedup state or older than the watermark).
+    Run 1 reads second copies, of which nothing is stored, and late first
+    copies, of which everything is.
     """
-    _, metrics = run_stream(spark, sf_dir, "fires", arrivals=2)
+    sink, report = run_stream(spark, sf_dir, "fires", arrivals=2)
+    runs = Window.partitionBy("stream").orderBy("first_batch")
+    batches = spark.read.parquet(f"{sink}/{BATCH_LOG}").select("batch_id", "stored", "late")
     return (
-        batch_report(spark, metrics)
-        .groupBy("stream", "run")
+        report.join(batches, "batch_id", "left")
+        .groupBy(F.lit("fires").alias("stream"), F.col("run").alias("run_id"))
         .agg(
+            F.min("batch_id").alias("first_batch"),
             F.sum("input_rows").alias("input_rows"),
-            F.sum("output_rows").alias("output_rows"),
+            F.coalesce(F.sum("stored"), F.lit(0)).alias("output_rows"),
+            F.coalesce(F.sum("late"), F.lit(0)).alias("late_rows"),
         )
+        .withColumn("run", F.row_number().over(runs) - 1)
+        .select("stream", "run", "input_rows", "output_rows", "late_rows")
     )
 
 
@@ -143,9 +139,9 @@ def stream_queries() -> dict:
     return {
         "sink_fires_roundtrip": q_sink_fires_roundtrip,
         "sink_quakes_roundtrip": q_sink_quakes_roundtrip,
-        "stream_fires_e2e": _stream_query("fires", 1),
-        "stream_quakes_e2e": _stream_query("earthquakes", 1),
-        "stream_dedup_fires": _stream_query("fires", 2),
-        "stream_dedup_quakes": _stream_query("earthquakes", 2),
+        "stream_fires_e2e": _stream_query("fires", 1, "state"),
+        "stream_quakes_e2e": _stream_query("earthquakes", 1, "state"),
+        "stream_dedup_fires": _stream_query("fires", 2, "sink"),
+        "stream_dedup_quakes": _stream_query("earthquakes", 2, "sink"),
         "batch_metrics": q_batch_metrics,
     }

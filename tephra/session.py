@@ -29,34 +29,34 @@ RUNTIME_CONF = {
     # One memory budget for all state partitions an executor holds.
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
-    # The ingest emits rows at once (dedup, no windows), so an empty batch that
-    # only advances the watermark has no output; eviction runs in the next batch.
-    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
 
+# Shuffle partitions of a local session that names none; a cluster's come from spark-submit.
+LOCAL_SHUFFLE_PARTITIONS = 8
+
+
 def build_session(
-    master: str = "local[*]",
+    master: str | None = "local[*]",
     app_name: str = "tephra",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """Session for tests, the bench and command-line runs.
 
-    On a cluster, pass ``master=None`` and let spark-submit decide; size
-    ``shuffle_partitions`` to roughly 2-3x the executor cores.
+    On a cluster, pass ``master=None`` and let spark-submit decide. Without
+    ``shuffle_partitions`` the submitted value (or Spark's default) stays; only
+    a local master gets a small one.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(RUNTIME_CONF)
-    conf.update(
-        {
-            "spark.sql.shuffle.partitions": str(shuffle_partitions),
-            "spark.ui.enabled": "false",
-            "spark.ui.showConsoleProgress": "false",
-        }
-    )
+    conf.update({"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
+    if shuffle_partitions is None and master and master.startswith("local"):
+        shuffle_partitions = LOCAL_SHUFFLE_PARTITIONS
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -76,16 +76,17 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide scratch root, taken from ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) do we make one and
-    register it, so that ``DataFrame.checkpoint()`` works as well.
+    Only a local session may do without the setting: it gets a temporary folder.
+    On a cluster that folder would be on one machine, so there it is an error.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="tephra-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
     if not sc.getCheckpointDir():
-        # Named as a runtime setting only: register it so checkpoint() works.
+        # Registered, so that checkpoint() works and later calls find the same folder.
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 

@@ -15,6 +15,7 @@ import json
 import logging
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,11 +24,14 @@ log = logging.getLogger("tephra.sink")
 
 
 def observed(obs: Observation, **defaults):
-    """Metrics of an ``Observation`` after its action, or ``defaults`` when
-    no task ran (an input with no partitions leaves no metrics row)."""
+    """Metrics of an ``Observation`` after its action, or ``defaults`` when there are none.
+
+    An input without partitions runs no task and leaves no metrics row. A caller that
+    deletes by these numbers must tell "nothing written" from "unknown" by itself.
+    """
     try:
         got = obs.get
-    except Exception:  # noqa: BLE001 - only reached when nothing was observed
+    except Py4JError:  # no row to read
         return defaults
     return {k: (got[k] if k in got else v) for k, v in defaults.items()}
 
@@ -83,17 +87,32 @@ def write_clustered_snapshot(
         F.count_if(part.isNull()).alias("nulls"),
     )
     write_partitioned(counted, path, partition_col, "overwrite", codec, list(cluster_by), dynamic=True)
-    got = observed(obs, parts=[], nulls=0)
+    got = observed(obs, parts=None, nulls=None)
+    if got["parts"] is None:
+        # No task reported: either nothing was written, or the counters are lost. Ask the input.
+        if not df.isEmpty():
+            raise RuntimeError(f"{path}: the written dates are unknown; no old date was removed")
+        got = {"parts": [], "nulls": 0}
     keep = {f"{partition_col}={v}" for v in got["parts"]}
     if got["nulls"]:
         keep.add(f"{partition_col}=__HIVE_DEFAULT_PARTITION__")
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    root, fs = hadoop_path(spark, path)
     for st in fs.listStatus(root):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith(f"{partition_col}=") and name not in keep:
-            fs.delete(st.getPath(), True)
+            must(fs.delete(st.getPath(), True), f"delete {st.getPath()}")
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """``(path, file system)`` of the cluster's file system API."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def must(done: bool, what: str) -> None:
+    """File system calls report failure by ``False``."""
+    if not done:
+        raise OSError(f"could not {what}")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -116,6 +135,11 @@ def checkpoint_query_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(line)["id"]
 
 
+# Rows of one file that a micro-batch writes: a batch's fan-out follows its size.
+ROWS_PER_FILE = 1_000_000
+BATCH_LOG = "_batches"
+
+
 class IdempotentBatchWriter:
     """``foreachBatch`` sink whose replays do not duplicate rows.
 
@@ -125,6 +149,14 @@ class IdempotentBatchWriter:
     (same query id, same batch id) rewrites exactly its own directories;
     all other batches stay. The query id comes from the checkpoint, so a
     fresh checkpoint never overwrites the batches of an older one.
+
+    ``dedup_keys`` removes copies inside the batch. With ``against_stored``
+    rows whose key is already stored in another batch of the same date are
+    left out too (only the dates of the batch are read, and of them only the
+    keys), so nothing depends on a watermark: a late first arrival is stored.
+
+    One row per batch goes to ``<path>/_batches``: rows in, rows stored, and
+    late ones (older than the largest event time so far minus ``lateness``).
     """
 
     def __init__(
@@ -137,6 +169,9 @@ class IdempotentBatchWriter:
         columns: list[str] | None = None,
         files_per_date: int | None = None,
         preview_rows: int = 0,
+        against_stored: bool = False,
+        lateness: str | None = None,
+        time_col: str = "event_timestamp",
     ):
         self.path = path
         self.partition_col = partition_col
@@ -146,6 +181,9 @@ class IdempotentBatchWriter:
         self.columns = columns
         self.files_per_date = files_per_date
         self.preview_rows = preview_rows
+        self.against_stored = against_stored
+        self.lateness = lateness
+        self.time_col = time_col
         self._query_id: str | None = None
 
     def batch_key(self, spark: SparkSession, batch_id: int) -> str:
@@ -154,46 +192,92 @@ class IdempotentBatchWriter:
         return f"{self._query_id}-{batch_id:010d}"
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        key = self.batch_key(batch.sparkSession, batch_id)
-        if self.preview_rows:
-            # The preview reads the persisted batch: the batch is computed once.
-            batch = batch.persist()
+        spark = batch.sparkSession
+        key = self.batch_key(spark, batch_id)
+        # Read several times: counted, compared with the stored rows, written.
+        batch = batch.persist()
         try:
-            self._write(batch, key)
+            counts = self._counts(batch, key)
+            stored = self._write(self._new_rows(batch, key), key, counts["rows"])
+            self._log(spark, key, batch_id, counts | {"stored": stored})
             if self.preview_rows:
                 for row in batch.limit(self.preview_rows).collect():
                     log.info("batch %s sample: %s", batch_id, row.asDict())
         finally:
-            if self.preview_rows:
-                batch.unpersist()
-
-    def _write(self, batch: DataFrame, key: str) -> None:
+            batch.unpersist()
+
+    def _counts(self, batch: DataFrame, key: str) -> dict:
+        late = F.lit(0).cast("long")
+        has_time = self.time_col in batch.columns
+        if self.lateness and has_time:
+            top = self._high_water(batch.sparkSession, key)
+            limit = F.lit(top).cast("timestamp") - F.expr(f"INTERVAL {self.lateness}")
+            late = F.count_if(F.col(self.time_col) < limit)
+        latest = F.max(self.time_col) if has_time else F.lit(None).cast("timestamp")
+        return batch.agg(F.count(F.lit(1)).alias("rows"), late.alias("late"), latest.alias("latest")).first().asDict()
+
+    def _high_water(self, spark: SparkSession, key: str):
+        """Largest event time of the earlier batches (from the batch log)."""
+        root = f"{self.path.rstrip('/')}/{BATCH_LOG}"
+        if not path_exists(spark, root):
+            return None
+        return spark.read.parquet(root).where(F.col(BATCH_KEY) != key).agg(F.max("latest")).first()[0]
+
+    def _new_rows(self, batch: DataFrame, key: str) -> DataFrame:
         out = batch
         if self.dedup_keys:
-            # Within-batch duplicate removal of the original feed job.
             out = out.dropDuplicates(self.dedup_keys)
         if self.columns:
             out = out.select(*self.columns)
-        out = out.withColumn(BATCH_KEY, F.lit(key))
+        spark = batch.sparkSession
+        if not self.against_stored or not path_exists(spark, self.path):
+            return out
+        # One value per date of the batch; their folders are the only ones read.
+        dates = [r[0] for r in batch.select(F.col(self.partition_col).cast("string")).distinct().collect()]
+        folders = [f"{self.path.rstrip('/')}/{self.partition_col}={d or '__HIVE_DEFAULT_PARTITION__'}" for d in dates]
+        folders = [f for f in folders if path_exists(spark, f)]
+        if not folders:
+            return out
+        known = spark.read.option("basePath", self.path).parquet(*folders)
+        known = known.where(F.col(BATCH_KEY) != key).select(*self.dedup_keys)
+        return out.join(known, self.dedup_keys, "left_anti")
+
+    def _write(self, out: DataFrame, key: str, rows: int) -> int:
+        obs = Observation()
+        out = out.observe(obs, F.count(F.lit(1)).alias("n")).withColumn(BATCH_KEY, F.lit(key))
         # Adaptive execution does not run inside a micro-batch, so a plain
         # shuffle on the date would send a live batch (nearly all rows share
-        # today's date) to a single task. Without ``files_per_date`` each
-        # upstream task writes its own rows (files ~ tasks x dates in the
-        # batch); with it every date is spread over that many salted tasks,
-        # which bounds the file count and still splits a hot date.
-        if self.files_per_date:
-            salt = F.pmod(F.xxhash64(*out.columns), F.lit(self.files_per_date))
-            out = out.repartition(F.col(self.partition_col), salt)
+        # today's date) to a single task. Every date is spread over salted
+        # tasks, as many as the batch's rows need (or ``files_per_date``).
+        salts = self.files_per_date or -(-rows // ROWS_PER_FILE) or 1
+        salt = F.pmod(F.xxhash64(*out.columns), F.lit(salts))
         (
-            out.write.mode("overwrite")
+            out.repartition(F.col(self.partition_col), salt)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("compression", self.codec)
             .partitionBy(self.partition_col, BATCH_KEY)
             .parquet(self.path)
         )
+        return int(observed(obs, n=0)["n"])
+
+    def _log(self, spark: SparkSession, key: str, batch_id: int, counts: dict) -> None:
+        row = (batch_id, counts["rows"], counts["stored"], counts["late"], counts["latest"], key)
+        schema = f"batch_id bigint, rows bigint, stored bigint, late bigint, latest timestamp, {BATCH_KEY} string"
+        (
+            spark.createDataFrame([row], schema)
+            .withColumn("written_at", F.current_timestamp())
+            .coalesce(1)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BATCH_KEY)
+            .parquet(f"{self.path.rstrip('/')}/{BATCH_LOG}")
+        )
 
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+COMPACTION = "_compaction"
+COMPACTED = "compacted-"
 
 
 def compact_date(
@@ -209,32 +293,59 @@ def compact_date(
     ``files`` defaults to the date's bytes on disk / 256 MB (read from the
     file system, no data pass), so a large date is written by as many tasks.
 
-    Only for dates the stream no longer writes (older than the watermark).
-    The merged copy is written to a hidden folder first (readers skip names
-    starting with ``_``), then the batch folders are removed and the copy is
-    moved in as ``batch_key=compacted-<id>``: readers never see a row twice,
-    and a crash leaves either the old folders or the hidden copy to redo
-    from. Returns the number of rows compacted.
+    Only for dates the stream no longer writes. Three steps, each safe to repeat:
+    the merged copy is written to ``_compaction/<date>/new`` (readers skip names
+    that start with ``_``); the batch folders are moved to ``_compaction/<date>/old``
+    and the copy is moved in; then the old folders go. ``recover_compaction`` finishes
+    or undoes a run that stopped in between: as long as the copy is not in place, the
+    moved folders are put back. Returns the number of rows compacted.
     """
-    part_dir = f"{path.rstrip('/')}/{partition_col}={day}"
-    staging = f"{path.rstrip('/')}/_compaction/{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    Path = jvm.org.apache.hadoop.fs.Path
-    fs = Path(part_dir).getFileSystem(hconf)
+    root = path.rstrip("/")
+    recover_compaction(spark, root, partition_col, day)
+    part_dir, fs = hadoop_path(spark, f"{root}/{partition_col}={day}")
+    work = f"{root}/{COMPACTION}/{day}"
     if files is None:
-        size = fs.getContentSummary(Path(part_dir)).getLength()
+        size = fs.getContentSummary(part_dir).getLength()
         files = max(1, -(-size // TARGET_FILE_BYTES))
-    obs = Observation()
-    rows = spark.read.parquet(part_dir).drop(BATCH_KEY).observe(obs, F.count(F.lit(1)).alias("n"))
-    rows.repartition(files).write.option("compression", codec).parquet(staging)
-    n = int(observed(obs, n=0)["n"])
-    for status in fs.listStatus(Path(part_dir)):
-        fs.delete(status.getPath(), True)
-    fs.rename(Path(staging), Path(f"{part_dir}/{BATCH_KEY}=compacted-{uuid.uuid4().hex[:12]}"))
+    old_names = [st.getPath().getName() for st in fs.listStatus(part_dir) if st.isDirectory()]
+    old_names = [n for n in old_names if n.startswith(f"{BATCH_KEY}=")]
+    if not old_names:
+        return 0
+    rows = spark.read.parquet(*(f"{part_dir.toString()}/{n}" for n in old_names))
+    rows.repartition(files).write.mode("overwrite").option("compression", codec).parquet(f"{work}/new")
+    # Counted from what was written and from what was read: a short copy stops here.
+    n = spark.read.schema(rows.schema).parquet(f"{work}/new").count()
+    if n != rows.count():
+        raise RuntimeError(f"{part_dir}: the compacted copy has {n} rows, its batches have more")
+    old, _ = hadoop_path(spark, f"{work}/old")
+    must(fs.mkdirs(old), f"make {old}")
+    for name in old_names:
+        _move(spark, f"{part_dir.toString()}/{name}", f"{work}/old/{name}")
+    _move(spark, f"{work}/new", f"{part_dir.toString()}/{BATCH_KEY}={COMPACTED}{uuid.uuid4().hex[:12]}")
+    must(fs.delete(hadoop_path(spark, work)[0], True), f"delete {work}")
     return n
 
 
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    p, fs = hadoop_path(spark, source)
+    must(fs.rename(p, hadoop_path(spark, target)[0]), f"move {source} to {target}")
+
+
+def recover_compaction(spark: SparkSession, path: str, partition_col: str, day: str) -> None:
+    """Bring a date back to one full set of folders after a compaction that stopped half-way."""
+    root = path.rstrip("/")
+    work, fs = hadoop_path(spark, f"{root}/{COMPACTION}/{day}")
+    if not fs.exists(work):
+        return
+    old, new = (hadoop_path(spark, f"{root}/{COMPACTION}/{day}/{x}")[0] for x in ("old", "new"))
+    if fs.exists(old) and fs.exists(new):
+        # The copy is not in place yet: the batches are still the truth.
+        for st in fs.listStatus(old):
+            name = st.getPath().getName()
+            _move(spark, st.getPath().toString(), f"{root}/{partition_col}={day}/{name}")
+    must(fs.delete(work, True), f"delete {work}")
+
+
 def compact_closed_dates(
     spark: SparkSession,
     path: str,
@@ -245,11 +356,14 @@ def compact_closed_dates(
     still has more than one batch folder; returns ``(date, rows)`` pairs.
 
     Dates are found by listing the table's folders (metadata only); each
-    compaction is one Spark job over that date.
+    compaction is one Spark job over that date. Runs that stopped half-way
+    are recovered first, for every date.
     """
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    root, fs = hadoop_path(spark, path)
+    work, _ = hadoop_path(spark, f"{path.rstrip('/')}/{COMPACTION}")
+    if fs.exists(work):
+        for st in fs.listStatus(work):
+            recover_compaction(spark, path, partition_col, st.getPath().getName())
     done = []
     prefix = f"{partition_col}="
     for st in sorted(fs.listStatus(root), key=lambda x: x.getPath().getName()):

@@ -1,13 +1,20 @@
 """Structured Streaming ingest of the two feeds.
 
 ``fire_events`` / ``quake_events`` turn a stream of raw messages into
-event rows; they are the batch parsers plus an event-time watermark and,
-by default, a real stateful de-duplication
-(``dropDuplicatesWithinWatermark``) that removes repeats across
-micro-batches while the state stays bounded by the watermark delay.
-``dedup="per_batch"`` reproduces the original job instead: the watermark
-is declared but, with no stateful operator after it, only copies inside
-one micro-batch are removed.
+event rows: the batch parsers plus an event-time watermark. De-duplication:
+
+* ``"sink"`` (default) - copies are removed inside a micro-batch and against
+  the stored rows of the batch's dates, by the sink. No row is lost: a first
+  arrival later than any watermark is stored and counted as late.
+* ``"state"`` - ``dropDuplicatesWithinWatermark``: no read of the stored table,
+  state bounded by the watermark delay, but Spark drops every row older than
+  the watermark, first arrivals too. For feeds known to be on time.
+* ``"per_batch"`` - the original job: the watermark is declared but, with no
+  stateful operator after it, only copies inside one micro-batch are removed.
+
+Rows later than ``max_future`` from now are rejected before the watermark
+(one row dated 2099 would otherwise move it past all others); with the other
+unusable records they go to the dead letters.
 
 ``start_ingest`` runs a stream into an idempotent Parquet sink with a
 checkpoint; ``trigger="available_now"`` drains what is there and stops
@@ -17,73 +24,86 @@ processing-time trigger.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import logging
+import queue
+import threading
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tephra import schemas
 from tephra.operators import parse
 from tephra.sinks.parquet import IdempotentBatchWriter
 
+log = logging.getLogger("tephra.stream")
+
 FIRE_WATERMARK = "1 hour"
 QUAKE_WATERMARK = "10 minutes"
 # Processing-time trigger of the original job.
 DEFAULT_TRIGGER = "15 minutes"
+# An event further ahead of the clock than this is a bad record.
+MAX_FUTURE = "1 day"
+DEDUP_MODES = ("sink", "state", "per_batch")
 
 
-# Salts of the first dedup pass (see ``_dedup``); None turns that pass off.
-SKEW_SALTS = 16
+def latest_accepted(max_future: str = MAX_FUTURE) -> Column:
+    return F.current_timestamp() + F.expr(f"INTERVAL {max_future}")
 
 
-def _dedup(rows: DataFrame, watermark: str, dedup: str, skew_salts: int | None = SKEW_SALTS) -> DataFrame:
+def _dedup(rows: DataFrame, watermark: str, dedup: str, skew_salts: int | None) -> DataFrame:
     """Watermark, then (``state``) drop repeats of ``event_id`` across batches.
 
     A streaming dedup has no map-side combine: every copy of an id is
-    shuffled to the task that owns the id. If one record is repeated so
-    often that its copies are a large share of a batch, that one task would
-    carry them all. With ``skew_salts`` a first pass de-duplicates on
-    ``(event_id, salt)`` with ``salt`` a per-row random number in
-    ``[0, skew_salts)`` (seeded per partition, so a retried task draws the
-    same salts): the copies are spread over up to ``skew_salts`` tasks, and
-    the final pass on ``event_id`` receives at most ``skew_salts`` rows per
-    id from it. Both passes keep state only for the watermark delay.
+    shuffled to the task that owns the id. For a feed in which one record is
+    repeated so often that its copies are a large share of a batch,
+    ``skew_salts`` adds a first pass on ``(event_id, salt)`` with ``salt`` a
+    per-row random number in ``[0, skew_salts)`` (seeded per partition, so a
+    retried task draws the same salts). It doubles the state, so it is off
+    unless asked for.
     """
+    if dedup not in DEDUP_MODES:
+        raise ValueError(f"dedup must be one of {DEDUP_MODES}")
     timed = rows.withWatermark("event_timestamp", watermark)
-    if dedup == "state":
-        if skew_salts:
-            timed = (
-                timed.withColumn("_salt", F.floor(F.rand(17) * F.lit(skew_salts)))
-                .dropDuplicatesWithinWatermark(["event_id", "_salt"])
-                .drop("_salt")
-            )
-        return timed.dropDuplicatesWithinWatermark(["event_id"])
-    if dedup == "per_batch":
+    if dedup != "state":
         return timed
-    raise ValueError("dedup must be 'state' or 'per_batch'")
+    if skew_salts:
+        timed = (
+            timed.withColumn("_salt", F.floor(F.rand(17) * F.lit(skew_salts)))
+            .dropDuplicatesWithinWatermark(["event_id", "_salt"])
+            .drop("_salt")
+        )
+    return timed.dropDuplicatesWithinWatermark(["event_id"])
 
 
 def fire_events(
     messages: DataFrame,
     watermark: str = FIRE_WATERMARK,
-    dedup: str = "state",
+    dedup: str = "sink",
     cell_degrees: float = 0.22,
     rounding: str = "trunc",
-    skew_salts: int | None = SKEW_SALTS,
+    skew_salts: int | None = None,
+    max_future: str = MAX_FUTURE,
 ) -> DataFrame:
     rows = parse.parse_fires(messages, cell_degrees, rounding)
-    if dedup == "state":
-        # Event-time state needs an event time; rows without one are rejects.
+    if dedup != "per_batch":
+        # Without an event time there is no date to store a row under: rejects.
         rows = rows.where(F.col("event_timestamp").isNotNull())
+        rows = rows.where(F.col("event_timestamp") <= latest_accepted(max_future))
     return _dedup(rows, watermark, dedup, skew_salts)
 
 
 def quake_events(
     messages: DataFrame,
     watermark: str = QUAKE_WATERMARK,
-    dedup: str = "state",
-    skew_salts: int | None = SKEW_SALTS,
+    dedup: str = "sink",
+    skew_salts: int | None = None,
+    max_future: str = MAX_FUTURE,
 ) -> DataFrame:
-    return _dedup(parse.parse_quakes(messages), watermark, dedup, skew_salts)
+    rows = parse.parse_quakes(messages)
+    if dedup != "per_batch":
+        rows = rows.where(F.col("event_timestamp") <= latest_accepted(max_future))
+    return _dedup(rows, watermark, dedup, skew_salts)
 
 
 def start_ingest(
@@ -93,11 +113,19 @@ def start_ingest(
     checkpoint: str,
     name: str,
     trigger: str = DEFAULT_TRIGGER,
-    per_batch_dedup: bool = False,
+    dedup: str = "sink",
     codec: str = "snappy",
-    files_per_date: int | None = 8,
+    files_per_date: int | None = None,
     preview_rows: int = 0,
+    watermark: str | None = None,
+    report_path: str | None = None,
 ) -> StreamingQuery:
+    """``rows`` into the table at ``sink_path``. ``dedup`` names the mode ``rows`` was built
+    for; ``watermark`` is what counts as late; ``report_path`` gets one row per micro-batch."""
+    if dedup not in DEDUP_MODES:
+        raise ValueError(f"dedup must be one of {DEDUP_MODES}")
+    if report_path:
+        batch_reports(rows.sparkSession).add(name, report_path)
     columns = schemas.FIRES_COLUMNS if partition_col == "acq_date" else schemas.QUAKES_COLUMNS
     observed = rows.observe(
         name,
@@ -108,7 +136,9 @@ def start_ingest(
         sink_path,
         partition_col,
         checkpoint,
-        dedup_keys=["event_id"] if per_batch_dedup else None,
+        dedup_keys=None if dedup == "state" else ["event_id"],
+        against_stored=dedup == "sink",
+        lateness=watermark or (FIRE_WATERMARK if partition_col == "acq_date" else QUAKE_WATERMARK),
         codec=codec,
         columns=columns,
         files_per_date=files_per_date,
@@ -126,26 +156,93 @@ def start_ingest(
     return w.start()
 
 
-def progress_rows(query: StreamingQuery, stream: str, run: int = 0) -> list[dict]:
-    """One metrics record per micro-batch of a finished or running query."""
-    out = []
-    for p in query.recentProgress:
-        observed = (p.observedMetrics or {}).get(query.name)
-        state = p.stateOperators or []
-        out.append(
-            {
-                "stream": stream,
-                "run": run,
-                "batch_id": int(p.batchId),
-                "input_rows": int(p.numInputRows),
-                "output_rows": int(observed["rows"]) if observed is not None else 0,
-                "state_rows": int(sum(s.numRowsTotal for s in state)),
-                "dropped_by_watermark": int(sum(s.numRowsDroppedByWatermark for s in state)),
-                "wall_ms": int((p.durationMs or {}).get("triggerExecution", 0)),
-                "started_at": p.timestamp,
-            }
-        )
-    return out
+PROGRESS_SCHEMA = (
+    "stream string, run string, batch_id bigint, input_rows bigint, output_rows bigint, state_rows bigint, "
+    "dropped_by_watermark bigint, wall_ms bigint, started_at string"
+)
+
+
+def progress_row(p, stream: str) -> tuple:
+    """One report row of a micro-batch's progress."""
+    observed = (p.observedMetrics or {}).get(p.name)
+    state = p.stateOperators or []
+    return (
+        stream,
+        str(p.runId),
+        int(p.batchId),
+        int(p.numInputRows),
+        int(observed["rows"]) if observed is not None else 0,
+        int(sum(s.numRowsTotal for s in state)),
+        int(sum(s.numRowsDroppedByWatermark for s in state)),
+        int((p.durationMs or {}).get("triggerExecution", 0)),
+        p.timestamp,
+    )
+
+
+class BatchReports(StreamingQueryListener):
+    """Stores one row per micro-batch of the registered queries, as each batch ends.
+
+    Progress that a query itself remembers is limited to its newest updates; the
+    stored report has every batch of a run, however long. Events are handed to one
+    writer thread: the listener's own thread must not run jobs.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+        self.names_by_run: dict[str, str] = {}
+        self.ended: dict[str, threading.Event] = {}
+        self.todo: queue.Queue = queue.Queue()
+        threading.Thread(target=self._store, daemon=True, name="batch-reports").start()
+
+    def add(self, name: str, path: str) -> None:
+        self.paths[name] = path
+        self.ended[name] = threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        if event.name in self.paths:
+            self.names_by_run[str(event.runId)] = event.name
+
+    def onQueryProgress(self, event) -> None:
+        if event.progress.name in self.paths:
+            self.todo.put((event.progress.name, progress_row(event.progress, event.progress.name)))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        # Follows every progress event of its run.
+        name = self.names_by_run.pop(str(event.runId), None)
+        if name:
+            self.todo.put((name, None))
+
+    def _store(self) -> None:
+        while True:
+            name, row = self.todo.get()
+            if row is None:
+                self.ended[name].set()
+                continue
+            try:
+                frame = self.spark.createDataFrame([row], PROGRESS_SCHEMA).coalesce(1)
+                frame.write.mode("append").parquet(self.paths[name])
+            except Exception:  # noqa: BLE001 - a report must not end the ingest
+                log.exception("batch report of %s, batch %s", name, row[2])
+
+    def wait(self, name: str, seconds: float = 120) -> bool:
+        """Wait until the last batch of an ended query is stored."""
+        return self.ended[name].wait(seconds)
+
+
+_REPORTS: dict[int, BatchReports] = {}
+
+
+def batch_reports(spark: SparkSession) -> BatchReports:
+    """The session's report listener (one per session)."""
+    key = id(spark.sparkContext)
+    if key not in _REPORTS:
+        _REPORTS[key] = BatchReports(spark)
+        spark.streams.addListener(_REPORTS[key])
+    return _REPORTS[key]
 
 
 def start_both(
@@ -153,35 +250,36 @@ def start_both(
     quake_messages: DataFrame,
     base_path: str,
     trigger: str = DEFAULT_TRIGGER,
-    dedup: str = "state",
-    rejects: bool = False,
+    dedup: str = "sink",
+    rejects: bool = True,
     fires_watermark: str = FIRE_WATERMARK,
     quakes_watermark: str = QUAKE_WATERMARK,
     codec: str = "snappy",
+    files_per_date: int | None = None,
+    skew_salts: int | None = None,
+    max_future: str = MAX_FUTURE,
 ) -> list[StreamingQuery]:
     """Start the fire and quake ingest queries side by side.
 
     Tables go to ``<base>/fires`` and ``<base>/earthquakes``, checkpoints to
     ``<base>/_checkpoints/<name>`` (one per query, on the shared file system).
-    The watermark delays bound how long ids are remembered: a feed that
-    re-sends the last hour every minute needs at least ``"1 hour"``.
-    ``rejects`` adds one dead-letter query per feed (``<base>/_rejects/<feed>``);
-    it reads the source a second time, which is the price of keeping rows
-    without an event time out of the event-time state.
+    With ``dedup="state"`` the watermark delays bound how long ids are remembered;
+    in every mode they say which rows count as late. Each batch is reported in
+    ``<base>/_reports/<feed>``. ``rejects`` runs one dead-letter query per feed
+    (``<base>/_rejects/<feed>``); it reads the source a second time.
     """
-    per_batch = dedup == "per_batch"
     extra = []
     if rejects:
         extra = [
             start_rejects(
-                fire_rejects_stream(fire_messages),
+                fire_rejects_stream(fire_messages, max_future),
                 f"{base_path}/_rejects/fires",
                 f"{base_path}/_checkpoints/fires_rejects",
                 name="fires_rejects",
                 trigger=trigger,
             ),
             start_rejects(
-                parse.quake_rejects(quake_messages),
+                parse.quake_rejects(quake_messages, latest_accepted(max_future)),
                 f"{base_path}/_rejects/earthquakes",
                 f"{base_path}/_checkpoints/earthquakes_rejects",
                 name="earthquakes_rejects",
@@ -190,24 +288,34 @@ def start_both(
         ]
     return extra + [
         start_ingest(
-            fire_events(fire_messages, watermark=fires_watermark, dedup=dedup),
+            fire_events(
+                fire_messages, watermark=fires_watermark, dedup=dedup, skew_salts=skew_salts, max_future=max_future
+            ),
             f"{base_path}/fires",
             "acq_date",
             f"{base_path}/_checkpoints/fires",
             name="fires_ingest",
             trigger=trigger,
-            per_batch_dedup=per_batch,
+            dedup=dedup,
             codec=codec,
+            files_per_date=files_per_date,
+            watermark=fires_watermark,
+            report_path=f"{base_path}/_reports/fires",
         ),
         start_ingest(
-            quake_events(quake_messages, watermark=quakes_watermark, dedup=dedup),
+            quake_events(
+                quake_messages, watermark=quakes_watermark, dedup=dedup, skew_salts=skew_salts, max_future=max_future
+            ),
             f"{base_path}/earthquakes",
             "event_date",
             f"{base_path}/_checkpoints/earthquakes",
             name="earthquakes_ingest",
             trigger=trigger,
-            per_batch_dedup=per_batch,
+            dedup=dedup,
             codec=codec,
+            files_per_date=files_per_date,
+            watermark=quakes_watermark,
+            report_path=f"{base_path}/_reports/earthquakes",
         ),
     ]
 
@@ -225,10 +333,10 @@ def run_forever(queries: list[StreamingQuery], poll_seconds: int = 10) -> None:
             raise RuntimeError(f"{q.name} failed: {q.exception()}")
 
 
-def fire_rejects_stream(messages: DataFrame) -> DataFrame:
+def fire_rejects_stream(messages: DataFrame, max_future: str = MAX_FUTURE) -> DataFrame:
     """Stream of rejected fire lines (``source, record, reason``)."""
     full = parse.parse_fire_lines(parse.fire_lines(messages), keep_corrupt=True)
-    return parse.fire_rejects(full)
+    return parse.fire_rejects(full, latest_accepted(max_future))
 
 
 def start_rejects(

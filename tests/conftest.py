@@ -20,9 +20,7 @@ def spark():
     s = build_session(master="local[4]", app_name="tephra-tests", shuffle_partitions=8)
     # Tests name their own shared folder (a cluster would set spark.checkpoint.dir).
     if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="tephra-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tephra-test-ckpt-"))
     yield s
     s.stop()
 

@@ -24,12 +24,19 @@ def test_ingest_rebuild_export_retention_compact(spark, scratch):
     land_messages(fires.where(f"NOT ({split})"), f"{scratch}/land_f")
     land_messages(quakes.where(f"NOT ({split})"), f"{scratch}/land_q")
     assert main(ingest) == 0
-    assert read_table(spark, f"{base}/_rejects/fires").count() == 0
+    rejects = read_table(spark, f"{base}/_rejects/fires").select("reason").distinct().collect()
+    assert [r.reason for r in rejects] == ["missing_coordinates"]
+    assert read_table(spark, f"{base}/_reports/fires").count() >= 2
     n_fires = testdata.fx_fires(ev).count()
     assert read_table(spark, f"{base}/fires").count() == n_fires
 
     assert main(["rebuild", "--base", base, "--target", marts_dir, "--as-of", "2024-01-31 00:00:00"]) == 0
     assert spark.sql("SELECT alert_status FROM v_looker_realtime_summary").count() == 1
+    stored = "default.mv_looker_fire_metrics"
+    assert spark.newSession().table(stored).count() == spark.table("fire_summary").count()
+    for name in ("mv_combined_events", "mv_looker_fire_metrics", "mv_looker_earthquake_metrics"):
+        spark.sql(f"DROP TABLE default.{name}")
+    spark.sql("DROP VIEW default.v_looker_realtime_summary")
     assert main(["export", "--base", base, "--target", out]) == 0
     assert read_table(spark, f"{out}/combined_events").count() > 0
     assert main(["retention", "--base", base, "--as-of", "2024-01-20 02:00:00", "--dry-run"]) == 0

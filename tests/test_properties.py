@@ -76,10 +76,5 @@ def test_stream_equals_batch_for_any_file_split(spark, events, scratch, files):
     cols = [c for c in read_table(spark, f"{scratch}/out").columns]
     streamed = read_table(spark, f"{scratch}/out").select(*cols)
     batch = dedup(parse.parse_fires(payloads), ["event_id"], keep="first").select(*cols)
-    # Files hold whole months of messages in any order, so only the first batch
-    # is safe from the 1-hour watermark; with one file everything is one batch.
-    if files == 1:
-        assert _same(streamed, batch)
-    else:
-        assert streamed.exceptAll(batch).count() == 0  # never a row that batch lacks
-        assert streamed.count() == streamed.select("event_id").distinct().count()
+    # Files hold whole months of messages in any order: most rows are late, none is lost.
+    assert _same(streamed, batch)

@@ -24,7 +24,7 @@ def doc(*items):
     return "\r\n".join([HEADER] + lines)
 
 
-def _arrive(spark, root, messages, dedup="state", expect_batches=1):
+def _arrive(spark, root, messages, dedup="sink"):
     land_messages(spark.createDataFrame([(m,) for m in messages], "value string"), f"{root}/landing")
     rows = pipelines.fire_events(stream_messages(spark, f"{root}/landing"), dedup=dedup)
     q = pipelines.start_ingest(
@@ -34,11 +34,11 @@ def _arrive(spark, root, messages, dedup="state", expect_batches=1):
         f"{root}/_ckpt",
         name="fires_test",
         trigger="available_now",
-        per_batch_dedup=dedup == "per_batch",
+        dedup=dedup,
     )
     q.awaitTermination()
     assert q.exception() is None
-    return pipelines.progress_rows(q, "fires")
+    return q.recentProgress
 
 
 def _ids(spark, root):
@@ -48,17 +48,62 @@ def _ids(spark, root):
 A, B, C, D = (0.1, "1000"), (0.2, "1200"), (0.3, "0800"), (0.4, "1230")
 
 
-def test_state_dedup_across_batches_and_late_rows(spark, scratch):
-    m1 = _arrive(spark, scratch, [doc(A, A)])
+def _named(*items):
+    return sorted(f"N_2024-01-01_{t}_{lat}_1.0" for lat, t in items)
+
+
+def _batches(spark, root):
+    rows = spark.read.parquet(f"{root}/fires/_batches").orderBy("batch_id").collect()
+    return [(r.rows, r.stored, r.late) for r in rows]
+
+
+def test_state_dedup_across_batches_drops_late_rows(spark, scratch):
+    _arrive(spark, scratch, [doc(A, A)], dedup="state")
     assert len(_ids(spark, scratch)) == 1  # duplicate inside one batch
+    _arrive(spark, scratch, [doc(A, B)], dedup="state")  # A again in a later batch
+    m3 = _arrive(spark, scratch, [doc(C, D)], dedup="state")  # C is older than the watermark
+    assert _ids(spark, scratch) == _named(A, B, D)
+    assert sum(s.numRowsDroppedByWatermark for p in m3 for s in p.stateOperators) >= 1
+
+
+def test_late_first_arrivals_are_stored_and_counted(spark, scratch):
+    _arrive(spark, scratch, [doc(A, A)])
     _arrive(spark, scratch, [doc(A, B)])  # A again in a later batch
-    m3 = _arrive(spark, scratch, [doc(C, D)])  # C is older than the watermark
-    ids = _ids(spark, scratch)
-    assert ids == sorted(
-        f"N_2024-01-01_{t}_{lat}_1.0" for lat, t in (A, B, D)
-    )
-    assert m1[0]["output_rows"] == 1
-    assert sum(r["dropped_by_watermark"] for r in m3) >= 1
+    _arrive(spark, scratch, [doc(C, D)])  # C is older than the watermark, and new
+    _arrive(spark, scratch, [doc(A, C, C)])  # late copies only
+    assert _ids(spark, scratch) == _named(A, B, C, D)
+    assert _batches(spark, scratch) == [(2, 1, 0), (2, 1, 0), (2, 2, 1), (3, 0, 3)]
+
+
+def test_a_row_of_the_far_future_stops_nothing(spark, scratch):
+    far = doc(A).replace("2024-01-01", "2099-01-01")
+    _arrive(spark, scratch, [far, doc(A)])
+    _arrive(spark, scratch, [doc(B, C)])
+    assert _ids(spark, scratch) == _named(A, B, C)
+    rejected = pipelines.fire_rejects_stream(spark.createDataFrame([(far,)], "value string")).collect()
+    assert [r.reason for r in rejected] == ["future_time"]
+
+
+def test_report_has_every_batch_of_a_long_run(spark, scratch):
+    """More batches than the query itself remembers."""
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        for i in range(6):
+            land_messages(spark.createDataFrame([(doc((i / 10, "1000")),)], "value string"), f"{scratch}/landing", files=1)
+        messages = stream_messages(spark, f"{scratch}/landing", max_files_per_trigger=1)
+        q = pipelines.start_ingest(
+            pipelines.fire_events(messages), f"{scratch}/fires", "acq_date", f"{scratch}/_ckpt",
+            name="long_run", trigger="available_now", report_path=f"{scratch}/_report",
+        )
+        q.awaitTermination()
+        assert q.exception() is None
+        assert pipelines.batch_reports(spark).wait("long_run")
+        report = spark.read.parquet(f"{scratch}/_report")
+        assert [r.batch_id for r in report.orderBy("batch_id").collect()] == list(range(6))
+        assert len(q.recentProgress) <= 2
+        assert [x[1] for x in _batches(spark, scratch)] == [1] * 6
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
 
 
 def test_per_batch_mode_reproduces_the_original_job(spark, scratch):
@@ -127,7 +172,7 @@ def test_two_streams_side_by_side_and_salted_writer(spark, scratch):
         q.awaitTermination()
         assert q.exception() is None
     assert read_table(spark, f"{scratch}/fires").count() == testdata.fx_fires(ev).count()
-    assert read_table(spark, f"{scratch}/earthquakes").count() == testdata.fx_quakes(ev).count()
+    assert read_table(spark, f"{scratch}/earthquakes").count() == testdata.usable(testdata.fx_quakes(ev)).count()
 
     ck = f"{scratch}/_checkpoints/fires"
     w = IdempotentBatchWriter(f"{scratch}/salted", "acq_date", ck, files_per_date=3)
@@ -141,8 +186,10 @@ def test_two_streams_side_by_side_and_salted_writer(spark, scratch):
 def test_hot_record_is_spread_then_deduplicated(spark, scratch):
     hot = doc(*([A] * 3000 + [B]))
     land_messages(spark.createDataFrame([(hot,)], "value string"), f"{scratch}/landing")
-    rows = pipelines.fire_events(stream_messages(spark, f"{scratch}/landing"), skew_salts=8)
-    q = pipelines.start_ingest(rows, f"{scratch}/fires", "acq_date", f"{scratch}/_ckpt", name="hot", trigger="available_now")
+    rows = pipelines.fire_events(stream_messages(spark, f"{scratch}/landing"), dedup="state", skew_salts=8)
+    q = pipelines.start_ingest(
+        rows, f"{scratch}/fires", "acq_date", f"{scratch}/_ckpt", name="hot", trigger="available_now", dedup="state"
+    )
     q.awaitTermination()
     assert q.exception() is None
     assert len(_ids(spark, scratch)) == 2
