@@ -1,10 +1,9 @@
-"""Deterministic rounding.
+"""Rounding and text of doubles that any engine reproduces.
 
-Averages of doubles depend on summation order, and ``round`` of a double
-differs between engines on half ties. Going through ``DECIMAL(28,8)``
-first pins the value to 8 decimals (far below any threshold we compare
-with) and then rounds half away from zero on the decimal text, so the
-same answer comes out on every executor layout and in the SQL oracle.
+``round`` of a double differs between engines on half ties. Going through
+``DECIMAL(28,8)`` first and rounding half away from zero on the decimal gives
+the same answer everywhere. Values that do not fit the decimal (wild input)
+are rounded as doubles instead: no value makes a query fail.
 """
 
 from __future__ import annotations
@@ -13,17 +12,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PIN = "decimal(28,8)"
-
-
-def pinned(x: Column) -> Column:
-    """``x`` normalised to 8 decimals, still a double."""
-    return x.cast(PIN).cast("double")
+PLAIN = "decimal(38,18)"
 
 
 def round_half_up(x: Column, scale: int) -> Column:
-    return F.round(x.cast(PIN), scale).cast("double")
+    return F.coalesce(F.round(x.try_cast(PIN), scale).cast("double"), F.round(x, scale))
+
 
+def double_text(x: Column) -> Column:
+    """All digits of a double, without exponent or closing zeros (``12.5``, ``12``, ``0.0001``).
 
-def double_text(x: Column, scale: int = 6) -> Column:
-    """Fixed-point text for coordinates (no exponent notation)."""
-    return x.cast(f"decimal({scale + 3},{scale})").cast("string")
+    Beyond 20 digits before the point the engine's own text is used.
+    """
+    plain = F.regexp_replace(x.try_cast(PLAIN).cast("string"), r"\.?0+$", "")
+    return F.coalesce(plain, x.cast("string"))

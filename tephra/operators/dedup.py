@@ -1,16 +1,16 @@
 """Duplicate removal on a static DataFrame (one micro-batch or a backfill).
 
-``keep="any"`` is a plain ``dropDuplicates`` (which copy survives is up to
-the engine; fine when copies are identical). ``keep="first"``/``"last"``
-chooses, per key, the copy with the smallest/largest ``order_by`` value
-and is deterministic. Both plan as a hash aggregate with a map-side
-partial step, so a hot key collapses before the shuffle instead of
-sending all of its copies to one task.
+Identical copies go first, by a hash aggregate with a map-side step, so a
+record repeated a million times is one row per task before any shuffle on
+its key. Of the rows left per key one is chosen by position in one sort:
+``keep="first"``/``"last"`` by the smallest/largest ``order_by`` values (all
+other columns break ties, so the choice is deterministic), ``keep="any"``
+whichever comes first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -20,20 +20,13 @@ def dedup(
     keep: str = "any",
     order_by: list[str] | None = None,
 ) -> DataFrame:
-    if keep == "any":
-        return df.dropDuplicates(keys)
-    if keep not in ("first", "last"):
+    if keep not in ("any", "first", "last"):
         raise ValueError("keep must be 'any', 'first' or 'last'")
     others = [c for c in df.columns if c not in keys]
-    order = order_by or others
-    # The ordering struct leads with the order columns, then every other column
-    # as a tie-break, so equal order values still pick one copy deterministically.
-    rank = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in others if c not in order])
-    payload = F.struct(*[F.col(c) for c in others])
-    pick = F.min_by if keep == "first" else F.max_by
-    return (
-        df.groupBy(*keys)
-        .agg(pick(payload, rank).alias("_row"))
-        .select(*keys, "_row.*")
-        .select(*df.columns)
-    )
+    order = [*(order_by or []), *(c for c in others if c not in (order_by or []))]
+    if keep == "any" or not others:
+        ranked = [F.col(k) for k in keys]
+    else:
+        ranked = [F.col(c).desc() if keep == "last" else F.col(c).asc() for c in order]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*ranked))
+    return df.distinct().withColumn("_place", place).where("_place = 1").drop("_place")

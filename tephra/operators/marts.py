@@ -2,10 +2,8 @@
 
 All are single hash aggregations (partial aggregate before the shuffle,
 final after it), so a hot group costs one row per map task on the wire.
-Averages are pinned to 8 decimals before they are compared with a
-threshold and rounded half away from zero on the decimal value, which
-makes the result independent of the summation order (see
-``tephra.functions.numeric``).
+Thresholds are tested on the unrounded averages. The summaries round what
+they show; clusters and combined events keep the raw averages.
 """
 
 from __future__ import annotations
@@ -14,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tephra.functions import rules
-from tephra.functions.numeric import pinned, round_half_up
+from tephra.functions.numeric import round_half_up
 
 COMBINED_COLUMNS = [
     "latitude",
@@ -66,7 +64,7 @@ def fire_summary(
         round_half_up(F.avg("fire_radioactive_power"), 2).alias("avg_frp"),
         F.max("fire_radioactive_power").alias("max_frp"),
         rules.classify(
-            pinned(avg_b), rules.FIRE_INTENSITY_CATEGORY, rules.FIRE_INTENSITY_CATEGORY_DEFAULT
+            avg_b, rules.FIRE_INTENSITY_CATEGORY, rules.FIRE_INTENSITY_CATEGORY_DEFAULT
         ).alias("fire_intensity_category"),
     )
     return out.orderBy(F.col("event_date").desc()) if ordered else out
@@ -96,7 +94,6 @@ def quake_summary(
 def fire_clusters(stg: DataFrame, date_from=None, date_to=None) -> DataFrame:
     """One row per (grid cell, day): centroid, mean brightness, last time, severity.
 
-    Coordinates and intensity are pinned to 6 decimals (about 0.1 m).
     ``event_date`` is the grouping day, which equals the day of the last
     time in the group; being a grouping key, a filter on it is pushed
     below the aggregate (and on to the partition column of the scan).
@@ -104,13 +101,13 @@ def fire_clusters(stg: DataFrame, date_from=None, date_to=None) -> DataFrame:
     stg = _date_window(stg, _part(stg, "acq_date"), date_from, date_to)
     avg_b = F.avg("bright_ti4")
     return stg.groupBy("cluster_id", F.to_date("event_time").alias("event_date")).agg(
-        round_half_up(F.avg("latitude"), 6).alias("latitude"),
-        round_half_up(F.avg("longitude"), 6).alias("longitude"),
+        F.avg("latitude").alias("latitude"),
+        F.avg("longitude").alias("longitude"),
         F.lit("fire").alias("event_type"),
-        round_half_up(avg_b, 6).alias("intensity_measure"),
+        avg_b.alias("intensity_measure"),
         F.max("event_time").alias("event_time"),
         rules.classify(
-            pinned(avg_b), rules.FIRE_CLUSTER_SEVERITY, rules.EVENT_SEVERITY_DEFAULT
+            avg_b, rules.FIRE_CLUSTER_SEVERITY, rules.EVENT_SEVERITY_DEFAULT
         ).alias("severity_level"),
     ).select(*COMBINED_COLUMNS)
 

@@ -59,6 +59,7 @@ def map_events(combined: DataFrame) -> DataFrame:
     latlong = F.concat(
         double_text(F.col("latitude")), F.lit(","), double_text(F.col("longitude"))
     )
+    # The column names and the texts of this layer.
     return combined.select(
         "event_type",
         "intensity_measure",
@@ -70,7 +71,7 @@ def map_events(combined: DataFrame) -> DataFrame:
         latlong.alias("latlong"),
         category.alias("intensity_category"),
         color.alias("map_color"),
-        round_half_up(bubble, 4).alias("bubble_size"),
+        bubble.alias("bubble_size"),
         tooltip.alias("tooltip_text"),
     )
 
@@ -181,3 +182,40 @@ def realtime_summary(combined: DataFrame, as_of=None) -> DataFrame:
         alert.alias("alert_status"),
         now.alias("last_updated"),
     )
+
+
+def realtime_sql(table: str, as_of: str | None = None) -> str:
+    """The realtime card as SQL text over the stored map layer, for a catalog view.
+
+    The same counters as :func:`realtime_summary`: one pass over the partitions that
+    the 7-day window can touch, one row always.
+    """
+    now = "current_timestamp()" if as_of is None else f"TIMESTAMP '{as_of}'"
+    quake_bound, fire_bound = rules.ALERT_QUAKE_FROM, rules.ALERT_FIRE_ABOVE
+    counters = {
+        "fires_24h": "recent AND fire",
+        "earthquakes_24h": "recent AND quake",
+        "severe_fires_24h": f"recent AND fire AND x > {rules.SEVERE_FIRE_ABOVE}",
+        "significant_earthquakes_24h": f"recent AND quake AND x >= {rules.SIGNIFICANT_QUAKE_FROM}",
+        "fires_7d": "fire",
+        "earthquakes_7d": "quake",
+    }
+    counted = ", ".join(f"count_if({test}) AS {name}" for name, test in counters.items())
+    return f"""
+        SELECT {", ".join(counters)}, max_fire_intensity_24h, max_earthquake_magnitude_24h,
+               CASE WHEN max_earthquake_magnitude_24h >= {quake_bound} THEN 'CRITICAL'
+                    WHEN max_fire_intensity_24h > {fire_bound} THEN 'HIGH'
+                    WHEN events_24h > {rules.ALERT_COUNT_ABOVE} THEN 'ELEVATED'
+                    ELSE 'NORMAL' END AS alert_status,
+               {now} AS last_updated
+        FROM (
+            SELECT {counted}, count_if(recent) AS events_24h,
+                   max(x) FILTER (WHERE recent AND fire) AS max_fire_intensity_24h,
+                   max(x) FILTER (WHERE recent AND quake) AS max_earthquake_magnitude_24h
+            FROM (
+                SELECT intensity_measure AS x, event_type = 'fire' AS fire, event_type = 'earthquake' AS quake,
+                       event_time >= {now} - INTERVAL 24 HOURS AS recent
+                FROM {table}
+                WHERE event_time >= {now} - INTERVAL 7 DAYS AND event_date >= to_date({now} - INTERVAL 7 DAYS)
+            )
+        )"""

@@ -3,21 +3,30 @@
 Three modes:
 
 * ``snapshot``     - truncate and load the whole relation (combined events).
-* ``append_hwm``   - append rows whose time column is strictly greater than
-  the largest value already in the target (full load when the target is
-  missing or empty). This is the original job's rule; it freezes the
-  partial counts of the day that was open at the previous export.
+* ``append_hwm``   - load the days strictly after the largest day already in the
+  target (everything when the target is missing or empty). This is the original
+  job's rule; it freezes the partial counts of the day that was open at the
+  previous export. A load writes whole days with dynamic partition overwrite and
+  logs its mark before it starts: a load that stopped half-way is repeated from the
+  same mark, and no row is doubled.
 * ``refresh_dates``- recompute every date from ``hwm - lateness_days`` on and
   replace just those date partitions (dynamic partition overwrite), so
   late rows of an open day are picked up; older dates are not touched.
 
+A mart is a DataFrame, or a function ``date_from -> DataFrame`` (``None``: all days):
+with a function the day limit goes to the scan of the stored tables, whose older
+partitions are then not read.
+
 Row counts come from a ``DataFrame.observe`` on the written rows (no
-second pass over the data).
+second pass over the data). Days after tomorrow never count as a mark: one row
+with a wrong date must not stop all later loads.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -48,8 +57,11 @@ LOG_SCHEMA = StructType(
         StructField("rows", LongType()),
         StructField("high_water_mark", StringType()),
         StructField("error", StringType()),
+        StructField("load_id", StringType()),
     ]
 )
+EXPORT_LOG = "_export_log"
+Mart = DataFrame | Callable[[dt.date | None], DataFrame]
 
 
 def read_target(spark: SparkSession, path: str) -> DataFrame | None:
@@ -73,7 +85,15 @@ def high_water_mark(spark: SparkSession, path: str, time_col: str):
     if target is None:
         return None
     # Only the time column is read; for a partition column this touches no data pages.
-    return high_water_mark_frame(target.select(time_col), time_col).first()[0]
+    sound = target.select(time_col).where(F.col(time_col).cast("date") <= F.date_add(F.current_date(), 1))
+    return high_water_mark_frame(sound, time_col).first()[0]
+
+
+def since(mart: Mart, date_from: dt.date | None) -> DataFrame:
+    """The mart from a day on (``None``: all of it)."""
+    if not isinstance(mart, DataFrame):
+        return mart(date_from)
+    return mart if date_from is None else mart.where(F.col(PARTITION_COL) >= F.lit(date_from))
 
 
 def _write_counted(df: DataFrame, writer) -> int:
@@ -88,26 +108,26 @@ def export_snapshot(df: DataFrame, path: str) -> dict:
     return {"mode": "snapshot", "rows": rows, "high_water_mark": None}
 
 
-def export_append_hwm(spark: SparkSession, df: DataFrame, path: str, time_col: str) -> dict:
-    hwm = high_water_mark(spark, path, time_col)
-    new = df if hwm is None else df.where(F.col(time_col) > F.lit(hwm))
-    rows = _write_counted(new, lambda d: write_partitioned(d, path, PARTITION_COL, "append"))
+def export_append_hwm(spark: SparkSession, mart: Mart, path: str, time_col: str = PARTITION_COL, hwm=None) -> dict:
+    """``hwm`` overrides the target's own mark (the mark of a load to repeat)."""
+    if hwm is None:
+        hwm = high_water_mark(spark, path, time_col)
+    new = since(mart, hwm)
+    if hwm is not None:
+        new = new.where(F.col(time_col) > F.lit(hwm))
+    rows = _write_counted(new, lambda d: write_partitioned(d, path, PARTITION_COL, "overwrite", dynamic=True))
     return {"mode": "append_hwm", "rows": rows, "high_water_mark": hwm}
 
 
 def export_refresh_dates(
     spark: SparkSession,
-    df: DataFrame,
+    mart: Mart,
     path: str,
     date_col: str = PARTITION_COL,
     lateness_days: int = 1,
 ) -> dict:
     hwm = high_water_mark(spark, path, date_col)
-    if hwm is None:
-        fresh = df
-    else:
-        start = hwm - dt.timedelta(days=lateness_days)
-        fresh = df.where(F.col(date_col) >= F.lit(start))
+    fresh = since(mart, None if hwm is None else hwm - dt.timedelta(days=lateness_days))
     rows = _write_counted(
         fresh,
         lambda d: write_partitioned(d, path, PARTITION_COL, "overwrite", dynamic=True),
@@ -115,9 +135,59 @@ def export_refresh_dates(
     return {"mode": "refresh_dates", "rows": rows, "high_water_mark": hwm}
 
 
+def _log(spark: SparkSession, target_root: str, rows: list[tuple]) -> DataFrame:
+    frame = spark.createDataFrame(rows, LOG_SCHEMA)
+    frame.withColumn("logged_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(
+        f"{target_root}/{EXPORT_LOG}"
+    )
+    return frame
+
+
+def unfinished_load(spark: SparkSession, target_root: str, table: str) -> tuple[str, str | None] | None:
+    """``(load_id, mark)`` of the latest append of a table, if it started and never succeeded."""
+    path = f"{target_root}/{EXPORT_LOG}"
+    if not path_exists(spark, path):
+        return None
+    loads = spark.read.parquet(path).where((F.col("table") == table) & (F.col("mode") == "append_hwm"))
+    by_load = loads.groupBy("load_id").agg(
+        F.min("logged_at").alias("began"),
+        F.max(F.when(F.col("status") == "SUCCESS", 1).otherwise(0)).alias("done"),
+        F.max(F.when(F.col("status") == "STARTED", 1).otherwise(0)).alias("started"),
+        F.max("high_water_mark").alias("mark"),
+    ).where("started = 1")
+    # One row per load of this table; the latest decides.
+    last = by_load.orderBy(F.col("began").desc()).first()
+    return None if last is None or last["done"] else (last["load_id"], last["mark"])
+
+
+def _append(spark: SparkSession, mart: Mart, target_root: str, table: str) -> tuple[dict, str]:
+    path, time_col = f"{target_root}/{table}", TIME_COLUMNS.get(table, PARTITION_COL)
+    again = unfinished_load(spark, target_root, table)
+    if again is not None:
+        load_id, mark = again
+        mark = None if mark is None else dt.date.fromisoformat(mark)
+        if mark is None:
+            # It was to load everything into a target without rows: so it is again.
+            return {**_everything(mart, path), "high_water_mark": None}, load_id
+    else:
+        load_id, mark = uuid.uuid4().hex, high_water_mark(spark, path, time_col)
+        text = None if mark is None else str(mark)
+        _log(spark, target_root, [(table, "append_hwm", "STARTED", 0, text, None, load_id)])
+        if mark is None:
+            return {**_everything(mart, path), "high_water_mark": None}, load_id
+    return export_append_hwm(spark, mart, path, time_col, hwm=mark), load_id
+
+
+def _everything(mart: Mart, path: str) -> dict:
+    rows = _write_counted(
+        since(mart, None), lambda d: write_partitioned(d, path, PARTITION_COL, "overwrite", dynamic=True)
+    )
+    return {"mode": "append_hwm", "rows": rows}
+
+
 def export_tables(
     spark: SparkSession,
-    marts: dict[str, DataFrame],
+    marts: dict[str, Mart],
     target_root: str,
     incremental: str = "refresh_dates",
     lateness_days: int = 1,
@@ -125,24 +195,21 @@ def export_tables(
 ) -> DataFrame:
     """Export every mart; returns (and appends to ``_export_log``) the run log."""
     log = []
-    for table, df in marts.items():
-        path = f"{target_root}/{table}"
+    for table, mart in marts.items():
+        path, load_id = f"{target_root}/{table}", uuid.uuid4().hex
         try:
             if table in SNAPSHOT_TABLES:
-                res = export_snapshot(df, path)
+                res = export_snapshot(since(mart, None), path)
             elif incremental == "append_hwm":
-                res = export_append_hwm(spark, df, path, TIME_COLUMNS[table])
+                res, load_id = _append(spark, mart, target_root, table)
             else:
-                res = export_refresh_dates(spark, df, path, PARTITION_COL, lateness_days)
+                res = export_refresh_dates(spark, mart, path, PARTITION_COL, lateness_days)
             status, err = "SUCCESS", None
         except Exception as e:  # noqa: BLE001 - recorded, then raised below
             res, status, err = {"mode": incremental, "rows": 0, "high_water_mark": None}, "FAILED", str(e)
         hwm = res["high_water_mark"]
-        log.append(
-            (table, res["mode"], status, res["rows"], None if hwm is None else str(hwm), err)
-        )
-    frame = spark.createDataFrame(log, LOG_SCHEMA)
-    frame.write.mode("append").parquet(f"{target_root}/_export_log")
+        log.append((table, res["mode"], status, res["rows"], None if hwm is None else str(hwm), err, load_id))
+    frame = _log(spark, target_root, log)
     failed = [r[0] for r in log if r[2] != "SUCCESS"]
     if failed and raise_on_error:
         raise RuntimeError(f"export failed for {failed}")
@@ -154,6 +221,7 @@ def refresh_marts(
     build,
     target_root: str,
     lateness_days: int = 1,
+    raise_on_error: bool = True,
 ) -> DataFrame:
     """The hourly incremental export, reading only the days it rewrites.
 
@@ -164,25 +232,5 @@ def refresh_marts(
     from ``high water mark - lateness_days`` (dynamic partition overwrite);
     the combined events are a snapshot and are rebuilt whole.
     """
-    log = []
-    starts = {}
-    for table in TIME_COLUMNS:
-        if table in SNAPSHOT_TABLES:
-            continue
-        hwm = high_water_mark(spark, f"{target_root}/{table}", PARTITION_COL)
-        starts[table] = (hwm, None if hwm is None else hwm - dt.timedelta(days=lateness_days))
-    for table, (hwm, start) in starts.items():
-        df = build(start)[table]
-        rows = _write_counted(
-            df,
-            lambda d, t=table: write_partitioned(
-                d, f"{target_root}/{t}", PARTITION_COL, "overwrite", dynamic=True
-            ),
-        )
-        log.append((table, "refresh_dates", "SUCCESS", rows, None if hwm is None else str(hwm), None))
-    for table in SNAPSHOT_TABLES:
-        res = export_snapshot(build(None)[table], f"{target_root}/{table}")
-        log.append((table, "snapshot", "SUCCESS", res["rows"], None, None))
-    frame = spark.createDataFrame(log, LOG_SCHEMA)
-    frame.write.mode("append").parquet(f"{target_root}/_export_log")
-    return frame
+    marts = {t: (lambda d, t=t: build(d)[t]) for t in TIME_COLUMNS}
+    return export_tables(spark, marts, target_root, "refresh_dates", lateness_days, raise_on_error)

@@ -11,14 +11,15 @@ Scenarios (all on data Spark derives from ``events``):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tephra import oracle
 from tephra.operators import marts, parse, quality, staging
-from tephra.plans import export, retention
+from tephra.plans import export, pipeline, retention
+from tephra.plans.queries import shown
 from tephra.session import prepare, run_dir
-from tephra.sinks.parquet import read_table, write_partitioned
+from tephra.sinks.parquet import hadoop_path, read_table, write_partitioned
 from tephra.sources import testdata
 
 DATASETS = {"fires": "acq_date", "earthquakes": "event_date"}
@@ -46,17 +47,19 @@ def _first_and_full(spark: SparkSession, sf_dir: str):
 
 
 def q_export_hwm(spark, sf_dir):
-    first, _ = _first_and_full(spark, sf_dir)
+    """The marks of both summaries after the first load and after the second."""
+    first, full = _first_and_full(spark, sf_dir)
     root = run_dir(spark, "export-hwm")
-    summaries = {t: first[t] for t in ("fire_summary", "earthquake_summary")}
-    export.export_tables(spark, summaries, root, incremental="append_hwm")
-    frames = [
-        export.high_water_mark_frame(read_table(spark, f"{root}/{t}"), "event_date").select(
-            F.lit(t).alias("table_name"), "high_water_mark"
-        )
-        for t in ("fire_summary", "earthquake_summary")
-    ]
-    return frames[0].unionByName(frames[1])
+    tables = ("fire_summary", "earthquake_summary")
+    out = None
+    for load, source in ((1, first), (2, full)):
+        export.export_tables(spark, {t: source[t] for t in tables}, root, incremental="append_hwm")
+        for t in tables:
+            # The value itself: the next load changes the target.
+            mark = export.high_water_mark(spark, f"{root}/{t}", "event_date")
+            row = spark.createDataFrame([(t, load, mark)], "table_name string, load int, high_water_mark date")
+            out = row if out is None else out.unionByName(row)
+    return out
 
 
 def _after_second_export(spark, sf_dir, table: str, incremental: str) -> DataFrame:
@@ -83,15 +86,28 @@ def _snapshot(spark, sf_dir) -> DataFrame:
 
 
 def q_export_snapshot(spark, sf_dir):
-    return _snapshot(spark, sf_dir)
+    return shown(_snapshot(spark, sf_dir))
 
 
 def q_export_clustered_layout(spark, sf_dir):
-    """Rows per (date, type, severity) as read back from the clustered layout."""
-    return (
-        _snapshot(spark, sf_dir)
-        .groupBy("event_date", "event_type", "severity_level")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+    """Rows per (date, type, severity) of the clustered layout as it lies on disk: how many
+    break the order inside their file, and how many lie in another date's folder."""
+    stored = _snapshot(spark, sf_dir).select(
+        "event_date",
+        "event_type",
+        "severity_level",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("at"),
+    )
+    here = F.struct("event_type", "severity_level")
+    # One file at a time: its size is bounded by the writer.
+    before = F.lag(here).over(Window.partitionBy("file").orderBy("at"))
+    stored = stored.withColumn("out_of_order", F.coalesce(here < before, F.lit(False)))
+    folder = F.regexp_extract("file", "event_date=([^/]+)/", 1)
+    return stored.groupBy("event_date", "event_type", "severity_level").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if("out_of_order").alias("rows_out_of_order"),
+        F.count_if(folder != F.col("event_date").cast("string")).alias("rows_in_wrong_folder"),
     )
 
 
@@ -108,6 +124,9 @@ def _write_event_tables(spark, sf_dir) -> str:
     base = run_dir(spark, "retention")
     write_partitioned(testdata.fires_table(ev), f"{base}/fires", "acq_date")
     write_partitioned(testdata.quakes_table(ev), f"{base}/earthquakes", "event_date")
+    for name in oracle.ODD_FOLDERS:
+        folder, fs = hadoop_path(spark, f"{base}/fires/{name}")
+        fs.mkdirs(folder)
     return base
 
 
@@ -115,24 +134,63 @@ def q_retention_plan(spark, sf_dir):
     base = _write_event_tables(spark, sf_dir)
     plan = retention.retention_plan(spark, base, DATASETS, as_of=oracle.RETENTION_AS_OF)
     plan = retention.with_row_counts(plan, spark, base, DATASETS)
-    return plan.select("dataset", "partition", "partition_date", "action", "n_rows")
+    rows = F.coalesce("n_rows", F.lit(0)).alias("n_rows")
+    day = F.coalesce(F.col("partition_date").cast("string"), F.lit("")).alias("partition_date")
+    return plan.select("dataset", "partition", day, "action", rows)
 
 
-def q_retention_report(spark, sf_dir):
-    """Apply retention, then report per dataset, with the rows left on disk."""
+def _retained(spark, sf_dir) -> tuple[str, DataFrame]:
+    """Tables after the retention job, and its report."""
     base = _write_event_tables(spark, sf_dir)
     # The plan is materialised before anything is deleted.
     plan = retention.retention_plan(spark, base, DATASETS, as_of=oracle.RETENTION_AS_OF).checkpoint()
-    retention.apply_retention(spark, plan, base)
-    report = retention.retention_report(plan)
+    return base, retention.retention_report(plan, retention.apply_retention(spark, plan, base))
+
+
+def q_retention_report(spark, sf_dir):
+    """Apply retention, then report per dataset, with the rows left on disk."""
+    base, report = _retained(spark, sf_dir)
     left = None
-    for name in DATASETS:
-        n = read_table(spark, f"{base}/{name}").agg(F.count(F.lit(1)).alias("rows_remaining"))
+    for name, key in DATASETS.items():
+        files = spark.read.option("basePath", f"{base}/{name}").parquet(f"{base}/{name}/{key}=20*")
+        n = files.agg(F.count(F.lit(1)).alias("rows_remaining"))
         n = n.select(F.lit(name).alias("dataset"), "rows_remaining")
         left = n if left is None else left.unionByName(n)
     return retention.merge_on(report, left, ["dataset"]).select(
-        "dataset", "partitions_scanned", "partitions_deleted", "cutoff_date", "errors", "rows_remaining"
+        "dataset",
+        "partitions_scanned",
+        "partitions_deleted",
+        "cutoff_date",
+        "errors",
+        F.array_join("deleted", ",").alias("deleted"),
+        "rows_remaining",
+    )
+
+
+def q_retention_status(spark, sf_dir):
+    """Totals and exit status of the whole retention job."""
+    status = retention.retention_status(_retained(spark, sf_dir)[1])
+    return status.select("partitions_scanned", "partitions_deleted", "errors", "status")
+
+
+def q_refresh_views(spark, sf_dir):
+    """Refresh the stored dashboard relations, then read them by name in another session."""
+    ev = _events(spark, sf_dir)
+    base = run_dir(spark, "views")
+    write_partitioned(testdata.fires_table(ev), f"{base}/fires", "acq_date")
+    write_partitioned(testdata.quakes_table(ev), f"{base}/earthquakes", "event_date")
+    # A schema of its own, so that runs in one catalog never collide.
+    schema = f"tephra_{base.rsplit('-', 1)[-1]}"
+    pipeline.refresh_views(spark, base, f"{base}/marts", as_of=oracle.AS_OF, schema=schema)
+    other = prepare(spark.newSession())
+    days = "count(*) AS n_rows, cast(min(event_date) AS STRING) AS first_day, cast(max(event_date) AS STRING) AS last_day"
+    names = ("mv_combined_events", "mv_looker_fire_metrics", "mv_looker_earthquake_metrics")
+    parts = [f"SELECT '{n}' AS relation, {days} FROM {schema}.{n}" for n in names]
+    parts.append(
+        "SELECT 'v_looker_realtime_summary', fires_7d + earthquakes_7d, alert_status, cast(fires_24h AS STRING) "
+        f"FROM {schema}.v_looker_realtime_summary"
     )
+    return other.sql(" UNION ALL ".join(parts))
 
 
 def q_dq_checks(spark, sf_dir):
@@ -179,6 +237,8 @@ def maintenance_queries() -> dict:
         "export_status": q_export_status,
         "retention_plan": q_retention_plan,
         "retention_report": q_retention_report,
+        "retention_status": q_retention_status,
+        "refresh_views": q_refresh_views,
         "dq_checks": q_dq_checks,
         "rejects": q_rejects,
         "batch_preview": q_batch_preview,

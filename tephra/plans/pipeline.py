@@ -1,4 +1,4 @@
-"""End-to-end compositions: the hourly rebuild and the SQL views.
+"""End-to-end compositions: the hourly rebuild and the SQL relations.
 
 ``register_views`` exposes every relation under the name the dashboards
 use, as Spark SQL temporary views over the stored event tables, so SQL
@@ -9,17 +9,22 @@ written against those names runs unchanged::
 
 ``rebuild`` is the hourly model run: the two summary tables and the
 combined events are recomputed from staging and written (full rebuild,
-overwrite), and the dashboard relations are views over what was written.
+overwrite). ``refresh_views`` adds the dashboard relations as stored tables
+that other sessions find by name: the map layer (partitioned by day, clustered
+by type and severity) and both metrics, and the live card as a catalog view,
+which is evaluated when it is read.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tephra.operators import marts, parse, serving, staging
 from tephra.operators.dedup import dedup
 from tephra.session import prepare
-from tephra.sinks.parquet import read_table, write_clustered_snapshot
+from tephra.sinks.parquet import hadoop_path, read_table, write_clustered_snapshot
 from tephra.sources import testdata
 
 # Relation names of the original models and dashboards.
@@ -50,8 +55,8 @@ def relations(fires: DataFrame, quakes: DataFrame, as_of=None) -> dict[str, Data
     """Every relation of the model graph, lazily, from the two event tables."""
     stg_f = staging.stg_fires(fires)
     stg_q = staging.stg_quakes(quakes)
-    fs = marts.fire_summary(stg_f)
-    qs = marts.quake_summary(stg_q)
+    fs = marts.fire_summary(stg_f, ordered=False)
+    qs = marts.quake_summary(stg_q, ordered=False)
     combined = marts.combined_events(stg_f, stg_q)
     return {
         "stg_fires": staging.reference_columns(stg_f),
@@ -92,10 +97,18 @@ def rebuild(spark: SparkSession, base_path: str, target_root: str, as_of=None) -
     for name in ("fire_summary", "earthquake_summary"):
         write_clustered_snapshot(rels[name], f"{target_root}/{name}", "event_date", cluster_by=())
     write_clustered_snapshot(rels["combined_events"], f"{target_root}/combined_events")
+    stored = stored_relations(spark, target_root, as_of)
+    for key, df in stored.items():
+        df.createOrReplaceTempView(VIEW_NAMES[key])
+    return stored
+
+
+def stored_relations(spark: SparkSession, target_root: str, as_of=None) -> dict[str, DataFrame]:
+    """The dashboard relations over the stored models."""
     fs = read_table(spark, f"{target_root}/fire_summary")
     qs = read_table(spark, f"{target_root}/earthquake_summary")
     ce = read_table(spark, f"{target_root}/combined_events")
-    stored = {
+    return {
         "fire_summary": fs,
         "earthquake_summary": qs,
         "combined_events": ce,
@@ -104,6 +117,53 @@ def rebuild(spark: SparkSession, base_path: str, target_root: str, as_of=None) -
         "quake_metrics": serving.quake_metrics(qs),
         "realtime": serving.realtime_summary(serving.map_events(ce), as_of),
     }
-    for key, df in stored.items():
-        df.createOrReplaceTempView(VIEW_NAMES[key])
-    return stored
+
+
+# Stored dashboard tables: clustering columns, and whether they are rebuilt only when old.
+STORED_VIEWS = {
+    "map": (("event_type", "severity_level"), False),
+    "fire_metrics": ((), True),
+    "quake_metrics": ((), True),
+}
+# Fixed value: the original metrics views refresh hourly.
+REFRESH_MINUTES = 60
+
+
+def _fresh(spark: SparkSession, path: str, minutes: int) -> bool:
+    """Whether the table's last completed write is younger than ``minutes``."""
+    marker, fs = hadoop_path(spark, f"{path}/_SUCCESS")
+    if not fs.exists(marker):
+        return False
+    written = fs.getFileStatus(marker).getModificationTime() / 1000
+    return time.time() - written < 60 * minutes
+
+
+def refresh_views(
+    spark: SparkSession,
+    base_path: str,
+    target_root: str,
+    as_of=None,
+    schema: str = "default",
+    refresh_minutes: int = 0,
+) -> dict[str, str]:
+    """Rebuild the models, store the dashboard relations, and name them in the catalog.
+
+    A metrics table younger than ``refresh_minutes`` (``REFRESH_MINUTES`` in the
+    hourly job) is left as it is. Returns the catalog names.
+    """
+    rebuild(spark, base_path, target_root, as_of)
+    relations_now = stored_relations(spark, target_root, as_of)
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    names = {}
+    for key, (cluster_by, hourly) in STORED_VIEWS.items():
+        name = VIEW_NAMES[key]
+        path = f"{target_root}/{name}"
+        if not (hourly and refresh_minutes and _fresh(spark, path, refresh_minutes)):
+            write_clustered_snapshot(relations_now[key], path, "event_date", cluster_by)
+        names[key] = f"{schema}.{name}"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {names[key]} USING parquet LOCATION '{path}'")
+        spark.sql(f"MSCK REPAIR TABLE {names[key]} SYNC PARTITIONS")
+        spark.sql(f"REFRESH TABLE {names[key]}")
+    names["realtime"] = f"{schema}.{VIEW_NAMES['realtime']}"
+    spark.sql(f"CREATE OR REPLACE VIEW {names['realtime']} AS {serving.realtime_sql(names['map'], as_of)}")
+    return names

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tephra import oracle
+from tephra.functions.numeric import double_text, round_half_up
 from tephra.operators import marts, parse, serving, staging
 from tephra.operators.dedup import dedup
 from tephra.session import prepare
@@ -43,6 +44,11 @@ def q_fires_ids(spark, sf_dir):
     return fires.select("event_id", "cluster_id", "satellite", "acq_date", "acq_time")
 
 
+def shown(combined: DataFrame) -> DataFrame:
+    """Events with their averages to six digits: the last digits depend on summation order."""
+    return combined.withColumns({c: round_half_up(F.col(c), 6) for c in ("latitude", "longitude", "intensity_measure")})
+
+
 def q_fires_dedup(spark, sf_dir):
     payloads = testdata.fire_payloads(_events(spark, sf_dir), resend=True)
     return dedup(parse.parse_fires(payloads), ["event_id"], keep="first")
@@ -84,16 +90,19 @@ def q_quake_summary(spark, sf_dir):
 
 
 def q_fire_clusters(spark, sf_dir):
-    return marts.fire_clusters(_stg(spark, sf_dir)[0])
+    return shown(marts.fire_clusters(_stg(spark, sf_dir)[0]))
 
 
 def q_combined_events(spark, sf_dir):
-    f, q = _stg(spark, sf_dir)
-    return marts.combined_events(f, q)
+    return shown(marts.combined_events(*_stg(spark, sf_dir)))
 
 
 def q_map_events(spark, sf_dir):
-    return serving.map_events(q_combined_events(spark, sf_dir))
+    out = shown(serving.map_events(marts.combined_events(*_stg(spark, sf_dir))))
+    short = F.transform(F.split("latlong", ","), lambda x: double_text(round_half_up(x.cast("double"), 6)))
+    return out.withColumns(
+        {"bubble_size": round_half_up(F.col("bubble_size"), 4), "latlong": F.array_join(short, ",")}
+    )
 
 
 def q_fire_metrics(spark, sf_dir):
@@ -106,7 +115,8 @@ def q_quake_metrics(spark, sf_dir):
 
 def q_realtime_summary(spark, sf_dir):
     f, q = _stg(spark, sf_dir)
-    return serving.realtime_summary_from_staging(f, q, as_of=oracle.AS_OF)
+    card = serving.realtime_summary_from_staging(f, q, as_of=oracle.AS_OF)
+    return card.withColumn("max_fire_intensity_24h", round_half_up(F.col("max_fire_intensity_24h"), 6))
 
 
 def core_queries() -> dict[str, Query]:

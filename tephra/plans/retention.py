@@ -1,8 +1,7 @@
 """Partition retention for date-partitioned Parquet datasets.
 
-``retention_plan`` builds the partition inventory with Spark's file
-listing (``binaryFile`` with only ``path``/``length`` selected, so no
-file content is read) and decides per partition directory:
+``retention_plan`` lists the first-level folders of each dataset (one row per
+partition; empty ones too) and decides per folder:
 
 * ``delete`` - ``<key>=<date>`` with the date before ``as_of - (days + buffer)``
   (the cutoff keeps the time of day of ``as_of``, strict ``<``);
@@ -12,7 +11,8 @@ file content is read) and decides per partition directory:
 
 ``apply_retention`` removes the ``delete`` partitions (Hadoop FileSystem,
 so any cluster file system works; or ``ALTER TABLE .. DROP PARTITION`` for
-a catalog table) and ``retention_report`` summarises a plan per dataset.
+a catalog table), each on its own: one that fails is recorded and the others
+go on. ``retention_report`` summarises plan and outcome per dataset.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tephra.sinks.parquet import path_exists
+from tephra.sinks.parquet import hadoop_path, must, path_exists
 
 # The original schedule keeps 7 days plus a 1-day buffer.
 RETENTION_DAYS = 7
@@ -37,31 +37,22 @@ def _ts(value) -> Column:
     return F.lit(str(value)).cast("timestamp")
 
 
-def partition_inventory(spark: SparkSession, dataset_path: str) -> DataFrame:
-    """One row per first-level directory: name, file count, bytes."""
-    root = dataset_path.rstrip("/")
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select("path", "length")
-    )
-    # Path relative to the dataset root; its first segment is the partition directory.
-    rel = F.regexp_extract(F.col("path"), r"^.*?" + _tail_pattern(root) + r"/(.*)$", 1)
-    parts = F.split(rel, "/")
-    return (
-        files.where(F.size(parts) > 1)
-        .groupBy(F.get(parts, 0).alias("partition"))
-        .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
-    )
+INVENTORY = "partition string, n_files bigint, bytes bigint"
 
 
-def _tail_pattern(root: str) -> str:
-    import re
+def partition_inventory(spark: SparkSession, dataset_path: str) -> DataFrame:
+    """One row per first-level folder: name, file count, bytes.
 
-    tail = root.split("://", 1)[-1]
-    tail = tail.lstrip("/")
-    return re.escape(tail)
+    Folder names and totals come from the file system's own summary; the files of the
+    table are never listed in the driver.
+    """
+    root, fs = hadoop_path(spark, dataset_path)
+    rows = []
+    for st in fs.listStatus(root):
+        if st.isDirectory():
+            total = fs.getContentSummary(st.getPath())
+            rows.append((st.getPath().getName(), total.getFileCount(), total.getLength()))
+    return spark.createDataFrame(rows, INVENTORY)
 
 
 def plan_partitions(
@@ -110,7 +101,7 @@ def retention_plan(
         path = f"{base_path.rstrip('/')}/{name}"
         if not path_exists(spark, path):
             # A missing dataset is reported as one error row, not raised.
-            inv = spark.createDataFrame([], "partition string, n_files bigint, bytes bigint")
+            inv = spark.createDataFrame([], INVENTORY)
             missing = plan_partitions(inv, name, key, as_of, retention_days, buffer_days)
             missing = spark.createDataFrame(
                 [(name, None, None, "error", 0, 0, 0.0, None)], missing.schema
@@ -167,6 +158,9 @@ def merge_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return merged.where("_left").select(*left.columns, *extra)
 
 
+OUTCOME = "dataset string, partition string, done boolean, error string"
+
+
 def apply_retention(
     spark: SparkSession,
     plan: DataFrame,
@@ -174,42 +168,63 @@ def apply_retention(
     dry_run: bool = False,
     tables: dict[str, str] | None = None,
 ) -> list[dict]:
-    """Delete the planned partitions; returns the deleted ones.
+    """Delete the planned partitions; returns one record per planned one, ``done`` or with its ``error``.
 
     Only the list of partitions to drop (one small record per date) comes
     to the driver. ``tables`` maps a dataset to a catalog table name, in
-    which case the partition is dropped through the catalog.
+    which case the partition is dropped through the catalog. A partition
+    that cannot be dropped does not stop the others.
     """
     todo = plan.where(F.col("action") == "delete").select(
         "dataset", "partition", "partition_date", "bytes"
     ).collect()
-    deleted = []
-    jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    outcome = []
     for r in todo:
-        if not dry_run:
-            if tables and r.dataset in tables:
-                key, value = r.partition.split("=", 1)
-                spark.sql(
-                    f"ALTER TABLE {tables[r.dataset]} DROP IF EXISTS PARTITION ({key} = '{value}')"
-                )
-            else:
-                path = jvm.org.apache.hadoop.fs.Path(f"{base_path.rstrip('/')}/{r.dataset}/{r.partition}")
-                path.getFileSystem(hconf).delete(path, True)
-        deleted.append(r.asDict())
-    return deleted
-
-
-def retention_report(plan: DataFrame) -> DataFrame:
-    """Per dataset: partitions scanned/deleted, bytes freed, cutoff, errors."""
-    return plan.groupBy("dataset").agg(
+        error = None
+        try:
+            if not dry_run:
+                _drop(spark, r, base_path, tables or {})
+        except Exception as e:  # noqa: BLE001 - recorded, the next partition goes on
+            error = f"{type(e).__name__}: {str(e).splitlines()[0][:300]}"
+        outcome.append({**r.asDict(), "done": error is None, "error": error})
+    return outcome
+
+
+def _drop(spark: SparkSession, r, base_path: str, tables: dict[str, str]) -> None:
+    if r.dataset in tables:
+        key, value = r.partition.split("=", 1)
+        spark.sql(f"ALTER TABLE {tables[r.dataset]} DROP IF EXISTS PARTITION ({key} = '{value}')")
+        return
+    path, fs = hadoop_path(spark, f"{base_path.rstrip('/')}/{r.dataset}/{r.partition}")
+    must(fs.delete(path, True) or not fs.exists(path), f"delete {path}")
+
+
+def retention_report(plan: DataFrame, outcome: list[dict] | None = None) -> DataFrame:
+    """Per dataset: partitions scanned and deleted (with their names), bytes freed, cutoff, errors (with texts).
+
+    Without an ``outcome`` every planned deletion counts as done.
+    """
+    spark = plan.sparkSession
+    planned = F.col("action") == "delete"
+    if outcome is None:
+        rows = plan.withColumns({"done": planned, "error": F.lit(None).cast("string")})
+    else:
+        done = spark.createDataFrame(
+            [(o["dataset"], o["partition"], o["done"], o["error"]) for o in outcome], OUTCOME
+        )
+        rows = merge_on(plan, done, ["dataset", "partition"])
+    failed = (F.col("action") == "error") | F.col("error").isNotNull()
+    text = F.concat_ws(": ", F.coalesce("partition", "dataset"), F.coalesce("error", F.lit("not a dated partition")))
+    deleted = planned & F.coalesce("done", F.lit(False))
+    return rows.groupBy("dataset").agg(
         F.count("partition").alias("partitions_scanned"),
-        F.count_if(F.col("action") == "delete").alias("partitions_deleted"),
-        F.coalesce(F.sum(F.when(F.col("action") == "delete", F.col("bytes"))), F.lit(0)).alias(
-            "bytes_freed"
-        ),
+        F.count_if(deleted).alias("partitions_deleted"),
+        F.coalesce(F.sum(F.when(deleted, F.col("bytes"))), F.lit(0)).alias("bytes_freed"),
         F.max("cutoff_date").alias("cutoff_date"),
-        F.count_if(F.col("action") == "error").alias("errors"),
+        F.count_if(failed).alias("errors"),
+        # One name per date: bounded by the dataset's partitions.
+        F.sort_array(F.collect_list(F.when(deleted, F.col("partition")))).alias("deleted"),
+        F.sort_array(F.collect_list(F.when(failed, text))).alias("error_texts"),
     )
 
 
@@ -241,8 +256,8 @@ def run_retention(
     describes what was removed rather than what is left.
     """
     plan = retention_plan(spark, base_path, datasets, as_of, retention_days, buffer_days).checkpoint()
-    apply_retention(spark, plan, base_path, dry_run=dry_run)
-    report = retention_report(plan).withColumn("dry_run", F.lit(dry_run)).withColumn(
+    outcome = apply_retention(spark, plan, base_path, dry_run=dry_run)
+    report = retention_report(plan, outcome).withColumn("dry_run", F.lit(dry_run)).withColumn(
         "run_at", _ts(as_of)
     )
     report.write.mode("append").parquet(log_path or f"{base_path.rstrip('/')}/_retention_log")

@@ -50,7 +50,7 @@ def test_export_tables_logs_and_raises(spark, scratch):
     with pytest.raises(RuntimeError):
         export.export_tables(spark, bad, f"{scratch}/b")
     logged = spark.read.parquet(f"{scratch}/b/_export_log").collect()
-    assert logged[0].status == "FAILED"
+    assert [r.status for r in logged] == ["FAILED"]
 
 
 def test_clustered_snapshot_layout(spark, scratch):
@@ -103,6 +103,7 @@ def test_apply_retention_and_report(spark, scratch):
         return spark.read.option("basePath", f"{scratch}/fires").parquet(f"{scratch}/fires/acq_date=2024-*")
 
     assert len(dry) == 3 and dated().count() == 6
+    assert all(r["done"] for r in dry)
     done = retention.apply_retention(spark, plan, scratch)
     assert sorted(r["partition"] for r in done) == [f"acq_date=2024-01-{d}" for d in (10, 11, 12)]
     left = dated().select("v").collect()
@@ -209,6 +210,134 @@ def test_apply_retention_through_the_catalog(spark, scratch):
     spark.sql("DROP TABLE ret_fires")
 
 
+def test_empty_old_folders_are_dropped_and_failures_do_not_stop(spark, scratch, monkeypatch):
+    _tree(spark, scratch)
+    os.makedirs(f"{scratch}/fires/acq_date=2023-12-31".replace("file:", ""))
+    plan = retention.retention_plan(spark, scratch, {"fires": "acq_date"}, as_of="2024-01-20 02:00:00").checkpoint()
+    real = retention._drop
+
+    def drop(spark, r, *rest):
+        if r.partition.endswith("01-11"):
+            raise OSError("disk on fire")
+        real(spark, r, *rest)
+
+    monkeypatch.setattr(retention, "_drop", drop)
+    outcome = retention.apply_retention(spark, plan, scratch)
+    rep = retention.retention_report(plan, outcome).first()
+    assert rep.deleted == ["acq_date=2023-12-31", "acq_date=2024-01-10", "acq_date=2024-01-12"]
+    assert rep.partitions_deleted == 3 and rep.errors == 3
+    assert [e for e in rep.error_texts if "disk on fire" in e] == ["acq_date=2024-01-11: OSError: disk on fire"]
+    left = os.listdir(f"{scratch}/fires".replace("file:", ""))
+    assert "acq_date=2024-01-11" in left and "acq_date=2023-12-31" not in left
+
+
+def _batch_folders(spark, scratch):
+    rows = spark.createDataFrame([(D(2024, 1, 1), f"b{i % 3}", i) for i in range(30)], "acq_date date, batch_key string, v int")
+    rows.write.partitionBy("acq_date", "batch_key").parquet(f"{scratch}/t")
+
+
+def _values(spark, scratch):
+    return sorted(r.v for r in spark.read.parquet(f"{scratch}/t").collect())
+
+
+@pytest.mark.parametrize("broken_at", range(5))
+def test_a_broken_compaction_loses_no_row(spark, scratch, monkeypatch, broken_at):
+    """Stop before each of the moves and before the clean-up; the next run brings everything back."""
+    from tephra.sinks import parquet
+
+    _batch_folders(spark, scratch)
+    calls, real_move, real_must = [0], parquet._move, parquet.must
+
+    def step(run):
+        if calls[0] == broken_at:
+            raise OSError("stopped")
+        calls[0] += 1
+        return run()
+
+    monkeypatch.setattr(parquet, "_move", lambda *a: step(lambda: real_move(*a)))
+    monkeypatch.setattr(
+        parquet, "must", lambda done, what: step(lambda: None) if what.startswith("delete") else real_must(done, what)
+    )
+    try:
+        parquet.compact_date(spark, f"{scratch}/t", "acq_date", "2024-01-01")
+    except OSError:
+        pass
+    monkeypatch.undo()
+    done = parquet.compact_closed_dates(spark, f"{scratch}/t", "acq_date", "2024-02-01")
+    assert _values(spark, scratch) == list(range(30))
+    folders = os.listdir(f"{scratch}/t/acq_date=2024-01-01".replace("file:", ""))
+    assert len([f for f in folders if f.startswith("batch_key=")]) == 1, (done, folders)
+    assert not os.path.exists(f"{scratch}/t/_compaction/2024-01-01".replace("file:", ""))
+
+
+def test_unknown_counters_delete_nothing(spark, scratch, monkeypatch):
+    from tephra.sinks import parquet
+
+    schema = "event_date date, event_type string, severity_level string, i int"
+    df = spark.createDataFrame([(D(2024, 1, d), "fire", "severe", d) for d in (1, 2)], schema)
+    write_clustered_snapshot(df, f"{scratch}/s")
+    monkeypatch.setattr(parquet, "observed", lambda obs, **defaults: defaults)
+    with pytest.raises(RuntimeError, match="unknown"):
+        write_clustered_snapshot(df.where("i = 2"), f"{scratch}/s")
+    monkeypatch.undo()
+    assert spark.read.parquet(f"{scratch}/s").count() == 2
+
+
+def test_a_half_finished_append_is_repeated_without_doubles(spark, scratch, monkeypatch):
+    first = summary(spark, [(D(2024, 1, 1), 5), (D(2024, 1, 2), 1)])
+    full = summary(spark, [(D(2024, 1, 1), 5), (D(2024, 1, 2), 4), (D(2024, 1, 3), 2), (D(2024, 1, 4), 3)])
+    export.export_tables(spark, {"fire_summary": first}, scratch, incremental="append_hwm")
+    real = export.write_partitioned
+
+    def half(df, path, *rest, **kw):
+        real(df.where("event_date < DATE'2024-01-04'"), path, *rest, **kw)  # one day arrives, then it stops
+        raise OSError("stopped")
+
+    monkeypatch.setattr(export, "write_partitioned", half)
+    with pytest.raises(RuntimeError):
+        export.export_tables(spark, {"fire_summary": full}, scratch, incremental="append_hwm")
+    monkeypatch.undo()
+    export.export_tables(spark, {"fire_summary": full}, scratch, incremental="append_hwm")
+    got = sorted((r.event_date.day, r.n) for r in spark.read.parquet(f"{scratch}/fire_summary").collect())
+    assert got == [(1, 5), (2, 1), (3, 2), (4, 3)]
+    assert export.unfinished_load(spark, scratch, "fire_summary") is None
+
+
+def test_future_dates_are_no_mark(spark, scratch):
+    df = summary(spark, [(D(2024, 1, 1), 5), (D(2999, 1, 1), 1)])
+    df.write.partitionBy("event_date").parquet(f"{scratch}/t")
+    assert export.high_water_mark(spark, f"{scratch}/t", "event_date") == D(2024, 1, 1)
+
+
+def test_export_scans_only_the_days_it_loads(spark, scratch):
+    from tephra.operators import marts, staging
+    from tephra.sinks.parquet import read_table
+    from tephra.sources import testdata
+
+    ev = testdata.load(spark, "/root/testdata/sf0.001", "events")
+    write_partitioned(testdata.fires_table(ev), f"{scratch}/fires", "acq_date")
+    stg_f = staging.stg_fires(read_table(spark, f"{scratch}/fires"))
+    built = []
+
+    def mart(date_from):
+        built.append(marts.fire_summary(stg_f, date_from=date_from, ordered=False))
+        return built[-1]
+
+    mart(None).where("event_date < DATE'2024-01-20'").write.partitionBy("event_date").parquet(f"{scratch}/out")
+    assert export.export_append_hwm(spark, mart, f"{scratch}/out")["high_water_mark"] == D(2024, 1, 19)
+    plan = built[-1]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(acq_date" in plan and "2024-01-19" in plan
+    assert spark.read.parquet(f"{scratch}/out").count() == built[0].count()
+
+
+def test_dedup_carries_each_row_once(spark):
+    df = spark.range(100).selectExpr("id % 7 AS k", "cast(id AS string) AS v")
+    plan = dedup(df, ["k"], keep="first")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "struct" not in plan
+    # The first of each key is chosen before the shuffle as well.
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
 def test_row_counts_ignore_junk_directories(spark, scratch):
     _tree(spark, scratch)
     plan = retention.retention_plan(spark, scratch, {"fires": "acq_date"}, as_of="2024-01-20 02:00:00")

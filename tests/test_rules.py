@@ -91,7 +91,7 @@ def test_map_events_bubble_tooltip_unknown_type(spark):
     assert bubbles[5] == 32.0
     assert out[5].tooltip_text == "Magnitude: 5.0 | Time: 2024-01-02 03:04 UTC"
     assert out[0].tooltip_text == "Fire Intensity: 299.0 K | Time: 2024-01-02 03:04 UTC"
-    assert out[0].latlong == "1.000000,2.000000"
+    assert out[0].latlong == "1,2"
     unknown = out[6]
     assert (unknown.intensity_category, unknown.map_color, unknown.bubble_size, unknown.tooltip_text) == (
         None,
@@ -156,3 +156,32 @@ def test_fire_summary_null_time_group_is_kept(spark):
     )
     r = marts.fire_summary(stg).collect()
     assert len(r) == 1 and r[0].event_date is None and r[0].fire_count == 1
+
+
+def _stage(spark, *rows):
+    ddl = (
+        "latitude double, longitude double, bright_ti4 double, event_time timestamp, satellite string, "
+        "confidence string, fire_radioactive_power double, daynight string, event_type string, cluster_id string"
+    )
+    t = dt.datetime(2024, 1, 1, 5)
+    return spark.createDataFrame([(lat, 1.0, b, t, "N", "h", 1.0, "D", "fire", cell) for lat, b, cell in rows], ddl)
+
+
+def test_thresholds_see_unrounded_averages(spark):
+    eps = 1e-9
+    stg = _stage(spark, (1.0, 400 - eps, "a"), (1.0, 400.0, "b"), (1.0, 400 + eps, "c"))
+    got = {r.intensity_measure: r.severity_level for r in marts.fire_clusters(stg).collect()}
+    assert got == {400 - eps: "moderate", 400.0: "severe", 400 + eps: "severe"}
+    cats = {r.intensity_measure: r.intensity_category for r in serving.map_events(marts.fire_clusters(stg)).collect()}
+    assert cats == {400 - eps: "Severe Fire", 400.0: "Severe Fire", 400 + eps: "Extreme Fire"}
+    below = marts.fire_summary(_stage(spark, (1.0, 400 - eps, "a"))).first()
+    assert (below.fire_intensity_category, below.avg_brightness) == ("moderate", 400.0)
+
+
+def test_wild_values_raise_nothing(spark):
+    stg = _stage(spark, (5000.0, 1e21, "a"), (0.0000125, 330.0, "b"), (-0.0, 330.0, "c"))
+    assert marts.fire_summary(stg).first().max_brightness == 1e21
+    rows = {r.latitude: r for r in serving.map_events(marts.fire_clusters(stg)).collect()}
+    assert rows[5000.0].latlong == "5000,1" and rows[5000.0].bubble_size == 100.0
+    assert rows[0.0000125].latlong == "0.0000125,1" and rows[0.0].latlong == "0,1"
+    assert serving.fire_metrics(marts.fire_summary(stg)).first().max_brightness == 1e21
