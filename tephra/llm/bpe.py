@@ -20,6 +20,7 @@ import hashlib
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -35,28 +36,23 @@ OVERLAP_CHARS = 1_024
 
 @functools.cache
 def piece_ids(path: str) -> T.Memory:
-    """Ids by piece of text, each pre-token merged separately."""
-    enc = T.rank_encoding(path)
+    """Ids by piece of text, each pre-token merged separately, as 32-bit numbers in native order."""
+    merge = T.merge(path)
 
-    def ids(piece: str) -> array:
-        return array("i", (i for p in T.PRETOKEN.findall(piece) for i in enc.encode_ordinary(p)))
+    def ids(piece: str) -> bytes:
+        return array("i", (i for p in T.PRETOKEN.findall(piece) for i in merge(p.encode()))).tobytes()
 
     return T.Memory(ids)
 
 
-def encode_text(text: str, path: str) -> array:
-    ids, known = array("i"), piece_ids(path)
-    for piece in T.PIECE.findall(text):
-        ids.extend(known[piece])
-    return ids
+def encode_text(text: str, path: str) -> bytes:
+    return b"".join(map(piece_ids(path).__getitem__, T.PIECE.findall(text)))
 
 
-def _id_lists(found: list[array]) -> pa.Array:
-    offsets, flat = array("i", [0]), array("i")
-    for ids in found:
-        flat.extend(ids)
-        offsets.append(len(flat))
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
+def _id_lists(found: list[bytes]) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in found]))).astype(np.int32)
+    flat = np.frombuffer(b"".join(found), np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
 def _encode(text: Column, path: str) -> Column:
@@ -160,22 +156,22 @@ def _encode_long(long: DataFrame, path: str, chunk: int, overlap: int) -> DataFr
         found = []
         for part, begin, end, is_open in zip(parts, begins, ends, opens, strict=True):
             text, begin, end = part.as_py(), begin.as_py(), end.as_py()
-            ids = array("i")
+            ids = []
             if not is_open.as_py():
                 known, at = piece_ids(path), begin
                 # The pre-tokens of the rest of the chunk, up to the hand-over to the next one.
                 for piece in T.PIECE.findall(text[begin:]):
                     if at + len(piece) <= end:
-                        ids.extend(known[piece])
+                        ids.append(known[piece])
                         at += len(piece)
                         continue
                     for p in T.PRETOKEN.findall(piece):
                         if at >= end:
                             break
-                        ids.extend(known[p])
+                        ids.append(known[p])
                         at += len(p)
                     break
-            found.append(ids)
+            found.append(b"".join(ids))
         return _id_lists(found)
 
     encode_part = F.arrow_udf(batch, "array<int>").asNondeterministic()
@@ -236,13 +232,17 @@ def _tables(path: str) -> tuple[list[bytes], list[str]]:
     return raw, [str(i) for i in range(top)]
 
 
+def _numbers(ids: pa.Scalar) -> list[int]:
+    return ids.values.to_numpy().tolist() if ids.is_valid else []
+
+
 def decode(ids: Column, path: str | None = None) -> Column:
     """The bytes of a column of ids: the tokens' raw bytes, one after the other."""
     path = path or public_tokenizers.path(RANKS)
 
     def batch(lists: pa.Array) -> pa.Array:
         raw = _tables(path)[0]
-        return pa.array([b"".join(map(raw.__getitem__, x.as_py() or ())) for x in lists], pa.binary())
+        return pa.array([b"".join(map(raw.__getitem__, _numbers(x))) for x in lists], pa.binary())
 
     return F.arrow_udf(batch, "binary").asNondeterministic()(ids)
 
@@ -254,7 +254,7 @@ def id_text_sha256(ids: Column, path: str | None = None) -> Column:
     def batch(lists: pa.Array) -> pa.Array:
         name = _tables(path)[1]
         return pa.array(
-            [hashlib.sha256(",".join(map(name.__getitem__, x.as_py() or ())).encode()).hexdigest() for x in lists],
+            [hashlib.sha256(",".join(map(name.__getitem__, _numbers(x))).encode()).hexdigest() for x in lists],
             pa.string(),
         )
 

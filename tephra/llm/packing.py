@@ -21,12 +21,13 @@ from __future__ import annotations
 
 import bisect
 import functools
+import struct
 import zlib
-from array import array
 from dataclasses import dataclass, field
 
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,43 +48,58 @@ PIECES = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>"
 # ---- tokens -------------------------------------------------------------------------------
 
 
+# This tokenizer's pre-tokens: contractions, letters, single digits, other characters (fixed pattern).
+PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+# Below this code point lower-casing and composition are the same in every Unicode version.
+PLAIN_BELOW = "\u0250"
+
+
 @functools.cache
 def word_ids(path: str) -> T.Memory:
-    """Ids by run of non-space characters; this tokenizer drops white space and matches nothing across it."""
-    tok = T.json_tokenizer(path)
-    return T.Memory(lambda run: array("I", tok.encode(run, add_special_tokens=False).ids))
+    """Ids (little-endian 32-bit) by run of non-space characters.
+
+    This tokenizer drops white space and matches nothing across it. Runs of plain
+    letters are lower-cased, split and merged here; others go through the library.
+    """
+    tok, merge = T.json_tokenizer(path), T.merge(path)
+
+    def ids(run: str) -> bytes:
+        if max(run) >= PLAIN_BELOW:
+            found = tok.encode(run, add_special_tokens=False).ids
+        else:
+            found = []
+            for p in PRETOKEN.findall(run.lower()):
+                found += merge(p.encode() + T.WORD_END)
+        return struct.pack(f"<{len(found)}I", *found)
+
+    return T.Memory(ids)
 
 
-def token_ids(text: str | None, path: str, end_id: int = END_ID) -> array:
-    """The document's ids, then the end id."""
-    ids, known = array("I"), word_ids(path)
-    tok = T.json_tokenizer(path)
+def token_ids(text: str | None, path: str, end_id: int = END_ID) -> bytes:
+    """The document's ids, then the end id, as little-endian 32-bit numbers."""
+    known, out = word_ids(path).__getitem__, []
     for i, part in enumerate(T.split_special(text or "", path)):
         if i % 2:
-            ids.append(tok.token_to_id(part))
+            out.append(struct.pack("<I", T.json_tokenizer(path).token_to_id(part)))
         else:
-            for run in T.WORD.findall(part):
-                ids.extend(known[run])
-    ids.append(end_id)
-    return ids
+            out += map(known, T.words(part))
+    return b"".join([*out, struct.pack("<I", end_id)])
 
 
-def cut(ids: array, capacity: int) -> list[dict]:
-    """Pieces of at most ``capacity`` tokens; only longer documents give more than one."""
-    out = []
-    for piece, start in enumerate(range(0, len(ids), capacity)):
-        own = ids[start : start + capacity]
-        if own.itemsize != 4:
-            raise TypeError("token ids must be 32 bits wide")
-        out.append({"piece": piece, "start": start, "length": len(own), "ids_crc32": zlib.crc32(own.tobytes())})
-    return out
+def cut(ids: bytes, capacity: int) -> list[tuple[int, int, int, int]]:
+    """``piece, start, length, ids_crc32`` of at most ``capacity`` tokens each."""
+    view = memoryview(ids)
+    parts = (view[at : at + 4 * capacity] for at in range(0, len(ids), 4 * capacity))
+    return [(k, k * capacity, len(part) // 4, zlib.crc32(part)) for k, part in enumerate(parts)]
 
 
 def pieces(
     docs: DataFrame, id_col: str, text_col: str, path: str, capacity: int = CAPACITY, end_id: int = END_ID
 ) -> DataFrame:
     def batch(texts: pa.Array) -> pa.Array:
-        return pa.array([cut(token_ids(t.as_py(), path, end_id), capacity) for t in texts], pa.list_(PIECE))
+        names = PIECE.names
+        found = [cut(token_ids(t.as_py(), path, end_id), capacity) for t in texts]
+        return pa.array([[dict(zip(names, p, strict=True)) for p in doc] for doc in found], pa.list_(PIECE))
 
     tokenized = F.arrow_udf(batch, PIECES).asNondeterministic()(F.col(text_col))
     return docs.select(F.col(id_col).alias("id"), F.explode(tokenized).alias("p")).select("id", "p.*")

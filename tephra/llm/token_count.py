@@ -24,28 +24,18 @@ TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 1024
 
 
-@functools.cache
-def byte_letters() -> dict[str, int]:
-    """The byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on."""
-    plain = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 @functools.cache
 def whole_tokens(path: str) -> frozenset[str]:
     """Vocabulary strings proven to be one pre-token that encodes alone as one token."""
     tok = T.json_tokenizer(path)
-    letters = byte_letters()
     strings = []
-    for entry in tok.get_vocab(with_added_tokens=False):
-        if all(c in letters for c in entry):
-            try:
-                text = bytes(letters[c] for c in entry).decode("utf-8")
-            except UnicodeDecodeError:
-                continue  # part of a character: never a pre-token of its own
-            if T.PRETOKEN.fullmatch(text) and not set(T.split_special(text, path)[1::2]):
-                strings.append(text)
+    for raw in T.json_ranks(path):
+        try:
+            text = raw.decode("utf-8")
+        except UnicodeDecodeError:
+            continue  # part of a character: never a pre-token of its own
+        if T.PRETOKEN.fullmatch(text) and len(T.split_special(text, path)) == 1:
+            strings.append(text)
     encoded = tok.encode_batch(strings, add_special_tokens=False)
     return frozenset(s for s, e in zip(strings, encoded, strict=True) if len(e.ids) == 1)
 
@@ -53,14 +43,10 @@ def whole_tokens(path: str) -> frozenset[str]:
 @functools.cache
 def piece_counts(path: str) -> T.Memory:
     """Number of tokens by piece of text, for one tokenizer file."""
-    whole = whole_tokens(path)
-    tok = T.json_tokenizer(path)
-
-    def merged(pretoken: str) -> int:
-        return len(tok.encode(pretoken, add_special_tokens=False).ids)
+    whole, merge = whole_tokens(path), T.merge(path)
 
     def count(piece: str) -> int:
-        return sum(1 if p in whole else merged(p) for p in T.PRETOKEN.findall(piece))
+        return sum(1 if p in whole else len(merge(p.encode())) for p in T.PRETOKEN.findall(piece))
 
     return T.Memory(count)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
+from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -43,7 +44,7 @@ def test_count_equals_the_library(text):
 @settings(max_examples=300, deadline=None)
 @given(TEXTS)
 def test_rank_encoding_equals_the_library(text):
-    ids = list(bpe.encode_text(text, RANKS))
+    ids = list(array("i", bpe.encode_text(text, RANKS)))
     assert ids == T.rank_encoding(RANKS).encode_ordinary(text)
     assert T.rank_encoding(RANKS).decode(ids) == text
 
@@ -52,7 +53,7 @@ def test_rank_encoding_equals_the_library(text):
 @given(TEXTS)
 def test_word_ids_equal_the_library(text):
     expected = Tokenizer_of(WORDS).encode(text, add_special_tokens=False).ids + [1]
-    assert list(packing.token_ids(text, WORDS)) == expected
+    assert list(array("I", packing.token_ids(text, WORDS))) == expected
 
 
 _LOADED: dict[str, Tokenizer] = {}
@@ -72,6 +73,24 @@ def test_whole_tokens_encode_alone_as_one_token():
         assert len(tok.encode(s).ids) == 1 and T.PRETOKEN.fullmatch(s)
 
 
+@pytest.mark.parametrize("path", [COUNTER, WORDS])
+def test_every_token_comes_out_whole_when_merged_alone(path):
+    """The premise of merging by ranks instead of by the listed pairs."""
+    assert T.unreachable(path) == []
+
+
+def test_merging_by_ranks_equals_the_library():
+    rng = random.Random(5)
+    vocabulary = [s for s in token_count.whole_tokens(COUNTER)]
+    merge, words = T.merge(COUNTER), packing.word_ids(WORDS)
+    for _ in range(3000):
+        text = "".join(rng.choices(vocabulary, k=rng.randint(1, 5)))
+        for p in T.PRETOKEN.findall(text):
+            assert merge(p.encode()) == Tokenizer_of(COUNTER).encode(p, add_special_tokens=False).ids
+        for run in T.words(text):
+            assert list(array("I", words[run])) == Tokenizer_of(WORDS).encode(run, add_special_tokens=False).ids
+
+
 def test_memory_stays_bounded(monkeypatch):
     monkeypatch.setattr(T, "MEMORY_ENTRIES", 10)
     memory = T.Memory(len)
