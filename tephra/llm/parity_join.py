@@ -12,14 +12,19 @@ at most D blocks of cells differ.
 *Pigeonhole join per size band.* In a band all sketches have n blocks of 2^32 cells; a
 block is kept as the XOR of its shingles' 64-bit hashes (equal when its cells are).
 Linked sets agree on n - D blocks or more. With all blocks put into one order (blocks of
-many shingles first), the first block on which two sets agree is among the first D + 1
-of each: those are a document's join keys. A pair belongs to the band of its smaller
-set, so a document near a band's lower end emits keys for two bands.
+many shingles first), the first k blocks on which two sets agree are among the first
+D + k of each: those are a document's join keys, and documents that share fewer than k
+drop out. A pair belongs to the band of its smaller set, so a document near a band's
+lower end emits keys for two bands.
 
 *Verify.* Per key, each document first meets the smallest id only; links give first
-components. Then all pairs of a key in different components meet. Pairs pass a dense
-sketch (Hamming distance at most (a + b) / 9) and then the exact test on the sets.
-So the components are exact, while large groups of copies cost one test each.
+components. Documents of keys that still span components are contested. Among those the
+sketch is joined at full resolution, a cell per shingle, rarest shingles first: a set
+needs only its size - ceil(0.8 size) + 1 rarest ones, and shingles that no other contested
+set has count against a pair as they stand. The join's condition holds the bounds on
+sizes, on these single shingles and on the dense sketches, so only near pairs leave it;
+those are tested on the sets. So components are exact, large groups of copies cost one
+test each, and heavily edited copies of one text are not paired with each other.
 
 Null text counts as empty. Documents without words link with nothing; fewer than five
 words are one shingle. Rows with the same id are one node, linked through any of their
@@ -35,7 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tephra.llm.common import free_name, setup, text_or_empty, written
@@ -46,7 +51,8 @@ NUMERATOR, DENOMINATOR = 80, 100
 FIRST_BAND = 4  # smaller sets link with equal sets only
 BAND_RATIO = 2.5
 BLOCKS_PER_SIZE = 1.2  # blocks of a band per shingle of its smallest set
-SKETCH_BITS_PER_SHINGLE = 4
+MORE_KEYS = 8  # k - 1 is this part of the largest difference
+LEAST_SKETCH_BITS = 128
 # Ids up to this number are broadcast to fetch their texts; more are joined by shuffle.
 BROADCAST_IDS = 500_000
 
@@ -80,6 +86,15 @@ def max_difference(size: int) -> int:
     return size // 4
 
 
+def n_shared(size: int) -> int:
+    """k: keys that a set of this size, or a larger one, shares with every linked set of its size or more."""
+    return 1 + max_difference(size) // MORE_KEYS
+
+
+def least_partner(size: int) -> int:
+    return -(-NUMERATOR * size // DENOMINATOR)
+
+
 @functools.cache
 def band_starts() -> tuple[int, ...]:
     starts = [FIRST_BAND]
@@ -96,14 +111,13 @@ def bands(size: int) -> list[int]:
     """The bands of a set: its own, and that of its smallest possible partner."""
     if size < FIRST_BAND:
         return []
-    least = max(FIRST_BAND, -(-NUMERATOR * size // DENOMINATOR))
-    return sorted({band_of(least), band_of(size)})
+    return sorted({band_of(max(FIRST_BAND, least_partner(size))), band_of(size)})
 
 
 def n_blocks(band: int) -> int:
-    """More blocks than any member's largest difference (members reach 5/4 of the next band's start)."""
-    start, after = band_starts()[band], band_starts()[band + 1]
-    return max(math.ceil(BLOCKS_PER_SIZE * start), max_difference(5 * after // 4) + 1)
+    """At least as many blocks as any member has keys (members reach 5/4 of the next band's start)."""
+    start, largest = band_starts()[band], 5 * band_starts()[band + 1] // 4
+    return max(math.ceil(BLOCKS_PER_SIZE * start), max_difference(largest) + n_shared(largest))
 
 
 def join_keys(hashes: np.ndarray) -> np.ndarray:
@@ -119,7 +133,7 @@ def join_keys(hashes: np.ndarray) -> np.ndarray:
         content = np.bitwise_xor.reduceat(cell[order], first)
         count = np.diff(np.append(first, size))
         key = _mix(content ^ _mix(block[first], 7), 2000 + band)
-        wanted = max_difference(size) + 1
+        wanted = max_difference(size) + n_shared(size)
         ranked = np.lexsort((key, -count))[:wanted]
         out.append(key[ranked])
         if len(ranked) < wanted:  # too few blocks have shingles: the empty ones come last in the order
@@ -129,24 +143,14 @@ def join_keys(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketch_bits(size: int) -> int:
-    return 1 << max(6, math.ceil(math.log2(SKETCH_BITS_PER_SHINGLE * max(size, 1))))
+    """A power of two, at least a bit for each shingle; those of linked sets differ by a factor of two at most."""
+    return max(LEAST_SKETCH_BITS, 1 << math.ceil(math.log2(max(size, 1))))
 
 
-def dense_sketch(hashes: np.ndarray) -> bytes:
-    """Parity bits of a power-of-two number of cells."""
-    bits = sketch_bits(len(hashes))
+def dense_sketch(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Parity bits of a power-of-two number of cells, as 64-bit words."""
     flips = np.bincount((hashes & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
-
-
-def hamming(a: bytes, b: bytes) -> int:
-    """Distance of two sketches; the longer one is folded onto the shorter."""
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    while len(x) > len(y):
-        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-    while len(y) > len(x):
-        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
-    return int(np.bitwise_count(x ^ y).sum())
+    return np.packbits(flips.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -156,108 +160,169 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 # ---- Spark stages -------------------------------------------------------------------------
 
-SIGNATURE = "id bigint, n bigint, fp1 bigint, fp2 bigint, sketch binary, keys array<bigint>"
+SIGNATURE = "id bigint, n bigint, fp1 bigint, fp2 bigint"
 
 
 def _as_long(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
+def _lists(found: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
+    flat = np.concatenate(found).view(np.int64) if found else np.empty(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        n, fp1, fp2, sketches, keys, offsets = [], [], [], [], [], [0]
-        for key, text in zip(batch.column(0), batch.column(1), strict=True):
+        n, fp1, fp2 = [], [], []
+        for text in batch.column(1):
             h = shingles(text.as_py())
             n.append(len(h))
             fp1.append(_as_long(int(np.bitwise_xor.reduce(_mix(h, 3)))) if len(h) else 0)
             fp2.append(_as_long(int(np.add.reduce(_mix(h, 4)))) if len(h) else 0)
-            sketches.append(dense_sketch(h))
-            own = join_keys(h) if key.is_valid else h[:0]
-            keys.append(own)
-            offsets.append(offsets[-1] + len(own))
-        flat = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
-        columns = [
-            batch.column(0),
-            pa.array(n, pa.int64()),
-            pa.array(fp1, pa.int64()),
-            pa.array(fp2, pa.int64()),
-            pa.array(sketches, pa.binary()),
-            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64())),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, ["id", "n", "fp1", "fp2", "sketch", "keys"])
+        columns = [batch.column(0), *(pa.array(x, pa.int64()) for x in (n, fp1, fp2))]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "n", "fp1", "fp2"])
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, id); straight to the shuffle, some documents at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 200):
+            part = batch.slice(at, 200)
+            found = [join_keys(shingles(t.as_py())) for t in part.column(1)]
+            ids = np.repeat(part.column(0).to_numpy(zero_copy_only=False), [len(k) for k in found])
+            keys = np.concatenate(found).view(np.int64) if found else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids, pa.int64())], ["key", "id"])
 
 
 def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, id) sorted by both in; rows of keys with two different ids out, with the key's smallest id."""
-    key = hub = None  # of the run that the last batch ended in
+    """Of rows (key, id) sorted by key, those whose key has another row. Holds one row back between batches."""
+    held = None  # the last row: key, id, whether it is out already
     for batch in batches:
         if not batch.num_rows:
             continue
         keys = batch.column(0).to_numpy(zero_copy_only=False)
         ids = batch.column(1).to_numpy(zero_copy_only=False)
-        starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        hubs = np.repeat(ids[starts], np.diff(np.append(starts, len(keys))))
-        if key is not None and keys[0] == key:
-            end = starts[1] if len(starts) > 1 else len(keys)
-            hubs[:end] = hub
-        key, hub = keys[-1], hubs[-1]
-        pick = ids != hubs  # the smallest id itself is named by the others' rows
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys[pick]), pa.array(ids[pick]), pa.array(hubs[pick])], ["key", "id", "hub"]
-        )
+        out_already = False
+        if held is not None:
+            keys, ids, out_already = np.append(held[0], keys), np.append(held[1], ids), held[2]
+        same = keys[1:] == keys[:-1]
+        pick = np.append(False, same) | np.append(same, False)
+        held = keys[-1], ids[-1], bool(pick[-1]) or (len(keys) == 1 and out_already)
+        if out_already:
+            pick[0] = False
+        yield pa.RecordBatch.from_arrays([pa.array(keys[pick]), pa.array(ids[pick])], ["key", "id"])
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("bigint").alias("id"), text_or_empty(text_col).alias("text"))
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), text_or_empty(text_col).alias("text"))
-    return written(rows.mapInArrow(_signatures, SIGNATURE), "parity-signatures")
+    return written(_texts(docs, id_col, text_col).mapInArrow(_signatures, SIGNATURE), "parity-signatures")
 
 
-def shared_keys(sig: DataFrame) -> DataFrame:
-    """``key, id, hub`` of every key that two sets or more have; ``hub`` is its smallest id, without a row of its own."""
-    rows = sig.select(F.explode("keys").alias("key"), "id")
-    rows = rows.repartition("key").sortWithinPartitions("key", "id")
-    return written(rows.mapInArrow(_shared_keys, "key bigint, id bigint, hub bigint"), "parity-shared")
+def shared_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``key, id`` of every key that two rows or more have."""
+    rows = _texts(docs, id_col, text_col).filter("id is not null").mapInArrow(_keys, "key bigint, id bigint")
+    rows = rows.repartition("key").sortWithinPartitions("key")
+    return rows.mapInArrow(_shared_keys, "key bigint, id bigint")
 
 
-def _near(pairs: DataFrame, sig: DataFrame) -> DataFrame:
-    """The pairs (a < b) whose sizes and dense sketches allow a link."""
+def _sets_of(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, set`` (hashes of the shingles) of the named documents."""
+    ids = written(ids.select("id").distinct(), "parity-ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    texts = _texts(docs, id_col, text_col)
 
-    def close(a: pa.Array, na: pa.Array, b: pa.Array, nb: pa.Array) -> pa.Array:
-        return pa.array(
-            [9 * hamming(x.as_py(), y.as_py()) <= i.as_py() + j.as_py() for x, i, y, j in zip(a, na, b, nb, strict=True)],
-            pa.bool_(),
-        )
+    def sets(batch: pa.Array) -> pa.Array:
+        return _lists([shingles(t.as_py()) for t in batch])
 
-    one = sig.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    two = sig.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    sized = pairs.join(one, "a").join(two, "b").filter(f"{DENOMINATOR} * least(na, nb) >= {NUMERATOR} * greatest(na, nb)")
-    passed = F.arrow_udf(close, "boolean").asNondeterministic()("sa", "na", "sb", "nb")
-    return sized.withColumn("close", passed).filter("close").select("a", "b").distinct()
+    made = F.arrow_udf(sets, "array<bigint>").asNondeterministic()
+    return texts.join(ids, "id", "left_semi").select("id", made("text").alias("set"))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The pairs that are links, tested on the shingle sets themselves."""
-    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "parity-ids")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), text_or_empty(text_col).alias("text"))
-
-    def sets(batch: pa.Array) -> pa.Array:
-        return pa.array([shingles(t.as_py()).tobytes() for t in batch], pa.binary())
 
     def test(a: pa.Array, b: pa.Array) -> pa.Array:
-        return pa.array(
-            [linked(*(np.frombuffer(x.as_py(), np.uint64) for x in ab)) for ab in zip(a, b, strict=True)], pa.bool_()
-        )
+        ok = [linked(*(np.asarray(x.values) for x in ab)) for ab in zip(a, b, strict=True)]
+        return pa.array(ok, pa.bool_())
 
-    found = texts.join(ids, "id", "left_semi").select(
-        "id", F.arrow_udf(sets, "binary").asNondeterministic()("text").alias("set")
-    )
+    found = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), docs, id_col, text_col)
     one = found.select(F.col("id").alias("a"), F.col("set").alias("sa"))
     two = found.select(F.col("id").alias("b"), F.col("set").alias("sb"))
-    tested = pairs.join(one, "a").join(two, "b")
     ok = F.arrow_udf(test, "boolean").asNondeterministic()("sa", "sb")
-    return written(tested.withColumn("ok", ok).filter("ok").select("a", "b"), "parity-links")
+    tested = pairs.join(one, "a").join(two, "b").withColumn("ok", ok)
+    return written(tested.filter("ok").select("a", "b").distinct(), "parity-links")
+
+
+def _first_meetings(shared: DataFrame) -> DataFrame:
+    """Each document with the smallest id that it shares a key with."""
+    hubs = shared.groupBy("key").agg(F.min("id").alias("hub"))
+    met = shared.join(hubs, "key").filter("id != hub")
+    return met.groupBy(F.col("id").alias("b")).agg(F.min("hub").alias("a")).select("a", "b")
+
+
+def _contested(shared: DataFrame, group: DataFrame) -> DataFrame:
+    """``id, component`` of the documents of keys whose documents are in different components."""
+    members = shared.join(group.withColumnRenamed("node", "id"), "id", "left")
+    members = members.select("key", "id", F.coalesce("component", "id").alias("component"))
+    split = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    return members.join(split.select("key"), "key", "left_semi").select("id", "component").distinct()
+
+
+def _folded(long: Column, short: Column) -> Column:
+    """A sketch folded onto the length of a shorter one: cell numbers modulo that length."""
+    half = F.size(short)
+    return F.zip_with(F.slice(long, F.lit(1), half), F.slice(long, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+
+
+def _distance(a: Column, b: Column) -> Column:
+    """Hamming distance of two sketches."""
+    more = F.size(a) - F.size(b)
+    left = F.when(more > 0, _folded(a, b)).otherwise(a)
+    right = F.when(more < 0, _folded(b, a)).otherwise(b)
+    words = F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(words, F.lit(0), lambda acc, x: acc + x)
+
+
+def _near_contested(contested: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of contested documents of different components that can be links."""
+
+    def sketches(batch: pa.Array) -> pa.Array:
+        found = [np.asarray(x.values).view(np.uint64) for x in batch]
+        return _lists([dense_sketch(h, sketch_bits(len(h))) for h in found])
+
+    made = F.arrow_udf(sketches, "array<bigint>").asNondeterministic()
+    rows = sets.join(contested, "id").select("id", "component", F.size("set").alias("n"), "set", made("set").alias("sketch"))
+    rows = written(rows, "parity-contested")
+    tokens = rows.select("id", "n", F.explode("set").alias("token"))
+    frequent = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    held = tokens.join(frequent, "token").groupBy("id", "n").agg(F.collect_list(F.struct("df", "token")).alias("held"))
+    # Single shingles come first in the order; what is left of the prefix goes to the rarest others.
+    single = F.col("n") - F.size("held")
+    prefix = F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + 1 - single
+    rarest = F.transform(F.slice(F.sort_array("held"), F.lit(1), F.col("prefix").cast("int")), lambda x: x["token"])
+    kept = held.select("id", single.alias("single"), prefix.alias("prefix"), "held").filter("prefix > 0")
+    kept = kept.select("id", "single", rarest.alias("rarest")).join(rows.drop("set"), "id")
+    kept = written(kept, "parity-prefixes")
+    one, two = (kept.select(*(F.col(c).alias(f"{c}_{x}") for c in kept.columns)) for x in "ab")
+    one = one.withColumn("token_a", F.explode("rarest_a")).drop("rarest_a")
+    two = two.withColumn("token_b", F.explode("rarest_b")).drop("rarest_b")
+    a, b = (lambda c: F.col(f"{c}_a")), (lambda c: F.col(f"{c}_b"))
+    both = a("n") + b("n")
+    near = (
+        (a("token") == b("token"))
+        & (a("id") < b("id"))
+        & (a("component") != b("component"))
+        & (DENOMINATOR * F.least(a("n"), b("n")) >= NUMERATOR * F.greatest(a("n"), b("n")))
+        & (9 * (a("single") + b("single")) <= both)
+        & (9 * _distance(a("sketch"), b("sketch")) <= both)
+    )
+    return one.join(two, near).select(a("id").alias("a"), b("id").alias("b")).distinct()
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -267,24 +332,16 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     classes = sig.filter("n > 0 and id is not null").groupBy("fp1", "fp2", "n").agg(F.min("id").alias("rep"))
     same = sig.select("id", "fp1", "fp2", "n").join(classes, ["fp1", "fp2", "n"]).filter("id != rep")
     same = written(same.select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct(), "parity-same")
-    copies = same.select(F.col("b").alias("id"))
-    # A hub is the smallest id of its key, so no copy is one.
-    shared = shared_keys(sig).join(copies, "id", "left_anti")
-    shared = written(shared, "parity-buckets")
-    slim = sig.select("id", "n", "sketch")
-    first = shared.groupBy(F.col("id").alias("b")).agg(F.min("hub").alias("a")).select("a", "b")
-    links = _verified(written(_near(first, slim), "parity-pairs"), docs, id_col, text_col)
-    group = components(links)
-    own = shared.join(group.withColumnRenamed("node", "id"), "id", "left")
-    members = own.select("key", "id", F.coalesce("component", "id").alias("component"))
-    hubs = shared.select("key", F.col("hub").alias("id")).distinct().join(group.withColumnRenamed("node", "id"), "id", "left")
-    members = written(members.union(hubs.select("key", "id", F.coalesce("component", "id"))), "parity-members")
-    split = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    members = members.join(split.select("key"), "key", "left_semi")
-    one = members.select("key", F.col("id").alias("a"), F.col("component").alias("ca"))
-    two = members.select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
-    rest = one.join(two, "key").filter("a < b and ca != cb").select("a", "b").distinct()
-    more = _verified(written(_near(rest, slim), "parity-pairs"), docs, id_col, text_col)
+    # One document per set from here on, with as many shared keys as a link needs.
+    shared = written(shared_keys(docs, id_col, text_col).join(same.select(F.col("b").alias("id")), "id", "left_anti"), "parity-shared")
+    least = F.floor((F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) / 4).cast("int") / MORE_KEYS) + 1
+    enough = shared.groupBy("id").agg(F.count(F.lit(1)).alias("n_keys")).join(sig.select("id", "n"), "id")
+    enough = enough.filter(F.col("n_keys") >= least).select("id").distinct()
+    shared = written(shared.join(enough, "id", "left_semi"), "parity-candidates")
+    links = _verified(written(_first_meetings(shared), "parity-pairs"), docs, id_col, text_col)
+    contested = written(_contested(shared, components(links)), "parity-open")
+    sets = _sets_of(contested, docs, id_col, text_col)
+    more = _verified(written(_near_contested(contested, sets), "parity-pairs"), docs, id_col, text_col)
     return sig, same.union(links).union(more)
 
 
