@@ -27,6 +27,7 @@ from tephra.llm.common import free_name, setup, written
 
 # The sample: at most so many labelled rows, by the hash of their id.
 MAX_SAMPLE_ROWS = 20_000
+SAMPLE_PARTITIONS = 8
 HELD_OUT_FOLDS = 5
 THRESHOLD = 0.3
 N_TREES = 16
@@ -179,7 +180,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_SAMP
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_SAMPLE_ROWS) -> Model:
     """Rules and weights from ``labels`` (doc_id, quality) and the texts of ``docs``."""
     setup(docs.sparkSession)
-    sample = written(training_sample(docs, labels, max_rows).coalesce(8), "quality-sample").cache()
+    # The scan keeps its own parallelism; only the bounded sample is dealt to a few partitions.
+    sample = training_sample(docs, labels, max_rows).repartition(SAMPLE_PARTITIONS, "doc_id")
+    sample = written(sample, "quality-sample").cache()
     try:
         size = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
         good, bad = size.get(1, 0), size.get(0, 0)

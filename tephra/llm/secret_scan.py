@@ -40,8 +40,8 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_CHARS)
 DIGEST_CHARS = (32, 40, 48, 56, 64, 96, 128)
 UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 HEXADECIMAL = re.compile(r"[0-9a-f]+|[0-9A-F]+")
-# Names: words (capitalised or not) and numbers, joined by - _ / or by capitals.
-NAME = re.compile(r"[-_/+]*(?:(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]+)[-_/+]*)+")
+# Names: words (capitalised or not) and numbers, joined by - _ / or by capitals. Possessive: linear on any run.
+NAME = re.compile(r"[-_/+]*+(?:(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+|[0-9]++)[-_/+]*+)++=*")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])

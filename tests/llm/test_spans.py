@@ -70,6 +70,11 @@ def test_low_tokens(run, is_secret):
     assert spans == ([("lowtok", 11, 11 + len(run))] if is_secret else [])
 
 
+def test_long_runs_take_linear_time():
+    for run in ("a" * 200_000 + "9A", "1" * 200_000 + "x", "aB" * 100_000 + "1", "A" * 200_000 + "1a", "1-" * 100_000 + "Q"):
+        secret_scan.find(run, RANKS)
+
+
 def test_prose_has_no_secrets():
     assert secret_scan.find(prose(5, 3000), RANKS) == []
 
