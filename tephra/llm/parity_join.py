@@ -52,7 +52,8 @@ FIRST_BAND = 4  # smaller sets link with equal sets only
 BAND_RATIO = 2.5
 BLOCKS_PER_SIZE = 1.2  # blocks of a band per shingle of its smallest set
 MORE_KEYS = 8  # k - 1 is this part of the largest difference
-LEAST_SKETCH_BITS = 128
+SKETCH_BITS_PER_SHINGLE = 2
+LEAST_SKETCH_BITS = 512
 # Ids up to this number are broadcast to fetch their texts; more are joined by shuffle.
 BROADCAST_IDS = 500_000
 
@@ -143,8 +144,8 @@ def join_keys(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketch_bits(size: int) -> int:
-    """A power of two, at least a bit for each shingle; those of linked sets differ by a factor of two at most."""
-    return max(LEAST_SKETCH_BITS, 1 << math.ceil(math.log2(max(size, 1))))
+    """A power of two; those of linked sets differ by a factor of two at most."""
+    return max(LEAST_SKETCH_BITS, 1 << math.ceil(math.log2(SKETCH_BITS_PER_SHINGLE * max(size, 1))))
 
 
 def dense_sketch(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -230,32 +231,26 @@ def shared_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(_shared_keys, "key bigint, id bigint")
 
 
-def _sets_of(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, set`` (hashes of the shingles) of the named documents."""
+def _texts_of(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, text`` of the named documents."""
     ids = written(ids.select("id").distinct(), "parity-ids")
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    texts = _texts(docs, id_col, text_col)
-
-    def sets(batch: pa.Array) -> pa.Array:
-        return _lists([shingles(t.as_py()) for t in batch])
-
-    made = F.arrow_udf(sets, "array<bigint>").asNondeterministic()
-    return texts.join(ids, "id", "left_semi").select("id", made("text").alias("set"))
+    return _texts(docs, id_col, text_col).join(ids, "id", "left_semi")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The pairs that are links, tested on the shingle sets themselves."""
+    """The pairs that are links, tested on the shingle sets. Texts are moved, not sets: they compress."""
 
     def test(a: pa.Array, b: pa.Array) -> pa.Array:
-        ok = [linked(*(np.asarray(x.values) for x in ab)) for ab in zip(a, b, strict=True)]
+        ok = [linked(shingles(x.as_py()), shingles(y.as_py())) for x, y in zip(a, b, strict=True)]
         return pa.array(ok, pa.bool_())
 
-    found = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), docs, id_col, text_col)
-    one = found.select(F.col("id").alias("a"), F.col("set").alias("sa"))
-    two = found.select(F.col("id").alias("b"), F.col("set").alias("sb"))
-    ok = F.arrow_udf(test, "boolean").asNondeterministic()("sa", "sb")
-    tested = pairs.join(one, "a").join(two, "b").withColumn("ok", ok)
+    found = _texts_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), docs, id_col, text_col)
+    one = found.select(F.col("id").alias("a"), F.col("text").alias("ta"))
+    two = found.select(F.col("id").alias("b"), F.col("text").alias("tb"))
+    ok = F.arrow_udf(test, "boolean").asNondeterministic()("ta", "tb")
+    tested = pairs.join(two, "b").join(one, "a").withColumn("ok", ok)
     return written(tested.filter("ok").select("a", "b").distinct(), "parity-links")
 
 
@@ -289,26 +284,27 @@ def _distance(a: Column, b: Column) -> Column:
     return F.aggregate(words, F.lit(0), lambda acc, x: acc + x)
 
 
-def _near_contested(contested: DataFrame, sets: DataFrame) -> DataFrame:
+def _near_contested(contested: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs of contested documents of different components that can be links."""
 
-    def sketches(batch: pa.Array) -> pa.Array:
-        found = [np.asarray(x.values).view(np.uint64) for x in batch]
-        return _lists([dense_sketch(h, sketch_bits(len(h))) for h in found])
+    def prepare(batch: pa.Array) -> pa.Array:
+        found = [shingles(t.as_py()) for t in batch]
+        sketches = [dense_sketch(h, sketch_bits(len(h))) for h in found]
+        return pa.StructArray.from_arrays([_lists(found), _lists(sketches)], ["set", "sketch"])
 
-    made = F.arrow_udf(sketches, "array<bigint>").asNondeterministic()
-    rows = sets.join(contested, "id").select("id", "component", F.size("set").alias("n"), "set", made("set").alias("sketch"))
+    made = F.arrow_udf(prepare, "struct<set:array<bigint>,sketch:array<bigint>>").asNondeterministic()
+    rows = texts.select("id", made("text").alias("p")).select("id", F.size("p.set").alias("n"), "p.*")
     rows = written(rows, "parity-contested")
-    tokens = rows.select("id", "n", F.explode("set").alias("token"))
+    tokens = rows.select("id", F.explode("set").alias("token"))
     frequent = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    held = tokens.join(frequent, "token").groupBy("id", "n").agg(F.collect_list(F.struct("df", "token")).alias("held"))
+    held = tokens.join(frequent, "token").groupBy("id").agg(F.collect_list(F.struct("df", "token")).alias("held"))
+    held = held.join(rows.select("id", "n", "sketch"), "id").join(contested, "id")
     # Single shingles come first in the order; what is left of the prefix goes to the rarest others.
     single = F.col("n") - F.size("held")
-    prefix = F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + 1 - single
+    prefix = F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + 1 - F.col("single")
     rarest = F.transform(F.slice(F.sort_array("held"), F.lit(1), F.col("prefix").cast("int")), lambda x: x["token"])
-    kept = held.select("id", single.alias("single"), prefix.alias("prefix"), "held").filter("prefix > 0")
-    kept = kept.select("id", "single", rarest.alias("rarest")).join(rows.drop("set"), "id")
-    kept = written(kept, "parity-prefixes")
+    kept = held.withColumn("single", single).withColumn("prefix", prefix).filter("prefix > 0")
+    kept = written(kept.select("id", "component", "n", "single", "sketch", rarest.alias("rarest")), "parity-prefixes")
     one, two = (kept.select(*(F.col(c).alias(f"{c}_{x}") for c in kept.columns)) for x in "ab")
     one = one.withColumn("token_a", F.explode("rarest_a")).drop("rarest_a")
     two = two.withColumn("token_b", F.explode("rarest_b")).drop("rarest_b")
@@ -340,8 +336,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     shared = written(shared.join(enough, "id", "left_semi"), "parity-candidates")
     links = _verified(written(_first_meetings(shared), "parity-pairs"), docs, id_col, text_col)
     contested = written(_contested(shared, components(links)), "parity-open")
-    sets = _sets_of(contested, docs, id_col, text_col)
-    more = _verified(written(_near_contested(contested, sets), "parity-pairs"), docs, id_col, text_col)
+    texts = _texts_of(contested, docs, id_col, text_col)
+    more = _verified(written(_near_contested(contested, texts), "parity-pairs"), docs, id_col, text_col)
     return sig, same.union(links).union(more)
 
 
