@@ -32,6 +32,8 @@ from tephra.llm.common import setup, text_or_empty, written
 RANKS = "byte_bpe_multi_50k.tiktoken"
 CHUNK_CHARS = 16_384
 OVERLAP_CHARS = 1_024
+# Seams of up to this many chunks are broadcast; more are joined by shuffle.
+BROADCAST_CHUNKS = 500_000
 
 
 @functools.cache
@@ -92,23 +94,25 @@ def n_chunks(length: int, chunk: int, overlap: int) -> int:
 
 
 def _slices(chunk: int, overlap: int):
-    """Chunk rows of long texts: ``text[k * chunk : (k + 1) * chunk + overlap]``."""
+    """Chunk rows of long texts: ``text[k * chunk : (k + 1) * chunk + overlap]``, with the row's key and id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, text in zip(batch.column(0), batch.column(1), strict=True):
-                key, text = key.as_py(), text.as_py()
+            keys, ids, texts = batch.columns
+            for i in range(batch.num_rows):
+                text = texts[i].as_py()
                 n = n_chunks(len(text), chunk, overlap)
                 for k in range(0, n, 64):  # bounded output batches, however long the text
                     part = range(k, min(n, k + 64))
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "row_key": pa.array([key] * len(part), pa.int64()),
-                            "chunk": pa.array(part, pa.int64()),
-                            "last": pa.array([i == n - 1 for i in part], pa.bool_()),
-                            "part": pa.array([text[i * chunk : (i + 1) * chunk + overlap] for i in part], pa.string()),
-                        }
-                    )
+                    here = pa.array([i] * len(part), pa.int64())
+                    columns = {
+                        "row_key": keys.take(here),
+                        "id": ids.take(here),
+                        "chunk": pa.array(part, pa.int64()),
+                        "last": pa.array([x == n - 1 for x in part], pa.bool_()),
+                        "part": pa.array([text[x * chunk : (x + 1) * chunk + overlap] for x in part], pa.string()),
+                    }
+                    yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
@@ -130,27 +134,33 @@ def _zones(chunk: int, overlap: int):
 
 
 def _encode_long(long: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
-    """``row_key, ids`` of texts of more than one chunk."""
-    cut = long.select("row_key", "text").mapInArrow(
-        _slices(chunk, overlap), "row_key bigint, chunk bigint, last boolean, part string"
+    """``id, ids`` of texts of more than one chunk (columns ``row_key, id, text``)."""
+    kind = long.schema["id"].dataType.simpleString()
+    cut = long.select("row_key", "id", "text").mapInArrow(
+        _slices(chunk, overlap), f"row_key bigint, id {kind}, chunk bigint, last boolean, part string"
     )
     cut = cut.repartition("row_key", "chunk")
     zoned = cut.withColumn("zone", _zones(chunk, overlap)("part", "last"))
-    zoned = written(zoned.select("row_key", "chunk", "last", "part", "zone.head", "zone.tail"), "bpe-chunks")
-    left = zoned.select("row_key", (F.col("chunk") + 1).alias("chunk"), F.col("tail").alias("left_tail"))
-    right = zoned.select("row_key", (F.col("chunk") - 1).alias("chunk"), F.col("head").alias("right_head"))
-    joined = zoned.join(left, ["row_key", "chunk"], "left").join(right, ["row_key", "chunk"], "left")
-    first = F.col("chunk") == 0
-    agreed = joined.select(
+    # The keys were made on the way; from here on they are read from this table.
+    zoned = written(zoned.select("row_key", "id", "chunk", "last", "part", "zone.head", "zone.tail"), "bpe-chunks")
+    starts = zoned.select("row_key", "chunk", "last", "head", "tail")
+    left = starts.select("row_key", (F.col("chunk") + 1).alias("chunk"), F.col("tail").alias("left_tail"))
+    right = starts.select("row_key", (F.col("chunk") - 1).alias("chunk"), F.col("head").alias("right_head"))
+    joined = starts.join(left, ["row_key", "chunk"], "left").join(right, ["row_key", "chunk"], "left")
+    begin = F.when(F.col("chunk") == 0, F.lit(0)).otherwise(F.array_min(F.array_intersect("left_tail", "head")))
+    end = F.array_min(F.array_intersect("tail", "right_head")) + chunk
+    seams = joined.select(
         "row_key",
         "chunk",
-        "part",
-        F.when(first, F.lit(0)).otherwise(F.array_min(F.array_intersect("left_tail", "head"))).alias("begin"),
-        F.when(F.col("last"), F.char_length("part"))
-        .otherwise(F.array_min(F.array_intersect("tail", "right_head")) + chunk)
-        .alias("end"),
+        begin.alias("begin"),
+        F.when(~F.col("last"), end).alias("end"),
+        (begin.isNull() | (~F.col("last") & end.isNull())).alias("open"),
     )
-    agreed = agreed.withColumn("open", F.col("begin").isNull() | F.col("end").isNull())
+    seams = written(seams, "bpe-seams")
+    if seams.count() <= BROADCAST_CHUNKS:
+        seams = F.broadcast(seams)  # numbers only; the texts stay where they are
+    agreed = zoned.drop("head", "tail").join(seams, ["row_key", "chunk"])
+    agreed = agreed.withColumn("end", F.coalesce("end", F.char_length("part")))
 
     def batch(parts: pa.Array, begins: pa.Array, ends: pa.Array, opens: pa.Array) -> pa.Array:
         found = []
@@ -177,26 +187,28 @@ def _encode_long(long: DataFrame, path: str, chunk: int, overlap: int) -> DataFr
     encode_part = F.arrow_udf(batch, "array<int>").asNondeterministic()
     parts = agreed.select(
         "row_key",
+        "id",
         "chunk",
-        "open",
         encode_part("part", "begin", "end", "open").alias("ids"),
         F.when(F.col("open"), F.lit(1)).otherwise(F.lit(0)).alias("n_open"),
     )
     # One text's ids end in one row, as its text did.
     whole = parts.groupBy("row_key").agg(
-        F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("found"), F.sum("n_open").alias("n_open")
+        F.first("id").alias("id"),
+        F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("found"),
+        F.sum("n_open").alias("n_open"),
     )
-    whole = whole.select("row_key", F.flatten(F.col("found.ids")).alias("ids"), "n_open")
+    whole = whole.filter("n_open = 0").select("id", F.flatten(F.col("found.ids")).alias("ids"))
     # Texts with an overlap on which the neighbours do not agree: encoded whole.
-    stuck = whole.filter("n_open > 0").select("row_key")
+    stuck = seams.filter("open").select("row_key").distinct()
+    own = F.when(F.col("last"), F.col("part")).otherwise(F.substring("part", 1, chunk))
     again = (
         zoned.join(stuck, "row_key", "left_semi")
-        .select("row_key", "chunk", F.when(F.col("last"), F.col("part")).otherwise(F.substring("part", 1, chunk)).alias("part"))
         .groupBy("row_key")
-        .agg(F.sort_array(F.collect_list(F.struct("chunk", "part"))).alias("found"))
-        .select("row_key", _encode(F.array_join(F.col("found.part"), ""), path).alias("ids"))
+        .agg(F.first("id").alias("id"), F.sort_array(F.collect_list(F.struct("chunk", own.alias("part")))).alias("found"))
+        .select("id", _encode(F.array_join(F.col("found.part"), ""), path).alias("ids"))
     )
-    return whole.filter("n_open = 0").select("row_key", "ids").unionByName(again)
+    return whole.unionByName(again)
 
 
 def encode(
@@ -216,10 +228,7 @@ def encode(
     is_long = F.char_length("text") > chunk + overlap
     short = rows.filter(~is_long).select("id", _encode(F.col("text"), path).alias("ids"))
     long = rows.filter(is_long).withColumn("row_key", F.monotonically_increasing_id())
-    long = written(long, "bpe-long")  # fixes the keys
-    encoded = _encode_long(long, path, chunk, overlap)
-    done = long.select("row_key", "id").join(encoded, "row_key").select("id", "ids")
-    return short.unionByName(done).withColumnRenamed("id", id_col)
+    return short.unionByName(_encode_long(long, path, chunk, overlap)).withColumnRenamed("id", id_col)
 
 
 @functools.cache
