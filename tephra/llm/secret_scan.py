@@ -3,7 +3,8 @@
 A random string needs many tokens: under a vocabulary learned from text it yields
 few characters per token. Runs of key-like characters with a low ratio are reported
 as ``lowtok``, after excluding known digests and identifiers: hexadecimal digests of
-the usual lengths, UUIDs, numbers, and names made of words. Spans of the fixed
+the usual lengths, UUIDs, numbers, and names made of words and numbers. Letters
+without digits are words only if their own tokens are long. Spans of the fixed
 patterns always stay. Offsets are code points, the end exclusive.
 
 Null text counts as empty (no spans). Repeated rows are scanned one by one.
@@ -42,17 +43,27 @@ UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 HEXADECIMAL = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 # Names: words (capitalised or not) and numbers, joined by - _ / or by capitals. Possessive: linear on any run.
 NAME = re.compile(r"[-_/+]*+(?:(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+|[0-9]++)[-_/+]*+)++=*")
+LETTERS = re.compile(r"[A-Za-z]+")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
 
-def is_known(run: str) -> bool:
+def is_word(part: str, path: str) -> bool:
+    """Letters that are one token, or many characters per token."""
+    n = len(T.rank_encoding(path).encode_ordinary(part))
+    return n == 1 or len(part) >= MAX_CHARS_PER_TOKEN * n
+
+
+def is_known(run: str, path: str) -> bool:
     """A digest or an identifier, not a secret."""
     if len(run) in DIGEST_CHARS and HEXADECIMAL.fullmatch(run) or UUID.fullmatch(run):
         return True
-    if not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run):
-        return True  # words only, numbers only, rules of dashes
+    if not any(c.isalpha() for c in run):
+        return True  # numbers, rules of dashes
+    if not any(c.isdigit() for c in run):
+        # Words or random letters: only the tokens tell them apart.
+        return all(is_word(p, path) for p in LETTERS.findall(run))
     parts = NAME_PARTS.findall(run)
     # Names have long parts: on average four characters or more.
     return bool(NAME.fullmatch(run)) and sum(map(len, parts)) >= 4 * len(parts)
@@ -69,7 +80,7 @@ def find(text: str | None, path: str) -> list[tuple[str, int, int]]:
     found += [("access", *m.span()) for m in ACCESS.finditer(text)]
     found += [("hex", *m.span()) for m in HEX.finditer(text)]
     for m in CANDIDATE.finditer(text):
-        if not is_known(m[0]) and is_random(m[0], path):
+        if not is_known(m[0], path) and is_random(m[0], path):
             found.append(("lowtok", *m.span()))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
 
 import public_tokenizers
 import pytest
@@ -70,6 +72,20 @@ def test_low_tokens(run, is_secret):
     assert spans == ([("lowtok", 11, 11 + len(run))] if is_secret else [])
 
 
+@pytest.mark.parametrize("letters", [string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters])
+def test_random_letters_are_low_tokens(letters):
+    rng = random.Random(11)
+    for n in (24, 32, 64):
+        run = "".join(rng.choices(letters, k=n))
+        assert ("lowtok", 11, 11 + n) in secret_scan.find(f"some words {run} and more", RANKS), run
+        assert secret_scan.masked(f"some words {run} and more", RANKS) == "some words [secret] and more"
+
+
+def test_words_without_digits_stay():
+    for run in ("Rechtsschutzversicherungsgesellschaften", "src/main/resources/application/settings", "a_list_of_all_the_words_in_it"):
+        assert secret_scan.find(f"some words {run} and more", RANKS) == [], run
+
+
 def test_long_runs_take_linear_time():
     for run in ("a" * 200_000 + "9A", "1" * 200_000 + "x", "aB" * 100_000 + "1", "A" * 200_000 + "1a", "1-" * 100_000 + "Q"):
         secret_scan.find(run, RANKS)
