@@ -4,7 +4,7 @@ A random string needs many tokens: under a vocabulary learned from text it yield
 few characters per token. Runs of key-like characters with a low ratio are reported
 as ``lowtok``, after excluding known digests and identifiers: hexadecimal digests of
 the usual lengths, UUIDs, numbers, and names made of words and numbers. Letters
-without digits are words only if their own tokens are long. Spans of the fixed
+are words only if their own tokens are long, whatever their case. Spans of the fixed
 patterns always stay. Offsets are code points, the end exclusive.
 
 Null text counts as empty (no spans). Repeated rows are scanned one by one.
@@ -65,8 +65,10 @@ def is_known(run: str, path: str) -> bool:
         # Words or random letters: only the tokens tell them apart.
         return all(is_word(p, path) for p in LETTERS.findall(run))
     parts = NAME_PARTS.findall(run)
-    # Names have long parts: on average four characters or more.
-    return bool(NAME.fullmatch(run)) and sum(map(len, parts)) >= 4 * len(parts)
+    # Names have long parts, on average four characters or more, and their letters are words.
+    if not NAME.fullmatch(run) or sum(map(len, parts)) < 4 * len(parts):
+        return False
+    return all(is_word(p, path) for p in parts if p.isalpha())
 
 
 def is_random(run: str, path: str) -> bool:

@@ -81,6 +81,20 @@ def test_random_letters_are_low_tokens(letters):
         assert secret_scan.masked(f"some words {run} and more", RANKS) == "some words [secret] and more"
 
 
+@pytest.mark.parametrize("letters", [string.ascii_uppercase + "234567", string.ascii_lowercase + string.digits])
+def test_random_single_case_keys_are_low_tokens(letters):
+    rng = random.Random(12)
+    for n in (20, 32, 40):
+        for _ in range(200):
+            run = "".join(rng.choices(letters, k=n))
+            assert ("lowtok", 11, 11 + n) in secret_scan.find(f"some words {run} and more", RANKS), run
+
+
+def test_words_and_numbers_stay():
+    for run in ("event_2024_11_05_1234567", "log_backup_2024-11-05_123456789", "INVOICE-2024-0011223344"):
+        assert secret_scan.find(f"some words {run} and more", RANKS) == [], run
+
+
 def test_words_without_digits_stay():
     for run in ("Rechtsschutzversicherungsgesellschaften", "src/main/resources/application/settings", "a_list_of_all_the_words_in_it"):
         assert secret_scan.find(f"some words {run} and more", RANKS) == [], run
