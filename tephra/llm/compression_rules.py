@@ -2,8 +2,8 @@
 
 The zstandard ratio (compressed bytes / UTF-8 bytes) of the whole document and of
 fixed chunks must lie inside limits that depend on the length: below the lower
-limit a text repeats itself, above the upper one it is noise. Short texts compress
-badly by nature, so their bands are wide and the shortest have no upper limit.
+limit a text repeats itself, above the upper one it is noise. The limits are those of
+clean labelled text of the same length with a margin; the shortest have no upper limit.
 
 Null text counts as empty. An empty or very short text fails the base rules
 (fewer than ``MIN_WORDS`` words). Repeated rows are judged one by one.
@@ -38,18 +38,41 @@ class Band:
     high: float
 
 
-# Whole documents. From 1 KB on, prose of any language stays under the upper limit;
-# base64 or random letters do not. The lower limits fall with length, because long
-# texts reuse more of their own vocabulary.
+# Lowest and highest ratio of clean text by length: the documents of sf0.1 labelled quality 1 that pass
+# the base rules (3,243), from ``min_bytes`` up to the next length. Limits lie MARGIN outside.
+MARGIN = 0.08
+CLEAN = (
+    (256, 0.6017, 0.7253),
+    (362, 0.5439, 0.7080),
+    (512, 0.5355, 0.6819),
+    (724, 0.5067, 0.6292),
+    (1024, 0.4910, 0.5798),
+    (1448, 0.4656, 0.5429),
+    (2048, 0.4636, 0.5211),
+    (2896, 0.4513, 0.5005),
+    (4096, 0.4368, 0.4719),
+    (5793, 0.4273, 0.4663),
+    (8192, 0.4204, 0.4512),
+    (11585, 0.4154, 0.4418),
+    (16384, 0.4032, 0.4281),
+)
+CLEAN_CHUNK = (0.4425, 0.4819)
+
+
+def _around(min_bytes: int, low: float, high: float) -> Band:
+    return Band(min_bytes, low * (1 - MARGIN), high * (1 + MARGIN))
+
+
+# Whole documents. Random lower-case letters leave the band from 1.5 KB on, hexadecimal noise from 4 KB,
+# digits from 16 KB; shorter ones compress like clean text. No clean text is labelled below 256 bytes, where
+# the limits are wide, nor from 64 KB on, where the lower limit is lower as long texts reuse their vocabulary.
 DOC_BANDS = (
     Band(0, 0.10, 9.0),
-    Band(512, 0.10, 0.80),
-    Band(1024, 0.08, 0.74),
-    Band(4096, 0.06, 0.70),
-    Band(16384, 0.05, 0.66),
+    *(_around(*c) for c in CLEAN),
+    Band(65536, 0.30, CLEAN[-1][2] * (1 + MARGIN)),
 )
 # Full chunks of CHUNK_BYTES; a text is rejected when more than BAD_CHUNK_PERCENT of them leave the band.
-CHUNK_BAND = Band(CHUNK_BYTES, 0.08, 0.72)
+CHUNK_BAND = _around(CHUNK_BYTES, *CLEAN_CHUNK)
 BAD_CHUNK_PERCENT = 50
 
 SCHEMA = (

@@ -71,6 +71,35 @@ def test_bands():
     assert not rules.judge(mixed)["kept"]
 
 
+def spaced_noise(letters, n, seed=4):
+    rng, out = random.Random(seed), ""
+    while len(out) < n:
+        out += "".join(rng.choices(letters, k=rng.randint(3, 9))) + " "
+    return out[:n]
+
+
+def test_bands_reject_noise_and_repetition():
+    lower, hexadecimal = "abcdefghijklmnopqrstuvwxyz", "0123456789abcdef"
+    noise = [spaced_noise(lower, n) for n in (1500, 2048, 4096, 8192, 16384, 70_000)]
+    noise += [spaced_noise(lower + lower.upper(), n) for n in (1024, 1500, 2048, 4096, 8192, 16384, 70_000)]
+    noise += [spaced_noise(hexadecimal, n) for n in (4096, 8192, 16384, 70_000)]
+    noise += [spaced_noise("0123456789", n) for n in (16384, 70_000)]
+    for text in noise:
+        got = rules.judge(text)
+        assert not got["base_failed"] and not got["kept"], (len(text), text[:40], got["doc_ratio"])
+    for n in (220, 900, 3500):  # half of the words are repeated: the base rules let it pass
+        words = prose(n, n).split()
+        passage = words[: n * 24 // 100]
+        got = rules.judge(" ".join([*passage, *passage, *words[len(passage) : n - len(passage)]]))
+        assert not got["base_failed"] and not got["kept"], (n, got["n_repeat_words"], got["doc_ratio"])
+
+
+def test_bands_keep_clean_labelled_text(spark):
+    docs = spark.read.parquet(f"{SF_LABELS}/documents.parquet").join(spark.read.parquet(f"{SF_LABELS}/labels.parquet"), "doc_id")
+    clean = [rules.judge(r["text"]) for r in docs.filter("quality = 1").collect()]
+    assert all(c["kept"] or c["base_failed"] for c in clean) and sum(c["kept"] for c in clean) > 100
+
+
 def test_op8_odd_rows(odd_docs, no_docs):
     assert rules.quality_rules(odd_docs).count() == odd_docs.count()
     assert rules.quality_rules(no_docs).count() == 0
