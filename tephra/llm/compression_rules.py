@@ -1,9 +1,10 @@
 """Quality rules on compression bands.
 
 The zstandard ratio (compressed bytes / UTF-8 bytes) of the whole document and of
-fixed chunks must lie inside limits that depend on the length: below the lower
-limit a text repeats itself, above the upper one it is noise. The limits are those of
-clean labelled text of the same length with a margin; the shortest have no upper limit.
+fixed chunks, the end of the text included, must lie inside limits that depend on the
+length: below the lower limit a text repeats itself, above the upper one it is noise.
+The limits are those of clean labelled text of the same length with a margin; the
+shortest have no upper limit.
 
 Null text counts as empty. An empty or very short text fails the base rules
 (fewer than ``MIN_WORDS`` words). Repeated rows are judged one by one.
@@ -71,9 +72,10 @@ DOC_BANDS = (
     *(_around(*c) for c in CLEAN),
     Band(65536, 0.30, CLEAN[-1][2] * (1 + MARGIN)),
 )
-# Full chunks of CHUNK_BYTES; a text is rejected when more than BAD_CHUNK_PERCENT of them leave the band.
+# Chunks of CHUNK_BYTES; a text is rejected when a larger share of them leaves the band than its length allows.
 CHUNK_BAND = _around(CHUNK_BYTES, *CLEAN_CHUNK)
-BAD_CHUNK_PERCENT = 50
+# (bytes from which it holds, percent): no bad chunk below 64 KB; one table or listing is no reason in a long text.
+BAD_CHUNK_PERCENT = ((0, 0), (65536, 5), (1 << 20, 2))
 
 SCHEMA = (
     "struct<n_words:bigint,word_chars:bigint,n_symbols:bigint,n_dup_lines:bigint,"
@@ -128,6 +130,15 @@ def _inside(ratio: float, band: Band) -> bool:
     return band.low <= ratio <= band.high
 
 
+def chunks_of(raw: bytes) -> list[memoryview]:
+    """The full chunks, and the last CHUNK_BYTES where they end before the text does."""
+    view = memoryview(raw)
+    starts = list(range(0, len(raw) - CHUNK_BYTES + 1, CHUNK_BYTES))
+    if starts and len(raw) % CHUNK_BYTES:
+        starts.append(len(raw) - CHUNK_BYTES)
+    return [view[i : i + CHUNK_BYTES] for i in starts]
+
+
 def judge(text: str | None, squeeze: zstandard.ZstdCompressor | None = None) -> dict:
     """Counts, base rules and compression verdict of one text."""
     text = text or ""
@@ -137,11 +148,11 @@ def judge(text: str | None, squeeze: zstandard.ZstdCompressor | None = None) ->
     repeats = repeat_words(words)
     failed = len(words) < MIN_WORDS or 100 * repeats > MAX_REPEAT_PERCENT * len(words)
     ratio = len(squeeze.compress(raw)) / len(raw) if raw else None
-    view = memoryview(raw)
-    chunks = [view[i : i + CHUNK_BYTES] for i in range(0, len(raw) - CHUNK_BYTES + 1, CHUNK_BYTES)]
+    chunks = chunks_of(raw)
     bad = sum(not _inside(len(squeeze.compress(c)) / CHUNK_BYTES, CHUNK_BAND) for c in chunks)
     good = ratio is not None and _inside(ratio, [b for b in DOC_BANDS if b.min_bytes <= len(raw)][-1])
-    good = good and 100 * bad <= BAD_CHUNK_PERCENT * len(chunks)
+    percent = [p for least, p in BAD_CHUNK_PERCENT if least <= len(raw)][-1]
+    good = good and 100 * bad <= percent * len(chunks)
     return {
         "n_words": len(words),
         "word_chars": len(text) - sum(map(text.count, _SPACE)),

@@ -94,6 +94,33 @@ def test_bands_reject_noise_and_repetition():
         assert not got["base_failed"] and not got["kept"], (n, got["n_repeat_words"], got["doc_ratio"])
 
 
+def test_chunks_reject_noise_in_a_part():
+    rng = random.Random(6)
+
+    def noise(n):
+        text = base64.b64encode(rng.randbytes(n)).decode()
+        return " ".join(text[i : i + 12] for i in range(0, n, 12))[:n]
+
+    for clean, dirty in ((41_000, 41_000), (41_000, 17_500), (150_000, 30_000), (4200, 3900), (12_500, 2000)):
+        words = prose(clean, clean // 3)[:clean]
+        assert rules.judge(words)["kept"], clean
+        for text in (words + " " + noise(dirty), noise(dirty) + " " + words):
+            got = rules.judge(text)
+            assert not got["base_failed"] and got["n_bad_chunks"] > 0 and not got["kept"], (clean, dirty, got["doc_ratio"])
+
+
+def test_every_byte_is_in_a_chunk():
+    for n in (0, 1, 4095, 4096, 4097, 8191, 8192, 8193):
+        raw = bytes(i % 251 for i in range(n))
+        chunks = rules.chunks_of(raw)
+        assert len(chunks) == (0 if n < 4096 else -(-n // 4096)) and all(len(c) == 4096 for c in chunks)
+        if chunks:
+            assert bytes(chunks[0]) == raw[:4096] and bytes(chunks[-1]) == raw[-4096:]
+    words = prose(9, 40_000)
+    at = len(words) // 2
+    assert rules.judge(words[:at] + " " + "0123456789abcdef" * 200 + " " + words[at:])["kept"]  # one odd part of a long text
+
+
 def test_bands_keep_clean_labelled_text(spark):
     docs = spark.read.parquet(f"{SF_LABELS}/documents.parquet").join(spark.read.parquet(f"{SF_LABELS}/labels.parquet"), "doc_id")
     clean = [rules.judge(r["text"]) for r in docs.filter("quality = 1").collect()]
