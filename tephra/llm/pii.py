@@ -6,7 +6,10 @@ numbers, mod 97 for IBANs, ranges and digit counts for the others), and words ju
 before the span raise or lower its score. Offsets are code points, the end exclusive.
 
 The patterns are possessive and start only at the start of a run (or where the last
-match ended), so matching stays linear on long runs; the matches are the same.
+match ended), so matching stays linear on long runs; the matches are the same. The IBAN
+pattern must give characters back and has bounded counts instead. An IBAN ends at its
+country's length; one of another country or length ends at the last group with which
+the checksum holds.
 
 Null text counts as empty (no spans). Repeated rows are scanned one by one.
 """
@@ -72,6 +75,56 @@ class Kind:
     valid: Callable[[Column], Column] | None
     score: float
     context: tuple[str, ...]
+    part: Callable[[Column], Column] | None = None  # the start of a match that is the span, null if none is
+
+
+# Length of an IBAN by country (ISO 13616 registry).
+IBAN_COUNTRIES = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+
+
+def _of_length(n: int) -> str:
+    """IBANs of one length, compact or in groups of four."""
+    groups, rest = divmod(n - 4, 4)
+    tail = f" [A-Z0-9]{{{rest}}}" if rest else ""
+    countries = IBAN_COUNTRIES[n].replace(" ", "|")
+    return f"(?:{countries})[0-9]{{2}}(?:[A-Z0-9]{{{n - 4}}}|(?: [A-Z0-9]{{4}}){{{groups}}}{tail})"
+
+
+_LISTED = "(?:" + "|".join(map(_of_length, IBAN_COUNTRIES)) + ")"
+_LISTED_START = "(?:" + "|".join(IBAN_COUNTRIES.values()).replace(" ", "|") + ")[0-9]{2}"
+# Any other country or length; a group that starts a listed country's IBAN is not part of it.
+_UNLISTED = (
+    r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}"
+    rf"|(?: (?!{_LISTED_START} )[A-Z0-9]{{4}}){{2,7}}(?: [A-Z0-9]{{1,3}}(?![A-Za-z0-9]))?)"
+)
+
+
+def iban_part(match: Column) -> Column:
+    """The IBAN at the start of a match: all of it, or for unlisted lengths as many groups as pass mod 97."""
+    groups = F.split(match, " ")
+    n = F.size(groups)
+    sizes = F.when((n < 3) | match.rlike(f"^{_LISTED}$"), F.array(n)).otherwise(F.sequence(n, F.lit(3), F.lit(-1)))
+    starts = F.transform(sizes, lambda k: F.array_join(F.slice(groups, F.lit(1), k), " "))
+    return F.get(F.filter(starts, mod97), F.lit(0))
 
 
 BASE = (
@@ -110,11 +163,12 @@ BASE = (
 )
 IBAN = Kind(
     "iban",
-    r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}+|(?: [A-Z0-9]{4}){2,7}+(?: [A-Z0-9]{1,3})?+)(?![A-Za-z0-9])",
+    rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}}[\x20A-Z0-9])(?:{_LISTED}|{_UNLISTED})(?![A-Za-z0-9])",
     lambda t: t.rlike("[A-Z]{2}[0-9]{2}"),
-    mod97,
+    None,
     0.8,
     ("iban", "account", "bank", "konto", "cuenta", "compte"),
+    iban_part,
 )
 KINDS = (*BASE, IBAN)
 
@@ -129,14 +183,15 @@ def findings(text: Column, kind: Kind) -> Column:
     def step(acc: Column, s: Column) -> Column:
         start = acc["at"] + F.char_length(s["gap"])
         end = start + F.char_length(s["match"])
+        part = kind.part(s["match"]) if kind.part else s["match"]
         near = F.right(s["gap"], F.lit(CONTEXT_CHARS)).rlike(words)
         span = F.struct(
             F.lit(kind.name).alias("kind"),
             start.cast("bigint").alias("start"),
-            end.cast("bigint").alias("end"),
+            (start + F.char_length(part)).cast("bigint").alias("end"),
             (F.lit(kind.score) + F.when(near, F.lit(CONTEXT_BONUS)).otherwise(F.lit(0.0))).alias("score"),
         )
-        ok = kind.valid(s["match"]) if kind.valid else F.lit(True)
+        ok = kind.valid(s["match"]) if kind.valid else part.isNotNull()
         return F.struct(
             end.cast("bigint").alias("at"), F.when(ok, F.array_append(acc["found"], span)).otherwise(acc["found"]).alias("found")
         )

@@ -202,6 +202,37 @@ def test_op3_iban_and_context(spark):
     assert rows[3]["email"][0]["score"] > rows[4]["email"][0]["score"]
 
 
+IBANS = ["BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "NO93 8601 1117 947"]
+IBANS += ["GB82 WEST 1234 5698 7654 32", "FR14 2004 1010 0505 0001 3M02 606", "PL61 1090 1014 0000 0712 1981 2874"]
+IBANS += ["MT84 MALT 0110 0001 2345 MTLC AST0 01S", "DE89 3704 0044 0532 0130 00", "CH93 0076 2011 6238 5295 7"]
+
+
+def unlisted_iban(country, rest):
+    check = 98 - int("".join(str(int(c, 36)) for c in f"{rest}{country}00")) % 97
+    plain = f"{country}{check:02d}{rest}"
+    return " ".join(plain[i : i + 4] for i in range(0, len(plain), 4))
+
+
+def test_op3_iban_before_other_words(spark):
+    ibans = [*IBANS, unlisted_iban("QX", "539007547034"), unlisted_iban("QX", "20041010050500013M02")]
+    after = ["", " Please", " BANK", " I paid", " 12 euro", " PAY NOW", " A", " 2024", " EUR 5", ", BIC", "\n1234", " é", "."]
+    cases = [(f"{before}{i}{w}", [(len(before), i)]) for i in ibans for before in ("", "to ") for w in after]
+    cases += [(f"{i.replace(' ', '')}{w}", [(0, i.replace(" ", ""))]) for i in ibans for w in after]
+    cases += [(f"{i} {j} BANK", [(0, i), (len(i) + 1, j)]) for i in ibans for j in IBANS]
+    cases += [(f"{i[:-1]}{(int(i[-1], 36) + 1) % 10} BANK", []) for i in IBANS]
+    cases += [(f"x{i}", []) for i in ibans] + [(f"{i.replace(' ', '')}x", []) for i in ibans]
+    df = spark.createDataFrame([(n, t) for n, (t, _) in enumerate(cases)], "doc_id bigint, text string")
+    for r in pii.find(df).collect():
+        text, wanted = cases[r["doc_id"]]
+        assert [(f["start"], text[f["start"] : f["end"]]) for f in r["iban"]] == wanted, text
+
+
+def test_op3_long_runs_of_iban_starts(spark):
+    texts = ["DE89 " * 40_000, "A" * 200_000 + "DE89", "QX12 AB12 " * 20_000, "DE89" * 50_000, "DE89 3704 0044 " * 15_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert pii.find(df).count() == len(texts) and len(pii.find(df).collect()) == len(texts)
+
+
 def test_op3_odd_rows_and_native_plan(odd_docs, no_docs):
     out = pii.digest(pii.find(odd_docs))
     assert out.count() == odd_docs.count()
