@@ -328,8 +328,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     classes = sig.filter("n > 0 and id is not null").groupBy("fp1", "fp2", "n").agg(F.min("id").alias("rep"))
     same = sig.select("id", "fp1", "fp2", "n").join(classes, ["fp1", "fp2", "n"]).filter("id != rep")
     same = written(same.select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct(), "parity-same")
-    # One document per set from here on, with as many shared keys as a link needs.
-    shared = written(shared_keys(docs, id_col, text_col).join(same.select(F.col("b").alias("id")), "id", "left_anti"), "parity-shared")
+    # One document per set from here on, with as many shared keys as a link needs. An id with another text of its own stays.
+    copies = same.select(F.col("b").alias("id")).join(classes.select(F.col("rep").alias("id")), "id", "left_anti")
+    shared = written(shared_keys(docs, id_col, text_col).join(copies, "id", "left_anti"), "parity-shared")
     least = F.floor((F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) / 4).cast("int") / MORE_KEYS) + 1
     enough = shared.groupBy("id").agg(F.count(F.lit(1)).alias("n_keys")).join(sig.select("id", "n"), "id")
     enough = enough.filter(F.col("n_keys") >= least).select("id").distinct()

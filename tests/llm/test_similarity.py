@@ -131,6 +131,16 @@ def test_op7_odd_rows(spark, odd_docs, no_docs):
     assert parity_join.near_duplicates(no_docs).count() == 0 and parity_join.keep_one(no_docs).count() == 0
 
 
+def test_op7_id_with_two_texts_is_linked_through_both(spark):
+    rng = random.Random(8)
+    one, two, three = (prose(s, 300).split() for s in (21, 22, 23))
+    rows = [(1, one), (5, one), (5, two), (7, edited(two, rng, 3)), (2, three), (3, one), (3, three), (9, edited(three, rng, 3))]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in rows] + [(4, prose(24, 300))], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["component_id"] for r in parity_join.near_duplicates(df).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 1, 7: 1, 9: 1}
+    assert sorted(r["doc_id"] for r in parity_join.keep_one(df).collect()) == [1, 4]
+
+
 def test_shuffled_ids_give_the_same(spark, monkeypatch):
     texts = corpus(3)[:80]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
