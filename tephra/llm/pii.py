@@ -27,6 +27,8 @@ from tephra.llm.common import setup, text_or_empty
 # Code points before a span that are searched for context words.
 CONTEXT_CHARS = 40
 CONTEXT_BONUS = 0.3
+# Matches whose places are summed up together.
+SUM_BLOCK = 512
 SEEN = "struct<kind:string,start:bigint,end:bigint,score:double>"
 
 
@@ -173,6 +175,35 @@ IBAN = Kind(
 KINDS = (*BASE, IBAN)
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once: inside nested lambdas an expression is computed for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running_sums(numbers: Column) -> Column:
+    """Sums up to and with every element. Appending copies the array, so the sums are built in
+    blocks of ``SUM_BLOCK`` from the blocks' totals: no copy is longer than a block or the list of blocks."""
+
+    def appended(block: Column, before: Column) -> Column:
+        first = F.array(before)
+        return F.slice(
+            F.aggregate(block, first, lambda acc, x: F.array_append(acc, F.element_at(acc, -1) + x)), 2, SUM_BLOCK
+        )
+
+    def in_blocks(n: Column) -> Column:
+        places = F.sequence(F.lit(0), F.floor((F.size(n) - 1) / SUM_BLOCK).cast("int"))
+        return F.transform(places, lambda i: F.slice(n, i * SUM_BLOCK + 1, F.lit(SUM_BLOCK)))
+
+    def joined(blocks: Column) -> Column:
+        zero = F.lit(0).cast("bigint")
+        totals = F.transform(blocks, lambda b: F.aggregate(b, zero, lambda a, x: a + x))
+        before = F.aggregate(totals, F.array(zero), lambda acc, x: F.array_append(acc, F.element_at(acc, -1) + x))
+        return F.flatten(F.zip_with(blocks, F.slice(before, 1, F.size(blocks)), appended))
+
+    none = F.expr("cast(array() as array<bigint>)")
+    return _bound(numbers, lambda n: F.when(F.size(n) > 0, _bound(in_blocks(n), joined)).otherwise(none))
+
+
 def findings(text: Column, kind: Kind) -> Column:
     """``array<struct<kind, start, end, score>>`` of one kind, by start."""
     match = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
@@ -180,25 +211,25 @@ def findings(text: Column, kind: Kind) -> Column:
     steps = F.arrays_zip(F.slice(between, 1, F.size(match)).alias("gap"), match.alias("match"))
     words = "(?i)(?:" + "|".join(kind.context) + r")[^\n]{0,12}$"
 
-    def step(acc: Column, s: Column) -> Column:
-        start = acc["at"] + F.char_length(s["gap"])
-        end = start + F.char_length(s["match"])
+    def span(s: Column, end: Column) -> Column:
+        """The span of one match, null if the validator drops it."""
+        start = end - F.char_length(s["match"])
         part = kind.part(s["match"]) if kind.part else s["match"]
         near = F.right(s["gap"], F.lit(CONTEXT_CHARS)).rlike(words)
-        span = F.struct(
+        made = F.struct(
             F.lit(kind.name).alias("kind"),
             start.cast("bigint").alias("start"),
             (start + F.char_length(part)).cast("bigint").alias("end"),
             (F.lit(kind.score) + F.when(near, F.lit(CONTEXT_BONUS)).otherwise(F.lit(0.0))).alias("score"),
         )
-        ok = kind.valid(s["match"]) if kind.valid else part.isNotNull()
-        return F.struct(
-            end.cast("bigint").alias("at"), F.when(ok, F.array_append(acc["found"], span)).otherwise(acc["found"]).alias("found")
-        )
+        return F.when(kind.valid(s["match"]) if kind.valid else part.isNotNull(), made)
+
+    def spans(found: Column) -> Column:
+        ends = running_sums(F.transform(found, lambda s: (F.char_length(s["gap"]) + F.char_length(s["match"])).cast("bigint")))
+        return F.filter(F.zip_with(found, ends, span), lambda s: s.isNotNull())
 
     none = F.expr(f"cast(array() as array<{SEEN}>)")
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("found"))
-    return F.when(kind.hint(text), F.aggregate(steps, start, step, lambda acc: acc["found"])).otherwise(none)
+    return F.when(kind.hint(text), _bound(steps, spans)).otherwise(none)
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

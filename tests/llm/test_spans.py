@@ -240,3 +240,19 @@ def test_op3_odd_rows_and_native_plan(odd_docs, no_docs):
     assert pii.find(no_docs).count() == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_running_sums(spark):
+    for n in (0, 1, 511, 512, 513, 1024, 2000):
+        df = spark.range(1).select(F.expr(f"cast(slice(sequence(1, {n + 1}), 1, {n}) as array<bigint>)").alias("x"))
+        want = [(i + 1) * (i + 2) // 2 for i in range(n)]
+        assert df.select(pii.running_sums(F.col("x"))).first()[0] == want
+
+
+def test_very_many_matches_in_one_text(spark):
+    """200,000 matches in a text of 3 MB; the work grows with their number, not with its square."""
+    n, unit = 200_000, "+1 555 123 456, "
+    df = spark.createDataFrame([(1, unit * n), (2, "1." * 300_000)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in pii.find(df).collect()}
+    assert [(s["start"], s["end"]) for s in got[1]["phone"]] == [(16 * i, 16 * i + 14) for i in range(n)]
+    assert [(s["start"], s["end"]) for s in got[2]["ip"]] == [(8 * i, 8 * i + 7) for i in range(75_000)]
