@@ -40,7 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tephra.llm.common import free_name, setup, text_or_empty, written
@@ -197,25 +197,6 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids, pa.int64())], ["key", "id"])
 
 
-def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (key, id) sorted by key, those whose key has another row. Holds one row back between batches."""
-    held = None  # the last row: key, id, whether it is out already
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = batch.column(0).to_numpy(zero_copy_only=False)
-        ids = batch.column(1).to_numpy(zero_copy_only=False)
-        out_already = False
-        if held is not None:
-            keys, ids, out_already = np.append(held[0], keys), np.append(held[1], ids), held[2]
-        same = keys[1:] == keys[:-1]
-        pick = np.append(False, same) | np.append(same, False)
-        held = keys[-1], ids[-1], bool(pick[-1]) or (len(keys) == 1 and out_already)
-        if out_already:
-            pick[0] = False
-        yield pa.RecordBatch.from_arrays([pa.array(keys[pick]), pa.array(ids[pick])], ["key", "id"])
-
-
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("bigint").alias("id"), text_or_empty(text_col).alias("text"))
 
@@ -225,10 +206,11 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def shared_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``key, id`` of every key that two rows or more have."""
+    """``key, id`` of every key that two rows or more have: rows with a neighbour in the order of the key's ids."""
     rows = _texts(docs, id_col, text_col).filter("id is not null").mapInArrow(_keys, "key bigint, id bigint")
-    rows = rows.repartition("key").sortWithinPartitions("key")
-    return rows.mapInArrow(_shared_keys, "key bigint, id bigint")
+    of_key = Window.partitionBy("key").orderBy("id")
+    beside = F.coalesce(F.lag("id").over(of_key), F.lead("id").over(of_key))
+    return rows.withColumn("beside", beside).filter("beside is not null").select("key", "id")
 
 
 def _texts_of(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
