@@ -18,6 +18,7 @@ import base64
 import functools
 import json
 import re
+import sys
 
 import public_tokenizers
 import regex
@@ -33,24 +34,30 @@ PRETOKEN = regex.compile(public_tokenizers.PATTERN)
 
 # Entries of one memory; a full memory starts again. Long keys are not remembered.
 MEMORY_ENTRIES = 500_000
+MEMORY_BYTES = 48 << 20
+ENTRY_BYTES = 100  # of the dictionary itself
 MEMORY_KEY_CHARS = 40
 # Stands for the end of a word while merging: a byte that UTF-8 never has.
 WORD_END = b"\xff"
 
 
 class Memory(dict):
-    """A dictionary that computes missing values and keeps a bounded number of them."""
+    """A dictionary that computes missing values and keeps a bounded number of them, in bounded bytes."""
 
     def __init__(self, compute):
         super().__init__()
         self.compute = compute
+        self.held = 0
 
     def __missing__(self, key):
         value = self.compute(key)
         if len(key) <= MEMORY_KEY_CHARS:
-            if len(self) >= MEMORY_ENTRIES:
+            size = sys.getsizeof(key) + sys.getsizeof(value) + ENTRY_BYTES
+            if len(self) >= MEMORY_ENTRIES or self.held + size > MEMORY_BYTES:
                 self.clear()
+                self.held = 0
             self[key] = value
+            self.held += size
         return value
 
 
