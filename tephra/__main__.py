@@ -132,19 +132,20 @@ def cmd_compact(spark, args) -> int:
     stored event: the stream still writes to later ones."""
     from pyspark.sql import functions as F
 
-    from tephra.sinks.parquet import BATCH_LOG, compact_closed_dates, path_exists
+    from tephra.sinks.parquet import BATCH_LOG, compact_closed_dates, path_exists, read_batch_log, roll_batch_log
 
     for table, key in (("fires", "acq_date"), ("earthquakes", "event_date")):
         path = f"{args.base}/{table}"
         closed = F.date_sub(F.current_date(), 1)
         if path_exists(spark, f"{path}/{BATCH_LOG}"):
-            batches = spark.read.parquet(f"{path}/{BATCH_LOG}")
+            batches = read_batch_log(spark, path)
             newest = batches.agg(F.date_sub(F.to_date(F.max("latest")), 1)).first()[0]
         else:
             newest = spark.range(1).select(closed).first()[0]
         before = min(str(newest), args.before) if args.before else str(newest)
         for day, rows in compact_closed_dates(spark, path, key, before):
             print(json.dumps({"table": table, "date": day, "rows": rows}))
+        print(json.dumps({"table": table, "log_folders_merged": roll_batch_log(spark, path)}))
     return 0
 
 

@@ -1,8 +1,8 @@
 """Duplicate removal on a static DataFrame (one micro-batch or a backfill).
 
-Identical copies go first, by a hash aggregate with a map-side step, so a
-record repeated a million times is one row per task before any shuffle on
-its key. Of the rows left per key one is chosen by position in one sort:
+Of the rows of a key one is chosen by its place in one sort. Every task keeps only its
+own first row per key before the shuffle (a group limit below the exchange), so a record
+repeated a million times is one row per task, and the shuffle on the key is the only one:
 ``keep="first"``/``"last"`` by the smallest/largest ``order_by`` values (all
 other columns break ties, so the choice is deterministic), ``keep="any"``
 whichever comes first.
@@ -29,4 +29,4 @@ def dedup(
     else:
         ranked = [F.col(c).desc() if keep == "last" else F.col(c).asc() for c in order]
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*ranked))
-    return df.distinct().withColumn("_place", place).where("_place = 1").drop("_place")
+    return df.withColumn("_place", place).where("_place = 1").drop("_place")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tephra import schemas
 from tephra.operators import parse
 from tephra.session import prepare, run_dir
-from tephra.sinks.parquet import BATCH_LOG, read_table, write_partitioned
+from tephra.sinks.parquet import read_batch_log, read_table, write_partitioned
 from tephra.sources import testdata
 from tephra.sources.landed import land_messages, stream_messages
 from tephra.streaming import pipelines
@@ -120,7 +120,7 @@ def q_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     sink, report = run_stream(spark, sf_dir, "fires", arrivals=2)
     runs = Window.partitionBy("stream").orderBy("first_batch")
-    batches = spark.read.parquet(f"{sink}/{BATCH_LOG}").select("batch_id", "stored", "late")
+    batches = read_batch_log(spark, sink).select("batch_id", "stored", "late")
     return (
         report.join(batches, "batch_id", "left")
         .groupBy(F.lit("fires").alias("stream"), F.col("run").alias("run_id"))

@@ -19,6 +19,8 @@ ROCKSDB_PROVIDER = (
 # Runtime SQL settings the pipeline relies on; safe to apply to a running session.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # Plain text of decimals, errors instead of silent nulls.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

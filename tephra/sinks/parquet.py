@@ -16,8 +16,9 @@ import logging
 import uuid
 
 from py4j.protocol import Py4JError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 BATCH_KEY = "batch_key"
 log = logging.getLogger("tephra.sink")
@@ -138,6 +139,13 @@ def checkpoint_query_id(spark: SparkSession, checkpoint: str) -> str:
 # Rows of one file that a micro-batch writes: a batch's fan-out follows its size.
 ROWS_PER_FILE = 1_000_000
 BATCH_LOG = "_batches"
+BATCH_LOG_SCHEMA = (
+    "batch_id bigint, rows bigint, stored bigint, late bigint, latest timestamp, high_water timestamp, "
+    "logged_key string, written_at timestamp"
+)
+# Keys of the events that copies may still arrive for on time, one snapshot per batch.
+RECENT = "_recent"
+COMPACTION = "_compaction"
 
 
 class IdempotentBatchWriter:
@@ -151,12 +159,21 @@ class IdempotentBatchWriter:
     fresh checkpoint never overwrites the batches of an older one.
 
     ``dedup_keys`` removes copies inside the batch. With ``against_stored``
-    rows whose key is already stored in another batch of the same date are
-    left out too (only the dates of the batch are read, and of them only the
-    keys), so nothing depends on a watermark: a late first arrival is stored.
+    copies of earlier batches are removed too, and the batch is split at the
+    largest event time so far minus ``lateness``:
+
+    * on-time rows meet the recent keys, a snapshot that every batch leaves for the
+      next one: the keys whose event time is at most twice ``lateness`` old. Its size
+      is bounded by the event time it spans; no stored event is read.
+    * late rows, where there are any, meet the stored keys of their dates. So a late
+      first arrival is stored, and nothing depends on a watermark.
+
+    Copies of an event carry its event time. Without a snapshot (the first batch of a
+    checkpoint) all rows meet the stored keys of their dates.
 
-    One row per batch goes to ``<path>/_batches``: rows in, rows stored, and
-    late ones (older than the largest event time so far minus ``lateness``).
+    One row per batch goes to ``<path>/_batches``: rows in, rows stored, late ones, and the
+    largest event time of this and all earlier batches, so a batch reads only its
+    predecessor's row. ``roll_batch_log`` merges the rows of old batches.
     """
 
     def __init__(
@@ -191,14 +208,23 @@ class IdempotentBatchWriter:
             self._query_id = checkpoint_query_id(spark, self.checkpoint)
         return f"{self._query_id}-{batch_id:010d}"
 
+    def _root(self, name: str) -> str:
+        return f"{self.path.rstrip('/')}/{name}"
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         key = self.batch_key(spark, batch_id)
-        # Read several times: counted, compared with the stored rows, written.
+        before = self.batch_key(spark, batch_id - 1) if batch_id else None
+        # Read several times: counted, compared with earlier keys, written.
         batch = batch.persist()
         try:
-            counts = self._counts(batch, key)
-            stored = self._write(self._new_rows(batch, key), key, counts["rows"])
+            mark = self._high_water(spark, key, before)
+            limit = None if mark is None else self._earlier(F.lit(mark).cast("timestamp"), 1)
+            counts = self._counts(batch, limit)
+            tops = [t for t in (mark, counts["latest"]) if t is not None]
+            counts["high_water"] = max(tops) if tops else None
+            stored = self._write(self._new_rows(batch, key, before, limit, counts["late"]), key, counts["rows"])
+            self._keep_recent(spark, key, before, batch_id, counts["dates"], counts["high_water"])
             self._log(spark, key, batch_id, counts | {"stored": stored})
             if self.preview_rows:
                 for row in batch.limit(self.preview_rows).collect():
@@ -206,24 +232,36 @@ class IdempotentBatchWriter:
         finally:
             batch.unpersist()
 
-    def _counts(self, batch: DataFrame, key: str) -> dict:
-        late = F.lit(0).cast("long")
+    def _earlier(self, time: Column, times: int) -> Column:
+        for _ in range(times):
+            time = time - F.expr(f"INTERVAL {self.lateness}")
+        return time
+
+    def _counts(self, batch: DataFrame, limit: Column | None) -> dict:
         has_time = self.time_col in batch.columns
-        if self.lateness and has_time:
-            top = self._high_water(batch.sparkSession, key)
-            limit = F.lit(top).cast("timestamp") - F.expr(f"INTERVAL {self.lateness}")
-            late = F.count_if(F.col(self.time_col) < limit)
+        late = F.count_if(F.col(self.time_col) < limit) if limit is not None and has_time else F.lit(0).cast("long")
         latest = F.max(self.time_col) if has_time else F.lit(None).cast("timestamp")
-        return batch.agg(F.count(F.lit(1)).alias("rows"), late.alias("late"), latest.alias("latest")).first().asDict()
+        # One value per date of the batch.
+        dates = F.collect_set(F.coalesce(F.col(self.partition_col).cast("string"), F.lit("")))
+        found = batch.agg(
+            F.count(F.lit(1)).alias("rows"), late.alias("late"), latest.alias("latest"), dates.alias("dates")
+        )
+        return found.first().asDict()
 
-    def _high_water(self, spark: SparkSession, key: str):
-        """Largest event time of the earlier batches (from the batch log)."""
-        root = f"{self.path.rstrip('/')}/{BATCH_LOG}"
-        if not path_exists(spark, root):
+    def _high_water(self, spark: SparkSession, key: str, before: str | None):
+        """Largest event time of the earlier batches: from the predecessor's log row, found by its path."""
+        if not self.lateness:
             return None
-        return spark.read.parquet(root).where(F.col(BATCH_KEY) != key).agg(F.max("latest")).first()[0]
+        own = None if before is None else f"{self._root(BATCH_LOG)}/{BATCH_KEY}={before}"
+        if own is not None and path_exists(spark, own):
+            return spark.read.schema(BATCH_LOG_SCHEMA).parquet(own).agg(F.max("high_water")).first()[0]
+        if not path_exists(spark, self._root(BATCH_LOG)):
+            return None
+        # The first batch of a checkpoint, or a log without the predecessor: all of the log.
+        rows = read_batch_log(spark, self.path).where(F.col(BATCH_KEY) != key)
+        return rows.agg(F.max(F.greatest("latest", "high_water"))).first()[0]
 
-    def _new_rows(self, batch: DataFrame, key: str) -> DataFrame:
+    def _new_rows(self, batch: DataFrame, key: str, before: str | None, limit: Column | None, late: int) -> DataFrame:
         out = batch
         if self.dedup_keys:
             out = out.dropDuplicates(self.dedup_keys)
@@ -232,15 +270,71 @@ class IdempotentBatchWriter:
         spark = batch.sparkSession
         if not self.against_stored or not path_exists(spark, self.path):
             return out
-        # One value per date of the batch; their folders are the only ones read.
+        recent = None if before is None else f"{self._root(RECENT)}/{BATCH_KEY}={before}"
+        if limit is None or recent is None or not path_exists(spark, recent):
+            return self._not_stored(out, batch, key)
+        is_late = F.coalesce(F.col(self.time_col) < limit, F.lit(True))
+        known = spark.read.parquet(recent).select(*self.dedup_keys)
+        on_time = out.where(~is_late).join(known, self.dedup_keys, "left_anti")
+        if not late and self.time_col in batch.columns:
+            return on_time
+        return on_time.unionByName(self._not_stored(out.where(is_late), batch.where(is_late), key))
+
+    def _not_stored(self, out: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+        """Rows whose key no other batch has stored under a date of ``batch``."""
+        spark = batch.sparkSession
+        # One value per date; their folders are the only ones read, found by one listing.
         dates = [r[0] for r in batch.select(F.col(self.partition_col).cast("string")).distinct().collect()]
-        folders = [f"{self.path.rstrip('/')}/{self.partition_col}={d or '__HIVE_DEFAULT_PARTITION__'}" for d in dates]
-        folders = [f for f in folders if path_exists(spark, f)]
+        root, fs = hadoop_path(spark, self.path)
+        there = {st.getPath().getName() for st in fs.listStatus(root)}
+        names = [f"{self.partition_col}={d or '__HIVE_DEFAULT_PARTITION__'}" for d in dates]
+        # Declared: a folder may be empty for a moment.
+        keys_only = StructType([out.schema[k] for k in self.dedup_keys])
+        known = None
+        folders = [self._root(n) for n in names if n in there]
+        if folders:
+            stored = spark.read.schema(StructType([*keys_only, StructField(BATCH_KEY, StringType())]))
+            known = stored.option("basePath", self.path).parquet(*folders).where(F.col(BATCH_KEY) != key)
+            known = known.select(*self.dedup_keys)
+        if COMPACTION in there:
+            # While a compaction swaps folders, a date's rows are for a moment only in its work folder.
+            for day in dates:
+                moved = f"{self._root(COMPACTION)}/{day}/old"
+                folder, _ = hadoop_path(spark, moved)
+                if fs.exists(folder) and len(fs.listStatus(folder)):
+                    keys = spark.read.schema(keys_only).parquet(moved).select(*self.dedup_keys)
+                    known = keys if known is None else known.unionByName(keys)
+        return out if known is None else out.join(known, self.dedup_keys, "left_anti")
+
+    def _keep_recent(self, spark: SparkSession, key: str, before: str | None, batch_id: int, dates: list, mark) -> None:
+        """The snapshot for the next batch: the last one's keys and this batch's, without those too old by now."""
+        if not (self.against_stored and self.lateness and mark is not None):
+            return
+        since = self._earlier(F.lit(mark).cast("timestamp"), 2)
+        wanted = [*self.dedup_keys, self.time_col]
+        old = None if before is None else f"{self._root(RECENT)}/{BATCH_KEY}={before}"
+        keys = self._stored_of(spark, key, dates, wanted)
+        if old is not None and path_exists(spark, old):
+            past = spark.read.parquet(old).select(*wanted)
+        else:
+            # No snapshot yet: the stored keys of the time that it has to span.
+            past = read_table(spark, self.path).where(F.col(self.partition_col) >= F.to_date(since)).select(*wanted)
+        if keys is not None:
+            past = past.unionByName(keys)
+        kept = past.where(F.col(self.time_col) >= since).dropDuplicates(self.dedup_keys)
+        kept.write.mode("overwrite").option("compression", self.codec).parquet(f"{self._root(RECENT)}/{BATCH_KEY}={key}")
+        if batch_id > 1:
+            # A replay of this batch needs the snapshot before it, and none older.
+            gone, fs = hadoop_path(spark, f"{self._root(RECENT)}/{BATCH_KEY}={self.batch_key(spark, batch_id - 2)}")
+            fs.delete(gone, True)
+
+    def _stored_of(self, spark: SparkSession, key: str, dates: list[str], columns: list[str]) -> DataFrame | None:
+        """What this batch has just written (nothing, where every row was a copy)."""
+        names = (f"{self.partition_col}={d or '__HIVE_DEFAULT_PARTITION__'}" for d in dates)
+        folders = [f for n in names if path_exists(spark, f := f"{self._root(n)}/{BATCH_KEY}={key}")]
         if not folders:
-            return out
-        known = spark.read.option("basePath", self.path).parquet(*folders)
-        known = known.where(F.col(BATCH_KEY) != key).select(*self.dedup_keys)
-        return out.join(known, self.dedup_keys, "left_anti")
+            return None
+        return spark.read.option("basePath", self.path).parquet(*folders).select(*columns)
 
     def _write(self, out: DataFrame, key: str, rows: int) -> int:
         obs = Observation()
@@ -262,8 +356,11 @@ class IdempotentBatchWriter:
         return int(observed(obs, n=0)["n"])
 
     def _log(self, spark: SparkSession, key: str, batch_id: int, counts: dict) -> None:
-        row = (batch_id, counts["rows"], counts["stored"], counts["late"], counts["latest"], key)
-        schema = f"batch_id bigint, rows bigint, stored bigint, late bigint, latest timestamp, {BATCH_KEY} string"
+        row = (batch_id, counts["rows"], counts["stored"], counts["late"], counts["latest"], counts["high_water"], key)
+        schema = (
+            "batch_id bigint, rows bigint, stored bigint, late bigint, latest timestamp, high_water timestamp, "
+            f"{BATCH_KEY} string"
+        )
         (
             spark.createDataFrame([row], schema)
             .withColumn("written_at", F.current_timestamp())
@@ -275,8 +372,53 @@ class IdempotentBatchWriter:
         )
 
 
+ROLLED = "rolled-"
+# Batches whose log rows stay in folders of their own.
+LOG_KEEP = 100
+
+
+def read_batch_log(spark: SparkSession, path: str) -> DataFrame:
+    """One row per batch of the table at ``path``, from single and merged log files."""
+    root = f"{path.rstrip('/')}/{BATCH_LOG}"
+    rows = spark.read.schema(f"{BATCH_LOG_SCHEMA}, {BATCH_KEY} string").parquet(root)
+    rows = rows.withColumn(BATCH_KEY, F.coalesce("logged_key", BATCH_KEY)).drop("logged_key")
+    # A roll that stopped half-way leaves rows twice, never none.
+    return rows.dropDuplicates([BATCH_KEY])
+
+
+def roll_batch_log(spark: SparkSession, path: str, keep: int = LOG_KEEP) -> int:
+    """Merge the log rows of all but the newest ``keep`` batches of every query into one file.
+
+    The merged copy is written aside and moved in, then the single folders go; a stop in
+    between leaves rows twice, which ``read_batch_log`` removes. Returns the number of
+    folders merged. The predecessor's row of a running query stays where it is.
+    """
+    root = f"{path.rstrip('/')}/{BATCH_LOG}"
+    folder, fs = hadoop_path(spark, root)
+    if not fs.exists(folder):
+        return 0
+    prefix = f"{BATCH_KEY}="
+    names = sorted(st.getPath().getName() for st in fs.listStatus(folder) if st.getPath().getName().startswith(prefix))
+    merged = [n for n in names if n.startswith(prefix + ROLLED)]
+    by_query: dict[str, list[str]] = {}
+    for name in names:
+        if name not in merged:
+            by_query.setdefault(name.rsplit("-", 1)[0], []).append(name)
+    old = [n for found in by_query.values() for n in found[: max(0, len(found) - keep)]]
+    if not old:
+        return 0
+    rows = spark.read.schema(f"{BATCH_LOG_SCHEMA}, {BATCH_KEY} string").option("basePath", root)
+    rows = rows.parquet(*(f"{root}/{n}" for n in old + merged))
+    rows = rows.withColumn("logged_key", F.coalesce("logged_key", BATCH_KEY)).drop(BATCH_KEY)
+    work = f"{root}/_rolling"
+    rows.dropDuplicates(["logged_key"]).coalesce(1).write.mode("overwrite").parquet(work)
+    _move(spark, work, f"{root}/{prefix}{ROLLED}{uuid.uuid4().hex[:12]}")
+    for name in old + merged:
+        must(fs.delete(hadoop_path(spark, f"{root}/{name}")[0], True), f"delete {name}")
+    return len(old)
+
+
 TARGET_FILE_BYTES = 256 * 1024 * 1024
-COMPACTION = "_compaction"
 COMPACTED = "compacted-"
 
 
