@@ -97,13 +97,8 @@ def parse_fires(
     return parse_fire_lines(fire_lines(payloads), cell_degrees, rounding)
 
 
-def fire_rejects(parsed_with_corrupt: DataFrame, latest: Column | None = None) -> DataFrame:
-    """Dead letters of the fire path: lines that did not give a usable row.
-
-    A line is rejected when the CSV reader flagged it, when it has no
-    coordinates or no valid acquisition date/time, or when it is later than
-    ``latest``, the last event time the ingest accepts.
-    """
+def _fire_reason(latest: Column | None) -> Column:
+    """Why a parsed line is unusable (null: it is not)."""
     c = F.col
     reason = (
         F.when(c(CORRUPT).isNotNull(), F.lit("malformed_csv"))
@@ -111,11 +106,32 @@ def fire_rejects(parsed_with_corrupt: DataFrame, latest: Column | None = None) -
         .when(c("acq_date").isNull(), F.lit("bad_acq_date"))
         .when(c("event_timestamp").isNull(), F.lit("bad_acq_time"))
     )
-    if latest is not None:
-        reason = reason.when(c("event_timestamp") > latest, F.lit("future_time"))
-    return (
-        parsed_with_corrupt.select(F.lit("fires").alias("source"), c("line").alias("record"), reason.alias("reason"))
-        .where(c("reason").isNotNull())
+    return reason if latest is None else reason.when(c("event_timestamp") > latest, F.lit("future_time"))
+
+
+def fire_rejects(parsed_with_corrupt: DataFrame, latest: Column | None = None) -> DataFrame:
+    """Dead letters of the fire path: lines that did not give a usable row.
+
+    A line is rejected when the CSV reader flagged it, when it has no
+    coordinates or no valid acquisition date/time, or when it is later than
+    ``latest``, the last event time the ingest accepts.
+    """
+    return parsed_with_corrupt.select(
+        F.lit("fires").alias("source"), F.col("line").alias("record"), _fire_reason(latest).alias("reason")
+    ).where(F.col("reason").isNotNull())
+
+
+# Columns that say what becomes of a record of a routed parse: its text, why it is a
+# dead letter (null: it is none), and whether its row is stored.
+RECORD, REASON, KEPT = "_record", "_reason", "_kept"
+
+
+def routed_fires(payloads: DataFrame, latest: Column, cell_degrees: float = 0.22, rounding: str = "trunc") -> DataFrame:
+    """Every line, parsed once: the stored columns and where the line goes."""
+    full = parse_fire_lines(fire_lines(payloads), cell_degrees, rounding, keep_corrupt=True)
+    kept = F.coalesce(F.col("event_timestamp") <= latest, F.lit(False))
+    return full.select(
+        *schemas.FIRES_COLUMNS, F.col("line").alias(RECORD), _fire_reason(latest).alias(REASON), kept.alias(KEPT)
     )
 
 
@@ -188,13 +204,8 @@ def parse_quakes(payloads: DataFrame, processed_at=None, narrow: bool = True) ->
     )
 
 
-def quake_rejects(payloads: DataFrame, latest: Column | None = None) -> DataFrame:
-    """Dead letters of the quake path: unparseable documents, unusable features, and
-    features that are kept but had a field that did not parse (``bad_field``).
-
-    ``latest`` is the last event time the ingest accepts, where it has one.
-    """
-    feats = quake_features(payloads, narrow=True)
+def _quake_reason(latest: Column | None) -> Column:
+    """Why a feature is a dead letter (null: it is none)."""
     t = F.col("f.properties.time")
     coords = F.col("f.geometry.coordinates")
     event_time = epoch_millis_to_seconds_ts(t)
@@ -206,9 +217,33 @@ def quake_rejects(payloads: DataFrame, latest: Column | None = None) -> DataFram
     )
     if latest is not None:
         reason = reason.when(event_time > latest, F.lit("future_time"))
-    reason = reason.when(
+    return reason.when(
         F.get(coords, 0).isNull() | F.get(coords, 1).isNull(), F.lit("missing_coordinates")
     ).when(F.col(f"f.{CORRUPT}").isNotNull(), F.lit("bad_field"))
-    return feats.select(
-        F.lit("earthquakes").alias("source"), F.coalesce("record", "value").alias("record"), reason.alias("reason")
-    ).where(F.col("reason").isNotNull())
+
+
+def routed_quakes(payloads: DataFrame, latest: Column) -> DataFrame:
+    """Every feature (and every document without any), parsed once: the stored columns and where it goes."""
+    feats = quake_features(payloads)
+    rows = feats.select(
+        *_feature_columns(), F.coalesce("record", "value").alias(RECORD), _quake_reason(latest).alias(REASON)
+    )
+    sound = F.when(F.col("time") > 0, F.col("time"))
+    rows = rows.withColumn("event_timestamp", epoch_millis_to_seconds_ts(sound))
+    rows = rows.withColumn("event_date", F.to_date("event_timestamp")).withColumn("processed_at", F.current_timestamp())
+    kept = F.coalesce(F.col("event_timestamp") <= latest, F.lit(False))
+    return rows.select(*schemas.QUAKES_COLUMNS, RECORD, REASON, kept.alias(KEPT))
+
+
+def quake_rejects(payloads: DataFrame, latest: Column | None = None) -> DataFrame:
+    """Dead letters of the quake path: unparseable documents, unusable features, and
+    features that are kept but had a field that did not parse (``bad_field``).
+
+    ``latest`` is the last event time the ingest accepts, where it has one.
+    """
+    return (
+        quake_features(payloads, narrow=True)
+        .select(F.lit("earthquakes").alias("source"), F.coalesce("record", "value").alias("record"),
+                _quake_reason(latest).alias("reason"))
+        .where(F.col("reason").isNotNull())
+    )

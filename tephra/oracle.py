@@ -612,6 +612,7 @@ def maintenance_sql() -> dict[str, str]:
         "refresh_views": _with(COMBINED_CTE + _summaries(""), views),
         "dq_checks": _with(COMBINED_CTE + _summaries(""), DQ),
         "rejects": _with(FX_FIRES + "," + FX_QUAKES, REJECTS),
+        "stream_rejects": _with(FX_FIRES + "," + FX_QUAKES, REJECTS),
     }
 
 

@@ -135,6 +135,25 @@ def q_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters that the ingest stores next to its rows, when every message carries a bad record."""
+    root = run_dir(spark, "stream-rejects")
+    run = root.rsplit("-", 1)[-1]
+    routed = {"fires": pipelines.routed_fire_events, "earthquakes": pipelines.routed_quake_events}
+    for feed, (make_payloads, _, part) in _FEEDS.items():
+        land_messages(make_payloads(_events(spark, sf_dir), junk=True), f"{root}/{feed}-in", files=spark.sparkContext.defaultParallelism)
+        q = pipelines.start_ingest(
+            routed[feed](stream_messages(spark, f"{root}/{feed}-in")), f"{root}/{feed}", part, f"{root}/{feed}-checkpoint",
+            name=f"{feed}_routed_{run}", trigger="available_now", rejects_path=f"{root}/_rejects/{feed}",
+        )
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"{feed} stream failed: {q.exception()}")
+    fires, quakes = (spark.read.parquet(f"{root}/_rejects/{feed}") for feed in _FEEDS)
+    letters = fires.unionByName(quakes)
+    return letters.groupBy("source", "reason").agg(F.count(F.lit(1)).alias("n_records"))
+
+
 def stream_queries() -> dict:
     return {
         "sink_fires_roundtrip": q_sink_fires_roundtrip,
@@ -144,4 +163,5 @@ def stream_queries() -> dict:
         "stream_dedup_fires": _stream_query("fires", 2, "sink"),
         "stream_dedup_quakes": _stream_query("earthquakes", 2, "sink"),
         "batch_metrics": q_batch_metrics,
+        "stream_rejects": q_stream_rejects,
     }

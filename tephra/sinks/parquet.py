@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tephra.operators.parse import KEPT, REASON, RECORD
+
 BATCH_KEY = "batch_key"
 log = logging.getLogger("tephra.sink")
 
@@ -141,7 +143,7 @@ ROWS_PER_FILE = 1_000_000
 BATCH_LOG = "_batches"
 BATCH_LOG_SCHEMA = (
     "batch_id bigint, rows bigint, stored bigint, late bigint, latest timestamp, high_water timestamp, "
-    "logged_key string, written_at timestamp"
+    "records bigint, rejected bigint, logged_key string, written_at timestamp"
 )
 # Keys of the events that copies may still arrive for on time, one snapshot per batch.
 RECENT = "_recent"
@@ -174,6 +176,11 @@ class IdempotentBatchWriter:
     One row per batch goes to ``<path>/_batches``: rows in, rows stored, late ones, and the
     largest event time of this and all earlier batches, so a batch reads only its
     predecessor's row. ``roll_batch_log`` merges the rows of old batches.
+
+    With ``rejects_path`` the batch is a routed parse (``parse.routed_fires``): rows that are
+    kept go to the table, dead letters to ``<rejects_path>/batch_key=<key>/``, from one parse
+    and under one key, so a replay rewrites both and they cannot disagree. The log has the
+    number of records and of dead letters.
     """
 
     def __init__(
@@ -189,8 +196,10 @@ class IdempotentBatchWriter:
         against_stored: bool = False,
         lateness: str | None = None,
         time_col: str = "event_timestamp",
+        rejects_path: str | None = None,
     ):
         self.path = path
+        self.rejects_path = rejects_path
         self.partition_col = partition_col
         self.checkpoint = checkpoint
         self.dedup_keys = dedup_keys
@@ -216,8 +225,12 @@ class IdempotentBatchWriter:
         key = self.batch_key(spark, batch_id)
         before = self.batch_key(spark, batch_id - 1) if batch_id else None
         # Read several times: counted, compared with earlier keys, written.
-        batch = batch.persist()
+        whole = batch.persist()
         try:
+            records, rejected = None, None
+            if self.rejects_path:
+                records, rejected = self._write_rejects(whole, key)
+                batch = whole.where(KEPT).drop(RECORD, REASON, KEPT)
             mark = self._high_water(spark, key, before)
             limit = None if mark is None else self._earlier(F.lit(mark).cast("timestamp"), 1)
             counts = self._counts(batch, limit)
@@ -225,12 +238,27 @@ class IdempotentBatchWriter:
             counts["high_water"] = max(tops) if tops else None
             stored = self._write(self._new_rows(batch, key, before, limit, counts["late"]), key, counts["rows"])
             self._keep_recent(spark, key, before, batch_id, counts["dates"], counts["high_water"])
-            self._log(spark, key, batch_id, counts | {"stored": stored})
+            self._log(spark, key, batch_id, counts | {"stored": stored, "records": records, "rejected": rejected})
             if self.preview_rows:
                 for row in batch.limit(self.preview_rows).collect():
                     log.info("batch %s sample: %s", batch_id, row.asDict())
         finally:
-            batch.unpersist()
+            whole.unpersist()
+
+    def _write_rejects(self, whole: DataFrame, key: str) -> tuple[int, int]:
+        """Dead letters of the batch to their own folder; the number of records and of dead letters."""
+        found = whole.agg(F.count(F.lit(1)).alias("n"), F.count(REASON).alias("bad")).first()
+        folder = f"{self.rejects_path.rstrip('/')}/{BATCH_KEY}={key}"
+        if found["bad"] or path_exists(whole.sparkSession, folder):
+            letters = whole.where(F.col(REASON).isNotNull()).select(
+                F.lit(self.path.rstrip("/").rsplit("/", 1)[-1]).alias("source"),
+                F.col(RECORD).alias("record"),
+                F.col(REASON).alias("reason"),
+                F.current_timestamp().alias("rejected_at"),
+            )
+            letters = letters.coalesce(-(-found["bad"] // ROWS_PER_FILE) or 1)
+            letters.write.mode("overwrite").option("compression", self.codec).parquet(folder)
+        return found["n"], found["bad"]
 
     def _earlier(self, time: Column, times: int) -> Column:
         for _ in range(times):
@@ -356,10 +384,11 @@ class IdempotentBatchWriter:
         return int(observed(obs, n=0)["n"])
 
     def _log(self, spark: SparkSession, key: str, batch_id: int, counts: dict) -> None:
-        row = (batch_id, counts["rows"], counts["stored"], counts["late"], counts["latest"], counts["high_water"], key)
+        row = (batch_id, counts["rows"], counts["stored"], counts["late"], counts["latest"], counts["high_water"])
+        row += (counts["records"], counts["rejected"], key)
         schema = (
             "batch_id bigint, rows bigint, stored bigint, late bigint, latest timestamp, high_water timestamp, "
-            f"{BATCH_KEY} string"
+            f"records bigint, rejected bigint, {BATCH_KEY} string"
         )
         (
             spark.createDataFrame([row], schema)

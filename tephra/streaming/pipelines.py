@@ -106,6 +106,22 @@ def quake_events(
     return _dedup(rows, watermark, dedup, skew_salts)
 
 
+def routed_fire_events(
+    messages: DataFrame,
+    watermark: str = FIRE_WATERMARK,
+    cell_degrees: float = 0.22,
+    rounding: str = "trunc",
+    max_future: str = MAX_FUTURE,
+) -> DataFrame:
+    """Rows and dead letters of one parse, for an ingest with ``rejects_path``."""
+    rows = parse.routed_fires(messages, latest_accepted(max_future), cell_degrees, rounding)
+    return rows.withWatermark("event_timestamp", watermark)
+
+
+def routed_quake_events(messages: DataFrame, watermark: str = QUAKE_WATERMARK, max_future: str = MAX_FUTURE) -> DataFrame:
+    return parse.routed_quakes(messages, latest_accepted(max_future)).withWatermark("event_timestamp", watermark)
+
+
 def start_ingest(
     rows: DataFrame,
     sink_path: str,
@@ -119,9 +135,14 @@ def start_ingest(
     preview_rows: int = 0,
     watermark: str | None = None,
     report_path: str | None = None,
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
     """``rows`` into the table at ``sink_path``. ``dedup`` names the mode ``rows`` was built
-    for; ``watermark`` is what counts as late; ``report_path`` gets one row per micro-batch."""
+    for; ``watermark`` is what counts as late; ``report_path`` gets one row per micro-batch.
+    With ``rejects_path`` the ``rows`` are routed (``routed_fire_events``) and their dead
+    letters go there, batch by batch with the rows."""
+    if rejects_path and dedup == "state":
+        raise ValueError("a dedup by state would drop dead letters; give them a query of their own")
     if dedup not in DEDUP_MODES:
         raise ValueError(f"dedup must be one of {DEDUP_MODES}")
     if report_path:
@@ -129,7 +150,7 @@ def start_ingest(
     columns = schemas.FIRES_COLUMNS if partition_col == "acq_date" else schemas.QUAKES_COLUMNS
     observed = rows.observe(
         name,
-        F.count(F.lit(1)).alias("rows"),
+        (F.count_if(parse.KEPT) if rejects_path else F.count(F.lit(1))).alias("rows"),
         F.max("event_timestamp").alias("max_event_time"),
     )
     writer = IdempotentBatchWriter(
@@ -143,6 +164,7 @@ def start_ingest(
         columns=columns,
         files_per_date=files_per_date,
         preview_rows=preview_rows,
+        rejects_path=rejects_path,
     )
     w = (
         observed.writeStream.foreachBatch(writer)
@@ -265,11 +287,23 @@ def start_both(
     ``<base>/_checkpoints/<name>`` (one per query, on the shared file system).
     With ``dedup="state"`` the watermark delays bound how long ids are remembered;
     in every mode they say which rows count as late. Each batch is reported in
-    ``<base>/_reports/<feed>``. ``rejects`` runs one dead-letter query per feed
-    (``<base>/_rejects/<feed>``); it reads the source a second time.
+    ``<base>/_reports/<feed>``. ``rejects`` keeps dead letters (``<base>/_rejects/<feed>``):
+    from the same parse and batch as the rows; in the other modes of ``dedup`` a query
+    per feed reads the source a second time.
     """
     extra = []
-    if rejects:
+    one_parse = rejects and dedup == "sink"
+    if one_parse:
+        fires = routed_fire_events(fire_messages, fires_watermark, max_future=max_future)
+        quakes = routed_quake_events(quake_messages, quakes_watermark, max_future=max_future)
+    else:
+        fires = fire_events(
+            fire_messages, watermark=fires_watermark, dedup=dedup, skew_salts=skew_salts, max_future=max_future
+        )
+        quakes = quake_events(
+            quake_messages, watermark=quakes_watermark, dedup=dedup, skew_salts=skew_salts, max_future=max_future
+        )
+    if rejects and not one_parse:
         extra = [
             start_rejects(
                 fire_rejects_stream(fire_messages, max_future),
@@ -288,9 +322,7 @@ def start_both(
         ]
     return extra + [
         start_ingest(
-            fire_events(
-                fire_messages, watermark=fires_watermark, dedup=dedup, skew_salts=skew_salts, max_future=max_future
-            ),
+            fires,
             f"{base_path}/fires",
             "acq_date",
             f"{base_path}/_checkpoints/fires",
@@ -301,11 +333,10 @@ def start_both(
             files_per_date=files_per_date,
             watermark=fires_watermark,
             report_path=f"{base_path}/_reports/fires",
+            rejects_path=f"{base_path}/_rejects/fires" if one_parse else None,
         ),
         start_ingest(
-            quake_events(
-                quake_messages, watermark=quakes_watermark, dedup=dedup, skew_salts=skew_salts, max_future=max_future
-            ),
+            quakes,
             f"{base_path}/earthquakes",
             "event_date",
             f"{base_path}/_checkpoints/earthquakes",
@@ -316,6 +347,7 @@ def start_both(
             files_per_date=files_per_date,
             watermark=quakes_watermark,
             report_path=f"{base_path}/_reports/earthquakes",
+            rejects_path=f"{base_path}/_rejects/earthquakes" if one_parse else None,
         ),
     ]
 

@@ -5,9 +5,13 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from tephra import schemas
+from tephra.operators import parse
 from tephra.sinks import parquet
 from tephra.sinks.parquet import BATCH_KEY, BATCH_LOG, RECENT, IdempotentBatchWriter, read_batch_log, roll_batch_log
 
+from tephra.sources import testdata
+
 SCHEMA = "event_id string, time string"
 
 
@@ -120,3 +124,57 @@ def test_the_mark_comes_from_one_file_and_old_rows_are_merged(spark, writer, mon
     assert roll_batch_log(spark, writer.path, keep=1) == 4
     assert logged(spark, writer)[-2:] == [(1, 1, 1), (1, 0, 1)]
     assert len(logged(spark, writer)) == 10
+
+
+LINES = [
+    "0.1,1.0,300.0,0.4,0.4,2024-01-01,1000,N,VIIRS,h,2.0NRT,290.0,1.5,D",
+    "0.2,1.0,300.0,0.4,0.4,2024-01-01,1010,N,VIIRS,h,2.0NRT,290.0,1.5,D",
+    "0.2,1.0,300.0,0.4,0.4,2024-13-01,1010,N,VIIRS,h,2.0NRT,290.0,1.5,D",
+    "badrow,1,2,3,4,notadate,xx",
+]
+
+
+def test_rows_and_dead_letters_come_from_one_batch(spark, scratch, monkeypatch):
+    """A stop between the two writes and a replay: every record is a stored row or a dead letter, once."""
+    monkeypatch.setattr(parquet, "checkpoint_query_id", lambda spark, checkpoint: "q")
+    writer = IdempotentBatchWriter(
+        f"{scratch}/fires", "acq_date", f"{scratch}/ck", dedup_keys=["event_id"], against_stored=True,
+        lateness="1 hour", columns=schemas.FIRES_COLUMNS, rejects_path=f"{scratch}/_rejects/fires",
+    )
+    messages = spark.createDataFrame([("\n".join(LINES),)], "value string")
+    batch = parse.routed_fires(messages, F.current_timestamp())
+    real = writer._write
+
+    def stop(*args):
+        raise RuntimeError("stopped between the two writes")
+
+    monkeypatch.setattr(writer, "_write", stop)
+    with pytest.raises(RuntimeError):
+        writer(batch, 0)
+    monkeypatch.setattr(writer, "_write", real)
+    writer(batch, 0)
+    writer(batch, 0)
+    letters = spark.read.parquet(f"{scratch}/_rejects/fires")
+    assert sorted(r["reason"] for r in letters.collect()) == ["bad_acq_date", "malformed_csv"]
+    assert spark.read.parquet(f"{scratch}/fires").count() == 2
+    row = read_batch_log(spark, f"{scratch}/fires").first()
+    assert (row["records"], row["rejected"], row["rows"], row["stored"]) == (4, 2, 2, 2)
+    good = parse.routed_fires(spark.createDataFrame([("\n".join(LINES[:2]),)], "value string"), F.current_timestamp())
+    writer(good, 1)
+    assert letters.count() == spark.read.parquet(f"{scratch}/_rejects/fires").count() == 2
+
+
+def test_routed_parse_equals_the_two_parses(spark):
+    ev = testdata.load(spark, "/root/testdata/sf0.001", "events")
+    latest = F.lit("2100-01-01").cast("timestamp")
+    for payloads, routed, kept, rejects in (
+        (testdata.fire_payloads(ev, junk=True), parse.routed_fires, parse.parse_fires, lambda p: parse.split_fires(p)[1]),
+        (testdata.quake_payloads(ev, junk=True), parse.routed_quakes, parse.parse_quakes, parse.quake_rejects),
+    ):
+        both = routed(payloads, latest)
+        rows = both.where(parse.KEPT).drop(parse.RECORD, parse.REASON, parse.KEPT, "processed_at")
+        want = kept(payloads).drop("processed_at").where("event_timestamp is not null and event_timestamp <= '2100-01-01'")
+        assert rows.exceptAll(want).isEmpty() and want.exceptAll(rows).isEmpty()
+        letters = both.where(F.col(parse.REASON).isNotNull()).groupBy(parse.REASON).count()
+        counted = {r[0]: r[1] for r in rejects(payloads).groupBy("reason").count().collect()}
+        assert {r[0]: r[1] for r in letters.collect() if r[0] != "future_time"} == counted
