@@ -80,7 +80,13 @@ def cmd_rebuild(spark, args) -> int:
     from tephra.plans import pipeline
 
     names = pipeline.refresh_views(
-        spark, args.base, args.target, as_of=args.as_of, schema=args.schema, refresh_minutes=args.refresh_minutes
+        spark,
+        args.base,
+        args.target,
+        as_of=args.as_of,
+        schema=args.schema,
+        refresh_minutes=args.refresh_minutes,
+        full=args.full,
     )
     print(json.dumps(names))
     return 0
@@ -88,8 +94,13 @@ def cmd_rebuild(spark, args) -> int:
 
 def cmd_export(spark, args) -> int:
     from tephra.operators import marts
-    from tephra.plans import export
+    from tephra.plans import export, pipeline
 
+    if args.mode == "changed_dates":
+        log = pipeline.refresh_models(spark, args.base, args.target, dashboards=False)
+        for r in log.collect():
+            print(json.dumps(r.asDict(), default=str))
+        return 0
     stg_f, stg_q = _stored_staging(spark, args.base)
     if args.mode == "refresh_dates":
         log = export.refresh_marts(
@@ -175,17 +186,18 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--quakes-watermark", default="10 minutes")
     p.add_argument("--codec", default="snappy", help="Parquet codec (none, snappy, zstd, ...)")
 
-    p = sub.add_parser("rebuild", help="full rebuild of the marts and of the stored dashboard relations")
+    p = sub.add_parser("rebuild", help="refresh the changed dates of the marts and of the stored dashboard relations")
     p.add_argument("--base", required=True)
     p.add_argument("--target", required=True)
     p.add_argument("--as-of")
     p.add_argument("--schema", default="default", help="catalog schema of the dashboard relations")
     p.add_argument("--refresh-minutes", type=int, default=0, help="leave younger metrics tables as they are")
+    p.add_argument("--full", action="store_true", help="every date (after a change of the models' rules)")
 
     p = sub.add_parser("export", help="export the marts")
     p.add_argument("--base", required=True)
     p.add_argument("--target", required=True)
-    p.add_argument("--mode", default="refresh_dates", choices=["refresh_dates", "append_hwm"])
+    p.add_argument("--mode", default="refresh_dates", choices=["refresh_dates", "append_hwm", "changed_dates"])
     p.add_argument("--lateness-days", type=int, default=1)
 
     p = sub.add_parser("retention", help="drop old date partitions")

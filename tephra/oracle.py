@@ -583,6 +583,29 @@ def maintenance_sql() -> dict[str, str]:
   SELECT 'mv_looker_earthquake_metrics', count(*), min(event_date)::VARCHAR, max(event_date)::VARCHAR FROM quake_summary
   UNION ALL
   SELECT 'v_looker_realtime_summary', fires_7d + earthquakes_7d, alert_status, fires_24h::VARCHAR FROM ({REALTIME})"""
+    # A relation's date is replaced when the second load adds a row of its sources to it.
+    stored_of = {
+        "fire_summary": ("fire_summary", "fires"),
+        "mv_looker_fire_metrics": ("fire_summary", "fires"),
+        "earthquake_summary": ("quake_summary", "quakes"),
+        "mv_looker_earthquake_metrics": ("quake_summary", "quakes"),
+        "combined_events": ("combined_events", "both"),
+        "mv_combined_events": ("combined_events", "both"),
+    }
+    late = f"""
+late AS (
+  SELECT 'fires' AS source, CAST(ts AS DATE) AS day FROM events
+  WHERE event_type IN {fx.FIRE_TYPES} AND ts >= TIMESTAMP '{FIRST_LOAD_UNTIL}'
+  UNION ALL
+  SELECT 'quakes', event_date FROM quakes JOIN events ON CAST(events.event_id AS VARCHAR) = quakes.event_id
+  WHERE ts >= TIMESTAMP '{FIRST_LOAD_UNTIL}'
+)"""
+    changed = "\n  UNION ALL\n".join(
+        f"""  SELECT '{name}' AS table_name, event_date, CAST(count(*) AS BIGINT) AS n_rows,
+    event_date IN (SELECT day FROM late{"" if source == "both" else f" WHERE source = '{source}'"}) AS replaced
+  FROM {model} GROUP BY event_date"""
+        for name, (model, source) in stored_of.items()
+    )
     return {
         "export_hwm": _with(
             EXPORT_CTE,
@@ -610,6 +633,7 @@ def maintenance_sql() -> dict[str, str]:
         "retention_report": _retention_sql("report"),
         "retention_status": _retention_sql("status"),
         "refresh_views": _with(COMBINED_CTE + _summaries(""), views),
+        "refresh_changed_dates": _with(COMBINED_CTE + _summaries("") + "," + late, changed),
         "dq_checks": _with(COMBINED_CTE + _summaries(""), DQ),
         "rejects": _with(FX_FIRES + "," + FX_QUAKES, REJECTS),
         "stream_rejects": _with(FX_FIRES + "," + FX_QUAKES, REJECTS),

@@ -193,6 +193,31 @@ def q_refresh_views(spark, sf_dir):
     return other.sql(" UNION ALL ".join(parts))
 
 
+def q_refresh_changed_dates(spark, sf_dir):
+    """Per date of every stored relation: its rows after a second load and a refresh, and whether
+    the refresh replaced the date's files."""
+    ev = _events(spark, sf_dir)
+    base = run_dir(spark, "changed-dates")
+    early = F.col("ts") < F.lit(oracle.FIRST_LOAD_UNTIL).cast("timestamp_ntz")
+    target, names = f"{base}/marts", None
+    # The second load reaches back: it starts inside a day of the first.
+    for part in (ev.where(early), ev.where(~early)):
+        write_partitioned(testdata.fires_table(part), f"{base}/fires", "acq_date")
+        write_partitioned(testdata.quakes_table(part), f"{base}/earthquakes", "event_date")
+        log = pipeline.refresh_models(spark, base, target)
+        files = None
+        for table in log.select("table_name").distinct().collect():
+            stored = read_table(spark, f"{target}/{table[0]}")
+            one = stored.select(F.lit(table[0]).alias("table_name"), "event_date", F.col("_metadata.file_name").alias("file"))
+            one = one.groupBy("table_name", "event_date", "file").agg(F.count(F.lit(1)).alias("n_rows"))
+            files = one if files is None else files.unionByName(one)
+        if names is None:
+            names = files.select("file").checkpoint().withColumn("old", F.lit(True))
+    return files.join(names, "file", "left").groupBy("table_name", "event_date").agg(
+        F.sum("n_rows").alias("n_rows"), F.max(F.col("old").isNull()).alias("replaced")
+    )
+
+
 def q_dq_checks(spark, sf_dir):
     ev = _events(spark, sf_dir)
     f = staging.stg_fires(testdata.fires_table(ev))
@@ -239,6 +264,7 @@ def maintenance_queries() -> dict:
         "retention_report": q_retention_report,
         "retention_status": q_retention_status,
         "refresh_views": q_refresh_views,
+        "refresh_changed_dates": q_refresh_changed_dates,
         "dq_checks": q_dq_checks,
         "rejects": q_rejects,
         "batch_preview": q_batch_preview,

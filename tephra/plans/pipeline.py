@@ -7,24 +7,25 @@ written against those names runs unchanged::
     register_views(spark, "/data/events")
     spark.sql("SELECT alert_status FROM v_looker_realtime_summary")
 
-``rebuild`` is the hourly model run: the two summary tables and the
-combined events are recomputed from staging and written (full rebuild,
-overwrite). ``refresh_views`` adds the dashboard relations as stored tables
-that other sessions find by name: the map layer (partitioned by day, clustered
-by type and severity) and both metrics, and the live card as a catalog view,
-which is evaluated when it is read.
+``rebuild`` is the full model run: the two summary tables and the
+combined events are recomputed from staging and written. ``refresh_views``
+is the hourly one: it rebuilds the dates whose source files changed
+(:mod:`tephra.plans.refresh`), of the models and of the dashboard relations,
+which are stored tables that other sessions find by name: the map layer
+(partitioned by day, clustered by type and severity) and both metrics, and the
+live card as a catalog view, which is evaluated when it is read.
 """
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tephra.operators import marts, parse, serving, staging
 from tephra.operators.dedup import dedup
+from tephra.plans import refresh
 from tephra.session import prepare
-from tephra.sinks.parquet import hadoop_path, read_table, write_clustered_snapshot
+from tephra.sinks.parquet import read_table, write_clustered_snapshot
 from tephra.sources import testdata
 
 # Relation names of the original models and dashboards.
@@ -119,23 +120,77 @@ def stored_relations(spark: SparkSession, target_root: str, as_of=None) -> dict[
     }
 
 
-# Stored dashboard tables: clustering columns, and whether they are rebuilt only when old.
-STORED_VIEWS = {
-    "map": (("event_type", "severity_level"), False),
-    "fire_metrics": ((), True),
-    "quake_metrics": ((), True),
-}
+# Dashboard relations that are stored and named in the catalog; the others are evaluated when read.
+STORED_VIEWS = ("map", "fire_metrics", "quake_metrics")
 # Fixed value: the original metrics views refresh hourly.
 REFRESH_MINUTES = 60
+SOURCES = {"fires": "acq_date", "earthquakes": "event_date"}
+
+
+def stored_models(spark: SparkSession, base_path: str, target_root: str) -> list[refresh.Stored]:
+    """The summaries and the combined events, from the stored event tables."""
+
+    def fires(dates):
+        stored = read_table(spark, f"{base_path}/fires")
+        return staging.stg_fires(stored.where(refresh.on_dates(F.col("acq_date"), dates)))
+
+    def quakes(dates):
+        stored = read_table(spark, f"{base_path}/earthquakes")
+        return staging.stg_quakes(stored.where(refresh.on_dates(F.col("event_date"), dates)))
+
+    return [
+        refresh.Stored("fire_summary", ("fires",), lambda d: marts.fire_summary(fires(d), ordered=False)),
+        refresh.Stored("earthquake_summary", ("earthquakes",), lambda d: marts.quake_summary(quakes(d), ordered=False)),
+        refresh.Stored(
+            "combined_events",
+            ("fires", "earthquakes"),
+            lambda d: marts.combined_events(fires(d), quakes(d)),
+            ("event_type", "severity_level"),
+        ),
+    ]
+
+
+def stored_dashboards(spark: SparkSession, target_root: str) -> list[refresh.Stored]:
+    """The stored dashboard relations, from the stored models."""
+
+    def of(model, relation):
+        def build(dates):
+            stored = read_table(spark, f"{target_root}/{model}")
+            return relation(stored.where(refresh.on_dates(F.col("event_date"), dates)))
 
+        return build
 
-def _fresh(spark: SparkSession, path: str, minutes: int) -> bool:
-    """Whether the table's last completed write is younger than ``minutes``."""
-    marker, fs = hadoop_path(spark, f"{path}/_SUCCESS")
-    if not fs.exists(marker):
-        return False
-    written = fs.getFileStatus(marker).getModificationTime() / 1000
-    return time.time() - written < 60 * minutes
+    return [
+        refresh.Stored(
+            VIEW_NAMES["map"],
+            ("fires", "earthquakes"),
+            of("combined_events", serving.map_events),
+            ("event_type", "severity_level"),
+        ),
+        refresh.Stored(VIEW_NAMES["fire_metrics"], ("fires",), of("fire_summary", serving.fire_metrics)),
+        refresh.Stored(VIEW_NAMES["quake_metrics"], ("earthquakes",), of("earthquake_summary", serving.quake_metrics)),
+    ]
+
+
+def refresh_models(
+    spark: SparkSession,
+    base_path: str,
+    target_root: str,
+    full: bool = False,
+    refresh_minutes: int = 0,
+    dashboards: bool = True,
+) -> DataFrame:
+    """Rebuild the changed dates of the stored models (and dashboard relations); the log of replaced dates.
+
+    A metrics table refreshed less than ``refresh_minutes`` ago stays as it is.
+    """
+    prepare(spark)
+    tables = stored_models(spark, base_path, target_root)
+    if dashboards:
+        tables += stored_dashboards(spark, target_root)
+    hourly = {VIEW_NAMES[k]: refresh_minutes for k in ("fire_metrics", "quake_metrics")}
+    sources = {name: (f"{base_path}/{name}", key) for name, key in SOURCES.items()}
+    return refresh.refresh(spark, sources, tables, target_root, full, hourly)
 
 
 def refresh_views(
@@ -145,23 +200,24 @@ def refresh_views(
     as_of=None,
     schema: str = "default",
     refresh_minutes: int = 0,
+    full: bool = False,
 ) -> dict[str, str]:
-    """Rebuild the models, store the dashboard relations, and name them in the catalog.
+    """Refresh the models and the stored dashboard relations, and name them in the catalog.
 
-    A metrics table younger than ``refresh_minutes`` (``REFRESH_MINUTES`` in the
-    hourly job) is left as it is. Returns the catalog names.
+    Only changed dates are rebuilt, all with ``full``. A metrics table younger than
+    ``refresh_minutes`` (``REFRESH_MINUTES`` in the hourly job) is left as it is. Returns
+    the catalog names.
     """
-    rebuild(spark, base_path, target_root, as_of)
-    relations_now = stored_relations(spark, target_root, as_of)
+    register_views(spark, base_path, as_of)
+    refresh_models(spark, base_path, target_root, full, refresh_minutes)
+    for key, df in stored_relations(spark, target_root, as_of).items():
+        df.createOrReplaceTempView(VIEW_NAMES[key])
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
     names = {}
-    for key, (cluster_by, hourly) in STORED_VIEWS.items():
+    for key in STORED_VIEWS:
         name = VIEW_NAMES[key]
-        path = f"{target_root}/{name}"
-        if not (hourly and refresh_minutes and _fresh(spark, path, refresh_minutes)):
-            write_clustered_snapshot(relations_now[key], path, "event_date", cluster_by)
         names[key] = f"{schema}.{name}"
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {names[key]} USING parquet LOCATION '{path}'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {names[key]} USING parquet LOCATION '{target_root}/{name}'")
         spark.sql(f"MSCK REPAIR TABLE {names[key]} SYNC PARTITIONS")
         spark.sql(f"REFRESH TABLE {names[key]}")
     names["realtime"] = f"{schema}.{VIEW_NAMES['realtime']}"

@@ -72,7 +72,8 @@ def write_clustered_snapshot(
     partition_col: str = "event_date",
     cluster_by: tuple[str, ...] = ("event_type", "severity_level"),
     codec: str = "snappy",
-) -> None:
+    only_dates: list | None = None,
+) -> set[str]:
     """Truncate-and-load of a whole relation, partitioned and clustered.
 
     Written with dynamic partition overwrite: the new files are staged and
@@ -80,6 +81,9 @@ def write_clustered_snapshot(
     in place and readers never see an empty table. Dates that are no longer
     in the snapshot are removed afterwards; their list comes from an
     ``observe`` of the written rows (one value per date, no extra pass).
+
+    With ``only_dates`` (dates, None for a missing one) ``df`` holds the rows of these dates,
+    and only these are replaced or removed. Returns the names of the written folders.
     """
     spark = df.sparkSession
     obs = Observation()
@@ -99,11 +103,19 @@ def write_clustered_snapshot(
     keep = {f"{partition_col}={v}" for v in got["parts"]}
     if got["nulls"]:
         keep.add(f"{partition_col}=__HIVE_DEFAULT_PARTITION__")
+    mine = None if only_dates is None else {partition_folder(partition_col, d) for d in only_dates}
     root, fs = hadoop_path(spark, path)
     for st in fs.listStatus(root):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(f"{partition_col}=") and name not in keep:
+        if not st.isDirectory() or not name.startswith(f"{partition_col}=") or name in keep:
+            continue
+        if mine is None or name in mine:
             must(fs.delete(st.getPath(), True), f"delete {st.getPath()}")
+    return keep
+
+
+def partition_folder(partition_col: str, value) -> str:
+    return f"{partition_col}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
 
 
 def hadoop_path(spark: SparkSession, path: str):
