@@ -144,6 +144,7 @@ def cmd_compact(spark, args) -> int:
     from pyspark.sql import functions as F
 
     from tephra.sinks.parquet import BATCH_LOG, compact_closed_dates, path_exists, read_batch_log, roll_batch_log
+    from tephra.streaming.pipelines import roll_reports
 
     for table, key in (("fires", "acq_date"), ("earthquakes", "event_date")):
         path = f"{args.base}/{table}"
@@ -157,6 +158,8 @@ def cmd_compact(spark, args) -> int:
         for day, rows in compact_closed_dates(spark, path, key, before):
             print(json.dumps({"table": table, "date": day, "rows": rows}))
         print(json.dumps({"table": table, "log_folders_merged": roll_batch_log(spark, path)}))
+        merged = roll_reports(spark, f"{args.base}/_reports/{table}", args.report_days)
+        print(json.dumps({"table": table, "report_files_merged": merged}))
     return 0
 
 
@@ -210,6 +213,7 @@ def parser() -> argparse.ArgumentParser:
     p = sub.add_parser("compact", help="merge the batch folders of closed dates")
     p.add_argument("--base", required=True)
     p.add_argument("--before", help="yyyy-MM-dd; never later than the day before the newest event")
+    p.add_argument("--report-days", type=int, help="drop batch reports older than that (default: keep all)")
     return ap
 
 

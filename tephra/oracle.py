@@ -370,6 +370,14 @@ def stream_sql() -> dict[str, str]:
         "stream_quakes_e2e": quakes,
         "stream_dedup_fires": distinct_fires,
         "stream_dedup_quakes": quakes,
+        "stream_both": _with(
+            fires_cte() + "," + QUAKES_CTE,
+            """
+  SELECT 'fires' AS table_name, acq_date AS event_date, count(DISTINCT event_id)::BIGINT AS n_rows
+  FROM fires GROUP BY acq_date
+  UNION ALL
+  SELECT 'earthquakes', event_date, count(DISTINCT event_id) FROM quakes GROUP BY event_date""",
+        ),
         "batch_metrics": _with(fires_cte(), BATCHES),
         "batch_preview": _with(fires_cte(), f"SELECT {FIRE_COLUMNS_SQL} FROM fires ORDER BY event_id LIMIT 5"),
     }
@@ -404,6 +412,9 @@ EXPORT_CTE = MARTS_CTE + "," + first_load(STAGING_CTE) + _summaries("") + _summa
 # Folders beside the dated ones: an empty old date, a bad date, a foreign key, no partition at all.
 ODD_FOLDERS = ("acq_date=2023-12-01", "acq_date=bad", "other=2024-01-01", "notes")
 
+# A dataset that the retention is told of and that does not exist.
+MISSING_DATASET = "volcanoes"
+
 
 def _retention_sql(what: str) -> str:
     cutoff = f"TIMESTAMP '{RETENTION_AS_OF}' - INTERVAL {RETENTION_DAYS + RETENTION_BUFFER_DAYS} DAY"
@@ -435,6 +446,13 @@ report AS (
 )"""
     body = {
         "plan": "SELECT * FROM plan",
+        "dry_run": f"""
+  SELECT dataset, partitions_scanned, partitions_deleted, errors,
+    (SELECT sum(n_rows)::BIGINT FROM plan WHERE plan.dataset = report.dataset) AS rows_remaining,
+    (SELECT count(*) FROM plan WHERE plan.dataset = report.dataset AND n_rows > 0) AS partitions_with_size
+  FROM report
+  UNION ALL
+  SELECT '{MISSING_DATASET}', 0, 0, 1, 0, 0""",
         "report": "SELECT * FROM report",
         "status": """
   SELECT sum(partitions_scanned)::BIGINT AS partitions_scanned, sum(partitions_deleted)::BIGINT AS partitions_deleted,
@@ -632,6 +650,7 @@ late AS (
         "retention_plan": _retention_sql("plan"),
         "retention_report": _retention_sql("report"),
         "retention_status": _retention_sql("status"),
+        "retention_dry_run": _retention_sql("dry_run"),
         "refresh_views": _with(COMBINED_CTE + _summaries(""), views),
         "refresh_changed_dates": _with(COMBINED_CTE + _summaries("") + "," + late, changed),
         "dq_checks": _with(COMBINED_CTE + _summaries(""), DQ),

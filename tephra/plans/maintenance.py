@@ -173,6 +173,24 @@ def q_retention_status(spark, sf_dir):
     return status.select("partitions_scanned", "partitions_deleted", "errors", "status")
 
 
+def q_retention_dry_run(spark, sf_dir):
+    """A dry run over both tables and one that is missing: what would go, its size, and that nothing went."""
+    base = _write_event_tables(spark, sf_dir)
+    datasets = {**DATASETS, oracle.MISSING_DATASET: "event_date"}
+    plan = retention.retention_plan(spark, base, datasets, as_of=oracle.RETENTION_AS_OF).checkpoint()
+    report = retention.retention_report(plan, retention.apply_retention(spark, plan, base, dry_run=True))
+    after = retention.with_row_counts(plan, spark, base, DATASETS)
+    # Megabytes have two digits; a folder without files has none.
+    rounded = F.abs(F.col("size_mb") * 1024 * 1024 - F.col("bytes")) <= 0.005 * 1024 * 1024
+    kept = after.groupBy("dataset").agg(
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows_remaining"),
+        F.count_if(rounded & (F.col("bytes") > 0)).alias("partitions_with_size"),
+    )
+    return retention.merge_on(report, kept, ["dataset"]).select(
+        "dataset", "partitions_scanned", "partitions_deleted", "errors", "rows_remaining", "partitions_with_size"
+    )
+
+
 def q_refresh_views(spark, sf_dir):
     """Refresh the stored dashboard relations, then read them by name in another session."""
     ev = _events(spark, sf_dir)
@@ -199,7 +217,7 @@ def q_refresh_changed_dates(spark, sf_dir):
     ev = _events(spark, sf_dir)
     base = run_dir(spark, "changed-dates")
     early = F.col("ts") < F.lit(oracle.FIRST_LOAD_UNTIL).cast("timestamp_ntz")
-    target, names = f"{base}/marts", None
+    target, names, key = f"{base}/marts", None, ["table_name", "event_date", "file"]
     # The second load reaches back: it starts inside a day of the first.
     for part in (ev.where(early), ev.where(~early)):
         write_partitioned(testdata.fires_table(part), f"{base}/fires", "acq_date")
@@ -209,11 +227,12 @@ def q_refresh_changed_dates(spark, sf_dir):
         for table in log.select("table_name").distinct().collect():
             stored = read_table(spark, f"{target}/{table[0]}")
             one = stored.select(F.lit(table[0]).alias("table_name"), "event_date", F.col("_metadata.file_name").alias("file"))
-            one = one.groupBy("table_name", "event_date", "file").agg(F.count(F.lit(1)).alias("n_rows"))
+            one = one.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows"))
             files = one if files is None else files.unionByName(one)
         if names is None:
-            names = files.select("file").checkpoint().withColumn("old", F.lit(True))
-    return files.join(names, "file", "left").groupBy("table_name", "event_date").agg(
+            # A task's files have one name in all the dates it writes.
+            names = files.select(*key).checkpoint().withColumn("old", F.lit(True))
+    return files.join(names, key, "left").groupBy("table_name", "event_date").agg(
         F.sum("n_rows").alias("n_rows"), F.max(F.col("old").isNull()).alias("replaced")
     )
 
@@ -263,6 +282,7 @@ def maintenance_queries() -> dict:
         "retention_plan": q_retention_plan,
         "retention_report": q_retention_report,
         "retention_status": q_retention_status,
+        "retention_dry_run": q_retention_dry_run,
         "refresh_views": q_refresh_views,
         "refresh_changed_dates": q_refresh_changed_dates,
         "dq_checks": q_dq_checks,

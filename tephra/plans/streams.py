@@ -99,7 +99,7 @@ def run_stream(
             raise RuntimeError(f"{feed} stream failed: {q.exception()}")
         if not pipelines.batch_reports(spark).wait(name):
             raise RuntimeError(f"{feed}: the batch report was not stored in time")
-    return sink, spark.read.schema(pipelines.PROGRESS_SCHEMA).parquet(f"{root}/_report")
+    return sink, pipelines.read_reports(spark, f"{root}/_report")
 
 
 def _stream_query(feed: str, arrivals: int, dedup: str):
@@ -112,6 +112,29 @@ def _stream_query(feed: str, arrivals: int, dedup: str):
     return run
 
 
+def q_stream_both(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both feeds side by side on a processing-time trigger: rows stored per table and date."""
+    root = run_dir(spark, "stream-both")
+    messages = {}
+    for feed, (make_payloads, _, _) in _FEEDS.items():
+        landing = f"{root}/{feed}-in"
+        land_messages(make_payloads(_events(spark, sf_dir), resend=True), landing, files=spark.sparkContext.defaultParallelism)
+        messages[feed] = stream_messages(spark, landing)
+    running = pipelines.start_both(messages["fires"], messages["earthquakes"], f"{root}/events", trigger="1 second")
+    try:
+        for q in running:
+            q.processAllAvailable()  # raises what ended the query
+    finally:
+        for q in running:
+            q.stop()
+    out = None
+    for feed, (_, _, part) in _FEEDS.items():
+        stored = read_table(spark, f"{root}/events/{feed}").groupBy(F.lit(feed).alias("table_name"), F.col(part).alias("event_date"))
+        n = stored.agg(F.count(F.lit(1)).alias("n_rows"))
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
 def q_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages read, rows stored and late rows, per run of a two-arrival fire stream.
 
@@ -162,6 +185,7 @@ def stream_queries() -> dict:
         "stream_quakes_e2e": _stream_query("earthquakes", 1, "state"),
         "stream_dedup_fires": _stream_query("fires", 2, "sink"),
         "stream_dedup_quakes": _stream_query("earthquakes", 2, "sink"),
+        "stream_both": q_stream_both,
         "batch_metrics": q_batch_metrics,
         "stream_rejects": q_stream_rejects,
     }

@@ -34,7 +34,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tephra import schemas
 from tephra.operators import parse
-from tephra.sinks.parquet import IdempotentBatchWriter
+from tephra.sinks.parquet import IdempotentBatchWriter, hadoop_path, must
 
 log = logging.getLogger("tephra.stream")
 
@@ -255,6 +255,46 @@ class BatchReports(StreamingQueryListener):
         return self.ended[name].wait(seconds)
 
 
+def read_reports(spark: SparkSession, path: str) -> DataFrame:
+    """The stored batch report, one row per micro-batch of a run.
+
+    A merge that stopped half-way leaves rows twice, never none.
+    """
+    return spark.read.schema(PROGRESS_SCHEMA).parquet(path).dropDuplicates(["stream", "run", "batch_id"])
+
+
+def roll_reports(spark: SparkSession, path: str, keep_days: int | None = None) -> int:
+    """Merge the one-row files of a report into one and drop batches started more than ``keep_days`` ago.
+
+    Only the files listed at the start are read, merged and deleted; the merged one is moved
+    in before they go, so a stop in between loses nothing, and a running ingest may go on
+    appending. Returns the number of files merged.
+    """
+    folder, fs = hadoop_path(spark, path)
+    if not fs.exists(folder):
+        return 0
+    old = [st.getPath() for st in fs.listStatus(folder) if st.isFile() and st.getPath().getName().endswith(".parquet")]
+    if not old or (len(old) == 1 and keep_days is None):
+        return 0
+    rows = spark.read.schema(PROGRESS_SCHEMA).parquet(*(p.toString() for p in old))
+    rows = rows.dropDuplicates(["stream", "run", "batch_id"])
+    if keep_days is not None:
+        began = F.try_to_timestamp("started_at")
+        rows = rows.where(began.isNull() | (began >= F.current_timestamp() - F.make_interval(days=F.lit(keep_days))))
+    work = f"{path.rstrip('/')}/_rolling"
+    rows.coalesce(1).write.mode("overwrite").parquet(work)
+    aside, _ = hadoop_path(spark, work)
+    for st in fs.listStatus(aside):
+        name = st.getPath().getName()
+        if name.endswith(".parquet"):
+            target, _ = hadoop_path(spark, f"{path.rstrip('/')}/{name}")
+            must(fs.rename(st.getPath(), target), f"move {name}")
+    for p in old:
+        must(fs.delete(p, False) or not fs.exists(p), f"delete {p.toString()}")
+    must(fs.delete(aside, True) or not fs.exists(aside), f"delete {work}")
+    return len(old)
+
+
 _REPORTS: dict[int, BatchReports] = {}
 
 

@@ -6,6 +6,7 @@ run from the same checkpoint, so every arrival is exactly one batch.
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from tephra.sinks.parquet import BATCH_KEY, IdempotentBatchWriter, read_table
@@ -248,3 +249,32 @@ def test_run_forever_returns_when_a_query_ends(spark, scratch):
     for q in qs:
         q.awaitTermination()
     assert read_table(spark, f"{scratch}/fires").count() == testdata.fx_fires(ev).count()
+
+
+def test_rolled_reports_keep_every_batch(spark, scratch, monkeypatch):
+    path = f"{scratch}/_report"
+    rows = [("fires", "run", i, i, 1, 0, 0, 5, f"2024-01-{1 + i // 40:02d}T00:00:00.000Z") for i in range(1000)]
+    frame = spark.createDataFrame(rows, pipelines.PROGRESS_SCHEMA)
+    frame.repartition(200).write.mode("append").parquet(path)
+
+    def files():
+        folder, fs = pipelines.hadoop_path(spark, path)
+        return sum(st.getPath().getName().endswith(".parquet") for st in fs.listStatus(folder))
+
+    # A stop after the merged file is in place leaves rows twice; the reader shows them once.
+    with monkeypatch.context() as m:
+        calls = iter(range(10))
+        real = pipelines.must
+        m.setattr(pipelines, "must", lambda done, what: real(done and next(calls) < 1, what))
+        with pytest.raises(OSError, match="could not delete"):
+            pipelines.roll_reports(spark, path)
+    assert files() > 1 and pipelines.read_reports(spark, path).count() == 1000
+    assert pipelines.roll_reports(spark, path) > 1
+    assert files() == 1 and pipelines.read_reports(spark, path).count() == 1000
+    assert pipelines.roll_reports(spark, path) == 0
+    extra = ("fires", "run", 1000, 1, 1, 0, 0, 5, "2999-01-01T00:00:00.000Z")
+    spark.createDataFrame([extra], pipelines.PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    assert pipelines.roll_reports(spark, path, keep_days=30) == 2
+    left = pipelines.read_reports(spark, path).collect()
+    assert files() == 1 and [r.batch_id for r in left] == [1000]
+    assert pipelines.roll_reports(spark, f"{scratch}/none") == 0
