@@ -6,7 +6,7 @@ checksums over pattern matches; the tests hold them against brute force.
 
 from __future__ import annotations
 
-from tephra.llm.queries import LISTED_LABELS
+from tephra.llm.queries import REFERRED
 
 # Host rules as (verdict, host, path), fixed values of the contract.
 RULES_SQL = """(VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
@@ -14,7 +14,9 @@ RULES_SQL = """(VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
 
 URL_FILTER = f"""
 WITH cut AS (
-    SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages
+    SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest,
+           regexp_matches(url, '{REFERRED}') AS referred
+    FROM pages
 ), parts AS (
     SELECT page_id,
            coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1),
@@ -22,16 +24,15 @@ WITH cut AS (
            coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
            list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*\\?([^#]*)', 1), '&'),
                      lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS query,
-           rest IS NOT NULL AS whole
+           rest IS NOT NULL AS whole, referred
     FROM cut
 ), named AS (
-    SELECT page_id, host, path,
+    SELECT page_id, host, path, referred,
            CASE WHEN whole THEN regexp_replace(host, '^(www|m)\\.', '') || rtrim(path, '/')
                 || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END END AS canonical
     FROM parts
 ), listed AS (
-    SELECT DISTINCT canonical AS url FROM named
-    WHERE regexp_extract(host, '^((www|m|blog)\\.)?([^.]*)', 3) IN {LISTED_LABELS}
+    SELECT DISTINCT canonical AS url FROM named WHERE referred
 ), ruled AS (
     SELECT n.page_id, n.host, n.path, n.canonical,
            arg_max(r.host || r.path, length(r.host || r.path)) AS rule,

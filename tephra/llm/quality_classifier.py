@@ -168,12 +168,17 @@ def fold(id_col: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_SAMPLE_ROWS) -> DataFrame:
-    """``stats, label`` of at most ``max_rows`` labelled rows outside the held-out fold, by id hash."""
+    """``doc_id, label, stats`` of at most ``max_rows`` labelled ids outside the held-out fold, by id hash.
+
+    An id that occurs several times gives one row, with its smallest text.
+    """
     known = labels.filter("doc_id is not null and quality in (0, 1)").filter(fold(F.col("doc_id")) != 0)
     known = known.groupBy("doc_id").agg(F.min("quality").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     # The chosen ids are bounded by ``max_rows``.
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # One row per id, however often it occurs: its smallest text.
+    texts = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     return texts.select("doc_id", "label", stats_of(F.col("text")).alias("stats"))
 
 

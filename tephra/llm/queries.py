@@ -28,8 +28,8 @@ from tephra.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Hosts whose pages make the list of blocked URLs of op5: the first label below www., m. or blog.
-LISTED_LABELS = ("spam-farm", "cheap-pills")
+# URLs that make the list of op5: those that some page carries with a referral parameter.
+REFERRED = "[?&]ref="
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,9 +52,8 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listed_urls(pages: DataFrame) -> DataFrame:
-    """Canonical URLs of all pages on listed hosts."""
-    label = F.regexp_extract(url_filter.host_of(F.col("url")), r"^(?:(?:www|m|blog)\.)?([^.]*)", 1)
-    return pages.filter(label.isin(*LISTED_LABELS)).select(url_filter.canonical_of(F.col("url")).alias("canonical"))
+    """Canonical URLs (without that parameter) of all pages reached by a referral, on any host."""
+    return pages.filter(F.col("url").rlike(REFERRED)).select(url_filter.canonical_of(F.col("url")).alias("canonical"))
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import math
 import random
 import re
 from collections import Counter
@@ -127,6 +128,31 @@ def test_bands_keep_clean_labelled_text(spark):
     assert all(c["kept"] or c["base_failed"] for c in clean) and sum(c["kept"] for c in clean) > 100
 
 
+SF_LEARN = "/root/testdata/sf0.1"
+
+
+def test_bands_are_learned_and_hold_on_the_held_out_fold(spark):
+    docs, labels = (spark.read.parquet(f"{SF_LEARN}/{t}.parquet") for t in ("documents", "labels"))
+    assert rules.learn(docs, labels) == rules.BANDS
+    held = labels.filter("quality = 1").filter(qc.fold(F.col("doc_id")) == 0)
+    got = [rules.judge(r["text"]) for r in docs.join(held, "doc_id", "left_semi").collect()]
+    passed = [g for g in got if not g["base_failed"]]
+    wrong = sum(not g["kept"] for g in passed)
+    assert len(passed) > 500 and wrong <= 0.005 * len(passed), (wrong, len(passed))
+
+
+def test_learned_bands_on_odd_tables(spark, odd_docs, no_docs):
+    labels = spark.createDataFrame([(77, 1), (77, 0), (3, None), (None, 1), (4, 7)], "doc_id bigint, quality int")
+    for docs in (odd_docs, no_docs):
+        assert rules.learn(docs, labels) == rules.BANDS
+    # Enough texts of one length: its class moves, the others stay.
+    texts = [(i, prose(i, 200)) for i in range(1, 200)]
+    labels = spark.createDataFrame([(i, 1) for i, _ in texts], "doc_id bigint, quality int")
+    bands = rules.learn(spark.createDataFrame(texts, "doc_id bigint, text string"), labels)
+    changed = [a.min_bytes for a, b in zip(bands.docs, rules.BANDS.docs, strict=True) if a != b]
+    assert changed and set(changed) <= {724, 1024, 1448, 2048}
+
+
 def test_op8_odd_rows(odd_docs, no_docs):
     assert rules.quality_rules(odd_docs).count() == odd_docs.count()
     assert rules.quality_rules(no_docs).count() == 0
@@ -166,6 +192,32 @@ def test_op1_held_out_accuracy(spark):
     assert out.count() == spark.read.parquet(f"{SF_LABELS}/documents.parquet").count()
 
 
+def test_op1_score_by_hand(spark):
+    docs, labels = (spark.read.parquet(f"{SF_LABELS}/{t}.parquet") for t in ("documents", "labels"))
+    model = qc.fit(docs, labels)
+    assert model.rules
+    got = {r["doc_id"]: r for r in qc.score(docs, model).collect()}
+    for doc_id, text in docs.select("doc_id", "text").collect():
+        stats = qc.statistics(text)
+        z = model.intercept
+        for rule, weight in model.rules:
+            holds = [stats[i] <= bound if op == "<=" else stats[i] > bound for i, op, bound in rule.conditions]
+            z += weight * all(holds)
+        want = 1 / (1 + math.exp(-z))
+        assert abs(got[doc_id]["score"] - want) < 1e-12
+        assert got[doc_id]["predicted"] == int(got[doc_id]["score"] >= 0.3)
+
+
+def test_op1_sample_has_one_row_per_id(spark):
+    docs = spark.range(1000).select(F.lit(1).cast("bigint").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    docs = docs.union(spark.createDataFrame([(2, None), (2, "b a"), (3, None)], "doc_id bigint, text string"))
+    labels = spark.createDataFrame([(i, i % 2) for i in (1, 2, 3, 6, 7)], "doc_id bigint, quality int")
+    ids = [r["doc_id"] for r in qc.training_sample(docs, labels).collect()]
+    learnt = [r[0] for r in labels.filter(qc.fold(F.col("doc_id")) != 0).select("doc_id").collect()]
+    assert sorted(ids) == sorted(i for i in learnt if i <= 3) and ids
+    assert qc.training_sample(docs, labels, max_rows=1).count() <= 1
+
+
 def test_op1_odd_rows_and_labels(spark, odd_docs, no_docs):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     one_sided = spark.createDataFrame([(1, 1, 0), (2, None, 0), (None, 0, 0)], "doc_id bigint, quality int, toxic int")
