@@ -87,6 +87,7 @@ def cmd_rebuild(spark, args) -> int:
         schema=args.schema,
         refresh_minutes=args.refresh_minutes,
         full=args.full,
+        merge_batches=args.merge_batches,
     )
     print(json.dumps(names))
     return 0
@@ -97,7 +98,7 @@ def cmd_export(spark, args) -> int:
     from tephra.plans import export, pipeline
 
     if args.mode == "changed_dates":
-        log = pipeline.refresh_models(spark, args.base, args.target, dashboards=False)
+        log = pipeline.refresh_models(spark, args.base, args.target, dashboards=False, merge_batches=args.merge_batches)
         for r in log.collect():
             print(json.dumps(r.asDict(), default=str))
         return 0
@@ -196,12 +197,24 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--schema", default="default", help="catalog schema of the dashboard relations")
     p.add_argument("--refresh-minutes", type=int, default=0, help="leave younger metrics tables as they are")
     p.add_argument("--full", action="store_true", help="every date (after a change of the models' rules)")
+    p.add_argument(
+        "--merge-batches",
+        action=argparse.BooleanOptionalAction,
+        default=True,
+        help="merge the marts from partial aggregates of the batches, so that only new batches are read",
+    )
 
     p = sub.add_parser("export", help="export the marts")
     p.add_argument("--base", required=True)
     p.add_argument("--target", required=True)
     p.add_argument("--mode", default="refresh_dates", choices=["refresh_dates", "append_hwm", "changed_dates"])
     p.add_argument("--lateness-days", type=int, default=1)
+    p.add_argument(
+        "--merge-batches",
+        action=argparse.BooleanOptionalAction,
+        default=True,
+        help="changed_dates: merge the marts from partial aggregates of the batches, so that only new batches are read",
+    )
 
     p = sub.add_parser("retention", help="drop old date partitions")
     p.add_argument("--base", required=True)

@@ -49,23 +49,63 @@ def _part(df: DataFrame, name: str) -> str | None:
     return name if name in df.columns else None
 
 
+def fire_summary_columns(n: Column, avg_b: Column, max_b: Column, avg_frp: Column, max_frp: Column) -> list[Column]:
+    """What the fire summary shows of a group's statistics."""
+    return [
+        n.alias("fire_count"),
+        round_half_up(avg_b, 2).alias("avg_brightness"),
+        max_b.alias("max_brightness"),
+        round_half_up(avg_frp, 2).alias("avg_frp"),
+        max_frp.alias("max_frp"),
+        rules.classify(
+            avg_b, rules.FIRE_INTENSITY_CATEGORY, rules.FIRE_INTENSITY_CATEGORY_DEFAULT
+        ).alias("fire_intensity_category"),
+    ]
+
+
+def quake_summary_columns(
+    n: Column, avg_m: Column, max_m: Column, min_m: Column, avg_d: Column, max_d: Column
+) -> list[Column]:
+    """What the earthquake summary shows of a group's statistics."""
+    return [
+        n.alias("earthquake_count"),
+        round_half_up(avg_m, 2).alias("avg_magnitude"),
+        max_m.alias("max_magnitude"),
+        min_m.alias("min_magnitude"),
+        round_half_up(avg_d, 2).alias("avg_depth"),
+        max_d.alias("max_depth"),
+    ]
+
+
+def fire_cluster_columns(avg_lat: Column, avg_lon: Column, avg_b: Column, last: Column) -> list[Column]:
+    """What a fire cluster shows of its statistics."""
+    return [
+        avg_lat.alias("latitude"),
+        avg_lon.alias("longitude"),
+        F.lit("fire").alias("event_type"),
+        avg_b.alias("intensity_measure"),
+        last.alias("event_time"),
+        rules.classify(
+            avg_b, rules.FIRE_CLUSTER_SEVERITY, rules.EVENT_SEVERITY_DEFAULT
+        ).alias("severity_level"),
+    ]
+
+
 def fire_summary(
     stg: DataFrame, date_from=None, date_to=None, ordered: bool = True
 ) -> DataFrame:
     """Per (day, satellite, confidence): count, brightness and power statistics."""
     stg = _date_window(stg, _part(stg, "acq_date"), date_from, date_to)
-    avg_b = F.avg("bright_ti4")
     out = stg.groupBy(
         F.to_date("event_time").alias("event_date"), "satellite", "confidence"
     ).agg(
-        F.count(F.lit(1)).alias("fire_count"),
-        round_half_up(avg_b, 2).alias("avg_brightness"),
-        F.max("bright_ti4").alias("max_brightness"),
-        round_half_up(F.avg("fire_radioactive_power"), 2).alias("avg_frp"),
-        F.max("fire_radioactive_power").alias("max_frp"),
-        rules.classify(
-            avg_b, rules.FIRE_INTENSITY_CATEGORY, rules.FIRE_INTENSITY_CATEGORY_DEFAULT
-        ).alias("fire_intensity_category"),
+        *fire_summary_columns(
+            F.count(F.lit(1)),
+            F.avg("bright_ti4"),
+            F.max("bright_ti4"),
+            F.avg("fire_radioactive_power"),
+            F.max("fire_radioactive_power"),
+        )
     )
     return out.orderBy(F.col("event_date").desc()) if ordered else out
 
@@ -79,12 +119,14 @@ def quake_summary(
         F.to_date("event_time").alias("event_date"),
         F.hour("event_time").cast("int").alias("hour"),
     ).agg(
-        F.count(F.lit(1)).alias("earthquake_count"),
-        round_half_up(F.avg("magnitude"), 2).alias("avg_magnitude"),
-        F.max("magnitude").alias("max_magnitude"),
-        F.min("magnitude").alias("min_magnitude"),
-        round_half_up(F.avg("depth"), 2).alias("avg_depth"),
-        F.max("depth").alias("max_depth"),
+        *quake_summary_columns(
+            F.count(F.lit(1)),
+            F.avg("magnitude"),
+            F.max("magnitude"),
+            F.min("magnitude"),
+            F.avg("depth"),
+            F.max("depth"),
+        )
     )
     if ordered:
         out = out.orderBy(F.col("event_date").desc(), F.col("hour").desc())
@@ -99,16 +141,8 @@ def fire_clusters(stg: DataFrame, date_from=None, date_to=None) -> DataFrame:
     below the aggregate (and on to the partition column of the scan).
     """
     stg = _date_window(stg, _part(stg, "acq_date"), date_from, date_to)
-    avg_b = F.avg("bright_ti4")
     return stg.groupBy("cluster_id", F.to_date("event_time").alias("event_date")).agg(
-        F.avg("latitude").alias("latitude"),
-        F.avg("longitude").alias("longitude"),
-        F.lit("fire").alias("event_type"),
-        avg_b.alias("intensity_measure"),
-        F.max("event_time").alias("event_time"),
-        rules.classify(
-            avg_b, rules.FIRE_CLUSTER_SEVERITY, rules.EVENT_SEVERITY_DEFAULT
-        ).alias("severity_level"),
+        *fire_cluster_columns(F.avg("latitude"), F.avg("longitude"), F.avg("bright_ti4"), F.max("event_time"))
     ).select(*COMBINED_COLUMNS)
 
 

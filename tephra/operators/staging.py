@@ -4,6 +4,7 @@ Both keep the partition column of the stored table (``acq_date`` /
 ``event_date``) next to the reference columns, so a date filter placed on
 a staging relation still prunes partitions of the scan. Use
 :func:`reference_columns` to get exactly the reference's column list.
+``carry`` names further columns of the stored table to keep.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ def _has_coords(df: DataFrame) -> DataFrame:
     return df.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
 
 
-def stg_fires(fires: DataFrame, keep_partition: bool = True) -> DataFrame:
+def stg_fires(fires: DataFrame, keep_partition: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     cols = [
         "latitude",
         "longitude",
@@ -55,10 +56,10 @@ def stg_fires(fires: DataFrame, keep_partition: bool = True) -> DataFrame:
     ]
     if keep_partition:
         cols.append("acq_date")
-    return _has_coords(fires).select(*cols)
+    return _has_coords(fires).select(*cols, *carry)
 
 
-def stg_quakes(quakes: DataFrame, keep_partition: bool = True) -> DataFrame:
+def stg_quakes(quakes: DataFrame, keep_partition: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     cols = [
         "magnitude",
         "place",
@@ -71,7 +72,7 @@ def stg_quakes(quakes: DataFrame, keep_partition: bool = True) -> DataFrame:
     ]
     if keep_partition:
         cols.append("event_date")
-    return _has_coords(quakes).select(*cols)
+    return _has_coords(quakes).select(*cols, *carry)
 
 
 def reference_columns(stg: DataFrame) -> DataFrame:

@@ -15,6 +15,8 @@ from tephra.sources import testdata as fx
 AS_OF = "2024-01-31 00:00:00"
 # High-water-mark scenario: the target was first loaded with data up to here.
 FIRST_LOAD_UNTIL = "2024-01-15 12:00:00"
+# Partial aggregates scenario: the dates before this one are compacted after the last load.
+COMPACT_BEFORE = "2024-01-03"
 # Retention scenario: run at 02:00 on 2024-01-20, keep 7 days plus 1 day buffer.
 RETENTION_AS_OF = "2024-01-20 02:00:00"
 RETENTION_DAYS = 7
@@ -653,6 +655,9 @@ late AS (
         "retention_dry_run": _retention_sql("dry_run"),
         "refresh_views": _with(COMBINED_CTE + _summaries(""), views),
         "refresh_changed_dates": _with(COMBINED_CTE + _summaries("") + "," + late, changed),
+        "fire_summary_merged": _with(MARTS_CTE, fire_summary_sql()),
+        "quake_summary_merged": _with(STAGING_CTE, QUAKE_SUMMARY),
+        "fire_clusters_merged": _with(COMBINED_CTE, _combined("fire_clusters")),
         "dq_checks": _with(COMBINED_CTE + _summaries(""), DQ),
         "rejects": _with(FX_FIRES + "," + FX_QUAKES, REJECTS),
         "stream_rejects": _with(FX_FIRES + "," + FX_QUAKES, REJECTS),

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from tephra import oracle
 from tephra.operators import marts, parse, quality, staging
-from tephra.plans import export, pipeline, retention
+from tephra.plans import export, partials, pipeline, retention
 from tephra.plans.queries import shown
 from tephra.session import prepare, run_dir
-from tephra.sinks.parquet import hadoop_path, read_table, write_partitioned
+from tephra.sinks.parquet import BATCH_KEY, compact_closed_dates, hadoop_path, read_table, write_partitioned
 from tephra.sources import testdata
 
 DATASETS = {"fires": "acq_date", "earthquakes": "event_date"}
@@ -237,6 +237,29 @@ def q_refresh_changed_dates(spark, sf_dir):
     )
 
 
+def _merged(partial, read):
+    """A mart merged from partial aggregates, brought up to date after each of three loads, of
+    which the last reaches back to every date, and after a compaction of the first dates."""
+
+    def run(spark, sf_dir):
+        ev = _events(spark, sf_dir)
+        base = run_dir(spark, "partials")
+        one, key = partial(), DATASETS[partial().source]
+        make = testdata.fires_table if one.source == "fires" else testdata.quakes_table
+        late = F.hour("ts") < 6
+        early = F.col("ts") < F.lit(oracle.FIRST_LOAD_UNTIL).cast("timestamp_ntz")
+        path = f"{base}/{one.source}"
+        for n, part in enumerate((early & ~late, ~early & ~late, late)):
+            rows = make(ev.where(part)).withColumn(BATCH_KEY, F.lit(f"load-{n}"))
+            rows.repartition(key).write.mode("append").partitionBy(key, BATCH_KEY).parquet(path)
+            partials.update(spark, base, f"{base}/marts", one)
+        compact_closed_dates(spark, path, key, oracle.COMPACT_BEFORE)
+        partials.update(spark, base, f"{base}/marts", one)
+        return read(spark, f"{base}/marts")
+
+    return run
+
+
 def q_dq_checks(spark, sf_dir):
     ev = _events(spark, sf_dir)
     f = staging.stg_fires(testdata.fires_table(ev))
@@ -285,6 +308,11 @@ def maintenance_queries() -> dict:
         "retention_dry_run": q_retention_dry_run,
         "refresh_views": q_refresh_views,
         "refresh_changed_dates": q_refresh_changed_dates,
+        "fire_summary_merged": _merged(partials.fire_summary_partial, partials.fire_summary),
+        "quake_summary_merged": _merged(partials.quake_summary_partial, partials.quake_summary),
+        "fire_clusters_merged": _merged(
+            partials.fire_clusters_partial, lambda spark, root: shown(partials.fire_clusters(spark, root))
+        ),
         "dq_checks": q_dq_checks,
         "rejects": q_rejects,
         "batch_preview": q_batch_preview,

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tephra.operators import marts, parse, serving, staging
 from tephra.operators.dedup import dedup
-from tephra.plans import refresh
+from tephra.plans import partials, refresh
 from tephra.session import prepare
 from tephra.sinks.parquet import read_table, write_clustered_snapshot
 from tephra.sources import testdata
@@ -127,8 +127,14 @@ REFRESH_MINUTES = 60
 SOURCES = {"fires": "acq_date", "earthquakes": "event_date"}
 
 
-def stored_models(spark: SparkSession, base_path: str, target_root: str) -> list[refresh.Stored]:
-    """The summaries and the combined events, from the stored event tables."""
+def stored_models(
+    spark: SparkSession, base_path: str, target_root: str, merge_batches: bool = False, full: bool = False
+) -> list[refresh.Stored]:
+    """The summaries and the combined events, from the stored event tables.
+
+    With ``merge_batches`` a changed date's summaries and clusters are merged from partial
+    aggregates (:mod:`tephra.plans.partials`): only new batches of the date are read.
+    """
 
     def fires(dates):
         stored = read_table(spark, f"{base_path}/fires")
@@ -138,6 +144,29 @@ def stored_models(spark: SparkSession, base_path: str, target_root: str) -> list
         stored = read_table(spark, f"{base_path}/earthquakes")
         return staging.stg_quakes(stored.where(refresh.on_dates(F.col("event_date"), dates)))
 
+    def brought_up(partial):
+        # Called by a build, so after the refresh has listed the sources: what it found is in the merge.
+        partials.update(spark, base_path, target_root, partial, full)
+        return partial
+
+    def merged_combined(dates):
+        clusters = partials.merged(spark, target_root, brought_up(partials.fire_clusters_partial()), dates)
+        return clusters.select(*marts.COMBINED_COLUMNS).unionByName(marts.quake_events(quakes(dates))).distinct()
+
+    if merge_batches:
+        return [
+            refresh.Stored(
+                "fire_summary",
+                ("fires",),
+                lambda d: partials.merged(spark, target_root, brought_up(partials.fire_summary_partial()), d),
+            ),
+            refresh.Stored(
+                "earthquake_summary",
+                ("earthquakes",),
+                lambda d: partials.merged(spark, target_root, brought_up(partials.quake_summary_partial()), d),
+            ),
+            refresh.Stored("combined_events", ("fires", "earthquakes"), merged_combined, ("event_type", "severity_level")),
+        ]
     return [
         refresh.Stored("fire_summary", ("fires",), lambda d: marts.fire_summary(fires(d), ordered=False)),
         refresh.Stored("earthquake_summary", ("earthquakes",), lambda d: marts.quake_summary(quakes(d), ordered=False)),
@@ -179,13 +208,15 @@ def refresh_models(
     full: bool = False,
     refresh_minutes: int = 0,
     dashboards: bool = True,
+    merge_batches: bool = False,
 ) -> DataFrame:
     """Rebuild the changed dates of the stored models (and dashboard relations); the log of replaced dates.
 
-    A metrics table refreshed less than ``refresh_minutes`` ago stays as it is.
+    A metrics table refreshed less than ``refresh_minutes`` ago stays as it is. ``merge_batches``
+    as in :func:`stored_models`; with ``full`` the partial aggregates are made anew, too.
     """
     prepare(spark)
-    tables = stored_models(spark, base_path, target_root)
+    tables = stored_models(spark, base_path, target_root, merge_batches, full)
     if dashboards:
         tables += stored_dashboards(spark, target_root)
     hourly = {VIEW_NAMES[k]: refresh_minutes for k in ("fire_metrics", "quake_metrics")}
@@ -201,6 +232,7 @@ def refresh_views(
     schema: str = "default",
     refresh_minutes: int = 0,
     full: bool = False,
+    merge_batches: bool = False,
 ) -> dict[str, str]:
     """Refresh the models and the stored dashboard relations, and name them in the catalog.
 
@@ -209,7 +241,7 @@ def refresh_views(
     the catalog names.
     """
     register_views(spark, base_path, as_of)
-    refresh_models(spark, base_path, target_root, full, refresh_minutes)
+    refresh_models(spark, base_path, target_root, full, refresh_minutes, merge_batches=merge_batches)
     for key, df in stored_relations(spark, target_root, as_of).items():
         df.createOrReplaceTempView(VIEW_NAMES[key])
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")

@@ -49,13 +49,17 @@ def on_dates(day: Column, dates: Dates) -> Column:
     return F.coalesce(found, F.lit(False)) | day.isNull() if None in dates else found
 
 
+def file_digest() -> Column:
+    """Aggregate of a listing (``path``, ``length``): changes with any file's name or size."""
+    mark = F.xxhash64("path", "length")
+    parts = (F.count(F.lit(1)), F.sum("length"), F.bit_xor(mark), F.sum(mark.cast("decimal(38,0)")))
+    return F.concat_ws(":", *(p.cast("string") for p in parts))
+
+
 def source_digests(spark: SparkSession, path: str, date_col: str) -> DataFrame:
     """``day, digest`` per date of a stored table, from a listing (no file is opened)."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    mark = F.xxhash64("path", "length")
-    parts = (F.count(F.lit(1)), F.sum("length"), F.bit_xor(mark), F.sum(mark.cast("decimal(38,0)")))
-    digest = F.concat_ws(":", *(p.cast("string") for p in parts)).alias("digest")
-    return files.groupBy(F.col(date_col).cast("date").alias("day")).agg(digest)
+    return files.groupBy(F.col(date_col).cast("date").alias("day")).agg(file_digest().alias("digest"))
 
 
 def _joined(digests: Iterable[DataFrame]) -> DataFrame:
@@ -66,7 +70,7 @@ def _joined(digests: Iterable[DataFrame]) -> DataFrame:
     return every.groupBy("day").agg(F.array_join(F.sort_array(F.collect_list("digest")), ";").alias("digest"))
 
 
-def _runs(spark: SparkSession, folder: str) -> list[int]:
+def complete_runs(spark: SparkSession, folder: str) -> list[int]:
     """Numbers of the complete states, oldest first."""
     if not path_exists(spark, folder):
         return []
@@ -78,13 +82,13 @@ def _runs(spark: SparkSession, folder: str) -> list[int]:
 def read_state(spark: SparkSession, target_root: str, table: str) -> DataFrame | None:
     """``day, digest, refreshed_at`` of a table's last refresh, or None."""
     folder = f"{target_root}/{STATE}/{table}"
-    runs = _runs(spark, folder)
+    runs = complete_runs(spark, folder)
     return spark.read.schema(STATE_SCHEMA).parquet(f"{folder}/{runs[-1]}") if runs else None
 
 
 def _store_state(spark: SparkSession, target_root: str, table: str, digests: DataFrame) -> None:
     folder = f"{target_root}/{STATE}/{table}"
-    old = _runs(spark, folder)
+    old = complete_runs(spark, folder)
     number = old[-1] + 1 if old else 0
     state = digests.select("day", "digest", F.current_timestamp().alias("refreshed_at"))
     # One row per date. An incomplete folder of this number is from a run that stopped.
