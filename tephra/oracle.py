@@ -645,7 +645,8 @@ late AS (
             combined,
             """
   SELECT event_date, event_type, severity_level, CAST(COUNT(*) AS BIGINT) AS n_rows,
-    CAST(0 AS BIGINT) AS rows_out_of_order, CAST(0 AS BIGINT) AS rows_in_wrong_folder
+    CAST(0 AS BIGINT) AS rows_out_of_order, CAST(0 AS BIGINT) AS rows_in_wrong_folder,
+    CAST(0 AS BIGINT) AS files_overlapping
   FROM combined_events GROUP BY event_date, event_type, severity_level""",
         ),
         "export_status": _with(export_cte_combined, status),

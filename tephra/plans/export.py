@@ -104,8 +104,7 @@ def _write_counted(df: DataFrame, writer) -> int:
 
 
 def export_snapshot(df: DataFrame, path: str) -> dict:
-    rows = _write_counted(df, lambda d: write_clustered_snapshot(d, path, PARTITION_COL))
-    return {"mode": "snapshot", "rows": rows, "high_water_mark": None}
+    return {"mode": "snapshot", "rows": write_clustered_snapshot(df, path, PARTITION_COL).rows, "high_water_mark": None}
 
 
 def export_append_hwm(spark: SparkSession, mart: Mart, path: str, time_col: str = PARTITION_COL, hwm=None) -> dict:

@@ -19,7 +19,7 @@ from tephra.operators import marts, parse, quality, staging
 from tephra.plans import export, partials, pipeline, retention
 from tephra.plans.queries import shown
 from tephra.session import prepare, run_dir
-from tephra.sinks.parquet import BATCH_KEY, compact_closed_dates, hadoop_path, read_table, write_partitioned
+from tephra.sinks.parquet import BATCH_KEY, compact_closed_dates, hadoop_path, read_table, write_clustered_snapshot, write_partitioned
 from tephra.sources import testdata
 
 DATASETS = {"fires": "acq_date", "earthquakes": "event_date"}
@@ -91,8 +91,12 @@ def q_export_snapshot(spark, sf_dir):
 
 def q_export_clustered_layout(spark, sf_dir):
     """Rows per (date, type, severity) of the clustered layout as it lies on disk: how many
-    break the order inside their file, and how many lie in another date's folder."""
-    stored = _snapshot(spark, sf_dir).select(
+    break the order inside their file, how many lie in another date's folder, and how many
+    files of the date start before another one ends. Two files a date, on average."""
+    full = _first_and_full(spark, sf_dir)[1]["combined_events"]
+    root = run_dir(spark, "clustered")
+    write_clustered_snapshot(full, root, files=60)
+    stored = read_table(spark, root).select(
         "event_date",
         "event_type",
         "severity_level",
@@ -104,11 +108,17 @@ def q_export_clustered_layout(spark, sf_dir):
     before = F.lag(here).over(Window.partitionBy("file").orderBy("at"))
     stored = stored.withColumn("out_of_order", F.coalesce(here < before, F.lit(False)))
     folder = F.regexp_extract("file", "event_date=([^/]+)/", 1)
-    return stored.groupBy("event_date", "event_type", "severity_level").agg(
+    # One row per file; ranges may meet in one value.
+    ranges = stored.groupBy("event_date", "file").agg(F.min(here).alias("lo"), F.max(here).alias("hi"))
+    ended = F.max("hi").over(Window.partitionBy("event_date").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1))
+    ranges = ranges.withColumn("overlaps", F.coalesce(F.col("lo") < ended, F.lit(False)))
+    ranges = ranges.groupBy("event_date").agg(F.count_if("overlaps").alias("files_overlapping"))
+    counts = stored.groupBy("event_date", "event_type", "severity_level").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if("out_of_order").alias("rows_out_of_order"),
         F.count_if(folder != F.col("event_date").cast("string")).alias("rows_in_wrong_folder"),
     )
+    return counts.join(ranges, "event_date")
 
 
 def q_export_status(spark, sf_dir):

@@ -146,7 +146,7 @@ def refresh(
         if dates != []:
             rows = table.build(dates).where(on_dates(F.col("event_date"), dates))
             path = f"{target_root}/{table.name}"
-            kept = write_clustered_snapshot(rows, path, "event_date", table.cluster_by, only_dates=dates)
+            kept = write_clustered_snapshot(rows, path, "event_date", table.cluster_by, only_dates=dates).folders
             days = dates if dates is not None else [r.day for r in now.select("day").collect()]
             log += [
                 (table.name, day, "written" if partition_folder("event_date", day) in kept else "removed") for day in days

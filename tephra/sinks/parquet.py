@@ -4,9 +4,11 @@ Write layout at scale: before a partitioned write the rows go through a
 ``REBALANCE`` on the partition column. Adaptive execution then splits a
 hot date over several tasks (several files) and merges small dates into
 one task, so neither a day holding a third of all rows nor hundreds of
-tiny days produce bad files. ``sortWithinPartitions`` on the clustering
-columns gives each file tight min/max statistics per row group, which
-lets readers skip row groups on those columns.
+tiny days produce bad files. A clustered snapshot is split by ranges of the
+date and the clustering columns instead: bounds from a sample, and a row hash as last
+key, so a hot value is shared by several tasks. The files of a date then hold
+ranges that meet in one value at most, and readers skip whole files and, as rows are
+sorted within a file, row groups.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 import json
 import logging
 import uuid
+from typing import NamedTuple
 
 from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -66,6 +69,22 @@ def write_partitioned(
     w.partitionBy(partition_col).parquet(path)
 
 
+class Written(NamedTuple):
+    """Names of the written date folders, and the rows in them."""
+
+    folders: set[str]
+    rows: int
+
+
+def by_range(df: DataFrame, partition_col: str, cluster_by: tuple[str, ...], files: int | None = None) -> DataFrame:
+    """Rows spread over tasks by ranges of (date, clustering columns, row hash).
+
+    Without ``files`` adaptive execution merges small neighbouring ranges.
+    """
+    keys = [partition_col, *cluster_by, F.xxhash64(*df.columns)]
+    return df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
+
+
 def write_clustered_snapshot(
     df: DataFrame,
     path: str,
@@ -73,7 +92,8 @@ def write_clustered_snapshot(
     cluster_by: tuple[str, ...] = ("event_type", "severity_level"),
     codec: str = "snappy",
     only_dates: list | None = None,
-) -> set[str]:
+    files: int | None = None,
+) -> Written:
     """Truncate-and-load of a whole relation, partitioned and clustered.
 
     Written with dynamic partition overwrite: the new files are staged and
@@ -83,23 +103,30 @@ def write_clustered_snapshot(
     ``observe`` of the written rows (one value per date, no extra pass).
 
     With ``only_dates`` (dates, None for a missing one) ``df`` holds the rows of these dates,
-    and only these are replaced or removed. Returns the names of the written folders.
+    and only these are replaced or removed. ``files`` is the number of range tasks (default:
+    the session's shuffle partitions, small ones merged). Without clustering columns the layout
+    is that of ``write_partitioned``.
     """
     spark = df.sparkSession
     obs = Observation()
     part = F.col(partition_col)
-    counted = df.observe(
+    # Counted above the exchange: its sample reads the rows below once more.
+    spread = by_range(df, partition_col, cluster_by, files) if cluster_by else df.hint("rebalance", partition_col)
+    counted = spread.observe(
         obs,
         F.collect_set(part.cast("string")).alias("parts"),
         F.count_if(part.isNull()).alias("nulls"),
+        F.count(F.lit(1)).alias("rows"),
     )
-    write_partitioned(counted, path, partition_col, "overwrite", codec, list(cluster_by), dynamic=True)
-    got = observed(obs, parts=None, nulls=None)
+    writer = counted.sortWithinPartitions(partition_col, *cluster_by).write.mode("overwrite")
+    writer = writer.option("compression", codec).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(partition_col).parquet(path)
+    got = observed(obs, parts=None, nulls=None, rows=0)
     if got["parts"] is None:
         # No task reported: either nothing was written, or the counters are lost. Ask the input.
         if not df.isEmpty():
             raise RuntimeError(f"{path}: the written dates are unknown; no old date was removed")
-        got = {"parts": [], "nulls": 0}
+        got = {"parts": [], "nulls": 0, "rows": 0}
     keep = {f"{partition_col}={v}" for v in got["parts"]}
     if got["nulls"]:
         keep.add(f"{partition_col}=__HIVE_DEFAULT_PARTITION__")
@@ -111,7 +138,7 @@ def write_clustered_snapshot(
             continue
         if mine is None or name in mine:
             must(fs.delete(st.getPath(), True), f"delete {st.getPath()}")
-    return keep
+    return Written(keep, int(got["rows"]))
 
 
 def partition_folder(partition_col: str, value) -> str:

@@ -355,3 +355,28 @@ def test_retention_on_empty_dataset_and_empty_snapshot(spark, scratch):
     write_clustered_snapshot(spark.createDataFrame([(D(2024, 1, 1), "fire", "severe", 1)], schema), f"{scratch}/s")
     write_clustered_snapshot(spark.createDataFrame([], schema), f"{scratch}/s")
     assert not [d for d in os.listdir(f"{scratch}/s".replace("file:", "")) if d.startswith("event_date=")]
+
+
+def test_clustered_files_hold_ranges_and_share_a_hot_value(spark, scratch):
+    """One date with one hot value: its rows lie in several files, and files meet in one value at most."""
+    rows = spark.range(20_000).select(
+        F.lit(D(2024, 1, 1)).alias("event_date"),
+        F.when(F.col("id") % 10 < 8, "fire").otherwise("quake").alias("event_type"),
+        F.when(F.col("id") % 7 == 0, F.lit(None)).when(F.col("id") % 3 < 2, "low").otherwise("severe").alias("severity_level"),
+        "id",
+    )
+    got = write_clustered_snapshot(rows, f"{scratch}/s", files=8)
+    assert got.rows == 20_000 and got.folders == {"event_date=2024-01-01"}
+    key = F.struct("event_type", "severity_level")
+    stored = spark.read.parquet(f"{scratch}/s").withColumn("file", F.col("_metadata.file_name"))
+    files = stored.groupBy("file").agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count("*").alias("n")).collect()
+    assert len(files) == 8 and max(f.n for f in files) < 5_000
+    hot = stored.where("event_type = 'fire' AND severity_level = 'low'")
+    assert hot.select("file").distinct().count() >= 3
+
+    def order(value):
+        return tuple((x is not None, x or "") for x in value)
+
+    files.sort(key=lambda f: (order(f.lo), order(f.hi)))
+    assert all(order(b.lo) >= order(a.hi) for a, b in zip(files, files[1:], strict=False))
+    assert stored.select("id").distinct().count() == 20_000
