@@ -214,6 +214,32 @@ def test_op6_recall_and_precision(spark, dim):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got.values())
 
 
+def test_op6_code_grows_with_the_rows():
+    """Wider parts keep the buckets small, more tables keep the recall."""
+    assert itq_dedup.code_shape(0) == itq_dedup.code_shape(60_000) == itq_dedup.CodeShape(16, 4)
+    shapes = [itq_dedup.code_shape(1 << n) for n in range(17, 45)]
+    assert [s.part_bits for s in shapes] == [min(n, 32) for n in range(17, 45)]
+    assert all(a.parts <= b.parts for a, b in zip(shapes, shapes[1:], strict=False)) and shapes[-1].parts < 12
+    rng = np.random.default_rng(1)
+    for shape in (shapes[0], shapes[7], shapes[-1]):
+        flips = rng.random((4000, shape.parts, shape.part_bits)) < np.arccos(0.98) / np.pi
+        met = (flips.sum(axis=2) <= 1).any(axis=1)
+        assert met.mean() >= 0.98 and (flips.sum(axis=(1, 2)) <= shape.max_bits).mean() > 0.999
+    assert itq_dedup.code_shape(10, 1.0).parts == 4
+
+
+@pytest.mark.parametrize("width", [17, 24, 32])
+def test_op6_recall_with_wide_parts(spark, monkeypatch, width):
+    """Codes of several words, as a table of 2^width vectors would have."""
+    monkeypatch.setattr(itq_dedup, "MIN_PART_BITS", width)
+    rows = clustered(width, 800, 64)
+    want_links, want = brute_vectors(rows)
+    got = {r["vec_id"]: r for r in itq_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(got[i]["n_links"] <= want_links[i] for i in range(len(rows)))
+    assert sum(r["n_links"] for r in got.values()) >= 0.97 * sum(want_links) > 200
+    assert sum(got[i]["component_id"] == want[i] for i in range(len(rows))) >= 0.97 * len(rows)
+
+
 def test_op6_odd_vectors(spark):
     v = [1.0, 2.0, 3.0]
     rows = [
