@@ -21,10 +21,13 @@ from __future__ import annotations
 
 import bisect
 import functools
+import itertools
 import struct
 import zlib
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -52,6 +55,8 @@ PIECES = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>"
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 # Below this code point lower-casing and composition are the same in every Unicode version.
 PLAIN_BELOW = "\u0250"
+# Texts of so many characters are tokenized together (one text at least).
+SLICE_CHARS = 4_000_000
 
 
 @functools.cache
@@ -86,6 +91,64 @@ def token_ids(text: str | None, path: str, end_id: int = END_ID) -> bytes:
     return b"".join([*out, struct.pack("<I", end_id)])
 
 
+def run_ids(runs: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of plain runs, one after the other, and where each run's ids end."""
+    parts, last = [], []
+    for run in " ".join(runs).lower().split(" ") if runs else []:
+        if run.isalpha():
+            parts.append(run)
+        else:
+            parts += PRETOKEN.findall(run)
+        last.append(len(parts))
+    encoding, ends = T.spaced_encoding(path)
+    ids = encoding.encode_to_numpy("".join(p + " " for p in parts))
+    upto = np.concatenate([[0], np.flatnonzero(ends[ids]) + 1])
+    return ids, upto[np.array(last, np.int64)]
+
+
+def slice_ids(texts: list[str], path: str, end_id: int = END_ID) -> list[bytes]:
+    """``token_ids`` of texts without special strings: every different run is split and merged once, all in one call."""
+    runs, counts = [], []
+    for text in texts:
+        found = T.words(text)
+        runs += found
+        counts.append(len(found))
+    coded = pa.array(runs, pa.large_string()).dictionary_encode()
+    different = coded.dictionary.to_pylist()
+    plain, other = [], []
+    for i, run in enumerate(different):
+        (plain if run.isascii() or max(run) < PLAIN_BELOW else other).append(i)
+    ids, stops = run_ids([different[i] for i in plain] if other else different, path)
+    by_library = [np.frombuffer(word_ids(path)[different[i]], "<u4") for i in other]
+    stops = np.concatenate([[0], stops, len(ids) + np.cumsum([len(a) for a in by_library], dtype=np.int64)])
+    place = np.empty(len(different), np.int64)
+    place[np.array(plain + other, np.int64)] = np.arange(len(different))
+    lists = pa.LargeListArray.from_arrays(pa.array(stops, pa.int64()), pa.array(np.concatenate([ids, *by_library]), pa.uint32()))
+    lists = lists.take(pa.array(place[coded.indices.to_numpy()]))
+    found = lists.flatten().to_numpy().astype("<u4", copy=False)
+    sizes = lists.value_lengths().fill_null(0).to_numpy()
+    ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *counts])]
+    end = struct.pack("<I", end_id)
+    return [found[a:b].tobytes() + end for a, b in itertools.pairwise(ends.tolist())]
+
+
+def batch_ids(texts: Iterable[str | None], path: str, end_id: int = END_ID) -> Iterator[bytes]:
+    """``token_ids`` of every text, in order, by slices of bounded size."""
+    waiting, chars = [], 0
+    for text in texts:
+        if len(T.split_special(text or "", path)) > 1:
+            yield from slice_ids(waiting, path, end_id)
+            waiting, chars = [], 0
+            yield token_ids(text, path, end_id)
+            continue
+        waiting.append(text or "")
+        chars += len(waiting[-1])
+        if chars >= SLICE_CHARS:
+            yield from slice_ids(waiting, path, end_id)
+            waiting, chars = [], 0
+    yield from slice_ids(waiting, path, end_id)
+
+
 def cut(ids: bytes, capacity: int) -> list[tuple[int, int, int, int]]:
     """``piece, start, length, ids_crc32`` of at most ``capacity`` tokens each."""
     view = memoryview(ids)
@@ -98,7 +161,7 @@ def pieces(
 ) -> DataFrame:
     def batch(texts: pa.Array) -> pa.Array:
         names = PIECE.names
-        found = [cut(token_ids(t.as_py(), path, end_id), capacity) for t in texts]
+        found = [cut(ids, capacity) for ids in batch_ids((t.as_py() for t in texts), path, end_id)]
         return pa.array([[dict(zip(names, p, strict=True)) for p in doc] for doc in found], pa.list_(PIECE))
 
     tokenized = F.arrow_udf(batch, PIECES).asNondeterministic()(F.col(text_col))

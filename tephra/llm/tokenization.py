@@ -20,6 +20,7 @@ import json
 import re
 import sys
 
+import numpy as np
 import public_tokenizers
 import regex
 import tiktoken
@@ -134,6 +135,18 @@ def rank_encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@functools.cache
+def spaced_encoding(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
+    """The encoder of a JSON vocabulary with word ends, for many pre-tokens in one call: a space after
+    each stands for its end, so none may hold one. And, by id, whether a token ends a pre-token."""
+    ranks = json_ranks(path)
+    at_end = [n for t, n in ranks.items() if t.endswith(WORD_END) and t != WORD_END]
+    ends = np.zeros(max(n for t, n in ranks.items() if t != WORD_END) + 1, bool)
+    ends[at_end] = True
+    spaced = {t[:-1] + b" " if t.endswith(WORD_END) else t: n for t, n in ranks.items() if t != b" "}
+    return tiktoken.Encoding(path, pat_str="[^ ]+ ", mergeable_ranks=spaced, special_tokens={}), ends
+
+
 def merge(path: str):
     """A function from a pre-token's bytes to its ids."""
     encoding = rank_encoding(path)

@@ -91,6 +91,33 @@ def test_merging_by_ranks_equals_the_library():
             assert list(array("I", words[run])) == Tokenizer_of(WORDS).encode(run, add_special_tokens=False).ids
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), TEXTS), max_size=6), st.sampled_from([1, 5, 4_000_000]))
+def test_slices_of_texts_equal_the_library(texts, chars):
+    slices, packing.SLICE_CHARS = packing.SLICE_CHARS, chars
+    try:
+        got = [list(array("I", ids)) for ids in packing.batch_ids(texts, WORDS)]
+    finally:
+        packing.SLICE_CHARS = slices
+    assert got == [Tokenizer_of(WORDS).encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+
+
+def test_made_up_words_are_merged_together(monkeypatch):
+    """A word that is new costs no call of its own."""
+    rng = random.Random(8)
+    ends = ["", ",", "'s", "...42", "\u4e2d", "\u0130"]
+    made_up = ["".join(rng.choices("abcdeo\u00e9\u00f1RST", k=12)) + e for e in ends for _ in range(500)]
+    texts = [" ".join(rng.sample(made_up, 400)) for _ in range(20)]
+    calls = []
+    word_ids = packing.word_ids(WORDS)
+    compute = word_ids.compute
+    monkeypatch.setattr(word_ids, "compute", lambda run: calls.append(run) or compute(run))
+    rows = packing.batch_ids(texts, WORDS)
+    expected = [Tokenizer_of(WORDS).encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    assert [list(array("I", ids)) for ids in rows] == expected
+    assert all(run.endswith("\u4e2d") for run in calls)
+
+
 def test_memory_stays_bounded(monkeypatch):
     monkeypatch.setattr(T, "MEMORY_ENTRIES", 10)
     memory = T.Memory(len)
