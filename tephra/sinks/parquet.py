@@ -179,6 +179,8 @@ def checkpoint_query_id(spark: SparkSession, checkpoint: str) -> str:
 
 # Rows of one file that a micro-batch writes: a batch's fan-out follows its size.
 ROWS_PER_FILE = 1_000_000
+# Bytes of the records in one file of dead letters (a record may be a whole document).
+BYTES_PER_FILE = 128 * 1024 * 1024
 BATCH_LOG = "_batches"
 BATCH_LOG_SCHEMA = (
     "batch_id bigint, rows bigint, stored bigint, late bigint, latest timestamp, high_water timestamp, "
@@ -286,17 +288,21 @@ class IdempotentBatchWriter:
 
     def _write_rejects(self, whole: DataFrame, key: str) -> tuple[int, int]:
         """Dead letters of the batch to their own folder; the number of records and of dead letters."""
-        found = whole.agg(F.count(F.lit(1)).alias("n"), F.count(REASON).alias("bad")).first()
+        bad = F.col(REASON).isNotNull()
+        size = F.sum(F.when(bad, F.octet_length(RECORD).cast("long")))
+        found = whole.agg(F.count(F.lit(1)).alias("n"), F.count(REASON).alias("bad"), size.alias("bytes")).first()
         folder = f"{self.rejects_path.rstrip('/')}/{BATCH_KEY}={key}"
         if found["bad"] or path_exists(whole.sparkSession, folder):
-            letters = whole.where(F.col(REASON).isNotNull()).select(
+            letters = whole.where(bad).select(
                 F.lit(self.path.rstrip("/").rsplit("/", 1)[-1]).alias("source"),
                 F.col(RECORD).alias("record"),
                 F.col(REASON).alias("reason"),
                 F.current_timestamp().alias("rejected_at"),
             )
-            letters = letters.coalesce(-(-found["bad"] // ROWS_PER_FILE) or 1)
-            letters.write.mode("overwrite").option("compression", self.codec).parquet(folder)
+            # All tasks look for them, and only the letters move: a coalesce would have the
+            # few writing tasks read the whole batch.
+            files = max(1, -(-found["bad"] // ROWS_PER_FILE), -(-(found["bytes"] or 0) // BYTES_PER_FILE))
+            letters.repartition(files).write.mode("overwrite").option("compression", self.codec).parquet(folder)
         return found["n"], found["bad"]
 
     def _earlier(self, time: Column, times: int) -> Column:

@@ -164,6 +164,27 @@ def test_rows_and_dead_letters_come_from_one_batch(spark, scratch, monkeypatch):
     assert letters.count() == spark.read.parquet(f"{scratch}/_rejects/fires").count() == 2
 
 
+def test_dead_letters_are_looked_for_by_all_tasks(spark, scratch, monkeypatch):
+    """No writing task reads the whole batch, and files follow the letters' bytes, not only their number."""
+    writer = IdempotentBatchWriter(f"{scratch}/fires", "acq_date", f"{scratch}/ck", rejects_path=f"{scratch}/_rejects/fires")
+    ids = spark.range(0, 4000, 1, 8)
+    reason = F.when(F.col("id") % 100 == 0, F.lit("bad"))
+    whole = ids.select(F.concat(F.lit("record "), "id").alias(parse.RECORD), reason.alias(parse.REASON))
+    spread, narrowed = [], []
+    repartition, coalesce = type(whole).repartition, type(whole).coalesce
+    monkeypatch.setattr(type(whole), "repartition", lambda df, n, *c: spread.append(n) or repartition(df, n, *c))
+    monkeypatch.setattr(type(whole), "coalesce", lambda df, n: narrowed.append(n) or coalesce(df, n))
+    assert writer._write_rejects(whole, "q-0") == (4000, 40)
+    monkeypatch.setattr(parquet, "BYTES_PER_FILE", 100)
+    assert writer._write_rejects(whole, "q-1") == (4000, 40)
+    monkeypatch.undo()
+    assert not narrowed and spread[0] == 1 and spread[1] == -(-sum(len(f"record {i}") for i in range(0, 4000, 100)) // 100)
+    for key in ("q-0", "q-1"):
+        letters = spark.read.parquet(f"{scratch}/_rejects/fires/{BATCH_KEY}={key}").collect()
+        assert sorted(r["record"] for r in letters) == sorted(f"record {i}" for i in range(0, 4000, 100))
+        assert {(r["source"], r["reason"]) for r in letters} == {("fires", "bad")}
+
+
 def test_routed_parse_equals_the_two_parses(spark):
     ev = testdata.load(spark, "/root/testdata/sf0.001", "events")
     latest = F.lit("2100-01-01").cast("timestamp")
