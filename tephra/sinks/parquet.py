@@ -181,6 +181,8 @@ def checkpoint_query_id(spark: SparkSession, checkpoint: str) -> str:
 ROWS_PER_FILE = 1_000_000
 # Bytes of the records in one file of dead letters (a record may be a whole document).
 BYTES_PER_FILE = 128 * 1024 * 1024
+# Lets adaptive execution merge and split the partitions of what is persisted.
+CACHED_LAYOUT = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
 BATCH_LOG = "_batches"
 BATCH_LOG_SCHEMA = (
     "batch_id bigint, rows bigint, stored bigint, late bigint, latest timestamp, high_water timestamp, "
@@ -266,7 +268,7 @@ class IdempotentBatchWriter:
         key = self.batch_key(spark, batch_id)
         before = self.batch_key(spark, batch_id - 1) if batch_id else None
         # Read several times: counted, compared with earlier keys, written.
-        whole = batch.persist()
+        batch = whole = self._kept(batch)
         try:
             records, rejected = None, None
             if self.rejects_path:
@@ -286,6 +288,29 @@ class IdempotentBatchWriter:
         finally:
             whole.unpersist()
 
+    def _kept(self, batch: DataFrame) -> DataFrame:
+        """The persisted batch, in partitions of bounded bytes.
+
+        A message holds many records, so few landed files give few tasks, whose large
+        partitions every later step would read whole. The rows are rebalanced instead:
+        partitions follow the batch's bytes, not the number of its files. (Without keys
+        they come from a dedup by state, whose shuffle has spread them.)
+        """
+        if not self.dedup_keys:
+            return batch.persist()
+        # By the record too, where there is one: bad records have no key and would meet in one partition.
+        spread = batch.hint("rebalance", *(c for c in (*self.dedup_keys, RECORD) if c in batch.columns))
+        conf = batch.sparkSession.conf
+        before = conf.get(CACHED_LAYOUT, None)
+        conf.set(CACHED_LAYOUT, "true")
+        try:
+            return spread.persist()
+        finally:
+            if before is None:
+                conf.unset(CACHED_LAYOUT)
+            else:
+                conf.set(CACHED_LAYOUT, before)
+
     def _write_rejects(self, whole: DataFrame, key: str) -> tuple[int, int]:
         """Dead letters of the batch to their own folder; the number of records and of dead letters."""
         bad = F.col(REASON).isNotNull()

@@ -185,6 +185,48 @@ def test_dead_letters_are_looked_for_by_all_tasks(spark, scratch, monkeypatch):
         assert {(r["source"], r["reason"]) for r in letters} == {("fires", "bad")}
 
 
+@pytest.mark.parametrize("case", ["rows", "bad records", "no dead letters"])
+def test_steps_of_a_batch_read_partitions_of_bounded_bytes(spark, scratch, writer, monkeypatch, case):
+    """Two landed files give two large partitions; no later step reads one of them whole, bad records included."""
+    bad = case == "bad records"
+    text = F.sha2(F.col("id").cast("string"), 512)
+    rows = spark.range(0, 40000, 1, 2).select(
+        F.when(~F.lit(bad), text).alias("event_id"),
+        F.timestamp_seconds(F.lit(1704103200) + F.col("id") % 600).alias("event_timestamp"),
+        F.lit("2024-01-01").cast("date").alias("day"),
+        text.alias(parse.RECORD),
+        F.when(F.lit(bad), F.lit("bad")).alias(parse.REASON),
+        F.lit(not bad).alias(parse.KEPT),
+    )
+    if case == "no dead letters":
+        rows, step = rows.drop(parse.RECORD, parse.REASON, parse.KEPT), "_counts"
+    else:
+        writer.rejects_path, step = f"{scratch}/_rejects/t", "_write_rejects"
+    seen, real = [], getattr(writer, step)
+
+    def watch(whole, *rest):
+        sizes = [r["count"] for r in whole.groupBy(F.spark_partition_id()).count().collect()]
+        seen.append((sum(sizes), max(sizes), whole.storageLevel.useMemory))
+        return real(whole, *rest)
+
+    monkeypatch.setattr(writer, step, watch)
+    small = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    settings, layout = {k: spark.conf.get(k) for k in small}, spark.conf.get(parquet.CACHED_LAYOUT, None)
+    for k in small:
+        spark.conf.set(k, "64k")
+    try:
+        writer(rows, 0)
+        assert spark.conf.get(parquet.CACHED_LAYOUT, None) == layout
+    finally:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+    assert seen[0][0] == 40000 and seen[0][1] <= 40000 // 4
+    assert seen[0][2]  # the steps read what is persisted, not the messages once more
+    log = read_batch_log(spark, writer.path).first()
+    want = {"rows": (40000, 0, 40000), "bad records": (40000, 40000, 0), "no dead letters": (None, None, 40000)}
+    assert (log["records"], log["rejected"], log["stored"]) == want[case]
+
+
 def test_routed_parse_equals_the_two_parses(spark):
     ev = testdata.load(spark, "/root/testdata/sf0.001", "events")
     latest = F.lit("2100-01-01").cast("timestamp")
